@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 from types import ModuleType
 
-DOMAINS = ("market", "explore")
+DOMAINS = ("market", "explore", "history", "rentals")
 
 
 def load() -> ModuleType:

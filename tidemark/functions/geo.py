@@ -19,7 +19,8 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     chord = F.pow(F.sin(half_lat), 2) + (
         F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(half_lon), 2)
     )
-    return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(F.least(chord, F.lit(1.0))))
+    # rounding may push the chord past 1; `least` would turn a NULL into 1
+    return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(F.when(chord > 1, 1.0).otherwise(chord)))
 
 
 def usable_point(lat: Column, lon: Column) -> Column:

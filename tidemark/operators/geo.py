@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from tidemark.functions.geo import ORIGIN, RADIUS_KM, distance_band, distance_km, usable_point
 from tidemark.operators.quantiles import exact_median
 
-# Cell widths in degrees the exact median narrows through: at most 360 cells, then 1000 each.
-DEGREE_CELLS = (1.0, 1e-3, 1e-6)
+# Cell widths in degrees the exact median narrows through: at most 360 cells, then 10 000 of
+# about 11 m, then the distinct positions inside one of those.
+DEGREE_CELLS = (1.0, 1e-4)
 PLACE = ["city_key", "state_key"]
 
 
@@ -30,9 +31,13 @@ def city_centroids(listings: DataFrame, approx: bool = False) -> DataFrame:
         return points.groupBy(*PLACE).agg(
             F.percentile_approx("lat", 0.5).alias("lat"), F.percentile_approx("lon", 0.5).alias("lon")
         )
-    lat = exact_median(points, PLACE, "lat", DEGREE_CELLS, "lat")
-    lon = exact_median(points, PLACE, "lon", DEGREE_CELLS, "lon")
-    return lat.join(lon, PLACE)
+    axes = F.array(*[F.struct(F.lit(a).alias("axis"), F.col(a).alias("at")) for a in ("lat", "lon")])
+    middle = exact_median(
+        points.select(*PLACE, F.inline(axes)), [*PLACE, "axis"], "at", DEGREE_CELLS, "middle"
+    )
+    return middle.groupBy(*PLACE).agg(*[
+        F.max(F.when(F.col("axis") == a, F.col("middle"))).alias(a) for a in ("lat", "lon")
+    ])
 
 
 def upsert_centroids(stored: DataFrame, current: DataFrame) -> DataFrame:
@@ -82,7 +87,10 @@ def resolve(
     origin: tuple[float, float] = ORIGIN,
     radius_km: float = RADIUS_KM,
 ) -> DataFrame:
-    """Listings inside the radius, missing points filled from this run's or stored centroids."""
+    """Listings inside the radius, missing points filled from this run's or stored centroids.
+
+    The listings are read twice, so hand in a stored or settled table, not a long lineage.
+    """
     centroids = city_centroids(listings)
     if stored is not None:
         centroids = upsert_centroids(stored, centroids)

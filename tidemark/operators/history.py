@@ -62,13 +62,13 @@ def upsert_keyed(
     return joined.select(*[merged(c) for c in base.columns])
 
 
-def merge_sightings(
-    base: DataFrame, batch: DataFrame, key: str, mutable: list[str], day: str, order: str
+def collapse_sightings(
+    batch: DataFrame, key: str, mutable: list[str], day: str, order: str
 ) -> DataFrame:
-    """Upsert of a batch that may span several run days, or arrive late or twice.
+    """One state row per key of a batch that may span several run days.
 
-    First and last sighting are the extremes of both sides; mutable values follow
-    the newest (day, order). `base` keeps that order in `_order`.
+    First and last sighting, and the values of the newest (day, order); `_order`
+    keeps that order for later merges.
     """
     at = F.struct(F.col(day), F.col(order))
     seen = batch.groupBy(key).agg(
@@ -76,9 +76,13 @@ def merge_sightings(
         F.max(day).alias("last_seen_date"),
         F.max_by(F.struct(*mutable, F.col(order).alias("_order")), at).alias("_v"),
     )
-    rows = seen.select(key, *SEEN, "_v.*").unionByName(base.select(key, *SEEN, *mutable, "_order"))
+    return seen.select(key, *SEEN, "_v.*")
+
+
+def merge_states(states: DataFrame, key: str, mutable: list[str]) -> DataFrame:
+    """State rows of any number of batches to one per key; order of the batches is irrelevant."""
     newest = F.struct("last_seen_date", "_order")
-    merged = rows.groupBy(key).agg(
+    merged = states.groupBy(key).agg(
         F.min("first_seen_date").alias("first_seen_date"),
         F.max("last_seen_date").alias("last_seen_date"),
         F.max_by(F.struct(*mutable, "_order"), newest).alias("_v"),

@@ -45,7 +45,8 @@ def mix_return(weight: Column) -> Column:
 def mix_risk(weight: Column) -> Column:
     """Risk in percent with `weight` in the first asset."""
     a, b = weight * F.col("risk_a"), (1 - weight) * F.col("risk_b")
-    return F.round(F.sqrt(F.greatest(a * a + b * b + 2 * a * b * F.col("rho"), F.lit(0.0))) * 100, 2)
+    variance = a * a + b * b + 2 * a * b * F.col("rho")
+    return F.round(F.sqrt(F.when(variance < 0, 0.0).otherwise(variance)) * 100, 2)
 
 
 def min_variance_weight() -> Column:
@@ -55,7 +56,7 @@ def min_variance_weight() -> Column:
     weight = F.when(bottom == 0, 0.5).otherwise(
         F.try_divide(F.pow("risk_b", F.lit(2.0)) - shared, bottom)
     )
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), weight))
+    return F.when(weight < 0, 0.0).when(weight > 1, 1.0).otherwise(weight)
 
 
 def frontier_points(stats: DataFrame, step: int = WEIGHT_STEP) -> DataFrame:

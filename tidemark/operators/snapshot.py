@@ -200,5 +200,5 @@ def columnar_document(rows: DataFrame, max_mb: float, position: str = POSITION)
     ordered = size_guard(rows, max_mb, position).agg(
         F.array_sort(F.collect_list(F.struct(position, *columns))).alias("_r")
     )
-    arrays = F.struct(*[F.transform("_r", lambda r, c=c: r[c]).alias(c) for c in columns])
+    arrays = F.struct(*[F.col(f"_r.{c}").alias(c) for c in columns])
     return ordered.select(F.to_json(arrays, {"ignoreNullFields": "false"}).alias("document"))
