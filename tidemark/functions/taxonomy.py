@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import add
 
@@ -137,6 +138,15 @@ _META = frozenset(r".^$*+?{}[]\|()")
 _ANY_CASE = "(?iuU)"
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once, however often it is used.
+
+    Spark repeats a costly operand in every branch of a conditional; a lambda's
+    variable is bound once.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
 def _lookup(labels: dict[str, str], key: Column) -> Column:
     pairs = [F.lit(x) for pair in labels.items() for x in pair]
     return F.try_element_at(F.create_map(*pairs), key)
@@ -195,12 +205,10 @@ def area(
         scored.append(F.struct(
             score.alias("score"), F.lit(-ordinal).alias("rank"), F.lit(name).alias("area")
         ))
-    # one array keeps every score evaluated once; the best entry is picked afterwards
-    best = F.array_max(F.array(*scored))
-    label = F.transform(
-        F.array(best),
+    label = _let(
+        F.array_max(F.array(*scored)),
         lambda b: F.when(b["score"] >= AREA_MIN_SCORE, b["area"]).otherwise(NO_AREA),
-    )[0]
+    )
     if categories is None:
         return label
     return F.coalesce(_first_mapped(categories, category_labels, _clean_hint), label)
@@ -208,13 +216,16 @@ def area(
 
 def property_type(title: Column, unit_type: Column) -> Column:
     """First title pattern that matches, else the portal's unit type, else the default."""
-    folded = fold_accents(title)
-    label = None
-    for name, pattern in PROPERTY_PATTERNS:
-        hit = folded.rlike("(?i)" + pattern)
-        label = F.when(hit, name) if label is None else label.when(hit, name)
     by_unit = _lookup(UNIT_TYPE_LABELS, F.upper(F.coalesce(unit_type, F.lit(""))))
-    return label.otherwise(F.coalesce(by_unit, F.lit(DEFAULT_PROPERTY_TYPE)))
+
+    def by_title(folded: Column) -> Column:
+        label = None
+        for name, pattern in PROPERTY_PATTERNS:
+            hit = folded.rlike("(?i)" + pattern)
+            label = F.when(hit, name) if label is None else label.when(hit, name)
+        return label
+
+    return F.coalesce(_let(fold_accents(title), by_title), by_unit, F.lit(DEFAULT_PROPERTY_TYPE))
 
 
 def features(title: Column, description: Column, amenities: Column) -> Column:
@@ -227,16 +238,19 @@ def features(title: Column, description: Column, amenities: Column) -> Column:
         F.coalesce(amenities, F.array().cast("array<string>")), lambda a: F.upper(a)
     )
 
-    def found(label: str) -> Column:
+    def found(label: str, ad: Column) -> Column:
         codes = [code for code, name in AMENITY_LABELS.items() if name == label]
         tests = []
         if codes:
-            tests.append(F.arrays_overlap(listed, F.array(*[F.lit(c) for c in codes])))
+            tests.append(F.arrays_overlap(ad["listed"], F.array(*[F.lit(c) for c in codes])))
         if label in FEATURE_PATTERNS:
-            tests.append(text.rlike("(?i)" + FEATURE_PATTERNS[label]))
+            tests.append(ad["text"].rlike("(?i)" + FEATURE_PATTERNS[label]))
         return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))
 
-    return F.array_compact(F.array(*[F.when(found(label), label) for label in FEATURE_ORDER]))
+    return _let(
+        F.struct(text.alias("text"), listed.alias("listed")),
+        lambda ad: F.array_compact(F.array(*[F.when(found(f, ad), f) for f in FEATURE_ORDER])),
+    )
 
 
 def pixels(page: Column, signatures: dict[str, str] = PIXEL_SIGNATURES) -> Column:
