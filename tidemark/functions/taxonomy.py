@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
 from functools import reduce
 from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import fold_accents
+from tidemark.functions.text import fold_accents, let
 
 # Labels and patterns the classification must agree with.
 SENIORITY_PATTERNS = (
@@ -134,19 +134,9 @@ PIXEL_SIGNATURES = {
     "Microsoft Clarity": r"clarity\.ms/tag/",
 }
 
-_META = frozenset(r".^$*+?{}[]\|()")
 _ANY_CASE = "(?iuU)"
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """`use(value)` with the value computed once, however often it is used.
-
-    Spark repeats a costly operand in every branch of a conditional; a lambda's
-    variable is bound once.
-    """
-    return F.transform(F.array(value), use)[0]
-
-
 def _lookup(labels: dict[str, str], key: Column) -> Column:
     pairs = [F.lit(x) for pair in labels.items() for x in pair]
     return F.try_element_at(F.create_map(*pairs), key)
@@ -175,13 +165,55 @@ def seniority(title: Column, levels: Column | None = None) -> Column:
     return F.coalesce(_first_mapped(levels, LEVEL_LABELS, _clean_hint), label)
 
 
-def _hits(text: Column, lowered: Column, patterns: tuple[str, ...]) -> Column:
-    """How many of the patterns occur; plain words are substring tests on the lowered text."""
-    tests = [
-        text.rlike(_ANY_CASE + p) if _META & set(p) else lowered.contains(p.lower())
-        for p in patterns
-    ]
-    return reduce(add, [t.cast("int") for t in tests])
+def _alternatives(pattern: str) -> list[str]:
+    """Parts of a pattern between its top-level `|`."""
+    parts, depth = [""], 0
+    for char in pattern:
+        depth += (char == "(") - (char == ")")
+        if char == "|" and depth == 0:
+            parts.append("")
+        else:
+            parts[-1] += char
+    return parts
+
+
+def _needed_word(alternative: str) -> str:
+    """Longest plain text every match must hold: no groups, classes, escapes, optional characters."""
+    gap = "\0"
+    for piece in (r"\([^)]*\)[?*+]?", r"\[[^\]]*\][?*+]?", r"\\[a-zA-Z][?*+]?", r".[?*]", r"[.^$+]"):
+        alternative = re.sub(piece, gap, alternative)
+    return max(alternative.split(gap), key=len)
+
+
+def _occurs(lowered: Column, pattern: str) -> Column:
+    """Whether a pattern occurs in lower-case text.
+
+    A plain alternative is a substring test; any other runs its regex only on
+    texts holding the word it needs.
+    """
+
+    def test(alternative: str) -> Column:
+        word = _needed_word(alternative)
+        if word == alternative:
+            return lowered.contains(word)
+        exact = lowered.rlike("(?U)" + alternative)
+        return lowered.contains(word) & exact if word else exact
+
+    return reduce(lambda a, b: a | b, [test(a) for a in _alternatives(pattern.lower())])
+
+
+def _occurs_folded(folded: Column, pattern: str) -> Column:
+    """The same for accent-folded text, where a letter's accented twin cannot occur."""
+    ascii_only = re.sub(
+        r"\[([^\]]*)\]",
+        lambda m: m[1].encode("ascii", "ignore").decode() if not m[1].isascii() else m[0], pattern,
+    )
+    return _occurs(folded, ascii_only)
+
+
+def _hits(lowered: Column, patterns: tuple[str, ...]) -> Column:
+    """How many of the patterns occur."""
+    return reduce(add, [_occurs(lowered, p).cast("int") for p in patterns])
 
 
 def area(
@@ -192,21 +224,25 @@ def area(
     category_labels: dict[str, str] = CATEGORY_LABELS,
 ) -> Column:
     """Structured category first; else the best-scoring keyword area, ties to the earlier one."""
-    title = F.concat(F.lit(" "), F.coalesce(title, F.lit("")), F.lit(" "))
-    low_title = F.lower(title)
+    padded = F.concat(F.lit(" "), F.coalesce(title, F.lit("")), F.lit(" "))
+    texts = [F.lower(padded).alias("title")]
     if description is not None:
         lead = F.substring(F.coalesce(description, F.lit("")), 1, AREA_DESCRIPTION_LENGTH)
-        low_lead = F.lower(lead)
-    scored = []
-    for ordinal, (name, patterns) in enumerate(keywords.items()):
-        score = TITLE_WEIGHT * _hits(title, low_title, patterns)
-        if description is not None:
-            score = score + DESCRIPTION_WEIGHT * _hits(lead, low_lead, patterns)
-        scored.append(F.struct(
-            score.alias("score"), F.lit(-ordinal).alias("rank"), F.lit(name).alias("area")
-        ))
-    label = _let(
-        F.array_max(F.array(*scored)),
+        texts.append(F.lower(lead).alias("lead"))
+
+    def best(ad: Column) -> Column:
+        scored = []
+        for ordinal, (name, patterns) in enumerate(keywords.items()):
+            score = TITLE_WEIGHT * _hits(ad["title"], patterns)
+            if description is not None:
+                score = score + DESCRIPTION_WEIGHT * _hits(ad["lead"], patterns)
+            scored.append(F.struct(
+                score.alias("score"), F.lit(-ordinal).alias("rank"), F.lit(name).alias("area")
+            ))
+        return F.array_max(F.array(*scored))
+
+    label = let(
+        let(F.struct(*texts), best),
         lambda b: F.when(b["score"] >= AREA_MIN_SCORE, b["area"]).otherwise(NO_AREA),
     )
     if categories is None:
@@ -221,11 +257,11 @@ def property_type(title: Column, unit_type: Column) -> Column:
     def by_title(folded: Column) -> Column:
         label = None
         for name, pattern in PROPERTY_PATTERNS:
-            hit = folded.rlike("(?i)" + pattern)
+            hit = _occurs_folded(folded, pattern)
             label = F.when(hit, name) if label is None else label.when(hit, name)
         return label
 
-    return F.coalesce(_let(fold_accents(title), by_title), by_unit, F.lit(DEFAULT_PROPERTY_TYPE))
+    return F.coalesce(let(fold_accents(title), by_title), by_unit, F.lit(DEFAULT_PROPERTY_TYPE))
 
 
 def features(title: Column, description: Column, amenities: Column) -> Column:
@@ -244,10 +280,10 @@ def features(title: Column, description: Column, amenities: Column) -> Column:
         if codes:
             tests.append(F.arrays_overlap(ad["listed"], F.array(*[F.lit(c) for c in codes])))
         if label in FEATURE_PATTERNS:
-            tests.append(ad["text"].rlike("(?i)" + FEATURE_PATTERNS[label]))
+            tests.append(_occurs_folded(ad["text"], FEATURE_PATTERNS[label]))
         return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))
 
-    return _let(
+    return let(
         F.struct(text.alias("text"), listed.alias("listed")),
         lambda ad: F.array_compact(F.array(*[F.when(found(f, ad), f) for f in FEATURE_ORDER])),
     )

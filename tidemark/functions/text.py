@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import sys
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 import pandas as pd
@@ -23,11 +24,17 @@ PHONE = (
     r"(?U)(?:\(?\d{2}\)?[\s.-]*)?(?:9[\s.-]*)?\d{4}[\s.-]?\d{4}"
     r"|\+?55[\s.-]?\d{2}[\s.-]?\d{4,5}[\s.-]?\d{4}"
 )
+LINK_START = r"(?i)https?://|www\."
+PHONE_CORE = r"\p{Nd}{4}[\s\x{85}\p{Z}.-]?\p{Nd}{4}"
 POSTING_LIMIT = 6000
 LISTING_LIMIT = 4000
 SNIPPET_LENGTH = 400
 MAX_SKILLS = 6
 
+NON_ASCII = r"[^\x00-\x7F]"
+# Latin fractions and digraph letters, and everything past the Latin blocks
+LATIN_LONGER = r"[\xbc-\xbe\u0132-\u0133\u01c4-\u01cc\u01f1-\u01f3\u0250-\x{10ffff}]"
+
 # Entities decoded inside the JVM; a text holding any other kind goes to `_unescape`.
 SIMPLE_ENTITIES = {
     "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'", "&nbsp;": "\u00a0",
@@ -36,6 +43,19 @@ SIMPLE_ENTITIES = {
 }
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once, however often it is used.
+
+    Spark repeats a costly operand in every branch of a conditional; a lambda's
+    variable is bound once.
+    """
+
+    def body(bound: Column) -> Column:
+        return use(bound)
+
+    return F.transform(F.array(value), body)[0]
+
+
 def trim_space(text: Column) -> Column:
     """Drop whitespace of any kind at both ends (SQL `trim` only drops blanks)."""
     return F.regexp_replace(text, rf"(?U)\A{SPACE}+|{SPACE}+\z", "")
@@ -61,10 +81,21 @@ def unescape_entities(text: Column) -> Column:
 
 
 def scrub_contacts(text: Column) -> Column:
-    """Mask e-mails, then links, then phone numbers, in that order."""
+    """Mask e-mails, then links, then phone numbers, in that order.
+
+    Each pattern only runs on texts that hold what it cannot do without.
+    """
+    steps = (
+        (lambda t: t.contains("@"), EMAIL, "[email]"),
+        (lambda t: t.rlike(LINK_START), LINK, "[link]"),
+        (lambda t: t.rlike(PHONE_CORE), PHONE, "[phone]"),
+    )
     out = F.coalesce(text, F.lit(""))
-    for pattern, mask in ((EMAIL, "[email]"), (LINK, "[link]"), (PHONE, "[phone]")):
-        out = F.regexp_replace(out, pattern, mask)
+    for possible, pattern, mask in steps:
+        def masked(t: Column, possible=possible, pattern=pattern, mask=mask) -> Column:
+            return F.when(possible(t), F.regexp_replace(t, pattern, mask)).otherwise(t)
+
+        out = let(out, masked)
     return out
 
 
@@ -79,8 +110,12 @@ def strip_html(text: Column, limit: int = POSTING_LIMIT, scrub: bool = False) ->
 
 
 @lru_cache(maxsize=1)
-def _ascii_forms() -> tuple[str, str, dict[str, str]]:
-    """Characters whose compatibility form holds ASCII: one-to-one pairs, and longer forms."""
+def _ascii_forms() -> tuple[str, str, dict[str, str], str]:
+    """Characters whose compatibility form holds ASCII.
+
+    One-to-one pairs as two texts, longer forms as a mapping, and the characters
+    with longer forms as the inside of a regex class.
+    """
     sources, targets, longer = [], [], {}
     for code in range(0x80, sys.maxunicode + 1):
         char = chr(code)
@@ -92,23 +127,33 @@ def _ascii_forms() -> tuple[str, str, dict[str, str]]:
             targets.append(form)
         elif form:
             longer[char] = form
-    return "".join(sources), "".join(targets), longer
+    runs: list[list[int]] = []
+    for code in map(ord, longer):
+        if runs and code == runs[-1][1] + 1:
+            runs[-1][1] = code
+        else:
+            runs.append([code, code])
+    spans = "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in runs)
+    return "".join(sources), "".join(targets), longer, spans
 
 
 def fold_accents(text: Column) -> Column:
     """Lower-case ASCII form: accents dropped, compatibility forms spelled out, rest removed."""
-    sources, targets, longer = _ascii_forms()
-    text = F.coalesce(text, F.lit(""))
-    table = F.map_from_arrays(
-        F.lit(list(longer.keys())), F.lit(list(longer.values()))
-    )
-    spelled = F.array_join(
-        F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), ""
-    )
-    rare = text.rlike("[" + "".join(longer) + "]")
-    ascii_only = ~text.rlike(r"[^\x00-\x7F]")
-    folded = F.translate(F.when(rare, spelled).otherwise(text), sources, targets)
-    return F.lower(F.when(ascii_only, text).otherwise(F.regexp_replace(folded, r"[^\x00-\x7F]", "")))
+    sources, targets, longer, spans = _ascii_forms()
+    table = F.map_from_arrays(F.lit(list(longer.keys())), F.lit(list(longer.values())))
+
+    def spelled(t: Column) -> Column:
+        # only the characters with longer forms are looked up; the runs between them are kept
+        runs = F.regexp_extract_all(t, F.lit(f"([{spans}]|[^{spans}]+)"), 1)
+        return F.array_join(F.transform(runs, lambda r: F.coalesce(F.try_element_at(table, r), r)), "")
+
+    def folded(t: Column) -> Column:
+        # past Latin letters, or one of the few Latin characters with a longer form
+        rare = t.rlike(LATIN_LONGER) & t.rlike(f"[{spans}]")
+        ascii_form = F.translate(F.when(rare, spelled(t)).otherwise(t), sources, targets)
+        return F.when(~t.rlike(NON_ASCII), t).otherwise(F.regexp_replace(ascii_form, NON_ASCII, ""))
+
+    return F.lower(let(F.coalesce(text, F.lit("")), folded))
 
 
 def skills_join(skills: Column, limit: int = MAX_SKILLS) -> Column:
