@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from suite.registry import oracle, query, table, view
-from suite.text import _MARKET, _WORK, _BR
+from suite.text import _BR, _MARKET, _SENIORITY, _WORK, _duck_area
+from tidemark.functions import taxonomy
 from tidemark.operators import postings
 from tidemark.plans import jobs as jobs_plan
 from tidemark.sources import feeds, jobs, rentals
@@ -209,7 +210,27 @@ def norm_job_schema(spark, sf):
         F.sum(F.length("title")).cast("bigint").alias("title_chars"))
 
 
-@query("jobs_run")
+# both runs' greenhouse records under the cap, and all of arbeitnow's
+_RUNS = """
+    SELECT 'greenhouse' AS source, doc_id, title, '' AS lead, COALESCE(category_hint, '') AS hint, run FROM (
+      SELECT *, 1 AS run FROM f2_roles WHERE doc_id % 3 <> 0
+        QUALIFY ROW_NUMBER() OVER (PARTITION BY doc_id % 2 ORDER BY doc_id) <= 120
+      UNION ALL
+      SELECT *, 2 AS run FROM f2_roles QUALIFY ROW_NUMBER() OVER (PARTITION BY doc_id % 2 ORDER BY doc_id) <= 120)
+    UNION ALL
+    SELECT 'arbeitnow', doc_id, title, TRIM(company || ' & more!'), '', CASE WHEN doc_id % 3 <> 0 THEN 1 ELSE 2 END FROM f2_roles"""
+_LABELLED = f"""
+    SELECT source, CASE WHEN hint = 'DevOps and Sysadmin' THEN 'software engineering' WHEN hint = 'Business' THEN 'other'
+        WHEN best.s >= 3 THEN best.a ELSE 'other' END AS area, {_SENIORITY} AS seniority, run
+    FROM (SELECT *, {_duck_area(taxonomy.AREA_KEYWORDS, 'spaced', 'lead')} AS best FROM (
+      SELECT *, ' ' || TRIM(title) || ' ' AS spaced, ' ' || LOWER(TRIM(title)) || ' ' AS padded FROM first_runs))"""
+
+
+@query("jobs_run", oracle("f2_roles", runs=_RUNS, first_runs="""
+    SELECT source, doc_id, ANY_VALUE(title) AS title, ANY_VALUE(lead) AS lead, ANY_VALUE(hint) AS hint, MIN(run) AS run
+    FROM runs GROUP BY source, doc_id""", labelled=_LABELLED, sql="""
+    SELECT source, area, seniority, CASE WHEN run = 1 THEN DATE '2024-05-01' ELSE DATE '2024-05-03' END AS first_seen_date,
+      CAST(COUNT(*) AS BIGINT) AS n_rows FROM labelled GROUP BY ALL"""))
 def jobs_run(spark, sf):
     """Landed feeds to an updated base, two runs apart."""
     landed = _landing(spark, sf, "greenhouse").unionByName(_landing(spark, sf, "arbeitnow"))

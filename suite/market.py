@@ -386,6 +386,45 @@ def calendar_keys(spark, sf):
     ).agg(F.count("*").alias("bars"))
 
 
+def _calendar(name: str, key, pattern: str) -> None:
+    @query(name, oracle("f1_bars", sql=f"""
+        SELECT ticker, STRFTIME(date, '{pattern}') AS label, CAST(COUNT(*) AS BIGINT) AS bars FROM f1_bars GROUP BY ALL"""))
+    def run(spark, sf):
+        labelled = view(spark, sf, "f1_bars").groupBy("ticker", key(F.col("date")).alias("label"))
+        return labelled.agg(F.count("*").alias("bars"))
+
+
+_calendar("month_key", dates.month_key, "%Y-%m")
+_calendar("year_key", dates.year_key, "%Y")
+_calendar("month_of_year", dates.month_of_year, "%m")
+_calendar("short_month_label", dates.short_month_label, "%b/%y")
+
+# the reports' row filters, as rows rather than as the reports built on them
+_FILTERS = {
+    "q2_filter": ("ticker = 'A'", lambda: F.col("ticker") == A),
+    "q3_filter": ("risk_flag = 'BREACH'", lambda: F.col("risk_flag") == "BREACH"),
+    "q4_filter": ("vol_21d IS NOT NULL", lambda: F.col("vol_21d").isNotNull()),
+    "q7_filter": ("ma200 IS NOT NULL AND date = (SELECT MAX(date) FROM f1_bars)", None),
+    "q9_filter": ("ticker = 'A' AND ret_pct IS NOT NULL", lambda: (F.col("ticker") == A) & F.col("ret_pct").isNotNull()),
+    "q10_filter": ("ticker = 'A'", lambda: F.col("ticker") == A),
+}
+
+
+def _filter(name: str, condition: str, column) -> None:
+    @query(name, oracle(*_MET, sql=f"SELECT ticker, date, risk_flag FROM f1_metrics WHERE {condition}"))
+    def run(spark, sf):
+        metrics = _market(spark, sf).metrics
+        if column is None:
+            kept = market.latest_global(metrics, "date").where(F.col("ma200").isNotNull())
+        else:
+            kept = metrics.where(column())
+        return kept.select("ticker", "date", "risk_flag")
+
+
+for _name, (_condition, _column) in _FILTERS.items():
+    _filter(_name, _condition, _column)
+
+
 @query("display_rounding", oracle(*_MET, sql=f"""
     SELECT ticker, date, {half_up('close', 2)} AS close, {half_up('vol_21d * 100', 1)} AS vol_pct,
       {half_up('ma50', 2)} AS ma50 FROM f1_metrics"""))

@@ -25,7 +25,9 @@ def order_statistics(
         df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
     )
     for level, width in enumerate(cells):
-        counts = counts.withColumn(f"_c{level}", F.floor(F.col(value) / F.lit(width)))
+        # never NULL, so no level adds a null filter and all share one shuffle of the counts
+        cell = F.coalesce(F.floor(F.col(value) / F.lit(width)), F.lit(0))
+        counts = counts.withColumn(f"_c{level}", cell)
     wanted = F.explode(F.array(*[
         F.struct(F.lit(name).alias("_stat"), rank.cast("bigint").alias("_rank"))
         for name, rank in ranks.items()

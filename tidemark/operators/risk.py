@@ -15,11 +15,13 @@ TRADING_DAYS = 252
 VOL_WINDOW, YEAR_WINDOW, YEAR_MIN_OBS, CORR_WINDOW = 21, 252, 20, 63
 SHORT_MA, LONG_MA = 50, 200
 
-SERIES = Window.partitionBy("ticker").orderBy("date")
+
+def _series() -> WindowSpec:
+    return Window.partitionBy("ticker").orderBy("date")
 
 
 def _last(n: int) -> WindowSpec:
-    return SERIES.rowsBetween(1 - n, 0)
+    return _series().rowsBetween(1 - n, 0)
 
 
 def _guarded(value: Column, counted: str, n: int, at_least: int | None = None) -> Column:
@@ -28,7 +30,7 @@ def _guarded(value: Column, counted: str, n: int, at_least: int | None = None) -
 
 
 def daily_return(bars: DataFrame) -> DataFrame:
-    change = F.try_divide(F.col("close"), F.lag("close").over(SERIES)) - 1
+    change = F.try_divide(F.col("close"), F.lag("close").over(_series())) - 1
     return bars.withColumn("ret", change).withColumn("ret_pct", F.col("ret") * 100)
 
 
@@ -40,7 +42,7 @@ def rolling_vol(returns: DataFrame, n: int = VOL_WINDOW) -> DataFrame:
 
 def drawdown(bars: DataFrame) -> DataFrame:
     """Distance below the running peak."""
-    peak = F.max("close").over(SERIES.rowsBetween(Window.unboundedPreceding, 0))
+    peak = F.max("close").over(_series().rowsBetween(Window.unboundedPreceding, 0))
     return bars.withColumn("drawdown", F.try_divide(F.col("close"), peak) - 1)
 
 
