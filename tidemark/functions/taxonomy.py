@@ -1,15 +1,21 @@
-"""Keyword taxonomies compiled to column expressions."""
+"""Keyword taxonomies as data, and the expressions that apply them.
+
+A taxonomy reaches Spark as one constant array of rules, so a plan stays small
+however many patterns there are. A pattern is split into its alternatives, each
+with the plain word it cannot match without: the word is a substring test, and
+only texts holding it run the regex.
+"""
 
 from __future__ import annotations
 
+import json
 import re
-from functools import reduce
-from operator import add
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import fold_accents, let
+from tidemark.functions.text import constant_map, fold_accents, let
 
 # Labels and patterns the classification must agree with.
 SENIORITY_PATTERNS = (
@@ -134,86 +140,90 @@ PIXEL_SIGNATURES = {
     "Microsoft Clarity": r"clarity\.ms/tag/",
 }
 
-_ANY_CASE = "(?iuU)"
-
-
-def _lookup(labels: dict[str, str], key: Column) -> Column:
-    pairs = [F.lit(x) for pair in labels.items() for x in pair]
-    return F.try_element_at(F.create_map(*pairs), key)
-
-
-def _first_mapped(hints: Column, labels: dict[str, str], clean) -> Column:
-    """Label of the first hint the mapping knows, else NULL."""
-    mapped = F.transform(hints, lambda h: _lookup(labels, clean(h)))
-    return F.get(F.filter(mapped, lambda m: m.isNotNull()), F.lit(0))
-
-
-def _clean_hint(hint: Column) -> Column:
-    return F.lower(F.trim(hint))
-
-
-def seniority(title: Column, levels: Column | None = None) -> Column:
-    """Structured level first; else the patterns, most senior one first; else `n/a`."""
-    padded = F.concat(F.lit(" "), F.lower(F.coalesce(title, F.lit(""))), F.lit(" "))
-    label = None
-    for name, pattern in reversed(SENIORITY_PATTERNS):
-        hit = padded.rlike(_ANY_CASE + pattern)
-        label = F.when(hit, name) if label is None else label.when(hit, name)
-    label = label.otherwise(NO_SENIORITY)
-    if levels is None:
-        return label
-    return F.coalesce(_first_mapped(levels, LEVEL_LABELS, _clean_hint), label)
+TEST = "struct<word: string, regex: string>"
 
 
 def _alternatives(pattern: str) -> list[str]:
     """Parts of a pattern between its top-level `|`."""
     parts, depth = [""], 0
-    for char in pattern:
-        depth += (char == "(") - (char == ")")
-        if char == "|" and depth == 0:
+    for token in re.findall(r"\\.|\[[^\]]*\]|.", pattern, re.S):
+        depth += (token == "(") - (token == ")")
+        if token == "|" and depth == 0:
             parts.append("")
         else:
-            parts[-1] += char
+            parts[-1] += token
     return parts
 
 
 def _needed_word(alternative: str) -> str:
-    """Longest plain text every match must hold: no groups, classes, escapes, optional characters."""
+    """Longest plain text every match must hold: no escapes, groups, classes, optional characters."""
     gap = "\0"
-    for piece in (r"\([^)]*\)[?*+]?", r"\[[^\]]*\][?*+]?", r"\\[a-zA-Z][?*+]?", r".[?*]", r"[.^$+]"):
+    for piece in (r"\\.[?*+]?", r"\[[^\]]*\][?*+]?", r"\([^)]*\)[?*+]?", r".[?*]", r"[.^$+]"):
         alternative = re.sub(piece, gap, alternative)
     return max(alternative.split(gap), key=len)
 
 
-def _occurs(lowered: Column, pattern: str) -> Column:
-    """Whether a pattern occurs in lower-case text.
-
-    A plain alternative is a substring test; any other runs its regex only on
-    texts holding the word it needs.
-    """
+def _test(alternative: str) -> dict[str, str | None]:
+    word = _needed_word(alternative)
+    return {"word": word, "regex": None if word == alternative else "(?U)" + alternative}
 
-    def test(alternative: str) -> Column:
-        word = _needed_word(alternative)
-        if word == alternative:
-            return lowered.contains(word)
-        exact = lowered.rlike("(?U)" + alternative)
-        return lowered.contains(word) & exact if word else exact
 
-    return reduce(lambda a, b: a | b, [test(a) for a in _alternatives(pattern.lower())])
+def _tests(pattern: str) -> list[dict[str, str | None]]:
+    return [_test(a) for a in _alternatives(pattern)]
 
 
-def _occurs_folded(folded: Column, pattern: str) -> Column:
-    """The same for accent-folded text, where a letter's accented twin cannot occur."""
-    ascii_only = re.sub(
+def _folded(pattern: str) -> str:
+    """The pattern for accent-folded text, where a letter's accented twin cannot occur."""
+    return re.sub(
         r"\[([^\]]*)\]",
-        lambda m: m[1].encode("ascii", "ignore").decode() if not m[1].isascii() else m[0], pattern,
+        lambda m: m[0] if m[1].isascii() else m[1].encode("ascii", "ignore").decode(), pattern,
     )
-    return _occurs(folded, ascii_only)
 
 
-def _hits(lowered: Column, patterns: tuple[str, ...]) -> Column:
-    """How many of the patterns occur."""
-    return reduce(add, [_occurs(lowered, p).cast("int") for p in patterns])
+def _rules(rows: Iterable[dict], fields: str) -> Column:
+    """A constant array of structs."""
+    return F.from_json(F.lit(json.dumps(list(rows))), f"array<struct<{fields}>>")
+
+
+def _occurs(text: Column, test: Column) -> Column:
+    exact = test["regex"].isNull() | F.rlike(text, test["regex"])
+    return F.contains(text, test["word"]) & exact
+
+
+def _any_occurs(text: Column, tests: Column) -> Column:
+    return F.exists(tests, lambda t: _occurs(text, t))
+
+
+def _first_label(text: Column, rules: Column) -> Column:
+    """Label of the first rule any of whose tests occurs, else NULL."""
+    return let(text, lambda t: F.get(F.filter(rules, lambda r: _any_occurs(t, r["tests"])), F.lit(0))["label"])
+
+
+def _lookup(labels: dict[str, str], key: Column) -> Column:
+    return F.try_element_at(constant_map(labels), key)
+
+
+def _first_mapped(hints: Column, labels: dict[str, str], clean: Callable[[Column], Column]) -> Column:
+    """Label of the first hint the mapping knows, else NULL."""
+    mapped = F.transform(hints, lambda h: _lookup(labels, clean(h)))
+    return F.get(F.filter(mapped, lambda m: m.isNotNull()), F.lit(0))
+
+
+def _clean_hint(hint: Column) -> Column:
+    return F.lower(F.trim(hint))
+
+
+def seniority(title: Column, levels: Column | None = None) -> Column:
+    """Structured level first; else the patterns, most senior one first; else `n/a`."""
+    padded = F.concat(F.lit(" "), F.lower(F.coalesce(title, F.lit(""))), F.lit(" "))
+    rules = _rules(
+        ({"label": name, "tests": _tests(p)} for name, p in reversed(SENIORITY_PATTERNS)),
+        f"label: string, tests: array<{TEST}>",
+    )
+    label = F.coalesce(_first_label(padded, rules), F.lit(NO_SENIORITY))
+    if levels is None:
+        return label
+    return F.coalesce(_first_mapped(levels, LEVEL_LABELS, _clean_hint), label)
 
 
 def area(
@@ -223,28 +233,36 @@ def area(
     keywords: dict[str, tuple[str, ...]] = AREA_KEYWORDS,
     category_labels: dict[str, str] = CATEGORY_LABELS,
 ) -> Column:
-    """Structured category first; else the best-scoring keyword area, ties to the earlier one."""
+    """Structured category first; else the best-scoring keyword area, ties to the earlier one.
+
+    A pattern counts once per text, however many of its alternatives occur.
+    """
+    rules = _rules(
+        (
+            {"rank": -i, "area": name, "patterns": [_tests(p.lower()) for p in patterns]}
+            for i, (name, patterns) in enumerate(keywords.items())
+        ),
+        f"rank: int, area: string, patterns: array<array<{TEST}>>",
+    )
     padded = F.concat(F.lit(" "), F.coalesce(title, F.lit("")), F.lit(" "))
     texts = [F.lower(padded).alias("title")]
     if description is not None:
         lead = F.substring(F.coalesce(description, F.lit("")), 1, AREA_DESCRIPTION_LENGTH)
         texts.append(F.lower(lead).alias("lead"))
 
-    def best(ad: Column) -> Column:
-        scored = []
-        for ordinal, (name, patterns) in enumerate(keywords.items()):
-            score = TITLE_WEIGHT * _hits(ad["title"], patterns)
-            if description is not None:
-                score = score + DESCRIPTION_WEIGHT * _hits(ad["lead"], patterns)
-            scored.append(F.struct(
-                score.alias("score"), F.lit(-ordinal).alias("rank"), F.lit(name).alias("area")
-            ))
-        return F.array_max(F.array(*scored))
-
-    label = let(
-        let(F.struct(*texts), best),
-        lambda b: F.when(b["score"] >= AREA_MIN_SCORE, b["area"]).otherwise(NO_AREA),
+    def hits(text: Column, patterns: Column) -> Column:
+        return F.size(F.filter(patterns, lambda tests: _any_occurs(text, tests)))
+
+    def score(ad: Column, rule: Column) -> Column:
+        total = TITLE_WEIGHT * hits(ad["title"], rule["patterns"])
+        if description is not None:
+            total = total + DESCRIPTION_WEIGHT * hits(ad["lead"], rule["patterns"])
+        return F.struct(total.alias("score"), rule["rank"].alias("rank"), rule["area"].alias("area"))
+
+    best = let(
+        F.struct(*texts), lambda ad: F.array_max(F.transform(rules, lambda rule: score(ad, rule)))
     )
+    label = let(best, lambda b: F.when(b["score"] >= AREA_MIN_SCORE, b["area"]).otherwise(NO_AREA))
     if categories is None:
         return label
     return F.coalesce(_first_mapped(categories, category_labels, _clean_hint), label)
@@ -252,45 +270,51 @@ def area(
 
 def property_type(title: Column, unit_type: Column) -> Column:
     """First title pattern that matches, else the portal's unit type, else the default."""
+    rules = _rules(
+        ({"label": name, "tests": _tests(_folded(p))} for name, p in PROPERTY_PATTERNS),
+        f"label: string, tests: array<{TEST}>",
+    )
     by_unit = _lookup(UNIT_TYPE_LABELS, F.upper(F.coalesce(unit_type, F.lit(""))))
-
-    def by_title(folded: Column) -> Column:
-        label = None
-        for name, pattern in PROPERTY_PATTERNS:
-            hit = _occurs_folded(folded, pattern)
-            label = F.when(hit, name) if label is None else label.when(hit, name)
-        return label
-
-    return F.coalesce(let(fold_accents(title), by_title), by_unit, F.lit(DEFAULT_PROPERTY_TYPE))
+    return F.coalesce(_first_label(fold_accents(title), rules), by_unit, F.lit(DEFAULT_PROPERTY_TYPE))
 
 
 def features(title: Column, description: Column, amenities: Column) -> Column:
     """Amenity labels found in the portal's list or the text, in display order."""
+    rules = _rules(
+        (
+            {
+                "label": label,
+                "codes": [code for code, name in AMENITY_LABELS.items() if name == label],
+                "tests": _tests(_folded(FEATURE_PATTERNS[label])) if label in FEATURE_PATTERNS else [],
+            }
+            for label in FEATURE_ORDER
+        ),
+        f"label: string, codes: array<string>, tests: array<{TEST}>",
+    )
     text = F.concat(
         fold_accents(title), F.lit(" "),
         F.substring(fold_accents(description), 1, FEATURE_TEXT_LENGTH),
     )
     listed = F.transform(
-        F.coalesce(amenities, F.array().cast("array<string>")), lambda a: F.upper(a)
+        F.coalesce(amenities, F.array().cast("array<string>")),
+        lambda a: F.upper(F.coalesce(a, F.lit(""))),
     )
 
-    def found(label: str, ad: Column) -> Column:
-        codes = [code for code, name in AMENITY_LABELS.items() if name == label]
-        tests = []
-        if codes:
-            tests.append(F.arrays_overlap(ad["listed"], F.array(*[F.lit(c) for c in codes])))
-        if label in FEATURE_PATTERNS:
-            tests.append(_occurs_folded(ad["text"], FEATURE_PATTERNS[label]))
-        return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))
-
-    return let(
-        F.struct(text.alias("text"), listed.alias("listed")),
-        lambda ad: F.array_compact(F.array(*[F.when(found(f, ad), f) for f in FEATURE_ORDER])),
-    )
+    def found(ad: Column) -> Column:
+        kept = F.filter(
+            rules,
+            lambda r: F.arrays_overlap(ad["listed"], r["codes"]) | _any_occurs(ad["text"], r["tests"]),
+        )
+        return F.transform(kept, lambda r: r["label"])
+
+    return let(F.struct(text.alias("text"), listed.alias("listed")), found)
 
 
 def pixels(page: Column, signatures: dict[str, str] = PIXEL_SIGNATURES) -> Column:
     """Names of the trackers whose install signature occurs in the page."""
-    return F.array_compact(
-        F.array(*[F.when(page.rlike(p), name) for name, p in signatures.items()])
+    rules = _rules(
+        ({"label": name, "tests": _tests(p)} for name, p in signatures.items()),
+        f"label: string, tests: array<{TEST}>",
     )
+    kept = F.filter(rules, lambda r: _any_occurs(page, r["tests"]))
+    return F.when(page.isNotNull(), F.transform(kept, lambda r: r["label"]))

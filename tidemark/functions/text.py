@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import json
 import sys
 import unicodedata
 from collections.abc import Callable
@@ -56,6 +57,11 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def constant_map(entries: dict[str, str]) -> Column:
+    """A constant map, handed over as one literal and folded by the optimizer."""
+    return F.from_json(F.lit(json.dumps(entries)), "map<string,string>")
+
+
 def trim_space(text: Column) -> Column:
     """Drop whitespace of any kind at both ends (SQL `trim` only drops blanks)."""
     return F.regexp_replace(text, rf"(?U)\A{SPACE}+|{SPACE}+\z", "")
@@ -140,7 +146,7 @@ def _ascii_forms() -> tuple[str, str, dict[str, str], str]:
 def fold_accents(text: Column) -> Column:
     """Lower-case ASCII form: accents dropped, compatibility forms spelled out, rest removed."""
     sources, targets, longer, spans = _ascii_forms()
-    table = F.map_from_arrays(F.lit(list(longer.keys())), F.lit(list(longer.values())))
+    table = constant_map(longer)
 
     def spelled(t: Column) -> Column:
         # only the characters with longer forms are looked up; the runs between them are kept

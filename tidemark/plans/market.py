@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,13 +18,35 @@ METRIC_COLUMNS = ("date", "ticker", "ret_pct", "vol_21d", "drawdown", "pct_from_
 EXPORT_COLUMNS = PRICE_COLUMNS + METRIC_COLUMNS[2:]
 
 
-@dataclass(frozen=True)
 class MarketRun:
-    metrics: DataFrame
-    prices: DataFrame
-    daily_metrics: DataFrame
-    correlation: DataFrame
-    stats: DataFrame
+    """Every table derived from one set of bars; each plan is built when first asked for."""
+
+    def __init__(self, bars: DataFrame, pair: tuple[str, str], warn: float, breach: float):
+        self.bars, self.pair, self.warn, self.breach = bars, pair, warn, breach
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        return risk.risk_metrics(self.bars, self.warn, self.breach)
+
+    @cached_property
+    def returns(self) -> DataFrame:
+        return risk.daily_return(self.bars).select("ticker", "date", "ret")
+
+    @cached_property
+    def prices(self) -> DataFrame:
+        return self.bars.select(*[c for c in PRICE_COLUMNS if c in self.bars.columns])
+
+    @cached_property
+    def daily_metrics(self) -> DataFrame:
+        return self.metrics.select(*METRIC_COLUMNS)
+
+    @cached_property
+    def correlation(self) -> DataFrame:
+        return risk.rolling_corr(self.returns, [self.pair])
+
+    @cached_property
+    def stats(self) -> DataFrame:
+        return portfolio.annualised_stats(self.returns, *self.pair)
 
     def kpis(self, instruments: DataFrame, lot_divisor: int = 100) -> DataFrame:
         return risk.kpi_snapshot(self.metrics, instruments, self.correlation, lot_divisor)
@@ -36,16 +58,7 @@ def run(
     warn: float = scores.VOL_WARN,
     breach: float = scores.VOL_BREACH,
 ) -> MarketRun:
-    """Bars to every derived table; nothing runs until a table is read."""
-    metrics = risk.risk_metrics(bars, warn, breach)
-    returns = metrics.select("ticker", "date", "ret")
-    return MarketRun(
-        metrics=metrics,
-        prices=metrics.select(*[c for c in PRICE_COLUMNS if c in metrics.columns]),
-        daily_metrics=metrics.select(*METRIC_COLUMNS),
-        correlation=risk.rolling_corr(returns, [pair]),
-        stats=portfolio.annualised_stats(returns, *pair),
-    )
+    return MarketRun(bars, pair, warn, breach)
 
 
 def register_views(spark: SparkSession, market: MarketRun) -> None:

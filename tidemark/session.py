@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # no Python call site per column expression; building large plans is several times faster
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
