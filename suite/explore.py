@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from suite.registry import oracle, query, view
+from suite.registry import half_up, oracle, query, view
 from tidemark.operators import explore, snapshot
 from tidemark.operators.ordering import page_slice, with_position
 
@@ -80,9 +80,9 @@ def top_companies(spark, sf):
 
 
 @query("crosstab_share", oracle("f9_facets", c="""
-    SELECT source, area, CAST(COUNT(*) AS BIGINT) AS n_rows FROM f9_facets GROUP BY 1, 2""", sql="""
+    SELECT source, area, CAST(COUNT(*) AS BIGINT) AS n_rows FROM f9_facets GROUP BY 1, 2""", sql=f"""
     SELECT c.source, c.area, c.n_rows, CAST(r.t AS BIGINT) AS row_total, CAST(k.t AS BIGINT) AS column_total,
-      ROUND(c.n_rows / r.t, 6) AS row_share, ROUND(c.n_rows / k.t, 6) AS column_share
+      {half_up('c.n_rows / r.t', 6)} AS row_share, {half_up('c.n_rows / k.t', 6)} AS column_share
     FROM c JOIN (SELECT source, SUM(n_rows) AS t FROM c GROUP BY 1) r ON r.source = c.source
     JOIN (SELECT area, SUM(n_rows) AS t FROM c GROUP BY 1) k ON k.area = c.area"""))
 def crosstab_share(spark, sf):
@@ -142,7 +142,7 @@ def page(spark, sf):
 _FRESH = """SELECT *, GREATEST(COALESCE(published_date, first_seen_date), first_seen_date) AS fresh FROM f2_postings"""
 _SERVED = """
     SELECT *, ROW_NUMBER() OVER (ORDER BY fresh DESC, job_uid) - 1 AS position FROM (
-      SELECT * FROM fresh WHERE fresh >= DATE '2024-05-03' - 90 ORDER BY fresh DESC, job_uid LIMIT 200)"""
+      SELECT * FROM fresh WHERE fresh >= DATE '2024-05-03' - 90 ORDER BY fresh DESC, job_uid LIMIT 15000)"""
 
 
 @query("window_filter", oracle("f2_postings", fresh=_FRESH, sql="""
@@ -199,7 +199,7 @@ _CODES = " UNION ALL ".join(
     for c, n in snapshot.POSTING_CODES.items()) + """
     FROM b JOIN (SELECT dk, COUNT(DISTINCT source) AS np FROM b GROUP BY dk) p ON p.dk = b.dk"""))
 def snapshot_jobs(spark, sf):
-    return snapshot.snapshot_postings(_base(spark, sf), TODAY, limit=200).rows
+    return snapshot.snapshot_postings(_base(spark, sf), TODAY).rows
 
 
 @query("portal_count", oracle("f2_postings", sql="""
@@ -212,7 +212,7 @@ def portal_count(spark, sf):
 @query("attach_portal_count", oracle("f2_postings", fresh=_FRESH, served=_SERVED, b=_DUCK_BASE, sql="""
     SELECT job_uid, CAST((SELECT COUNT(DISTINCT source) FROM b x WHERE x.dk = b.dk) AS BIGINT) AS n_portals FROM b"""))
 def attach_portal_count(spark, sf):
-    return snapshot.serve_postings(_base(spark, sf), TODAY, limit=200).select("job_uid", "n_portals")
+    return snapshot.serve_postings(_base(spark, sf), TODAY).select("job_uid", "n_portals")
 
 
 _F9_DICT = " UNION ALL ".join(

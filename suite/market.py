@@ -28,7 +28,7 @@ def _r6(*columns: str) -> list:
 
 
 def _d6(*columns: str) -> str:
-    return ", ".join(f"ROUND({c}, 6) AS {c}" for c in columns)
+    return ", ".join(f"{half_up(c, 6)} AS {c}" for c in columns)
 
 
 def _instruments(spark: SparkSession) -> DataFrame:
@@ -95,19 +95,19 @@ _RET = ("f1_bars", "f1_ret")
 _MET = ("f1_bars", "f1_ret", "f1_rolled", "f1_metrics")
 
 
-@query("daily_return", oracle(*_RET, sql="""
-    SELECT ticker, date, ROUND(ret, 6) AS ret, ROUND(ret * 100, 6) AS ret_pct FROM f1_ret"""))
+@query("daily_return", oracle(*_RET, sql=f"""
+    SELECT ticker, date, {half_up('ret', 6)} AS ret, {half_up('ret * 100', 6)} AS ret_pct FROM f1_ret"""))
 def daily_return(spark, sf):
     return risk.daily_return(view(spark, sf, "f1_bars")).select("ticker", "date", *_r6("ret", "ret_pct"))
 
 
-@query("rolling_vol", oracle(*_MET, sql="SELECT ticker, date, ROUND(vol_21d, 6) AS vol_21d FROM f1_metrics"))
+@query("rolling_vol", oracle(*_MET, sql=f"SELECT ticker, date, {_d6('vol_21d')} FROM f1_metrics"))
 def rolling_vol(spark, sf):
     rolled = risk.rolling_vol(risk.daily_return(view(spark, sf, "f1_bars")))
     return rolled.select("ticker", "date", *_r6("vol_21d"))
 
 
-@query("drawdown", oracle(*_MET, sql="SELECT ticker, date, ROUND(drawdown, 6) AS drawdown FROM f1_metrics"))
+@query("drawdown", oracle(*_MET, sql=f"SELECT ticker, date, {_d6('drawdown')} FROM f1_metrics"))
 def drawdown(spark, sf):
     return risk.drawdown(view(spark, sf, "f1_bars")).select("ticker", "date", *_r6("drawdown"))
 
@@ -146,8 +146,8 @@ def risk_metrics(spark, sf):
 _CORR = ("f1_bars", "f1_ret", "f1_joint", "f1_corr")
 
 
-@query("rolling_corr", oracle(*_CORR, sql="""
-    SELECT 'A/R' AS pair, date, ROUND(corr_63d, 6) AS corr_63d FROM f1_corr"""))
+@query("rolling_corr", oracle(*_CORR, sql=f"""
+    SELECT 'A/R' AS pair, date, {_d6('corr_63d')} FROM f1_corr"""))
 def rolling_corr(spark, sf):
     return _market(spark, sf).correlation.select("pair", "date", *_r6("corr_63d"))
 
@@ -321,15 +321,15 @@ def kpi_snapshot(spark, sf):
 
 
 _STATS = ("f1_bars", "f1_ret", "f1_joint", "f1_stats")
-_MIX = "ROUND(100 * ({w} * mean_a + (1 - {w}) * mean_b), 2)"
-_MIX_RISK = ("ROUND(100 * SQRT(({w} * risk_a)**2 + ((1 - {w}) * risk_b)**2 "
-             "+ 2 * {w} * (1 - {w}) * risk_a * risk_b * rho), 2)")
+_MIX = half_up("({w} * mean_a + (1 - {w}) * mean_b) * 100", 2)
+_MIX_RISK = half_up("SQRT(({w} * risk_a)**2 + ((1 - {w}) * risk_b)**2 "
+                    "+ 2 * {w} * (1 - {w}) * risk_a * risk_b * rho) * 100", 2)
 _WMV = ("GREATEST(0.0, LEAST(1.0, CASE WHEN risk_a**2 + risk_b**2 - 2 * risk_a * risk_b * rho = 0 THEN 0.5 "
         "ELSE (risk_b**2 - risk_a * risk_b * rho) / (risk_a**2 + risk_b**2 - 2 * risk_a * risk_b * rho) END))")
 _POINTS = (f"SELECT CAST(i * 5 AS INTEGER) AS w, {_MIX.format(w='(i * 5 / 100)')} AS ret, "
            f"{_MIX_RISK.format(w='(i * 5 / 100)')} AS risk FROM f1_stats, RANGE(21) AS g(i)")
-_MV = (f"SELECT ROUND(100 * wmv, 1) AS w, {_MIX.format(w='wmv')} AS ret, {_MIX_RISK.format(w='wmv')} AS risk, "
-       f"ROUND(100 * risk_b, 2) AS alone_risk, ROUND(100 * mean_b, 2) AS alone_ret "
+_MV = (f"SELECT {half_up('wmv * 100', 1)} AS w, {_MIX.format(w='wmv')} AS ret, {_MIX_RISK.format(w='wmv')} AS risk, "
+       f"{half_up('risk_b * 100', 2)} AS alone_risk, {half_up('mean_b * 100', 2)} AS alone_ret "
        f"FROM (SELECT *, {_WMV} AS wmv FROM f1_stats)")
 
 
@@ -358,17 +358,17 @@ def efficient_branch(spark, sf):
     return portfolio.efficient_branch(_stats(spark, sf))
 
 
-@query("diversification_gain", oracle(*_STATS, mv=_MV, sql="""
-    SELECT ROUND((alone_risk - risk) / alone_risk * 100, 6) AS risk_cut_pct,
-      ROUND(ret - alone_ret, 6) AS return_gain_pp FROM mv"""))
+@query("diversification_gain", oracle(*_STATS, mv=_MV, sql=f"""
+    SELECT {half_up('(alone_risk - risk) / alone_risk * 100', 6)} AS risk_cut_pct,
+      {half_up('ret - alone_ret', 6)} AS return_gain_pp FROM mv"""))
 def diversification_gain(spark, sf):
     return portfolio.diversification_gain(_stats(spark, sf)).select(*_r6("risk_cut_pct", "return_gain_pp"))
 
 
 @query("price_range_padded", oracle("f1_bars", ends=f"""
-    SELECT MIN({half_up('close', 2)}) AS lo, MAX({half_up('close', 2)}) AS hi FROM f1_bars""", sql="""
-    SELECT ROUND(GREATEST(0.0, lo - (hi - lo) * 0.06), 6) AS range_lo,
-      ROUND(hi + (hi - lo) * 0.06, 6) AS range_hi FROM ends"""))
+    SELECT MIN({half_up('close', 2)}) AS lo, MAX({half_up('close', 2)}) AS hi FROM f1_bars""", sql=f"""
+    SELECT {half_up('GREATEST(0.0, lo - (hi - lo) * 0.06)', 6)} AS range_lo,
+      {half_up('hi + (hi - lo) * 0.06', 6)} AS range_hi FROM ends"""))
 def price_range_padded(spark, sf):
     return portfolio.price_range_padded(view(spark, sf, "f1_bars")).select(*_r6("range_lo", "range_hi"))
 

@@ -89,8 +89,8 @@ _STAMPS = f"""
 @query("iso_date", oracle(s=_STAMPS, sql="""
     SELECT event_id, CASE WHEN event_id % 7 IN (0, 1, 5) THEN CAST(day AS VARCHAR) ELSE '' END AS iso FROM s"""))
 def iso_date(spark, sf):
-    n, ts = F.col("event_id") % 7, F.col("ts").cast("timestamp")
-    seconds = F.floor(F.unix_micros(ts) / 1_000_000).cast("bigint")
+    n, ts = F.col("event_id") % 7, F.col("ts")
+    seconds = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
     raw = (
         F.when(n == 0, seconds.cast("string")).when(n == 1, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
         .when(n == 2, "2024").when(n == 3, (seconds * 1000).cast("string")).when(n == 4, None)
