@@ -36,8 +36,9 @@ def _duck_scrub(expr: str) -> str:
 
 def _duck_strip(expr: str, limit: int, scrub: bool = False) -> str:
     out = f"REGEXP_REPLACE({expr}, '<[^>]+>', ' ', 'g')"
-    for entity, char in (("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        out = f"REPLACE({out}, '{entity}', {_quoted(char)})"
+    # these names also count without their semicolon, as cut-off pages have them
+    for name, char in (("quot", '"'), ("middot", "·"), ("copy", "©"), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        out = f"REGEXP_REPLACE({out}, '&{name};?', {_quoted(char)}, 'g')"
     if scrub:
         out = _duck_scrub(out)
     out = f"REGEXP_REPLACE({out}, '{_SP}{{2,}}', ' ', 'g')"
