@@ -11,7 +11,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import (bars, catalog, explore, geo, history, listings, ordering, postings,
+from tidemark.operators import (bars, catalog, explore, geo, history, listings, lookup, ordering, postings,
                                 quality, quantiles, risk, snapshot)
 from tidemark.session import scratch_path
 from tidemark.sources import tables
@@ -360,3 +360,12 @@ def test_quality_report(spark):
 def test_empty_run_is_an_error(spark):
     with pytest.raises(ValueError, match="postings"):
         postings.require_rows(spark.range(0), "postings")
+
+
+def test_lookup_is_broadcast_only_within_its_limit(spark):
+    table = spark.range(100).withColumnRenamed("id", "k")
+    small, large = lookup.measured(table, limit=100), lookup.measured(table, limit=99)
+    hint = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hint(small) and not hint(large)
+    rows = spark.range(300).selectExpr("id % 120 AS k")
+    assert rows.join(small, "k").count() == rows.join(large, "k").count() == 260

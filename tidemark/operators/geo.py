@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.geo import ORIGIN, RADIUS_KM, distance_band, distance_km, usable_point
+from tidemark.operators.lookup import measured
 from tidemark.operators.quantiles import exact_median
 
 # Cell widths in degrees the exact median narrows through: at most 360 cells, then 10 000 of
@@ -51,9 +52,12 @@ def upsert_centroids(stored: DataFrame, current: DataFrame) -> DataFrame:
 def locate(
     listings: DataFrame, centroids: DataFrame, origin: tuple[float, float] = ORIGIN
 ) -> DataFrame:
-    """Adds `km` (unrounded) and `geo_approx`; rows without a usable point take their city's centroid."""
+    """Adds `km` (unrounded) and `geo_approx`; rows without a usable point take their city's centroid.
+
+    The centroids, one row per city, are settled and counted before the join.
+    """
     places = centroids.select(*PLACE, F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
-    joined = with_place(listings).join(places, PLACE, "left")
+    joined = with_place(listings).join(measured(places), PLACE, "left")
     usable = usable_point(F.col("lat"), F.col("lon"))
     filled = ~usable & F.col("_lat").isNotNull()
     placed = joined.withColumn("geo_approx", filled.cast("int")).withColumns({

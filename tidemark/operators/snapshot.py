@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import days_before
 from tidemark.operators import history, listings
+from tidemark.operators.lookup import sized
 from tidemark.operators.ordering import with_position
+from tidemark.session import settle
 
 # Served window, row and size caps.
 WINDOW_DAYS, MAX_POSTINGS = 90, 15_000
@@ -38,15 +40,22 @@ def _numbered(first_seen: DataFrame) -> DataFrame:
     placed = with_position(first_seen, ["column", "_first"], "_place")
     starts = placed.groupBy("column").agg(F.min("_place").alias("_start"))
     coded = placed.join(F.broadcast(starts), "column")  # one row per dictionary column
-    return coded.select("column", (F.col("_place") - F.col("_start")).cast("int").alias("code"), "value")
+    codes = (F.col("_place") - F.col("_start")).cast("int").alias("code")
+    return settle(coded.select("column", codes, "value"))
+
+
+def _entry_counts(dictionary: DataFrame) -> dict[str, int]:
+    """Entries per dictionary column; as many rows as encoded columns."""
+    counts = dictionary.groupBy("column").agg(F.count("*").alias("n"))
+    return {r.column: r.n for r in counts.take(1000)}
 
 
 def dictionary_encode(df: DataFrame, order: str, codes: dict[str, str]) -> Snapshot:
     """Replaces columns by codes numbered by first appearance along `order`; NULL counts as ''.
 
-    Only distinct values are ordered. The joins back carry no hint: a dictionary
-    measured small is broadcast at run time, a large one is shuffled and a hot
-    value's partition split.
+    Only distinct values are ordered. A column's dictionary is broadcast when its
+    counted entries allow it, else the join is shuffled and a hot value's partition
+    split.
     """
     pairs = F.array(*[
         F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c), F.lit("")).alias("value"))
@@ -57,11 +66,13 @@ def dictionary_encode(df: DataFrame, order: str, codes: dict[str, str]) -> Snaps
         .groupBy("column", "value").agg(F.min("_at").alias("_first"))
     )
     dictionary = _numbered(first)
+    entry_counts = _entry_counts(dictionary)
     rows = df
     for column, name in codes.items():
         entries = dictionary.where(F.col("column") == column).select(
             F.col("value").alias("_value"), F.col("code").alias(f"_{name}")
         )
+        entries = sized(entries, entry_counts.get(column, 0))
         rows = rows.join(entries, F.coalesce(F.col(column), F.lit("")) == F.col("_value"), "left").drop("_value")
     rows = rows.drop(*codes)
     for name in codes.values():
@@ -79,7 +90,11 @@ def dictionary_encode_array(
         F.min(F.struct(F.col(order), F.col("_i"))).alias("_first")
     )
     dictionary = _numbered(first)
-    coded = elements.join(dictionary.select(F.col("value").alias("_value"), "code"), "_value")
+    entries = sized(
+        dictionary.select(F.col("value").alias("_value"), "code"),
+        _entry_counts(dictionary).get(entry, 0),
+    )
+    coded = elements.join(entries, "_value")
     arrays = coded.groupBy(order).agg(F.array_sort(F.collect_list(F.struct("_i", "code"))).alias("_c"))
     empty = F.array().cast("array<int>")
     rows = df.join(arrays, order, "left").withColumn(name, F.coalesce(F.col("_c.code"), empty))
