@@ -187,6 +187,9 @@ def test_jobs_run_serves_a_snapshot(spark):
 
 def test_landing_files_round_trip(spark):
     path = scratch_path(spark, "feed-files")
-    landed(spark, "workingnomads", [{"url": "u"}]).write.json(path)
+    feeds.write_landing(landed(spark, "workingnomads", [{"url": "u"}]), path)
+    feeds.write_landing(landed(spark, "rentals", {"listings": []}), path)
     assert jobs.normalise_all(feeds.read_landing(spark, path)).select("native_id").first().native_id == "u"
     assert feeds.read_landing(spark, path).select(F.max("page")).first()[0] == 0
+    plan = feeds.unpack(feeds.read_landing(spark, path), "rentals")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(feed" in plan  # other feeds' folders are not read

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import days_before
@@ -85,15 +85,15 @@ def top_companies(df: DataFrame, n: int = TOP_COMPANIES, column: str = "company"
 def crosstab_share(df: DataFrame, row: str, column: str) -> DataFrame:
     """Counts per (row, column) value with their share of the row and of the column.
 
-    Rows are counted before the totals, so the windows only see the small table.
+    The totals are aggregates of the counts, joined back, so a row with very many
+    columns is not gathered anywhere.
     """
     counts = df.groupBy(_value(row).alias(row), _value(column).alias(column)).agg(
         F.count("*").alias("n_rows")
     )
-    return counts.withColumns({
-        "row_total": F.sum("n_rows").over(Window.partitionBy(row)),
-        "column_total": F.sum("n_rows").over(Window.partitionBy(column)),
-    }).withColumns({
+    row_totals = counts.groupBy(row).agg(F.sum("n_rows").alias("row_total"))
+    column_totals = counts.groupBy(column).agg(F.sum("n_rows").alias("column_total"))
+    return counts.join(row_totals, row).join(column_totals, column).withColumns({
         "row_share": F.col("n_rows") / F.col("row_total"),
         "column_share": F.col("n_rows") / F.col("column_total"),
     })

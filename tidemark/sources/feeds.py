@@ -83,6 +83,11 @@ FEEDS = {
 }
 
 
+def write_landing(pages: DataFrame, path: str) -> None:
+    """Adds pages to a landing folder, one subfolder per feed, so an adapter reads only its own."""
+    pages.write.mode("append").partitionBy("feed").json(path)
+
+
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LANDING_SCHEMA).json(path)
 
