@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import exact, language, mixing, simhash, tokens, toxicity
+from . import decontaminate, exact, language, licences, mixing, quotes, simhash, tokens, toxicity
 from ._common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~toxicity.held_out())
     found = toxicity.score(docs, model)
     return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+@query("op3_quotation_links")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link_quotes(table(spark, sf_dir, "conversations"))
+
+
+@query("op4_licence_rules")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_scan(table(spark, sf_dir, "documents"))
+
+
+@query("op8_latent_leaks")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
