@@ -70,3 +70,21 @@ def pieces(raw: bytes, size: int = 1 << 20) -> Iterator[bytes]:
         yield raw[at:end]
         at = end
     yield raw[at:] if at else raw
+
+
+def bit_filter(slots: DataFrame, bits: int) -> bytes:
+    """A bit for each value of the long column `slot`, all in 0 .. 2^bits - 1.
+
+    Tasks build the words of the filter; the driver gets at most 2^bits / 32768 rows of 4 KB,
+    whatever the size of the input.
+    """
+    # bitmap functions count from one
+    shifted = slots.select((F.col("slot") + 1).alias("slot"))
+    words = shifted.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
+    )
+    out = bytearray(((1 << bits) // 8) + 8192)
+    for row in words.toLocalIterator():
+        at = (row.bucket - 1) * 4096
+        out[at : at + 4096] = row.bits
+    return bytes(out)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import batches, doc_texts, raw_texts, stage
+from ._common import batches, bit_filter, doc_texts, raw_texts, stage
 
 PRIME = (1 << 31) - 1
 BASES = (1_103_515_245, 742_938_285)
@@ -127,7 +127,7 @@ def _slot(n, a, b):
     return (a * 31 + b * 7 + n) % (1 << FILTER_BITS)
 
 
-def _repeated(docs: DataFrame) -> bytearray:
+def _repeated(docs: DataFrame) -> bytes:
     """A bit for each fingerprint that several rows share (others may share a bit: no harm)."""
 
     def prints(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,17 +142,7 @@ def _repeated(docs: DataFrame) -> bytearray:
 
     counted = docs.select("text").mapInArrow(prints, "n long, h1 long, h2 long").groupBy("n", "h1", "h2").count()
     slot = _slot(F.col("n"), F.col("h1"), F.col("h2"))
-    words = (
-        counted.filter("count > 1")
-        .select((slot + 1).alias("slot"))  # bitmap functions count from one
-        .groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
-        .select((F.col("bucket") - 1).alias("bucket"), "bits")
-    )
-    bits = bytearray((1 << FILTER_BITS) // 8 + 8192)
-    for row in words.toLocalIterator():  # at most 2^26 / 32768 rows of 4 KB
-        bits[row.bucket * 4096 : row.bucket * 4096 + 4096] = row.bits
-    return bits
+    return bit_filter(counted.filter("count > 1").select(slot.alias("slot")), FILTER_BITS)
 
 
 _ROW = "doc_id long, n long, h1 long, h2 long, sha string, body binary"
@@ -217,7 +207,7 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     texts = doc_texts(docs)
-    wanted = spark.sparkContext.broadcast(bytes(_repeated(texts)))
+    wanted = spark.sparkContext.broadcast(_repeated(texts))
 
     def rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = wanted.value

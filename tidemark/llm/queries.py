@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, exact, language, licences, mixing, quotes, simhash, tokens, toxicity
+from . import decontaminate, exact, language, licences, mixing, quotes, repeats, simhash, tokens, toxicity
 from ._common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_latent_leaks")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_repeated_passages")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
