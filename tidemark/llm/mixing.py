@@ -140,3 +140,13 @@ def mix(
     return known.select(
         "doc_id", "source", "size", "source_size", "target", "epochs", copies.alias("copies"), (copies * F.col("size")).alias("taken")
     )
+
+
+def mixed_rows(docs: DataFrame, quality: DataFrame | None = None, **options) -> DataFrame:
+    """The rows of `docs`, all columns, each as often as the mix takes it."""
+    chosen = mix(docs, quality, **options).filter("copies > 0")
+    chosen = chosen.select(F.col("doc_id").alias("id"), F.col("source").alias("of"), "copies").distinct()
+    same = F.col("d.doc_id").cast("long").eqNullSafe(F.col("m.id")) & F.col("d.source").cast("string").eqNullSafe(F.col("m.of"))
+    met = docs.alias("d").join(chosen.alias("m"), same)
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("m.copies").cast("long")))
+    return met.select(*[F.col(f"d.{c}") for c in docs.columns], times.alias("pass__")).drop("pass__")

@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._common import batches, doc_texts, raw_texts, stage
 from ._graph import components
@@ -180,6 +181,17 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return dealt.mapInArrow(compare, "a long, b long").distinct()
 
 
+def group_labels(prints: DataFrame) -> DataFrame:
+    """(doc_id, fp) to one row a fingerprint: fp, root, component_id."""
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
+    roots = components(links(prints))
+    rooted = nodes.join(roots, nodes.fp == roots.node, "left").select(
+        "fp", "low", F.coalesce("root", "fp").alias("root")
+    )
+    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    return rooted.join(lowest, "root").select("fp", "root", "component_id")
+
+
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, fp, component_id for each row of `docs`.
 
@@ -188,14 +200,37 @@ def near_groups(docs: DataFrame) -> DataFrame:
     too, have fingerprint zero and are linked like any other. An empty table gives no rows.
     """
     prints = stage(fingerprints(docs), "prints")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    roots = components(links(prints))
-    rooted = nodes.join(roots, nodes.fp == roots.node, "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root")
+    return prints.join(group_labels(prints), "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of `docs`, all columns, with one row of each group: that of the smallest doc_id.
+
+    Of rows that repeat this doc_id in the group one stays, as of a group without any id.
+    """
+    place = docs.columns.index("text")
+    mark = "fp"
+    while mark in docs.columns:
+        mark += "_"
+    schema = T.StructType([*docs.schema.fields, T.StructField(mark, T.LongType())])
+
+    def marked(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches(rows):
+            found = np.array([fingerprint(x) for x in raw_texts(b.column(place))], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found)], names=[*b.schema.names, mark])
+
+    rows = stage(docs.mapInArrow(marked, schema), "marked")
+    prints = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(mark).alias("fp"))
+    labels = stage(group_labels(prints), "labels")
+    stays = prints.join(labels, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = stage(stays.groupBy("root").agg(F.min("fp").alias("fp"), F.count(F.lit(1)).alias("n"), F.first("doc_id").alias("id")), "chosen")
+    kept = rows.alias("r").join(
+        chosen.alias("c"), (F.col(f"r.{mark}") == F.col("c.fp")) & F.col("r.doc_id").cast("long").eqNullSafe(F.col("c.id"))
     )
-    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    labels = rooted.join(lowest, "root").select("fp", "component_id")
-    return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
+    own = [F.col(f"r.{c}") for c in docs.columns]
+    once = kept.filter("c.n = 1").select(*own)
+    again = kept.filter("c.n > 1").dropDuplicates([mark]).select(*own)
+    return once.union(again)
 
 
 def fingerprint_hex(fp: str = "fp"):

@@ -307,5 +307,19 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     return found.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
+def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs`, all columns, whose text scores below the threshold; order and repeats stay."""
+    sent = docs.sparkSession.sparkContext.broadcast(vars(model).copy())
+    place = docs.columns.index("text")
+
+    def clean(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, own = Hasher(), Model(**sent.value)
+        for b in batches(rows):
+            x = features(own, [hasher(t) for t in raw_texts(b.column(place))])
+            yield b.filter(pa.array(probabilities(own.weights, x) < threshold))
+
+    return docs.mapInArrow(clean, docs.schema)
+
+
 def held_out(doc_id: str = "doc_id", parts: int = 3, part: int = 1) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % parts == part, F.lit(False))
