@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -88,3 +90,14 @@ def bit_filter(slots: DataFrame, bits: int) -> bytes:
         at = (row.bucket - 1) * 4096
         out[at : at + 4096] = row.bits
     return bytes(out)
+
+
+def per_worker(name: str, make: Callable):
+    """What `make` returns, once for each Python worker: a cache that its later tasks find filled.
+
+    Functions reach a task as copies of their own, so the place must be one that outlives them.
+    """
+    kept = vars(sys.modules.setdefault("_tidemark_worker", ModuleType("_tidemark_worker")))
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]

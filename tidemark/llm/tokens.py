@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._common import batches, doc_texts
+from ._common import batches, doc_texts, per_worker
 
 BLOCK = 128
 PERCENTILE = 90
 SEGMENT_IDS = 1 << 16
-CACHE = 400_000  # entries that a worker's cache of encoded pieces may hold
+PIECES, WORDS = 800_000, 400_000  # entries that a worker's two caches may hold
 
 
 def default_tokenizer() -> str:
@@ -35,6 +36,17 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+_PLAIN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+_OTHERS = [b for b in range(256) if b not in set(_PLAIN)]
+#: Byte-level tokenizers show each byte as a character: printable ones as themselves, the others from 256 on.
+_SHOWN = {b: chr(b) for b in _PLAIN} | {b: chr(256 + k) for k, b in enumerate(_OTHERS)}
+_BLANK, _BREAK = _SHOWN[32], _SHOWN[10]
+
+
+def _visible(text: str) -> str:
+    return text if text.isascii() else text.encode().decode("latin-1").translate(_SHOWN)
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library; special strings in a text are ordinary text.
 
@@ -55,30 +67,62 @@ class Encoder:
             cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space", True)
             and config.get("normalizer") is None and config.get("truncation") is None and config.get("padding") is None
         )
-        self.first: dict[str, bytes] = {}  # pieces at the start of a text
-        self.later: dict[str, bytes] = {}  # pieces after a blank
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tool.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        self.pieces: dict[str, bytes] = {}  # what stands between two blanks
+        self.words: dict[str, bytes] = {}  # what the pre-tokenizer cuts
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tool.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            found = [x.id for x in self.tool.model.tokenize(word)]
+            ids = self.words[word] = pack(f"<{len(found)}I", *found)
+        return ids
+
+    def _cut(self, text: str) -> bytes:
+        """Ids by the library's own two steps: its pre-tokenizer, then its model."""
+        return b"".join([self._word(word) for word, _ in self.tool.pre_tokenizer.pre_tokenize_str(text)])
+
+    def _piece(self, text: str) -> bytes:
+        """Ids of a blank and what follows it up to the next one.
+
+        Letters alone are one word, and a single mark behind them is another: for these, and for
+        lines of them, the pre-tokenizer need not be asked.
+        """
+        out, ahead = [], _BLANK
+        for k, line in enumerate(text.split("\n")):
+            if k:
+                out.append(self._word(_BREAK))
+                ahead = ""
+            if line.isalpha():
+                out.append(self._word(ahead + _visible(line)))
+            elif line[:-1].isalpha() and line[-1] in ".,;:!?":
+                out.append(self._word(ahead + _visible(line[:-1])))
+                out.append(self._word(line[-1]))
+            else:
+                return self._cut(" " + text)
+        return b"".join(out)
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         if not text:
             return b""
         if not self.by_piece or "  " in text:
-            return self._whole([text])[0]
+            return self._ids(text)
         head, *rest = text.split(" ")
-        known = self.later
+        known = self.pieces
         try:
             body = b"".join(map(known.__getitem__, rest))
         except KeyError:
-            if len(known) > CACHE:
+            if len(known) > PIECES:
                 known.clear()
-            new = [x for x in set(rest) if x not in known]
-            known.update(zip(new, self._whole([" " + x for x in new]), strict=True))
+            if len(self.words) > WORDS:
+                self.words.clear()
+            for x in set(rest).difference(known):
+                known[x] = self._piece(x)
             body = b"".join(map(known.__getitem__, rest))
-        return (self._whole([head])[0] if head else b"") + body
+        return (self._cut(head) if head else b"") + body
 
 
 def pack_block(ids: np.ndarray, percentile: int = PERCENTILE) -> bytes:
@@ -197,7 +241,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
     def encode(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tool, end = Encoder(where), np.array([end_id], "<u4").tobytes()
+        tool, end = per_worker(f"encoder {where}", lambda: Encoder(where)), np.array([end_id], "<u4").tobytes()
         file, segment = TaskContext.get().partitionId(), 0
         ids, lengths, parts, held = [], [], [], 0
         names = ["file", "segment", "n_ids", "doc_ids", "lengths", "payload"]

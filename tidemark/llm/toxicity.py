@@ -26,9 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._common import batches, doc_texts, mix64, pieces, raw_texts, stage
+from ._common import batches, doc_texts, mix64, per_worker, pieces, raw_texts, stage
 
-BOUND = 16_384
+BOUND = 6144
 SLOTS = 1 << 20
 STEM = 4
 STEM_PRIOR = 8.0
@@ -191,32 +191,29 @@ def training_rows(labels: DataFrame, allowed: Column, bound: int = BOUND) -> Dat
 
 
 def _count(docs: DataFrame) -> DataFrame:
-    """(toxic, text) to counts of distinct pairs: toxic, pair, ahead, word, n."""
+    """(toxic, text) to one row a distinct pair: pair, ahead, word, stem, and its counts n0 and n1 by class."""
 
     def pairs(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for b in batches(rows):
-            kinds = np.array(b.column(0).to_pylist(), np.int32)
+            kinds = np.array(b.column(0).to_pylist(), np.int64)
             texts = [hasher(x) for x in raw_texts(b.column(1))]
             flat, sizes, starts = _flatten(texts)
             before, keys = _pair_keys(flat, starts[sizes > 0])
-            kind = np.repeat(kinds, sizes)
-            for c in (0, 1):
-                mine = kind == c
-                found, first, n = np.unique(keys[mine], return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(found), c, np.int32)), pa.array(found),
-                        pa.array(_slots(before[mine][first])), pa.array(_slots(flat[mine][first])),
-                        pa.array(_stems(flat[mine][first])), pa.array(n.astype(np.int64)),
-                    ],
-                    names=["toxic", "pair", "ahead", "word", "stem", "n"],
-                )
-
-    rows = docs.mapInArrow(pairs, "toxic int, pair long, ahead int, word int, stem int, n long")
+            found, first, at, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+            toxic = np.bincount(at, np.repeat(kinds, sizes), minlength=len(found)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(found), pa.array(_slots(before[first])), pa.array(_slots(flat[first])),
+                    pa.array(_stems(flat[first])), pa.array(n - toxic), pa.array(toxic),
+                ],
+                names=["pair", "ahead", "word", "stem", "n0", "n1"],
+            )
+
+    rows = docs.mapInArrow(pairs, "pair long, ahead int, word int, stem int, n0 long, n1 long")
     # a pair's words follow from its hash
     parts = [F.first(c).alias(c) for c in ("ahead", "word", "stem")]
-    return rows.groupBy("toxic", "pair").agg(*parts, F.sum("n").alias("n"))
+    return rows.groupBy("pair").agg(*parts, F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
 def _arrays(df: DataFrame, columns: list[str]) -> list[np.ndarray]:
@@ -235,11 +232,11 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, bound: int = BOUN
     texts = doc_texts(docs).join(F.broadcast(chosen), "doc_id")  # at most 2 * bound ids
     counted = stage(_count(texts.filter(~F.col("checks")).select("toxic", "text")), "pairs")
 
+    kinds = [F.sum((F.col(f"n{c}") > 0).cast("long")).alias(f"k{c}") for c in (0, 1)]
     follow, stems = np.zeros((2, SLOTS)), np.zeros((2, SLOTS))
     for name, into in (("word", follow), ("stem", stems)):
-        found = counted.groupBy("toxic", name).agg(F.count(F.lit(1)).alias("n"))
-        c, at, n = _arrays(found, ["toxic", name, "n"])
-        into[c, at] = n
+        at, *found = _arrays(counted.groupBy(name).agg(*kinds), [name, "k0", "k1"])
+        into[:, at] = found
     shared = (follow.sum(axis=0) + 0.5) / (follow.sum() + 0.5 * SLOTS)
     own, rest, stem = (np.empty((2, SLOTS)) for _ in range(3))
     for c in (0, 1):
@@ -249,17 +246,12 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, bound: int = BOUN
         expected = stems.sum(axis=0) * (stems[c].sum() + 1) / (stems.sum() + 2)
         stem[c] = (stems[c] + STEM_PRIOR) / (expected + STEM_PRIOR)
 
-    seen, kinds = np.zeros((2, SLOTS)), np.zeros((2, SLOTS))
-    ahead = counted.groupBy("toxic", "ahead").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"))
-    c, h, n, k = _arrays(ahead, ["toxic", "ahead", "n", "k"])
-    seen[c, h], kinds[c, h] = n, k
-
-    per_pair = counted.groupBy("pair").agg(
-        F.first("ahead").alias("ahead"), F.sum("n").alias("n"),
-        F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("n0"),
-        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("n1"),
-    )
-    kept = per_pair.filter("n > 1").orderBy(F.col("n").desc(), "pair").limit(PAIRS)
+    seen = np.zeros((2, SLOTS))
+    at, *found = _arrays(counted.groupBy("ahead").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), ["ahead", "n0", "n1"])
+    seen[:, at] = found
+
+    both = F.col("n0") + F.col("n1")
+    kept = counted.filter(both > 1).orderBy(both.desc(), "pair").limit(PAIRS)
     pair, ahead_, n0, n1 = _arrays(kept, ["pair", "ahead", "n0", "n1"])
     order = np.argsort(pair)
     pair, ahead_, of = pair[order].astype(np.int64), ahead_[order], np.stack([n0[order], n1[order]]).astype(np.float64)
@@ -274,7 +266,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, bound: int = BOUN
     sent = spark.sparkContext.broadcast(vars(model).copy())
 
     def check(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, own = Hasher(), Model(**sent.value)
+        hasher, own = per_worker("word codes", Hasher), Model(**sent.value)
         for b in batches(rows):
             x = features(own, [hasher(t) for t in raw_texts(b.column(0))])
             yield pa.RecordBatch.from_arrays(
@@ -298,7 +290,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     sent = docs.sparkSession.sparkContext.broadcast(vars(model).copy())
 
     def scores(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, own = Hasher(), Model(**sent.value)
+        hasher, own = per_worker("word codes", Hasher), Model(**sent.value)
         for b in batches(rows):
             x = features(own, [hasher(t) for t in raw_texts(b.column(1))])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(probabilities(own.weights, x))], names=["doc_id", "score"])
@@ -313,7 +305,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
     place = docs.columns.index("text")
 
     def clean(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, own = Hasher(), Model(**sent.value)
+        hasher, own = per_worker("word codes", Hasher), Model(**sent.value)
         for b in batches(rows):
             x = features(own, [hasher(t) for t in raw_texts(b.column(place))])
             yield b.filter(pa.array(probabilities(own.weights, x) < threshold))
