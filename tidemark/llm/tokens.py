@@ -1,7 +1,7 @@
 """Token files: patched frame-of-reference blocks, written and read by Spark.
 
 A file holds segments of whole documents in ascending doc_id order. A segment's ids are cut into
-blocks of 128. A block stores its minimum, the differences packed at the width that covers
+blocks of 256. A block stores its minimum, the differences packed at the width that covers
 `PERCENTILE` of them, and an exception list (place, high bits) for the rest. The segment starts
 with an index of its block starts, so one block can be read without the others.
 
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ._common import batches, doc_texts, per_worker
 
-BLOCK = 128
+BLOCK = 256
 PERCENTILE = 90
 SEGMENT_IDS = 1 << 16
 PIECES, WORDS = 800_000, 400_000  # entries that a worker's two caches may hold
@@ -166,8 +166,8 @@ def pack_segment(ids: np.ndarray) -> bytes:
             which = np.flatnonzero(widths == width)
             part = rest[which]
             wide = part.astype(np.uint64) >> np.uint64(width)
-            bytes4 = part.astype("<u4").view(np.uint8).reshape(len(which), BLOCK, 4)
-            bits = np.unpackbits(bytes4, axis=2, bitorder="little")[:, :, :width].reshape(len(which), BLOCK * width)
+            narrow = part.astype("<u2" if width <= 16 else "<u4").view(np.uint8).reshape(len(which), BLOCK, -1)
+            bits = np.unpackbits(narrow, axis=2, bitorder="little")[:, :, :width].reshape(len(which), BLOCK * width)
             packed = np.packbits(bits, axis=1, bitorder="little")
             for row, at in enumerate(which.tolist()):
                 odd = np.flatnonzero(wide[row])
@@ -187,7 +187,7 @@ def segment_blocks(raw: bytes) -> tuple[np.ndarray, int]:
 
 
 def read_block(raw: bytes, number: int) -> np.ndarray:
-    """Ids number * 128 and on, without reading other blocks."""
+    """Ids number * 256 and on, without reading other blocks."""
     starts, base = segment_blocks(raw)
     return unpack_block(raw[base + starts[number] : base + starts[number + 1]])
 
@@ -205,23 +205,24 @@ def unpack_segment(raw: bytes) -> np.ndarray:
     whole = heads[:, 0] == BLOCK
     for width in np.unique(heads[whole, 2]).tolist():
         which = np.flatnonzero(whole & (heads[:, 2] == width))
-        size = BLOCK * width // 8
-        if width:
-            cells = data[(at[which] + 16)[:, None] + np.arange(size)]
-            bits = np.unpackbits(cells, axis=1, bitorder="little").reshape(len(which), BLOCK, width)
-            padded = np.zeros((len(which), BLOCK, 32), np.uint8)
-            padded[:, :, :width] = bits
-            rest = np.packbits(padded, axis=2, bitorder="little").view("<u4").reshape(len(which), BLOCK)
-        else:
-            rest = np.zeros((len(which), BLOCK), np.uint32)
-        values = rest + heads[which, 1].astype(np.uint32)[:, None]
+        values = np.zeros((len(which), BLOCK), np.uint64)
+        bit = np.arange(BLOCK) * width
+        for k in range((width + 14) // 8 if width else 0):  # bytes that a value may reach into
+            byte = np.minimum((bit >> 3) + k, BLOCK * width // 8 - 1)
+            values |= data[(at[which] + 16)[:, None] + byte].astype(np.uint64) << np.uint64(8 * k)
+        values = (values >> (bit & 7).astype(np.uint64)) & np.uint64((1 << width) - 1)
+        values += heads[which, 1].astype(np.uint64)[:, None]
         out[(which * BLOCK)[:, None] + np.arange(BLOCK)] = values
-    for k in np.flatnonzero(whole & (heads[:, 3] > 0)).tolist():
-        _, _, width, odd = heads[k].tolist()
-        from_ = int(at[k]) + 16 + BLOCK * width // 8
-        places = np.frombuffer(raw, "<u4", odd, from_)
-        high = np.frombuffer(raw, "<u4", odd, from_ + 4 * odd)
-        out[k * BLOCK + places] += high << np.uint32(width)
+    which = np.flatnonzero(whole & (heads[:, 3] > 0))
+    odd = heads[which, 3]
+    total = int(odd.sum())
+    if total:
+        nth = np.arange(total) - np.repeat(np.cumsum(odd) - odd, odd)
+        place = np.repeat(at[which] + 16 + BLOCK * heads[which, 2] // 8, odd) + 4 * nth
+        four = np.arange(4)
+        places = data[place[:, None] + four].copy().view("<u4").ravel().astype(np.int64)
+        high = data[(place + 4 * np.repeat(odd, odd))[:, None] + four].copy().view("<u4").ravel()
+        out[np.repeat(which * BLOCK, odd) + places] += high << np.repeat(heads[which, 2], odd).astype(np.uint32)
     if not whole[-1]:
         out[(count - 1) * BLOCK :] = unpack_block(raw[base + starts[-2] : base + starts[-1]])
     return out
