@@ -16,7 +16,7 @@ from ._common import doc_texts
 #: A text or sentence without any of these is not looked at further.
 KEYWORDS = (
     r"\b(?:licen[cs]e[sd]?|licen[cs]ing|copyright|rights reserved|public domain|permission|redistributions?|"
-    r"warrant(?:y|ies)|spdx|creative commons|cc[ -]by|cc0|provided \W?as[ -]is|unlicense|liable|liability|[al]?gpl)\b"
+    r"warrant(?:y|ies)|spdx|creative commons|cc[ -]by|cc0|provided \W?as[ -]is|unlicense|liable|liability|endorse or promote|[al]?gpl)\b"
 )
 
 # Known sentences, as patterns of their normalised form.

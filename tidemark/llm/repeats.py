@@ -29,7 +29,8 @@ from ._common import batches, bit_filter, raw_texts, stage
 LENGTH = 200
 GRAM = 32
 SEGMENT = 1 << 20  # starts looked at together
-HOT = 512  # different runs of one anchor, beyond which their starts are grouped one by one
+HOT = 512  # different runs of one anchor, beyond which they are cut into slices
+SLICE = 8  # starts
 FILTER_BITS = 27  # a filter of 16 MB at any size of input
 DOC_BITS = 26
 
@@ -200,15 +201,37 @@ def _shared_runs(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(rows_of, kind)
 
 
-_OPEN = "hot boolean, anchor long, one long, two long, doc_id long, tag int, start long, bytes binary"
+_OPEN = "hot boolean, anchor long, body long, doc_id long, tag int, start long, bytes binary, hashes array<long>"
+
+
+def _slices(anchor: int, body: bytes) -> list[tuple]:
+    """(core, body, start, hashes) of a run cut into slices of SLICE starts, counted from its anchor.
+
+    All starts of a slice hold its core, so equal ones have equal cores; `hashes` has both hashes
+    of each start in turn.
+    """
+    data = np.frombuffer(body, np.uint8)
+    first, second = Prefixes(data, 0), Prefixes(data, 1)
+    at = int(np.flatnonzero(first.all(GRAM).view(np.int64) == anchor)[0])
+    n = len(data) - LENGTH + 1
+    away = (at - np.arange(n)) // SLICE
+    begin = np.concatenate([[0], np.flatnonzero(np.diff(away)) + 1])
+    end = np.append(begin[1:], n) - 1
+    place = (away[begin] + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    # of the whole slice, also where the run has only some of its starts: every one of them holds it
+    latest = at - away[begin] * SLICE
+    core = (first.of(latest, latest - SLICE + 1 + LENGTH) ^ place).view(np.int64).tolist()
+    whole = (first.of(begin, end + LENGTH) ^ (end - begin + 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64).tolist()
+    pairs = np.stack([first.all(LENGTH), second.all(LENGTH)], axis=1).view(np.int64)
+    return [(c, w, a, pairs[a : z + 1].ravel().tolist()) for c, w, a, z in zip(core, whole, begin.tolist(), end.tolist(), strict=True)]
 
 
 def _extract(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The bytes of the wanted runs, or for runs of a hot anchor the hashes of each of their starts."""
+    """The bytes of the wanted runs, or for runs of a hot anchor their slices."""
 
     def bytes_of(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["hot", "anchor", "one", "two", "doc_id", "tag", "start", "bytes"]
-        kinds = [pa.bool_(), *[pa.int64()] * 4, pa.int32(), pa.int64(), pa.binary()]
+        names = ["hot", "anchor", "body", "doc_id", "tag", "start", "bytes", "hashes"]
+        kinds = [pa.bool_(), *[pa.int64()] * 3, pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
         for b in batches(rows):
             cold, hot = [], []
             for doc, tag, raw, asked in zip(*(b.column(k).to_pylist() for k in (0, 1)), raw_texts(b.column(2)), b.column(3).to_pylist(), strict=True):
@@ -216,12 +239,10 @@ def _extract(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                     start, anchor = run["start"], run["anchor"]
                     body = raw[start : start + run["n"] - 1 + LENGTH]
                     if not run["hot"]:
-                        cold.append((False, anchor, None, None, doc, tag, start, body))
+                        cold.append((False, anchor, None, doc, tag, start, body, None))
                         continue
-                    data = np.frombuffer(body, np.uint8)
-                    one, two = (Prefixes(data, k).all(LENGTH).view(np.int64).tolist() for k in (0, 1))
-                    hot += [(True, anchor, x, y, doc, tag, start + k, None) for k, (x, y) in enumerate(zip(one, two, strict=True))]
-                if len(hot) > 100_000:
+                    hot += [(True, core, whole, doc, tag, start + a, None, pairs) for core, whole, a, pairs in _slices(anchor, body)]
+                if len(hot) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*hot, strict=True), kinds, strict=True)], names=names)
                     hot = []
             if found := cold + hot:
@@ -305,13 +326,25 @@ def repeated_starts(texts: DataFrame, first_copy: bool = False) -> DataFrame:
     kind = "doc_id long, tag int, first long, last long"
     cold = extracted.filter("NOT hot").select(*key, "bytes").repartition("anchor").sortWithinPartitions(*key)
     ordered = cold.mapInArrow(order, kind)
-    # a hot anchor's starts are grouped by their own bytes, so only equal strings meet
-    starts = extracted.filter("hot").select("one", "two", "doc_id", "tag", "start")
+    # a hot anchor's runs are settled slice by slice, and only what is left of them start by start
+    slices = extracted.filter("hot").select("anchor", "body", "doc_id", "tag", "start", "hashes")
+    found = slices.groupBy("anchor", "body").agg(F.count(F.lit(1)).alias("copies"), F.min(where).alias("w"), F.first("hashes").alias("hashes"))
+    found = stage(found, "slices")
+    twins = slices.join(found.filter("copies > 1").select("anchor", "body", "w"), ["anchor", "body"])
+    cores = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("anchor")
+    left = found.join(cores, "anchor", "left_semi").select("w.*", "hashes", F.explode(F.sequence(F.lit(0), (F.size("hashes") / 2).cast("int") - 1)).alias("k"))
+    starts = left.select(
+        F.get("hashes", F.col("k") * 2).alias("one"), F.get("hashes", F.col("k") * 2 + 1).alias("two"),
+        "doc_id", "tag", (F.col("start") + F.col("k")).alias("start"),
+    )
     classes = starts.groupBy("one", "two").agg(F.count(F.lit(1)).alias("copies"), F.min(where).alias("w")).filter("copies > 1")
     met = starts.join(classes, ["one", "two"])
     if first_copy:
-        met = met.filter(where > F.col("w"))
-    spread = met.select("doc_id", "tag", F.col("start").alias("first"), F.col("start").alias("last"))
+        twins, met = (x.filter(where > F.col("w")) for x in (twins, met))
+    length = (F.size("hashes") / 2).cast("long")
+    spread = twins.select("doc_id", "tag", F.col("start").alias("first"), (F.col("start") + length - 1).alias("last")).union(
+        met.select("doc_id", "tag", F.col("start").alias("first"), F.col("start").alias("last"))
+    )
     return settled.union(ordered).union(spread)
 
 
