@@ -470,3 +470,12 @@ def test_pipeline(spark):
         at += r.n_tokens
     assert rows and isinstance(rows[0].asDict()["doc_id"], int)
     assert isinstance(spark.read.parquet(f"{SMALL}/documents.parquet").schema["doc_id"].dataType, T.LongType)
+
+
+def test_fit_settles_on_separable_classes():
+    pick = np.random.default_rng(2)
+    y = (np.arange(2000) % 10 == 0).astype(float)
+    x = pick.standard_normal((2000, 6)) + 9 * y[:, None]
+    weights = toxicity.fit_weights(x, y, np.where(y == 1, 1.0, 3.0))
+    p = toxicity.probabilities(weights, x)
+    assert ((p > 0.7) == (y == 1)).all()

@@ -153,22 +153,39 @@ def probabilities(weights: np.ndarray, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(weights[0] + x @ weights[1:], -30, 30)))
 
 
-def fit_weights(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1.0, steps: int = 30) -> np.ndarray:
-    """Weighted logistic regression by Newton steps; one class alone gives its smoothed share."""
-    a = np.hstack([np.ones((len(x), 1)), x])
-    out = np.zeros(a.shape[1])
+def fit_weights(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1.0, steps: int = 100) -> np.ndarray:
+    """Weighted logistic regression; one class alone gives its smoothed share.
+
+    Newton steps on standardised features, halved until the penalised loss falls: the loss is
+    convex, so they settle even where the classes can be told apart completely.
+    """
     share = (float((w * y).sum()) + 0.5) / (float(w.sum()) + 1)
+    out = np.zeros(x.shape[1] + 1)
     out[0] = np.log(share / (1 - share))
     if len(set(y.tolist())) < 2:
         return out
+    mean, spread = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6)
+    a = np.hstack([np.ones((len(x), 1)), (x - mean) / spread])
     penalty = np.diag([0.0] + [ridge] * x.shape[1])
+
+    def loss(v: np.ndarray) -> float:
+        z = a @ v
+        return float((w * (np.logaddexp(0, z) - y * z)).sum() + v @ penalty @ v / 2)
+
+    now = loss(out)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(a @ out, -30, 30)))
-        gradient = a.T @ (w * (y - p)) - penalty @ out
-        step = np.linalg.solve((a * (w * p * (1 - p) + 1e-9)[:, None]).T @ a + penalty, gradient)
-        out += np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-6:
+        gradient = a.T @ (w * (p - y)) + penalty @ out
+        curve = (a * (w * p * (1 - p))[:, None]).T @ a + penalty + 1e-6 * np.eye(len(out))
+        step, size = np.linalg.solve(curve, gradient), 1.0
+        while size > 1e-6 and loss(out - size * step) > now:
+            size /= 2
+        out = out - size * step
+        was, now = now, loss(out)
+        if was - now < 1e-9 * max(1.0, abs(now)):
             break
+    out[1:] /= spread
+    out[0] -= float(out[1:] @ mean)
     return out
 
 
