@@ -48,11 +48,10 @@ def cart_merge(spark, sf):
     return catalog.cart_merge(view(spark, sf, "f7_cart"))
 
 
-@query("basket_join", oracle("f7_cart", "f7_products", "f7_variants", c="SELECT * FROM f7_cart WHERE variant <> 3", sql=f"""
+@query("basket_join", oracle("f7_cart", "f7_products", "f7_variants", c="SELECT * FROM f7_cart", sql=f"""
     SELECT basket, product_id, variant, qty, ROUND(unit_price, 6) AS unit_price FROM ({_JOINED})"""))
 def basket_join(spark, sf):
-    cart = view(spark, sf, "f7_cart").where(F.col("variant") != 3)
-    lines = catalog.basket_join(cart, *_views(spark, sf))
+    lines = catalog.basket_join(view(spark, sf, "f7_cart"), *_views(spark, sf))
     return lines.select("basket", "product_id", "variant", "qty", F.round("unit_price", 6).alias("unit_price"))
 
 

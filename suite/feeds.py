@@ -256,7 +256,7 @@ def _rental_landing(spark, sf) -> DataFrame:
     usage = F.when(n % 6 == 0, F.array(F.lit("COMMERCIAL"))).when(n % 6 == 1, F.array(F.lit("COMMERCIAL"), F.lit("RESIDENTIAL")))
     one = lambda c: F.array(text(c))
     listing = F.struct(
-        text(n % 1399).alias("id"), F.when(n % 8 == 0, "INACTIVE").when(n % 8 == 1, "ACTIVE").alias("status"), usage.alias("usageTypes"),
+        text(F.floor((n + 1) / 2)).alias("id"), F.when(n % 8 == 0, "INACTIVE").when(n % 8 == 1, "ACTIVE").alias("status"), usage.alias("usageTypes"),
         F.array(F.lit("FARM")).alias("unitTypes"), F.concat(F.lit("  Sítio "), n).alias("title"),
         F.concat(F.lit("<p>Fone (19) 3232-1010, mail a.b@c.com.br</p>"), n % 10).alias("description"), F.array(other, rental).alias("pricingInfos"),
         F.struct(F.col("c_mktsegment").alias("city"), F.lit(" SP ").alias("state")).alias("address"),
@@ -274,14 +274,14 @@ def _rental_landing(spark, sf) -> DataFrame:
 
 
 _RENTALS = """
-    SELECT * FROM customer QUALIFY ROW_NUMBER() OVER (PARTITION BY c_custkey % 1399 ORDER BY c_custkey) = 1"""
+    SELECT * FROM customer QUALIFY ROW_NUMBER() OVER (PARTITION BY (c_custkey + 1) // 2 ORDER BY c_custkey) = 1"""
 _KEPT = "c_custkey % 8 <> 0 AND c_custkey % 6 <> 0 AND c_custkey % 10 <> 0 AND c_custkey % 23 <> 0"
 
 
 @query("norm_listing", oracle(r=_RENTALS, sql=f"""
-    SELECT CAST(c_custkey % 1399 AS VARCHAR) AS native_id, 'Sítio ' || c_custkey AS title,
+    SELECT CAST((c_custkey + 1) // 2 AS VARCHAR) AS native_id, 'Sítio ' || c_custkey AS title,
       CASE WHEN c_custkey % 4 = 0 THEN 'https://www.zapimoveis.com.br' ELSE 'https://www.vivareal.com.br' END
-        || '/imovel/id-' || c_custkey % 1399 || '/' AS url,
+        || '/imovel/id-' || (c_custkey + 1) // 2 || '/' AS url,
       'Fone [phone], mail [email] ' || c_custkey % 10 AS description, c_mktsegment AS city, 'SP' AS state,
       CAST(-22.5 AS DOUBLE) AS lat, CASE WHEN c_custkey % 5 <> 0 THEN CAST(-47.25 AS DOUBLE) END AS lon,
       CAST(2000 + c_custkey * 131 % 16000 AS BIGINT) AS rent, CASE WHEN c_custkey % 2 = 0 THEN CAST(1250 AS BIGINT) END AS condo_fee,

@@ -165,11 +165,12 @@ def market_from_location(spark, sf):
         labels.market_from_location(place).alias("market"))
 
 
-@query("company_title_split", oracle("f2_roles", sql="""
-    SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '' ELSE company END AS company,
-      CASE WHEN doc_id % 3 = 0 THEN title ELSE title || ': Lead' END AS title FROM f2_roles WHERE NOT CONTAINS(title, ': ')"""))
+@query("company_title_split", oracle("f2_roles", h="""
+    SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN title ELSE company || ': ' || title || ': Lead' END AS line FROM f2_roles""", sql="""
+    SELECT doc_id, CASE WHEN CONTAINS(line, ': ') THEN SPLIT_PART(line, ': ', 1) ELSE '' END AS company,
+      CASE WHEN CONTAINS(line, ': ') THEN SUBSTR(line, STRPOS(line, ': ') + 2) ELSE line END AS title FROM h"""))
 def company_title_split(spark, sf):
-    rows = _roles(spark, sf).where(~F.col("title").contains(": "))
+    rows = _roles(spark, sf)
     headline = F.when(F.col("doc_id") % 3 == 0, F.col("title")).otherwise(
         F.concat("company", F.lit(": "), "title", F.lit(": Lead")))
     return rows.select("doc_id", labels.company_of(headline).alias("company"), labels.title_of(headline).alias("title"))

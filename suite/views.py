@@ -51,7 +51,7 @@ VIEWS = {
           CAST(FLOOR(value / 10) AS INT) AS price
         FROM events""",
     "f5_listings": """
-        SELECT 'portal' AS source, c_custkey % 1399 AS native_id, c_custkey AS ord,
+        SELECT 'portal' AS source, CAST(FLOOR((c_custkey + 1) / 2) AS BIGINT) AS native_id, c_custkey AS ord,
           n_name AS city, r_name AS state,
           CASE WHEN c_custkey % 17 = 0 THEN NULL WHEN c_custkey % 29 = 0 THEN CAST(0 AS DOUBLE)
                ELSE CAST(-22.9099 AS DOUBLE) + CAST((c_custkey * 37) % 401 - 200 AS DOUBLE) / 80 END AS lat,

@@ -243,3 +243,16 @@ def test_small_texts(spark):
           "s array<string>", text.skills_join(F.col("s")))
     check(spark, [(("A b", "C"), "a b c"), ((None, "X"), " x")], "t string, c string", text.search_text(F.col("t"), F.col("c")))
     check(spark, [((5, "M"), "5::M"), ((5, None), "5::")], "p int, v string", keys.cart_key(F.col("p"), F.col("v")))
+
+
+def test_words_are_only_taken_where_a_match_must_hold_them():
+    for pattern in ("colou{0,1}r", "(?i)track", "(a(bcdef)?gh)?x", "(?:foo(?:bar)?baz)?q", r"\Qa|b\E"):
+        assert [t["word"] for t in taxonomy._tests(pattern)] == [""], pattern
+    assert [t["word"] for t in taxonomy._tests(r"gtag\(|fbq")] == ["gtag", "fbq"]
+    assert taxonomy._lowered(r"C\+\+\W\p{L}") == r"c\+\+\W\p{L}"
+
+
+def test_area_keeps_the_case_of_escapes(spark):
+    frame = spark.createDataFrame([("C++ daily",), ("c++x",)], "t string")
+    found = frame.select("t", taxonomy.area(F.col("t"), keywords={"cpp": (r"C\+\+\W",)}, category_labels={}).alias("a")).collect()
+    assert {r.t: r.a for r in found} == {"C++ daily": "cpp", "c++x": "other"}

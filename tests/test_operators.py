@@ -6,6 +6,7 @@ import json
 import random
 import statistics
 from collections import defaultdict
+from itertools import groupby, pairwise
 from datetime import date, timedelta
 
 import pytest
@@ -173,18 +174,17 @@ def _sightings(spark, n=800, seed=6):
     return rows, spark.createDataFrame(rows, "k string, d date, seq long, v int")
 
 
-def test_change_log_and_counts_equal_the_loop(spark):
+def test_change_log_and_counts_equal_neighbours(spark):
     rows, frame = _sightings(spark)
-    known, log = {}, {}
-    inserted, changes = defaultdict(int), defaultdict(int)
-    for k, d, _, v in rows:
-        if k not in known:
-            inserted[d] += 1
-        elif known[k] != v:
-            changes[d] += 1
-        if k not in known or known[k] != v:
-            log[k, d] = v
-        known[k] = v
+    log, inserted, changes = {}, defaultdict(int), defaultdict(int)
+    for _, group in groupby(sorted(rows, key=lambda r: (r[0], r[2])), key=lambda r: r[0]):
+        own = list(group)
+        inserted[own[0][1]] += 1
+        log[own[0][:2]] = own[0][3]
+        for before, now in pairwise(own):
+            if before[3] != now[3]:
+                changes[now[1]] += 1
+                log[now[:2]] = now[3]
     got = {(r.k, r.d): r.v for r in history.change_log(frame, "k", "d", "seq", "v").collect()}
     assert got == log
     for chunk in (7, 100_000):
@@ -244,28 +244,24 @@ def test_bucketed_base_is_not_shuffled_by_an_upsert(spark):
 
 # -- listings and geo ------------------------------------------------------------------------
 
-def _python_merge(rows):
-    best = {}
-    for r in rows:
-        cur = best.get(r["id"])
-        if cur is None:
-            best[r["id"]] = dict(r)
-            continue
-        union = sorted(set(cur["portals"]) | set(r["portals"]))
-        if len(r["photos"]) > len(cur["photos"]):
-            cur = best[r["id"]] = dict(r)
-        cur["portals"] = union
-    return best
-
-
-def test_merge_duplicates_equals_the_loop(spark):
+def _merged(rows):
+    """Of each id the row with most photos, the earliest of them, and all portals that any row names."""
+    out = {}
+    for key in {r["id"] for r in rows}:
+        group = sorted((r for r in rows if r["id"] == key), key=lambda r: (-len(r["photos"]), r["ord"]))
+        portals = group[0]["portals"] if len(group) == 1 else sorted({p for r in group for p in r["portals"]})
+        out[key] = {**group[0], "portals": portals}
+    return out
+
+
+def test_merge_duplicates_equals_sorted_groups(spark):
     rng = random.Random(7)
     rows = [{"id": 0 if rng.random() < 0.4 else rng.randrange(40), "portals": rng.choice([["Z", "V"], ["V"], [], ["Z", "Z", "O"]]),
              "photos": ["p"] * rng.randrange(4), "ord": i} for i in range(150)]
     frame = spark.createDataFrame([tuple(r.values()) for r in rows], "id int, portals array<string>, photos array<string>, ord int")
     got = listings.merge_duplicates(frame, ["id"], "portals", F.size("photos"), "ord")
     assert {r.id: (r.portals, r.photos, r.ord) for r in got.collect()} == {
-        k: (w["portals"], w["photos"], w["ord"]) for k, w in _python_merge(rows).items()}
+        k: (w["portals"], w["photos"], w["ord"]) for k, w in _merged(rows).items()}
 
 
 def test_resolve_fills_from_run_then_store_and_cuts_before_rounding(spark):

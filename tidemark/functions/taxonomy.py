@@ -144,7 +144,9 @@ TEST = "struct<word: string, regex: string>"
 
 
 def _alternatives(pattern: str) -> list[str]:
-    """Parts of a pattern between its top-level `|`."""
+    """Parts of a pattern between its top-level `|`; one part where quoting or a flag spans them."""
+    if re.search(r"\\Q|\(\?[^:]", pattern):
+        return [pattern]
     parts, depth = [""], 0
     for token in re.findall(r"\\.|\[[^\]]*\]|.", pattern, re.S):
         depth += (token == "(") - (token == ")")
@@ -156,7 +158,13 @@ def _alternatives(pattern: str) -> list[str]:
 
 
 def _needed_word(alternative: str) -> str:
-    """Longest plain text every match must hold: no escapes, groups, classes, optional characters."""
+    """Longest plain text every match must hold: no escapes, groups, classes, optional characters.
+
+    Empty, so that the regex decides alone, where counts, flags, quoting or nested groups would
+    take a parser to be sure.
+    """
+    if re.search(r"\{|\(\?[^:]|\\[QE]|\([^)]*\(", alternative):
+        return ""
     gap = "\0"
     for piece in (r"\\.[?*+]?", r"\[[^\]]*\][?*+]?", r"\([^)]*\)[?*+]?", r".[?*]", r"[.^$+]"):
         alternative = re.sub(piece, gap, alternative)
@@ -172,6 +180,11 @@ def _tests(pattern: str) -> list[dict[str, str | None]]:
     return [_test(a) for a in _alternatives(pattern)]
 
 
+def _lowered(pattern: str) -> str:
+    """Literal letters in lower case; escapes such as `\\W` and `\\p{L}` keep theirs."""
+    return re.sub(r"\\[pP]\{[^}]*\}|\\.|[^\\]", lambda m: m[0] if m[0][0] == "\\" else m[0].lower(), pattern, flags=re.S)
+
+
 def _folded(pattern: str) -> str:
     """The pattern for accent-folded text, where a letter's accented twin cannot occur."""
     return re.sub(
@@ -239,7 +252,7 @@ def area(
     """
     rules = _rules(
         (
-            {"rank": -i, "area": name, "patterns": [_tests(p.lower()) for p in patterns]}
+            {"rank": -i, "area": name, "patterns": [_tests(_lowered(p)) for p in patterns]}
             for i, (name, patterns) in enumerate(keywords.items())
         ),
         f"rank: int, area: string, patterns: array<array<{TEST}>>",

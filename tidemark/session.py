@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -40,7 +41,7 @@ def shared_folder(spark: SparkSession) -> str:
     if current is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured is None:
-            if not sc.master.startswith("local"):
+            if not re.match(r"local(\[|$)", sc.master):  # local-cluster has other processes
                 raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
             configured = tempfile.mkdtemp(prefix="tidemark-")
         sc.setCheckpointDir(configured)
