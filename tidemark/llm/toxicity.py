@@ -198,11 +198,17 @@ def training_rows(labels: DataFrame, allowed: Column, bound: int = BOUND) -> Dat
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & allowed)
     one = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     one = one.filter("toxic IN (0, 1)")
-    totals = one.groupBy("toxic").agg(F.count(F.lit(1)).alias("all"))
-    order = W.partitionBy("toxic").orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id")
-    chosen = one.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= bound)
+    # the hash falls into 4096 cells in order; only the cell that crosses the bound needs a ranking
+    one = one.withColumn("hash", F.xxhash64("doc_id", F.lit(11))).withColumn("cell", F.shiftright("hash", 52))
+    of_class = W.partitionBy("toxic")
+    cells = one.groupBy("toxic", "cell").agg(F.count(F.lit(1)).alias("n"))
+    cells = cells.withColumn("before", F.sum("n").over(of_class.orderBy("cell")) - F.col("n"))
+    cells = cells.withColumn("all", F.sum("n").over(of_class)).filter(F.col("before") < bound).drop("n")
+    order = W.partitionBy("toxic", "cell").orderBy("hash", "doc_id")
+    reached = one.join(F.broadcast(cells), ["toxic", "cell"])  # at most 4096 rows a class
+    chosen = reached.withColumn("place", F.col("before") + F.row_number().over(order)).filter(F.col("place") <= bound)
     weight = F.col("all") / F.least(F.col("all"), F.lit(bound))
-    return chosen.join(F.broadcast(totals), "toxic").select(  # two rows
+    return chosen.select(
         "doc_id", "toxic", weight.alias("weight"), (F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(4)) == 0).alias("checks")
     )
 
