@@ -142,7 +142,7 @@ def page(spark, sf):
 _FRESH = """SELECT *, GREATEST(COALESCE(published_date, first_seen_date), first_seen_date) AS fresh FROM f2_postings"""
 _SERVED = """
     SELECT *, ROW_NUMBER() OVER (ORDER BY fresh DESC, job_uid) - 1 AS position FROM (
-      SELECT * FROM fresh WHERE fresh >= DATE '2024-05-03' - 90 ORDER BY fresh DESC, job_uid LIMIT 15000)"""
+      SELECT * FROM fresh WHERE fresh >= DATE '2024-05-03' - 90)"""
 
 
 @query("window_filter", oracle("f2_postings", fresh=_FRESH, sql="""

@@ -139,7 +139,6 @@ _BOARD = {
     "company": "CASE WHEN doc_id % 2 = 0 THEN 'Wildlife Studios' ELSE 'Open-Ai' END", "work_model": _PLACE_WORK, "city": "location",
     "country": f"CASE WHEN {_BR.format('location')} THEN 'BR' ELSE location END", "market": _MARKET.format("location"), "description": "''",
 }
-_CAP = " QUALIFY ROW_NUMBER() OVER (PARTITION BY doc_id % 2 ORDER BY doc_id) <= 120"
 _NATIVE = f"CASE WHEN doc_id % 3 <> 0 THEN CAST(doc_id // 2 AS VARCHAR) ELSE {_URL} END"
 _ANY = "doc_id % 4 = 0 OR REGEXP_MATCHES(LOWER(location), 'remote|flexible')"
 
@@ -152,7 +151,7 @@ EXPECTED = {
         market=f"CASE WHEN {_ANY} THEN 'Global remote' ELSE 'Global' END",
         work_model=f"CASE WHEN {_ANY} THEN 'remote' ELSE {_PLACE_WORK} END", levels="CONCAT_WS('|', level_hint, 'Management')"),
     "remotive": _expected(
-        "remotive", _FIRST.format(_NATIVE), native_id=_NATIVE, skills="'t1|t2|t3|t4|t5|t6|t7|t8'"),
+        "remotive", _FIRST.format(_NATIVE), native_id=_NATIVE, skills="'t1|t2|t3|t4|t5|t6|t7|t8|t9|t10'"),
     "jobicy": _expected(
         "jobicy", _FIRST.format("doc_id // 2"), native_id="CAST(doc_id // 2 AS VARCHAR)",
         categories="CASE doc_id % 3 WHEN 0 THEN 'Design|Sales' WHEN 1 THEN 'Finance' ELSE '' END"),
@@ -172,13 +171,13 @@ EXPECTED = {
         "weworkremotely", _FIRST.format("doc_id // 2"), native_id=_URL,
         company="CASE WHEN doc_id % 3 = 0 THEN '' ELSE company END",
         country="CASE WHEN doc_id % 2 = 0 AND location <> '' THEN location ELSE 'Anywhere' END"),
-    "greenhouse": _expected("greenhouse", _CAP, **_BOARD),
+    "greenhouse": _expected("greenhouse", **_BOARD),
     "lever": _expected(
-        "lever", _CAP, **_BOARD | {
+        "lever", **_BOARD | {
             "work_model": f"CASE WHEN doc_id % 3 = 0 THEN 'remote' ELSE {_PLACE_WORK} END", "categories": "COALESCE(category_hint, 'Team')",
             "published_date": f"CASE WHEN doc_id % 2 = 0 THEN CAST({DAY} AS DATE) END"}),
     "ashby": _expected(
-        "ashby", _CAP, **_BOARD | {
+        "ashby", **_BOARD | {
             "native_id": "CASE WHEN doc_id % 2 = 0 THEN CAST(doc_id AS VARCHAR) ELSE 'j' || doc_id END",
             "url": f"CASE WHEN doc_id % 3 = 0 THEN {_URL} ELSE {_URL} || '/apply' END",
             "work_model": f"CASE WHEN doc_id % 5 = 0 THEN 'remote' ELSE {_PLACE_WORK} END",
@@ -210,13 +209,10 @@ def norm_job_schema(spark, sf):
         F.sum(F.length("title")).cast("bigint").alias("title_chars"))
 
 
-# both runs' greenhouse records under the cap, and all of arbeitnow's
+# both runs' records of greenhouse and arbeitnow
 _RUNS = """
     SELECT 'greenhouse' AS source, doc_id, title, '' AS lead, COALESCE(category_hint, '') AS hint, run FROM (
-      SELECT *, 1 AS run FROM f2_roles WHERE doc_id % 3 <> 0
-        QUALIFY ROW_NUMBER() OVER (PARTITION BY doc_id % 2 ORDER BY doc_id) <= 120
-      UNION ALL
-      SELECT *, 2 AS run FROM f2_roles QUALIFY ROW_NUMBER() OVER (PARTITION BY doc_id % 2 ORDER BY doc_id) <= 120)
+      SELECT *, CASE WHEN doc_id % 3 <> 0 THEN 1 ELSE 2 END AS run FROM f2_roles)
     UNION ALL
     SELECT 'arbeitnow', doc_id, title, TRIM(company || ' & more!'), '', CASE WHEN doc_id % 3 <> 0 THEN 1 ELSE 2 END FROM f2_roles"""
 _LABELLED = f"""
@@ -234,8 +230,8 @@ _LABELLED = f"""
 def jobs_run(spark, sf):
     """Landed feeds to an updated base, two runs apart."""
     landed = _landing(spark, sf, "greenhouse").unionByName(_landing(spark, sf, "arbeitnow"))
-    first = jobs_plan.collect(landed.where(F.col("page") % 3 != 0), ["greenhouse", "arbeitnow"])
-    second = jobs_plan.collect(landed, ["greenhouse", "arbeitnow"])
+    first = jobs_plan.collect(landed.where(F.col("page") % 3 != 0), ["greenhouse", "arbeitnow"], {}, None)
+    second = jobs_plan.collect(landed, ["greenhouse", "arbeitnow"], {}, None)
     base = jobs_plan.update_base(jobs_plan.empty_base(spark), first, "2024-05-01")
     return jobs_plan.update_base(base, second, "2024-05-03").groupBy(
         "source", "area", "seniority", "first_seen_date").agg(F.count("*").alias("n_rows"))
@@ -286,7 +282,7 @@ _KEPT = "c_custkey % 8 <> 0 AND c_custkey % 6 <> 0 AND c_custkey % 10 <> 0 AND c
       CAST(-22.5 AS DOUBLE) AS lat, CASE WHEN c_custkey % 5 <> 0 THEN CAST(-47.25 AS DOUBLE) END AS lon,
       CAST(2000 + c_custkey * 131 % 16000 AS BIGINT) AS rent, CASE WHEN c_custkey % 2 = 0 THEN CAST(1250 AS BIGINT) END AS condo_fee,
       CAST(CASE WHEN c_custkey % 3 = 0 THEN 300 ELSE 3600 END AS BIGINT) AS iptu, CAST(50 + c_custkey * 977 % 30000 AS BIGINT) AS total_area,
-      CAST(NULL AS BIGINT) AS usable_area, CAST(NULLIF(c_custkey % 6, 0) AS BIGINT) AS bedrooms, 'p0|p1|p3|p5|p6|p7|p8|p9' AS photos,
+      CAST(NULL AS BIGINT) AS usable_area, CAST(NULLIF(c_custkey % 6, 0) AS BIGINT) AS bedrooms, 'p0|p1|p3|p5|p6|p7|p8|p9|p10' AS photos,
       c_name AS advertiser, DATE '2024-03-04' AS published_date,
       CASE WHEN c_custkey % 4 = 0 THEN 'ZAP' ELSE 'ZAP|VIVAREAL' END AS portals, 'FARM' AS unit_type_raw
     FROM r WHERE {_KEPT}"""))
@@ -313,7 +309,7 @@ def rental_price(spark, sf):
     return _entries(spark, sf).select(page, price.alias("p")).select("page", "p.*")
 
 
-@query("photo_ids", "SELECT c_custkey AS page, 'p0|p1|p3|p5|p6|p7|p8|p9' AS photos FROM customer")
+@query("photo_ids", "SELECT c_custkey AS page, 'p0|p1|p3|p5|p6|p7|p8|p9|p10' AS photos FROM customer")
 def photo_ids(spark, sf):
     ids = rentals.photo_ids(F.col("r.medias"))
     page = F.floor(F.col("ord") / feeds.RECORDS_PER_PAGE).alias("page")

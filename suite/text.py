@@ -34,7 +34,7 @@ def _duck_scrub(expr: str) -> str:
     return out
 
 
-def _duck_strip(expr: str, limit: int, scrub: bool = False) -> str:
+def _duck_strip(expr: str, scrub: bool = False) -> str:
     out = f"REGEXP_REPLACE({expr}, '<[^>]+>', ' ', 'g')"
     # these names also count without their semicolon, as cut-off pages have them
     for name, char in (("quot", '"'), ("middot", "·"), ("copy", "©"), ("lt", "<"), ("gt", ">"), ("amp", "&")):
@@ -42,17 +42,17 @@ def _duck_strip(expr: str, limit: int, scrub: bool = False) -> str:
     if scrub:
         out = _duck_scrub(out)
     out = f"REGEXP_REPLACE({out}, '{_SP}{{2,}}', ' ', 'g')"
-    return f"SUBSTRING(REGEXP_REPLACE({out}, '^{_SP}+|{_SP}+$', '', 'g'), 1, {limit})"
+    return f"REGEXP_REPLACE({out}, '^{_SP}+|{_SP}+$', '', 'g')"
 
 
-@query("strip_html", f"SELECT page_id, {_duck_strip('html', 6000)} AS body FROM pages")
+@query("strip_html", f"SELECT page_id, {_duck_strip('html')} AS body FROM pages")
 def strip_html(spark, sf):
     return table(spark, sf, "pages").select("page_id", text.strip_html(F.col("html")).alias("body"))
 
 
-@query("strip_html_scrubbed", f"SELECT page_id, {_duck_strip('html', 4000, True)} AS body FROM pages")
+@query("strip_html_scrubbed", f"SELECT page_id, {_duck_strip('html', True)} AS body FROM pages")
 def strip_html_scrubbed(spark, sf):
-    body = text.strip_html(F.col("html"), text.LISTING_LIMIT, scrub=True)
+    body = text.strip_html(F.col("html"), scrub=True)
     return table(spark, sf, "pages").select("page_id", body.alias("body"))
 
 
@@ -251,7 +251,7 @@ def _duck_area(keywords: dict, title: str, lead: str | None) -> str:
 
 
 _AREA_ROWS = f"""SELECT doc_id, category_hint, {_duck_area(taxonomy.AREA_KEYWORDS, 'padded', 'lead')} AS best FROM (
-    SELECT *, ' ' || title || ' ' AS padded, SUBSTRING(text, 1, 500) AS lead FROM f2_roles)"""
+    SELECT *, ' ' || title || ' ' AS padded, text AS lead FROM f2_roles)"""
 
 
 @query("area", oracle("f2_roles", b=_AREA_ROWS, sql="""
@@ -334,7 +334,7 @@ def _duck_feature(label: str) -> str:
 
 @query("features", oracle("f5_texts", sql=f"""
     SELECT doc_id, CONCAT_WS('|', {', '.join(_duck_feature(f) for f in taxonomy.FEATURE_ORDER)}) AS features FROM (
-      SELECT *, {_duck_fold('title')} || ' ' || SUBSTRING({_duck_fold('description')}, 1, 2500) AS folded FROM f5_texts)"""))
+      SELECT *, {_duck_fold('title')} || ' ' || {_duck_fold('description')} AS folded FROM f5_texts)"""))
 def features(spark, sf):
     amenities = F.array_compact(F.array("amenity_1", "amenity_2"))
     found = taxonomy.features(F.col("title"), F.col("description"), amenities)

@@ -12,7 +12,7 @@ VIEWS = {
         FROM lineitem GROUP BY l_returnflag, CAST(l_shipdate AS DATE)""",
     "f2_postings": """
         SELECT CONCAT(source, ':', CAST(doc_id AS STRING)) AS job_uid, doc_id, source,
-          SUBSTR(SPLIT_PART(text, CHR(10), 1), 1, 120) AS title,
+          SPLIT_PART(text, CHR(10), 1) AS title,
           CONCAT('Company ', CAST(doc_id % 37 AS STRING)) AS company,
           lang AS market, text AS description,
           CASE WHEN doc_id % 13 = 0 THEN NULL
@@ -35,7 +35,7 @@ VIEWS = {
             WHEN 18 THEN 'Remote Jr. Engineer 2' WHEN 19 THEN 'Analista de BI / Power BI'
             WHEN 20 THEN '.NET developer' WHEN 21 THEN 'Talent Partner, People Ops'
             WHEN 22 THEN 'VP Finance' ELSE 'Suporte Home Office' END,
-            CASE WHEN doc_id % 5 = 0 THEN CONCAT(' - ', SUBSTR(SPLIT_PART(text, CHR(10), 1), 1, 40))
+            CASE WHEN doc_id % 5 = 0 THEN CONCAT(' - ', SPLIT_PART(text, CHR(10), 1))
                  ELSE '' END) AS title,
           CASE doc_id % 6 WHEN 0 THEN 'Ação S.A.' WHEN 1 THEN 'Acme' WHEN 2 THEN 'Müller & Söhne'
             WHEN 3 THEN 'Pleno Sistemas' WHEN 4 THEN '' ELSE CONCAT('Company ', CAST(doc_id % 37 AS STRING)) END AS company,

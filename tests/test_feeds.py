@@ -55,7 +55,9 @@ def test_themuse(spark):
 def test_remotive_and_jobicy(spark):
     rows = records(spark, "remotive", {"jobs": [{"url": "u", "tags": ["", *"abcdefghij"]}, {"id": "u"}, {"id": 9, "category": "Data"}]})
     assert [r["native_id"] for r in rows] == ["u", "9"]
-    some(rows[0], skills=list("abcdefgh"), categories=[])
+    some(rows[0], skills=list("abcdefghij"), categories=[])
+    capped = jobs.normalise(landed(spark, "remotive", {"jobs": [{"url": "u", "tags": ["", *"abcdefghij"]}]}), "remotive", max_tags=8)
+    assert capped.first().skills == list("abcdefgh")
     some(rows[1], categories=["Data"])
     rows = records(spark, "jobicy", {"jobs": [{"id": 1, "jobIndustry": ["A", "B"]}, {"id": 2, "jobIndustry": "C"}, {"id": 3}]})
     assert [r["categories"] for r in rows] == [["A", "B"], ["C"], []]
@@ -94,7 +96,9 @@ def test_company_boards(spark):
     gh = {"jobs": [{"id": i, "title": "T", "location": {"name": "São Paulo"}, "departments": [{"name": "D"}, {"name": ""}], "first_published": "2024-02-03"}
                    for i in range(130)]}
     rows = records(spark, "greenhouse", gh, slug="wildlifestudios")
-    assert [r["native_id"] for r in rows] == [str(i) for i in range(120)]
+    assert [r["native_id"] for r in rows] == [str(i) for i in range(130)]
+    capped = jobs.normalise(landed(spark, "greenhouse", gh, slug="wildlifestudios"), "greenhouse", cap=120)
+    assert [r.native_id for r in capped.orderBy("ord").collect()] == [str(i) for i in range(120)]
     some(rows[0], company="Wildlife Studios", country="BR", market="BR", city="São Paulo", categories=["D"], published_date=date(2024, 2, 3))
     lever = [{"id": "x", "text": "T", "createdAt": 1700000000000, "categories": {"location": "Berlin", "commitment": "Remote", "team": "Ops"}}, {"id": "y"}]
     first, second = records(spark, "lever", lever)

@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import constant_map, fold_accents, let
+from tidemark.functions.text import constant_map, fold_accents, let, start_of
 
 # Labels and patterns the classification must agree with.
 SENIORITY_PATTERNS = (
@@ -72,7 +72,6 @@ CATEGORY_LABELS = {
     "all others": "other", "business": "other", "management": "other",
 }
 TITLE_WEIGHT, DESCRIPTION_WEIGHT, AREA_MIN_SCORE = 3, 1, 3
-AREA_DESCRIPTION_LENGTH = 500
 NO_AREA = "other"
 
 UNIT_TYPE_LABELS = {
@@ -125,7 +124,6 @@ FEATURE_ORDER = (
     "Casa de caseiro", "Pomar", "Baias ou haras", "Campo ou quadra", "Lareira", "Mobiliada",
     "Segurança", "Internet", "Ar-condicionado", "Energia solar", "Heliponto",
 )
-FEATURE_TEXT_LENGTH = 2500
 
 # Install signatures of the nine trackers, from their public setup snippets.
 PIXEL_SIGNATURES = {
@@ -245,10 +243,12 @@ def area(
     categories: Column | None = None,
     keywords: dict[str, tuple[str, ...]] = AREA_KEYWORDS,
     category_labels: dict[str, str] = CATEGORY_LABELS,
+    description_length: int | None = None,
 ) -> Column:
     """Structured category first; else the best-scoring keyword area, ties to the earlier one.
 
-    A pattern counts once per text, however many of its alternatives occur.
+    A pattern counts once per text, however many of its alternatives occur. Of the description
+    the first `description_length` characters count, or all of it.
     """
     rules = _rules(
         (
@@ -260,7 +260,7 @@ def area(
     padded = F.concat(F.lit(" "), F.coalesce(title, F.lit("")), F.lit(" "))
     texts = [F.lower(padded).alias("title")]
     if description is not None:
-        lead = F.substring(F.coalesce(description, F.lit("")), 1, AREA_DESCRIPTION_LENGTH)
+        lead = start_of(F.coalesce(description, F.lit("")), description_length)
         texts.append(F.lower(lead).alias("lead"))
 
     def hits(text: Column, patterns: Column) -> Column:
@@ -291,8 +291,8 @@ def property_type(title: Column, unit_type: Column) -> Column:
     return F.coalesce(_first_label(fold_accents(title), rules), by_unit, F.lit(DEFAULT_PROPERTY_TYPE))
 
 
-def features(title: Column, description: Column, amenities: Column) -> Column:
-    """Amenity labels found in the portal's list or the text, in display order."""
+def features(title: Column, description: Column, amenities: Column, text_length: int | None = None) -> Column:
+    """Amenity labels found in the portal's list or the text (its start, if cut), in display order."""
     rules = _rules(
         (
             {
@@ -304,10 +304,7 @@ def features(title: Column, description: Column, amenities: Column) -> Column:
         ),
         f"label: string, codes: array<string>, tests: array<{TEST}>",
     )
-    text = F.concat(
-        fold_accents(title), F.lit(" "),
-        F.substring(fold_accents(description), 1, FEATURE_TEXT_LENGTH),
-    )
+    text = F.concat(fold_accents(title), F.lit(" "), start_of(fold_accents(description), text_length))
     listed = F.transform(
         F.coalesce(amenities, F.array().cast("array<string>")),
         lambda a: F.upper(F.coalesce(a, F.lit(""))),

@@ -27,8 +27,6 @@ PHONE = (
 )
 LINK_START = r"(?i)https?://|www\."
 PHONE_CORE = r"\p{Nd}{4}[\s\x{85}\p{Z}.-]?\p{Nd}{4}"
-POSTING_LIMIT = 6000
-LISTING_LIMIT = 4000
 SNIPPET_LENGTH = 400
 MAX_SKILLS = 6
 
@@ -105,14 +103,19 @@ def scrub_contacts(text: Column) -> Column:
     return out
 
 
-def strip_html(text: Column, limit: int = POSTING_LIMIT, scrub: bool = False) -> Column:
-    """Tags to blanks, entities decoded, optional masking, whitespace runs collapsed, cut."""
+def start_of(text: Column, length: int | None) -> Column:
+    """The first `length` characters, or all."""
+    return text if length is None else F.substring(text, 1, length)
+
+
+def strip_html(text: Column, limit: int | None = None, scrub: bool = False) -> Column:
+    """Tags to blanks, entities decoded, optional masking, whitespace runs collapsed; cut if a limit is given."""
     out = F.regexp_replace(F.coalesce(text, F.lit("")), TAG, " ")
     out = unescape_entities(out)
     if scrub:
         out = scrub_contacts(out)
     out = F.regexp_replace(out, rf"(?U){SPACE}{{2,}}", " ")
-    return F.substring(trim_space(out), 1, limit)
+    return start_of(trim_space(out), limit)
 
 
 @lru_cache(maxsize=1)

@@ -43,12 +43,12 @@ def merge_duplicates(
     )
 
 
-def classify_listing(rows: DataFrame) -> DataFrame:
-    """Adds property type, features, match flag and rent per square metre."""
+def classify_listing(rows: DataFrame, text_length: int | None = None) -> DataFrame:
+    """Adds property type, features (of the whole text, if not cut), match flag and rent per square metre."""
     rent, land = F.col("rent"), F.col("total_area")
     return rows.withColumns({
         "property_type": taxonomy.property_type(F.col("title"), F.col("unit_type_raw")),
-        "features": taxonomy.features(F.col("title"), F.col("description"), F.col("amenities_raw")),
+        "features": taxonomy.features(F.col("title"), F.col("description"), F.col("amenities_raw"), text_length),
         "is_match": scores.is_match(rent, land),
         "price_per_m2": scores.price_per_m2(rent, land),
     })

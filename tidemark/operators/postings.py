@@ -12,10 +12,11 @@ from tidemark.functions.keys import job_dedupe_key, job_uid
 from tidemark.functions.text import skills_join, snippet
 
 
-def classify_job(jobs: DataFrame) -> DataFrame:
-    """Adds area and seniority."""
+def classify_job(jobs: DataFrame, description_length: int | None = None) -> DataFrame:
+    """Adds area and seniority; `description_length` characters of the description count, or all."""
     return jobs.withColumns({
-        "area": taxonomy.area(F.col("title"), F.col("description"), F.col("categories")),
+        "area": taxonomy.area(
+            F.col("title"), F.col("description"), F.col("categories"), description_length=description_length),
         "seniority": taxonomy.seniority(F.col("title"), F.col("levels")),
     })
 

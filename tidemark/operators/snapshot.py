@@ -13,7 +13,7 @@ from tidemark.operators.lookup import sized
 from tidemark.operators.ordering import with_position
 from tidemark.session import settle
 
-# Served window, row and size caps.
+# Served window, and the row and size caps that the daily runs pass.
 WINDOW_DAYS, MAX_POSTINGS = 90, 15_000
 MAX_POSTINGS_MB, MAX_LISTINGS_MB = 9, 4
 BYTES_PER_MB = 1_048_576
@@ -47,7 +47,7 @@ def _numbered(first_seen: DataFrame) -> DataFrame:
 def _entry_counts(dictionary: DataFrame) -> dict[str, int]:
     """Entries per dictionary column; as many rows as encoded columns."""
     counts = dictionary.groupBy("column").agg(F.count("*").alias("n"))
-    return {r.column: r.n for r in counts.take(1000)}
+    return {r.column: r.n for r in counts.toLocalIterator()}
 
 
 def dictionary_encode(df: DataFrame, order: str, codes: dict[str, str]) -> Snapshot:
@@ -112,7 +112,7 @@ def window_filter(base: DataFrame, today: str, days: int = WINDOW_DAYS) -> DataF
     return base.where(freshness() >= days_before(today, days))
 
 
-def snapshot_limit(base: DataFrame, limit: int = MAX_POSTINGS) -> DataFrame:
+def snapshot_limit(base: DataFrame, limit: int) -> DataFrame:
     """The freshest rows."""
     return base.orderBy(freshness().desc(), "job_uid").limit(limit)
 
@@ -123,16 +123,18 @@ def base_totals(base: DataFrame, today: str, days: int = WINDOW_DAYS) -> DataFra
 
 
 def serve_postings(
-    base: DataFrame, today: str, days: int = WINDOW_DAYS, limit: int = MAX_POSTINGS
+    base: DataFrame, today: str, days: int = WINDOW_DAYS, limit: int | None = None
 ) -> DataFrame:
     """The served rows with portal counts (over the served rows only) and their position."""
-    served = snapshot_limit(window_filter(base, today, days), limit)
+    served = window_filter(base, today, days)
+    if limit is not None:
+        served = snapshot_limit(served, limit)
     placed = with_position(served, [freshness().desc(), F.col("job_uid")], POSITION)
     return listings.attach_portal_count(placed)
 
 
 def snapshot_postings(
-    base: DataFrame, today: str, days: int = WINDOW_DAYS, limit: int = MAX_POSTINGS
+    base: DataFrame, today: str, days: int = WINDOW_DAYS, limit: int | None = None
 ) -> Snapshot:
     served = serve_postings(base, today, days, limit)
     seen = F.col("first_seen_date")

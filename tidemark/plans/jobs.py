@@ -17,14 +17,25 @@ BASE_SCHEMA = (
 )
 
 
+# What a daily run keeps of each source and each posting.
+FEED_LIMITS = {
+    "remotive": {"max_tags": 8}, "remoteok": {"max_tags": 8}, "himalayas": {"max_tags": 8}, "arbeitnow": {"max_tags": 8},
+    "greenhouse": {"cap": 120}, "lever": {"cap": 120}, "ashby": {"cap": 120},
+}
+CLASSIFIED_LENGTH = 500
+
+
 def empty_base(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], BASE_SCHEMA)
 
 
-def collect(landing: DataFrame, feeds: list[str] | None = None) -> DataFrame:
-    """The run's postings, normalised, classified and keyed."""
-    rows = union_sources([jobs.normalise(landing, f) for f in feeds or jobs.ADAPTERS])
-    return to_base_rows(classify_job(rows))
+def collect(
+    landing: DataFrame, feeds: list[str] | None = None, limits: dict[str, dict[str, int]] = FEED_LIMITS,
+    classified_length: int | None = CLASSIFIED_LENGTH,
+) -> DataFrame:
+    """The run's postings, normalised, classified and keyed; `limits={}` and None keep all."""
+    rows = union_sources([jobs.normalise(landing, f, **limits.get(f, {})) for f in feeds or jobs.ADAPTERS])
+    return to_base_rows(classify_job(rows, classified_length))
 
 
 def update_base(base: DataFrame, batch: DataFrame, today: str) -> DataFrame:
@@ -37,6 +48,6 @@ def update_base(base: DataFrame, batch: DataFrame, today: str) -> DataFrame:
 
 def serve(base: DataFrame, today: str) -> snapshot.Snapshot:
     """The freshest postings, encoded, within the size cap."""
-    shot = snapshot.snapshot_postings(base, today)
+    shot = snapshot.snapshot_postings(base, today, limit=snapshot.MAX_POSTINGS)
     snapshot.size_guard(shot.rows, snapshot.MAX_POSTINGS_MB)
     return shot

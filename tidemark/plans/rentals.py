@@ -20,6 +20,10 @@ BASE_COLUMNS = (
 )
 
 
+# What a daily run keeps of a listing.
+MAX_PHOTOS, FEATURE_TEXT_LENGTH = 8, 2500
+
+
 @dataclass(frozen=True)
 class RentalsRun:
     batch: DataFrame
@@ -33,14 +37,14 @@ def collect(landing: DataFrame, stored: DataFrame | None = None, endpoint: str =
     Normalised rows are settled once: the centroids and the rows both read them.
     Saved centroids come from the kept rows, filled ones included.
     """
-    rows = rentals.normalise(landing, endpoint)
+    rows = rentals.normalise(landing, endpoint, MAX_PHOTOS)
     merged = settle(listings.merge_duplicates(
         rows, ["source", "native_id"], "portals", F.size("photos"), "ord"
     ))
     current = geo.city_centroids(merged)
     known = current if stored is None else geo.upsert_centroids(stored, current)
     located = geo.locate(merged, known)
-    kept = listings.with_identity(listings.classify_listing(geo.within_radius(located)))
+    kept = listings.with_identity(listings.classify_listing(geo.within_radius(located), FEATURE_TEXT_LENGTH))
     batch = kept.withColumn("description", snippet(F.col("description")))
     kept_centroids = geo.city_centroids(batch)
     saved = kept_centroids if stored is None else geo.upsert_centroids(stored, kept_centroids)

@@ -15,9 +15,7 @@ from tidemark.operators.ordering import cap_per_key, first_per_key
 from tidemark.operators.postings import union_sources
 from tidemark.sources.feeds import unpack
 
-# Caps and the market of the remote boards.
-MAX_TAGS = 8
-PER_COMPANY = 120
+# Fixed value: the market of the remote boards.
 REMOTE_MARKET = "Global remote"
 
 TEXT_COLUMNS = ("source", "native_id", "title", "company", "url", "work_model", "city", "state",
@@ -108,14 +106,14 @@ def themuse(records: DataFrame) -> DataFrame:
     ))
 
 
-def remotive(records: DataFrame) -> DataFrame:
+def remotive(records: DataFrame, max_tags: int | None = None) -> DataFrame:
     r = F.col("r")
     native = _either(r["id"], r["url"])
     return _first_by(records, native).select(job_columns(
         "remotive", native_id=native, title=r["title"], company=r["company_name"], url=r["url"],
         work_model=F.lit("remote"), country=r["candidate_required_location"],
         market=F.lit(REMOTE_MARKET), published_date=feed_date(r["publication_date"]),
-        skills=_filled(r["tags"], MAX_TAGS), description=strip_html(r["description"]),
+        skills=_filled(r["tags"], max_tags), description=strip_html(r["description"]),
         categories=_one(r["category"]),
     ))
 
@@ -131,7 +129,7 @@ def jobicy(records: DataFrame) -> DataFrame:
     ))
 
 
-def remoteok(records: DataFrame) -> DataFrame:
+def remoteok(records: DataFrame, max_tags: int | None = None) -> DataFrame:
     r = F.col("r")
     low, high = none_if_zero(r["salary_min"]), none_if_zero(r["salary_max"])
     own = F.concat(F.lit("https://remoteok.com/remote-jobs/"), r["id"])
@@ -141,12 +139,12 @@ def remoteok(records: DataFrame) -> DataFrame:
         url=_either(r["url"], own), work_model=F.lit("remote"), market=F.lit(REMOTE_MARKET),
         salary_min=low, salary_max=high,
         salary_currency=F.when(low.isNotNull() | high.isNotNull(), "USD"),
-        published_date=feed_date(r["date"]), skills=_filled(r["tags"], MAX_TAGS),
+        published_date=feed_date(r["date"]), skills=_filled(r["tags"], max_tags),
         description=strip_html(r["description"]),
     ))
 
 
-def himalayas(records: DataFrame) -> DataFrame:
+def himalayas(records: DataFrame, max_tags: int | None = None) -> DataFrame:
     r = F.col("r")
     limits = r["locationRestrictions"]
     joined = F.when(
@@ -156,7 +154,7 @@ def himalayas(records: DataFrame) -> DataFrame:
         "himalayas", native_id=_either(r["guid"], r["title"]), title=r["title"],
         company=r["companyName"], url=_either(r["applicationLink"], r["guid"]),
         work_model=F.lit("remote"), country=joined, market=F.lit(REMOTE_MARKET),
-        published_date=feed_date(r["pubDate"]), skills=_filled(r["categories"], MAX_TAGS),
+        published_date=feed_date(r["pubDate"]), skills=_filled(r["categories"], max_tags),
         description=strip_html(r["excerpt"]),
     ))
 
@@ -171,14 +169,14 @@ def workingnomads(records: DataFrame) -> DataFrame:
     ))
 
 
-def arbeitnow(records: DataFrame) -> DataFrame:
+def arbeitnow(records: DataFrame, max_tags: int | None = None) -> DataFrame:
     r = F.col("r")
     return records.select(job_columns(
         "arbeitnow", native_id=_either(r["slug"], r["url"]), title=r["title"],
         company=r["company_name"], url=r["url"],
         work_model=labels.work_model_label(r["location"], r["remote"]), country=r["location"],
         market=F.lit(REMOTE_MARKET), published_date=feed_date(r["created_at"]),
-        skills=_filled(r["tags"], MAX_TAGS), description=strip_html(r["description"]),
+        skills=_filled(r["tags"], max_tags), description=strip_html(r["description"]),
     ))
 
 
@@ -197,11 +195,11 @@ def weworkremotely(records: DataFrame) -> DataFrame:
     ))
 
 
-def _capped(records: DataFrame, cap: int) -> DataFrame:
-    return cap_per_key(records, ["company_slug"], "ord", cap)
+def _capped(records: DataFrame, cap: int | None) -> DataFrame:
+    return records if cap is None else cap_per_key(records, ["company_slug"], "ord", cap)
 
 
-def greenhouse(records: DataFrame, cap: int = PER_COMPANY) -> DataFrame:
+def greenhouse(records: DataFrame, cap: int | None = None) -> DataFrame:
     r = F.col("r")
     place = F.coalesce(r["location"]["name"], F.lit(""))
     return _capped(records, cap).select(job_columns(
@@ -214,7 +212,7 @@ def greenhouse(records: DataFrame, cap: int = PER_COMPANY) -> DataFrame:
     ))
 
 
-def lever(records: DataFrame, cap: int = PER_COMPANY, epoch_unit: str = "s") -> DataFrame:
+def lever(records: DataFrame, cap: int | None = None, epoch_unit: str = "s") -> DataFrame:
     r = F.col("r")
     hints = r["categories"]
     place = F.coalesce(hints["location"], F.lit(""))
@@ -231,7 +229,7 @@ def lever(records: DataFrame, cap: int = PER_COMPANY, epoch_unit: str = "s") ->
     ))
 
 
-def ashby(records: DataFrame, cap: int = PER_COMPANY) -> DataFrame:
+def ashby(records: DataFrame, cap: int | None = None) -> DataFrame:
     r = F.col("r")
     place = F.coalesce(_either(r["location"], r["locationName"]), F.lit(""))
     remote = F.coalesce(r["isRemote"], F.lit(False))
@@ -247,7 +245,7 @@ def ashby(records: DataFrame, cap: int = PER_COMPANY) -> DataFrame:
     ))
 
 
-ADAPTERS: dict[str, Callable[[DataFrame], DataFrame]] = {
+ADAPTERS: dict[str, Callable[..., DataFrame]] = {
     "gupy": gupy, "themuse": themuse, "remotive": remotive, "jobicy": jobicy,
     "remoteok": remoteok, "himalayas": himalayas, "workingnomads": workingnomads,
     "arbeitnow": arbeitnow, "weworkremotely": weworkremotely, "greenhouse": greenhouse,
@@ -255,8 +253,9 @@ ADAPTERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def normalise(landing: DataFrame, feed: str) -> DataFrame:
-    return ADAPTERS[feed](unpack(landing, feed))
+def normalise(landing: DataFrame, feed: str, **limits: int) -> DataFrame:
+    """One feed's postings; whole, unless its adapter is given a limit."""
+    return ADAPTERS[feed](unpack(landing, feed), **limits)
 
 
 def normalise_all(landing: DataFrame) -> DataFrame:

@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import feed_date
 from tidemark.functions.numbers import as_int, first_int
-from tidemark.functions.text import LISTING_LIMIT, strip_html, trim_space
+from tidemark.functions.text import strip_html, trim_space
 from tidemark.operators.ordering import first_per_key
 from tidemark.sources.feeds import unpack
 
 # Source name, sites per endpoint, photo limits, tags and periods.
 SOURCE = "grupozap"
 SITES = {"vivareal": "https://www.vivareal.com.br", "zap": "https://www.zapimoveis.com.br"}
-MAX_PHOTOS, MAX_PHOTO_ID = 8, 40
+MAX_PHOTO_ID = 40
 RENTAL, MONTHLY, RESIDENTIAL, ACTIVE, IMAGE = "RENTAL", "MONTHLY", "RESIDENTIAL", "ACTIVE", "IMAGE"
 VIVAREAL = "VIVAREAL"
 
@@ -38,15 +38,15 @@ def rental_price(pricing: Column) -> Column:
     )
 
 
-def photo_ids(medias: Column) -> Column:
-    """Ids of the first image media; other media and malformed ids are skipped."""
+def photo_ids(medias: Column, limit: int | None = None) -> Column:
+    """Ids of the image media, all or the first few; other media and malformed ids are skipped."""
 
     def usable(m: Column) -> Column:
         kind_ok = _blank(m["type"]) | (m["type"] == IMAGE)
         return kind_ok & m["id"].rlike(r"\A[\p{L}\p{N}]{1," + str(MAX_PHOTO_ID) + r"}\z")
 
     images = F.filter(medias, usable)
-    ids = F.transform(F.slice(images, 1, MAX_PHOTOS), lambda m: m["id"])
+    ids = F.transform(images if limit is None else F.slice(images, 1, limit), lambda m: m["id"])
     return F.coalesce(ids, F.array().cast("array<string>"))
 
 
@@ -62,7 +62,7 @@ def canonical_url(listing_id: Column, portals: Column, endpoint: str) -> Column:
     return F.concat(site, F.lit("/imovel/id-"), listing_id, F.lit("/"))
 
 
-def normalise(landing: DataFrame, endpoint: str = "vivareal") -> DataFrame:
+def normalise(landing: DataFrame, endpoint: str = "vivareal", max_photos: int | None = None) -> DataFrame:
     """Listings of one endpoint: first record per id, active, residential, with a monthly rent."""
     entry = F.col("r.listing")
     records = unpack(landing, "rentals").where(~_blank(entry["id"]))
@@ -86,7 +86,7 @@ def normalise(landing: DataFrame, endpoint: str = "vivareal") -> DataFrame:
         entry["id"].alias("native_id"),
         text(entry["title"]).alias("title"),
         canonical_url(entry["id"], portals, endpoint).alias("url"),
-        strip_html(entry["description"], LISTING_LIMIT, scrub=True).alias("description"),
+        strip_html(entry["description"], scrub=True).alias("description"),
         text(entry["address"]["city"]).alias("city"),
         text(entry["address"]["state"]).alias("state"),
         entry["displayAddressGeolocation"]["lat"].try_cast("double").alias("lat"),
@@ -99,7 +99,7 @@ def normalise(landing: DataFrame, endpoint: str = "vivareal") -> DataFrame:
         first_int(entry["bathrooms"]).alias("bathrooms"),
         first_int(entry["parkingSpaces"]).alias("parking"),
         F.coalesce(amenities, entry["amenities"], F.array().cast("array<string>")).alias("amenities_raw"),
-        photo_ids(F.col("r.medias")).alias("photos"),
+        photo_ids(F.col("r.medias"), max_photos).alias("photos"),
         text(F.col("r.account.name")).alias("advertiser"),
         feed_date(entry["createdAt"]).alias("published_date"),
         F.coalesce(F.get(entry["unitTypes"], F.lit(0)), F.lit("")).alias("unit_type_raw"),
