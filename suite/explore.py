@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from suite.registry import half_up, oracle, query, view
+from suite.text import _duck_key
+from tidemark.functions import keys
 from tidemark.operators import explore, snapshot
 from tidemark.operators.ordering import page_slice, with_position
 
@@ -167,7 +169,6 @@ def base_totals(spark, sf):
 
 def _base(spark, sf):
     """f2_postings in the shape of the postings base."""
-    first_words = F.substring(F.lower("title"), 1, 12)
     return _postings(spark, sf).select(
         "job_uid", "source", "title", "company", F.concat(F.lit("area "), F.col("doc_id") % 5).alias("area"),
         F.when(F.col("doc_id") % 3 == 0, "senior").otherwise("").alias("seniority"),
@@ -176,15 +177,16 @@ def _base(spark, sf):
         F.when(F.col("doc_id") % 10 == 0, F.lit(0.0)).otherwise(F.col("doc_id") * 10.5).alias("salary_min"),
         F.lit(None).cast("double").alias("salary_max"), "published_date", "first_seen_date",
         F.concat(F.lit("https://example.com/"), F.col("doc_id")).alias("url"), F.lit("a · b").alias("skills"),
-        first_words.alias("dedupe_key"))
+        keys.job_dedupe_key(F.col("title"), F.col("company")).alias("dedupe_key"))
 
 
+_KEY = f"{_duck_key('title')} || '|' || {_duck_key('company')}"
 _DUCK_BASE = """
     SELECT job_uid, source, title, company, 'area ' || doc_id % 5 AS area,
       CASE WHEN doc_id % 3 = 0 THEN 'senior' ELSE '' END AS seniority,
       CASE WHEN doc_id % 4 = 0 THEN '' ELSE 'remote' END AS work_model, UPPER(market) AS country, market,
       CASE WHEN doc_id % 10 = 0 OR doc_id = 0 THEN NULL ELSE CAST(ROUND(doc_id * 10.5) AS BIGINT) END AS smin,
-      published_date, first_seen_date, 'https://example.com/' || doc_id AS url, SUBSTR(LOWER(title), 1, 12) AS dk,
+      published_date, first_seen_date, 'https://example.com/' || doc_id AS url, """ + _KEY + """ AS dk,
       position FROM served"""
 _CODES = " UNION ALL ".join(
     f"""SELECT '{c}' AS col, {c} AS value, ROW_NUMBER() OVER (ORDER BY MIN(position)) - 1 AS code
@@ -203,7 +205,7 @@ def snapshot_jobs(spark, sf):
 
 
 @query("portal_count", oracle("f2_postings", sql="""
-    SELECT SUBSTR(LOWER(title), 1, 12) AS dedupe_key, CAST(COUNT(DISTINCT source) AS BIGINT) AS n_portals
+    SELECT """ + _KEY + """ AS dedupe_key, CAST(COUNT(DISTINCT source) AS BIGINT) AS n_portals
     FROM f2_postings GROUP BY 1"""))
 def portal_count(spark, sf):
     return snapshot.listings.portal_count(_base(spark, sf))

@@ -209,6 +209,38 @@ def norm_job_schema(spark, sf):
         F.sum(F.length("title")).cast("bigint").alias("title_chars"))
 
 
+def _damaged(spark, sf) -> DataFrame:
+    """Pages cut off, blank or of another shape by key, several records on others; all of lever's are cut off."""
+    n = F.col("page")
+    cut = F.expr("substring(body, 1, length(body) - 3)")
+    whole = F.when(n % 5 == 0, F.regexp_replace("body", r"(?s)\A(\{\"\w+\":\[)(.*)(\]\})\z", "$1$2,$2$3")).otherwise(F.col("body"))
+    body = (F.when(n % 7 == 0, cut).when(n % 11 == 0, " ").when(n % 13 == 0, '{"other":[]}').otherwise(whole))
+    bodies = [_landing(spark, sf, feed).withColumn("body", body) for feed in ("gupy", "arbeitnow")]
+    return postings.union_sources([*bodies, _landing(spark, sf, "lever").withColumn("body", cut)])
+
+
+_FAULT = """CASE WHEN doc_id % 7 = 0 THEN 'unreadable' WHEN doc_id % 11 = 0 THEN 'empty'
+      WHEN doc_id % 13 = 0 THEN 'no records field' END"""
+
+
+@query("feed_report", f"""
+    SELECT feed, CAST(COUNT(*) AS BIGINT) AS n_pages, CAST(COUNT(fault) AS BIGINT) AS n_lost,
+      CAST(SUM(CASE WHEN fault IS NOT NULL THEN 0 WHEN doc_id % 5 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS n_records,
+      COUNT(*) = COUNT(fault) AS failed
+    FROM (SELECT 'gupy' AS feed, doc_id, {_FAULT} AS fault FROM documents
+      UNION ALL SELECT 'arbeitnow', doc_id, {_FAULT} FROM documents
+      UNION ALL SELECT 'lever', doc_id, 'unreadable' FROM documents) GROUP BY feed""")
+def feed_report(spark, sf):
+    return feeds.feed_report(_damaged(spark, sf), ["gupy", "arbeitnow", "lever"])
+
+
+@query("lost_pages", f"""
+    SELECT 'gupy' AS feed, CASE WHEN doc_id % 2 = 0 THEN 'wildlifestudios' ELSE 'open-ai' END AS company_slug, doc_id AS page,
+      {_FAULT} AS reason FROM documents WHERE doc_id % 7 = 0 OR doc_id % 11 = 0 OR doc_id % 13 = 0""")
+def lost_pages(spark, sf):
+    return feeds.lost_pages(_damaged(spark, sf), "gupy")
+
+
 # both runs' records of greenhouse and arbeitnow
 _RUNS = """
     SELECT 'greenhouse' AS source, doc_id, title, '' AS lead, COALESCE(category_hint, '') AS hint, run FROM (

@@ -39,8 +39,14 @@ def test_gupy(spark):
     some(second, native_id="2", title="", work_model="hybrid", published_date=None)
 
 
-def test_a_broken_page_does_not_stop_the_feed(spark):
-    assert [r["native_id"] for r in records(spark, "gupy", "{oops", {"data": [{"id": 5}]}, {"other": 1}, "")] == ["5"]
+def test_a_broken_page_does_not_stop_the_feed_and_is_counted(spark):
+    pages = ("{oops", {"data": [{"id": 5}, {"id": 6}]}, {"other": 1}, "", '{"data":[{"id":7}', {"data": []})
+    assert [r["native_id"] for r in records(spark, "gupy", *pages)] == ["5", "6"]
+    landing = landed(spark, "gupy", *pages).unionByName(landed(spark, "lever", "nothing"))
+    lost = {r.page: r.reason for r in feeds.lost_pages(landing, "gupy").collect()}
+    assert lost == {0: "unreadable", 2: "no records field", 3: "empty", 4: "unreadable"}
+    report = {r.feed: tuple(r)[1:] for r in feeds.feed_report(landing, ["gupy", "lever", "ashby"]).collect()}
+    assert report == {"gupy": (6, 4, 2, False), "lever": (1, 1, 0, True), "ashby": (0, 0, 0, True)}
 
 
 def test_themuse(spark):

@@ -8,8 +8,9 @@ to mix types, because the reader turns any JSON value into its text.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LANDING_SCHEMA = "feed string, company_slug string, page bigint, body string"
@@ -92,21 +93,62 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LANDING_SCHEMA).json(path)
 
 
+def _records(feed: str) -> Column:
+    """The page's records; NULL where it does not parse or lacks the feed's envelope."""
+    spec = FEEDS[feed]
+    listed = f"array<struct<{spec.fields}>>"
+    if spec.xml:
+        return F.from_xml("body", f"{spec.envelope} struct<item {listed}>")[spec.envelope]["item"]
+    if spec.envelope:
+        return F.from_json("body", f"{spec.envelope} {listed}")[spec.envelope]
+    return F.from_json("body", listed)
+
+
+def _judged(landing: DataFrame, feed: str) -> DataFrame:
+    """Every page of a feed with its number of records, and why it has none to read."""
+    blank = F.trim(F.coalesce("body", F.lit(""))) == ""
+    # only a whole JSON value can be copied; XML is judged by its records
+    readable = F.lit(True) if FEEDS[feed].xml else F.get_json_object("body", "$").isNotNull()
+    records = _records(feed)
+    reason = (
+        F.when(blank, "empty").when(~readable, "unreadable").when(records.isNull(), "no records field")
+    )
+    pages = landing.where(F.col("feed") == feed)
+    return pages.select(
+        "feed", "company_slug", "page", F.coalesce(F.size(records), F.lit(0)).alias("n_records"), reason.alias("reason"))
+
+
+def lost_pages(landing: DataFrame, feed: str) -> DataFrame:
+    """feed, company_slug, page and reason of the pages that `unpack` reads nothing from by fault.
+
+    A page whose list of records is there but empty is not lost.
+    """
+    return _judged(landing, feed).where(F.col("reason").isNotNull()).drop("n_records")
+
+
+def feed_report(landing: DataFrame, feeds: list[str]) -> DataFrame:
+    """One row per feed: its pages, lost pages and records, and whether it failed.
+
+    A feed has failed when no page of it could be read, or none was landed.
+    """
+    counts = [
+        _judged(landing, feed).agg(
+            F.lit(feed).alias("feed"), F.count(F.lit(1)).alias("n_pages"), F.count("reason").alias("n_lost"),
+            F.coalesce(F.sum("n_records"), F.lit(0)).cast("bigint").alias("n_records"))
+        for feed in feeds
+    ]
+    every = reduce(DataFrame.unionByName, counts)
+    return every.withColumn("failed", F.col("n_lost") == F.col("n_pages"))
+
+
 def unpack(landing: DataFrame, feed: str) -> DataFrame:
     """Records of one feed as company_slug, ord (arrival order) and the fields under `r`.
 
-    A page that does not parse yields no records, so a broken one never stops a run.
+    A page that does not parse yields no records, so a broken one never stops a run; `lost_pages`
+    lists it.
     """
-    spec = FEEDS[feed]
-    listed = f"array<struct<{spec.fields}>>"
     pages = landing.where(F.col("feed") == feed)
-    if spec.xml:
-        records = F.from_xml("body", f"{spec.envelope} struct<item {listed}>")[spec.envelope]["item"]
-    elif spec.envelope:
-        records = F.from_json("body", f"{spec.envelope} {listed}")[spec.envelope]
-    else:
-        records = F.from_json("body", listed)
-    rows = pages.select("company_slug", "page", F.posexplode(records).alias("_i", "r"))
+    rows = pages.select("company_slug", "page", F.posexplode(_records(feed)).alias("_i", "r"))
     return rows.select(
         "company_slug", (F.col("page") * RECORDS_PER_PAGE + F.col("_i")).alias("ord"), "r"
     )
