@@ -134,8 +134,10 @@ def test_features(spark):
          ["Piscina", "Lago ou represa", "Área gourmet", "Pomar", "Internet"]),
         (("Poço", None, None), ["Poço ou nascente"]), (("x", "riozinho", ["AIR_CONDITIONING", None]), ["Ar-condicionado"]),
         (("x", "quadra poliesportiva, mina d água, mina dagua, placa solar", []), ["Poço ou nascente", "Campo ou quadra", "Energia solar"]),
-        (("x", "a" * 2495 + " piscina", []), []), ((None, None, None), []),
+        (("x", "a" * 2495 + " piscina", []), ["Piscina"]), ((None, None, None), []),
     ], "t string, d string, a array<string>", taxonomy.features(F.col("t"), F.col("d"), F.col("a")))
+    check(spark, [(("x", "a" * 2495 + " piscina", []), [])], "t string, d string, a array<string>",
+          taxonomy.features(F.col("t"), F.col("d"), F.col("a"), text_length=2500))
 
 
 def test_distance(spark):
