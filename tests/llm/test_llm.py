@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm import decontaminate, exact, language, licences, mixing, queries, quotes, repeats, simhash, tokens, toxicity
+from tidemark.llm import copies, decontaminate, exact, language, licences, mixing, queries, quotes, repeats, simhash, tokens, toxicity
 
 SMALL = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size int, kept string, fp string"
@@ -230,6 +230,34 @@ def test_links_of_large_lists(spark, monkeypatch, block):
 # mixing
 
 
+def changed(words, places):
+    return [f"new{k}" if k in places else w for k, w in enumerate(words)]
+
+
+def test_stage_drops_copies_from_similarity_0_8(spark, monkeypatch):
+    import corpus_pipeline
+
+    rows, want, sims = [], [], []
+    for k in range(160):
+        pick = random.Random(k)
+        words = prose(3000 + k, pick.randint(40, 400)).split()
+        other = changed(words, set(pick.sample(range(len(words)), pick.randint(1, max(1, len(words) // 30)))))
+        a, b = ({tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in (words, other))
+        sims.append(len(a & b) / len(a | b))
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other).upper())]
+        want += [2 * k] if sims[-1] >= 0.8 else [2 * k, 2 * k + 1]
+    assert sum(0.8 <= s < 0.85 for s in sims) > 5 and sum(s < 0.8 for s in sims) > 5 and sum(s > 0.95 for s in sims) > 5
+    # a chain: neighbours are near, its ends are not; a group larger than a turn joins; texts without words
+    words = prose(9000, 100).split()
+    rows += [(1000 + k, " ".join(changed(words, set(range(3, 3 + 10 * k, 10))))) for k in range(9)]
+    rows += [(2000, None), (2001, ""), (2002, "few words"), (2003, "Few  words"), (2003, "few words"), (None, "few words")]
+    kept = corpus_pipeline.near_copies_out(spark, docs(spark, rows).repartition(3), SMALL)
+    assert kept.columns == docs(spark, []).columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted([*want, 1000, 2000, 2002])
+    monkeypatch.setattr(copies, "PIVOTS", 0)  # all pairs at once find the same
+    assert sorted(r.doc_id for r in copies.keep_one(docs(spark, rows)).collect()) == sorted([*want, 1000, 2000, 2002])
+
+
 def test_targets_fill_like_water(spark):
     sizes = [("a", 10), ("b", 1000), ("c", 2000), (None, 5), ("d", 0)]
     frame = spark.createDataFrame(sizes, "source string, source_size long")

@@ -35,18 +35,25 @@ BLOCK = 2048  # fingerprints of one list that a task compares with those of one
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
-    """SimHash of the lower-cased words' shingles, repeats included; zero without words."""
+def shingle_hashes(raw: bytes, shingle: int = SHINGLE) -> np.ndarray:
+    """A hash of every run of `shingle` lower-cased words, repeats included; of all words if they are fewer."""
     words = raw.translate(_LOWER).split()
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     text = memoryview(b" ".join(words))
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     k = min(shingle, len(words))
     spans = zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(text[a:b], SEED) for a, b in spans], "<u8")
+    return np.array([digest(text[a:b], SEED) for a, b in spans], "<u8")
+
+
+def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
+    """SimHash of the lower-cased words' shingles, repeats included; zero without words."""
+    hashes = shingle_hashes(raw, shingle)
+    if not len(hashes):
+        return 0
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8)
@@ -181,10 +188,10 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return dealt.mapInArrow(compare, "a long, b long").distinct()
 
 
-def group_labels(prints: DataFrame) -> DataFrame:
-    """(doc_id, fp) to one row a fingerprint: fp, root, component_id."""
+def group_labels(prints: DataFrame, near: DataFrame | None = None) -> DataFrame:
+    """(doc_id, fp) to one row a fingerprint: fp, root, component_id; `near`: links (a, b), else those of `links`."""
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    roots = components(links(prints))
+    roots = components(links(prints) if near is None else near)
     rooted = nodes.join(roots, nodes.fp == roots.node, "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root")
     )
@@ -220,14 +227,19 @@ def keep_one(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found)], names=[*b.schema.names, mark])
 
     rows = stage(docs.mapInArrow(marked, schema), "marked")
+    return one_a_group(rows, mark, docs.columns)
+
+
+def one_a_group(rows: DataFrame, mark: str, columns: list[str], near: DataFrame | None = None) -> DataFrame:
+    """`columns` of one row of each group of `rows`, whose column `mark` holds the nodes of the links `near`."""
     prints = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(mark).alias("fp"))
-    labels = stage(group_labels(prints), "labels")
+    labels = stage(group_labels(prints, near), "labels")
     stays = prints.join(labels, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     chosen = stage(stays.groupBy("root").agg(F.min("fp").alias("fp"), F.count(F.lit(1)).alias("n"), F.first("doc_id").alias("id")), "chosen")
     kept = rows.alias("r").join(
         chosen.alias("c"), (F.col(f"r.{mark}") == F.col("c.fp")) & F.col("r.doc_id").cast("long").eqNullSafe(F.col("c.id"))
     )
-    own = [F.col(f"r.{c}") for c in docs.columns]
+    own = [F.col(f"r.{c}") for c in columns]
     once = kept.filter("c.n = 1").select(*own)
     again = kept.filter("c.n > 1").dropDuplicates([mark]).select(*own)
     return once.union(again)
