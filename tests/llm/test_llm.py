@@ -415,6 +415,24 @@ def test_licence_rules(spark, text, want):
     assert row.n_unknown == row.sentence_ids.split(",").count("unknown")
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("// SPDX-License-Identifier: MIT\nint main() {}", "MIT"),
+        ("/* SPDX-License-Identifier: Apache-2.0 */\nint x;", "Apache-2.0"),
+        ("#!/bin/sh\n# SPDX-License-Identifier: GPL-2.0-only\nset -e", "GPL-2.0"),
+        ("# Copyright 2020 X\n# SPDX-License-Identifier:\tGPL-3.0-or-later\n\nimport os", "GPL-3.0"),
+        ("<!-- SPDX-License-Identifier: BSD-2-Clause -->", "BSD-2-Clause"),
+        (" * SPDX-License-Identifier:BSD-3-Clause\r\n * more", "BSD-3-Clause"),
+        ("// spdx-license-identifier: MIT\nreleased under the MIT License: see the file.", "MIT"),
+        ("Licence: see below.\nReleased under the Apache License, Version 2.0.", "Apache-2.0"),
+    ],
+)
+def test_spdx_tags(spark, text, want):
+    [row] = licences.licence_scan(docs(spark, [(1, text)])).collect()
+    assert row.licences == want
+
+
 # benchmark leaks
 
 

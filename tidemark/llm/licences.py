@@ -107,9 +107,11 @@ def sentences(text: Column) -> Column:
     """Normalised licence sentences of a text, in order.
 
     Lines lose comment marks. A sentence ends at an end mark before white space, at a blank line,
-    or at a line end that a capital letter or a list mark follows; other lines are joined.
+    or at a line end that a capital letter or a list mark follows; other lines are joined. The colon
+    of an SPDX tag ends none; the tag stands alone, up to its line's end or a comment's.
     """
     bare = F.regexp_replace(text, r"(?m)^[ \t]*(?:[#*;%>]|//+|/\*+|--+|dnl |rem )+[ \t]?", "")
+    bare = F.regexp_replace(bare, r"(?i)\bSPDX-License-Identifier[ \t]*:[ \t]*([^\r\n]*?)[ \t]*(?:\*+/|--+>)?[ \t]*(?=[\r\n]|$)", "\n\nSPDX-License-Identifier $1\n\n")
     cut = F.split(bare, r"(?<=[.!?;:])\s+|\n\s*\n\s*|\n\s*(?=[A-Z0-9(\p{Lu}])")
     plain = F.transform(
         F.filter(cut, lambda s: F.lower(s).rlike(KEYWORDS)),
