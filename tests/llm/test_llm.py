@@ -496,6 +496,22 @@ def test_quotes(spark):
     assert got[None, 0][2] == 0 and got[3, None][0] == ""
 
 
+def test_quotes_of_sentences(spark):
+    first = "Sorting is easy. Use the sorted\nfunction on any list. Does \"it\" copy? Yes it does."
+    rows = [
+        (1, 0, "user", first),
+        (1, 1, "assistant", "Another line. Nothing else."),
+        (1, 2, "user", "> Does \"it\" copy?\nI think so."),  # a part of a line
+        (1, 3, "user", "> Use the sorted function on\n> any list.\nWhich one?"),  # wrapped anew
+        (1, 4, "user", "> Use the sorted function on\n> any list. Does \"it\" copy?\nboth"),
+        (1, 5, "user", "> sorted function on\nno whole sentence"),
+        (1, 6, "user", "> Nothing else.\nright"),
+    ]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = {r.turn: (r.n_linked, r.parent_turn, r.thread_turn) for r in quotes.link_quotes(table).collect()}
+    assert found == {0: (0, None, 0), 1: (0, None, 1), 2: (1, 0, 0), 3: (1, 0, 0), 4: (1, 0, 0), 5: (0, None, 5), 6: (1, 1, 1)}
+
+
 # queries and pipeline
 
 

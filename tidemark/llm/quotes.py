@@ -1,7 +1,7 @@
 """Chat formatting by quotation linking, in DataFrame functions alone.
 
-Each message is parsed into runs of lines with the same quote level. Normalised runs, paragraphs
-and lines are hashed; a quoted one is joined to the first message of its conversation that holds
+Each message is parsed into runs of lines with the same quote level. Normalised runs, paragraphs,
+lines and sentences (across line ends) are hashed; a quoted one is joined to the first message of its conversation that holds
 it unquoted. A message answers the earlier message that most of its outermost quote comes from;
 messages in a thread follow their turns, so an answer always stands after what it answers.
 
@@ -19,6 +19,9 @@ from ._common import stage
 #: Marks at the start of a line, each `>` one level, with blanks between them.
 MARKS = r"^((?:[ \t]*>)+)[ \t]?"
 
+#: Between sentences: white space after an end mark, nothing after a wide one, and empty lines.
+SENTENCE = r"""(?<=[.!?…]["')\]”’]{0,2})\s+|(?<=[。！？])\s*|\n[ \t]*\n\s*"""
+
 
 def lines(text: Column) -> Column:
     """array<struct<level, body>> of a text's lines; bodies have lost their quote marks."""
@@ -55,10 +58,10 @@ def _hash(text: Column) -> Column:
 
 
 def _units(bodies: Column) -> Column:
-    """array<struct<grain, hash>> of a run: itself (2), its paragraphs (1) and its lines (0)."""
+    """array<struct<grain, hash>> of a run: itself (2), its paragraphs (1), its lines (0) and its sentences (-1)."""
     whole = F.array_join(bodies, "\n")
     parts = [F.array(F.struct(F.lit(2).alias("grain"), whole.alias("t")))]
-    for grain, cut in ((1, r"\n[ \t]*\n"), (0, r"\n")):
+    for grain, cut in ((1, r"\n[ \t]*\n"), (0, r"\n"), (-1, SENTENCE)):
         parts.append(F.transform(F.split(whole, cut), lambda t, g=grain: F.struct(F.lit(g).alias("grain"), t.alias("t"))))
     full = F.filter(F.concat(*parts), lambda u: normalised(u["t"]) != "")
     return F.array_distinct(F.transform(full, lambda u: F.struct(u["grain"].alias("grain"), _hash(u["t"]).alias("hash"))))
@@ -85,7 +88,7 @@ def parse(messages: DataFrame) -> DataFrame:
 def quote_links(parsed: DataFrame) -> DataFrame:
     """conv_id, turn, body_hash, run, level, from_turn: the earlier message each quoted run comes from.
 
-    Whole runs decide before paragraphs, paragraphs before lines; of several messages the one with
+    Whole runs decide before paragraphs, paragraphs before lines, lines before sentences; of several messages the one with
     the most matching parts, then the latest. Runs that match nothing earlier are left out.
     """
     exploded = parsed.select("conv_id", "turn", "body_hash", F.posexplode("runs").alias("run", "r"))
