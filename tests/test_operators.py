@@ -365,3 +365,13 @@ def test_lookup_is_broadcast_only_within_its_limit(spark):
     assert hint(small) and not hint(large)
     rows = spark.range(300).selectExpr("id % 120 AS k")
     assert rows.join(small, "k").count() == rows.join(large, "k").count() == 260
+
+
+def test_dq_lengths_has_no_cap(spark, monkeypatch):
+    from suite import rentals
+
+    monkeypatch.setattr(snapshot, "BYTES_PER_MB", 1)  # any table exceeds the export's cap
+    assert [tuple(r) for r in rentals.dq_lengths(spark, "/root/testdata/sf0.001").collect()] == [("lengths", True, 0)]
+    rows = spark.range(10).select(F.col("id").alias("position"), F.when(F.col("id") != 4, F.col("id")).alias("a"))
+    parts = snapshot.columnar_parts(rows, 4).orderBy("part").collect()
+    assert [r.document for r in parts] == ['{"a":[0,1,2,3]}', '{"a":[null,5,6,7]}', '{"a":[8,9]}']

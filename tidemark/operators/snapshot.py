@@ -17,6 +17,7 @@ from tidemark.session import settle
 WINDOW_DAYS, MAX_POSTINGS = 90, 15_000
 MAX_POSTINGS_MB, MAX_LISTINGS_MB = 9, 4
 BYTES_PER_MB = 1_048_576
+PART_ROWS = 4096
 
 # Dictionary columns and the names their codes are served under.
 POSTING_CODES = {"source": "src", "company": "cmp", "area": "area", "seniority": "sen",
@@ -219,3 +220,12 @@ def columnar_document(rows: DataFrame, max_mb: float, position: str = POSITION)
     )
     arrays = F.struct(*[F.col(f"_r.{c}").alias(c) for c in columns])
     return ordered.select(F.to_json(arrays, {"ignoreNullFields": "false"}).alias("document"))
+
+
+def columnar_parts(rows: DataFrame, size: int = PART_ROWS, position: str = POSITION) -> DataFrame:
+    """(part, document): the column arrays of each range of `size` positions, as one JSON text a range."""
+    columns = [c for c in rows.columns if c != position]
+    part = F.floor(F.col(position) / size).alias("part")
+    gathered = rows.groupBy(part).agg(F.array_sort(F.collect_list(F.struct(position, *columns))).alias("_r"))
+    arrays = F.struct(*[F.col(f"_r.{c}").alias(c) for c in columns])
+    return gathered.select("part", F.to_json(arrays, {"ignoreNullFields": "false"}).alias("document"))
