@@ -388,6 +388,28 @@ def test_toxicity(spark):
     assert clean.columns == table.columns and clean.count() == sum(1 - r.predicted for r in found.values())
 
 
+def test_toxicity_counts_all_texts(spark, monkeypatch):
+    rows = [(k, f"{prose(k, 30)} {'vile scoundrel' if k % 4 == 0 else 'fine fellow'}") for k in range(400)]
+    table = docs(spark, [*rows, (500, None), (501, "vile " * 3000), (502, "unlabelled vile scoundrel"), (502, "unlabelled vile scoundrel")])
+    labels = spark.createDataFrame([(k, 1, int(k % 4 == 0)) for k in range(400)], "doc_id long, quality int, toxic int")
+    model = toxicity.train(table, labels, F.lit(True), bound=40)
+    fit = {r.doc_id for r in toxicity.training_rows(labels, F.lit(True), 40).filter("checks").collect()}
+    seen = []
+    for k, text in rows:
+        words = toxicity.Hasher()(text.encode())
+        seen += toxicity._pair_keys(words, np.zeros(1, np.int64))[1].tolist() if k not in fit else []
+    assert 0 < len(fit) <= 80 and set(model.pairs.tolist()) == {x for x in seen if seen.count(x) > 1}  # of all texts
+    scored = toxicity.score(table, model).collect()
+    monkeypatch.setattr(toxicity, "SENT", 0)  # the join of a table too large to send gives the same
+    joined = toxicity.train(table, labels, F.lit(True), bound=40)
+    assert joined.table is not None and not len(joined.pairs)
+    key = lambda r: (r.doc_id, r.score)
+    found = toxicity.score(table, joined).collect()
+    assert [r.doc_id for r in sorted(found, key=key)] == [r.doc_id for r in sorted(scored, key=key)]
+    assert np.allclose([r.score for r in sorted(found, key=key)], [r.score for r in sorted(scored, key=key)])
+    assert toxicity.keep_clean(table, joined).count() == sum(1 - r.predicted for r in scored)
+
+
 # licences
 
 

@@ -8,16 +8,19 @@ A text is scored by the difference of its length-normalised log-likelihoods, ove
 and over its most toxic stretch of words, and by how many words speak strongly for toxic. A small
 logistic fit on documents that the counts leave out turns this into a probability.
 
-Training takes at most `bound` labelled documents of each class, chosen by a hash of the id, so
-only a bounded list of ids is broadcast and no text is shuffled. All words of these are counted;
-the model keeps the `PAIRS` most frequent pairs (the others back off) and hashes words into a
-fixed number of slots. Every document is scored on its whole text.
+All admitted labelled texts are counted, and the shared counts go over all documents, labelled or
+not. Pairs are a table that grows with the texts; a pair seen once counts for its context and its
+word, and is discounted whole. The table is sent to the workers only if
+its counted rows are at most `SENT`, and joined by the pairs of each text otherwise. Only the
+logistic fit is bounded: to a quarter of at most `bound` labelled documents a class, by a hash of
+the id, which the counts leave out. Words are hashed into a fixed number of slots. Every document is
+scored on its whole text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._common import batches, doc_texts, mix64, per_worker, pieces, raw_texts, stage
 
@@ -32,7 +36,8 @@ BOUND = 6144
 SLOTS = 1 << 20
 STEM = 4
 STEM_PRIOR = 8.0
-PAIRS = 1 << 20
+SENT = 1 << 22  # pairs that a broadcast may hold, 16 bytes each
+IDS = 500_000  # labelled ids that a broadcast may hold
 DISCOUNT = 0.75
 RARE = 2.0  # different words before it, up to which a word says what the shared counts say
 STRETCH = 6
@@ -89,7 +94,10 @@ def _stems(words: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Arrays by slot and, for kept pairs, by sorted hash; index 0 is ordinary, 1 toxic."""
+    """Arrays by slot and, for pairs, by sorted hash; index 0 is ordinary, 1 toxic.
+
+    With a `table` of (pair, d0, d1) the arrays by pair are empty, and each text brings its own.
+    """
 
     own: np.ndarray  # (2, SLOTS) probability of a word by the class's counts
     rest: np.ndarray  # (2, SLOTS) probability by the shared counts and what the class leaves to them
@@ -98,6 +106,7 @@ class Model:
     pairs: np.ndarray
     direct: np.ndarray  # (2, pairs) probability by the pair itself
     weights: np.ndarray | None = None  # intercept and one weight a feature
+    table: DataFrame | None = None
 
 
 def _flatten(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -189,15 +198,20 @@ def fit_weights(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1.0,
     return out
 
 
+def labelled(labels: DataFrame, allowed: Column) -> DataFrame:
+    """(doc_id, toxic): one row for each admitted id with a label."""
+    known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & allowed)
+    one = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    return one.filter("toxic IN (0, 1)")
+
+
 def training_rows(labels: DataFrame, allowed: Column, bound: int = BOUND) -> DataFrame:
     """(doc_id, toxic, weight, checks): at most `bound` ids of each class, in order of a hash.
 
     Ids with several labels count as toxic if one of them says so; null ids and labels are left
     out. weight: labelled rows of the class for each one chosen; checks: kept out of the counts.
     """
-    known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & allowed)
-    one = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    one = one.filter("toxic IN (0, 1)")
+    one = labelled(labels, allowed)
     # the hash falls into 4096 cells in order; only the cell that crosses the bound needs a ranking
     one = one.withColumn("hash", F.xxhash64("doc_id", F.lit(11))).withColumn("cell", F.shiftright("hash", 52))
     of_class = W.partitionBy("toxic")
@@ -239,6 +253,22 @@ def _count(docs: DataFrame) -> DataFrame:
     return rows.groupBy("pair").agg(*parts, F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
+def _followed(docs: DataFrame) -> DataFrame:
+    """(text) to (word, n): the number of different words before each word, over all texts."""
+
+    def pairs(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = per_worker("word codes", Hasher)
+        for b in batches(rows):
+            flat, sizes, starts = _flatten([hasher(x) for x in raw_texts(b.column(0))])
+            keys = _pair_keys(flat, starts[sizes > 0])[1].view(np.uint64) >> np.uint64(20)
+            # the word's 20 bits go before 44 of the pair: one number to shuffle
+            keys |= _slots(flat).astype(np.uint64) << np.uint64(44)
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(keys).view(np.int64))], names=["pair"])
+
+    once = docs.mapInArrow(pairs, "pair long").distinct()
+    return once.groupBy(F.shiftrightunsigned("pair", 44).cast("int").alias("word")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def _arrays(df: DataFrame, columns: list[str]) -> list[np.ndarray]:
     found = df.select(*columns).toArrow()
     return [found.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in columns]
@@ -247,20 +277,26 @@ def _arrays(df: DataFrame, columns: list[str]) -> list[np.ndarray]:
 def train(docs: DataFrame, labels: DataFrame, allowed: Column, bound: int = BOUND) -> Model:
     """A model from the labelled documents that `allowed`, a condition on labels.doc_id, admits.
 
-    What reaches the driver: the bounded list of ids, two rows a slot at most, `PAIRS` pairs, and
-    four features for each document that the counts leave out.
+    What reaches the driver: two rows a slot at most, the pairs if they are at most `SENT`, and the
+    features of each document of the fit.
     """
-    spark = docs.sparkSession
-    chosen = stage(training_rows(labels, allowed, bound), "labelled")
-    texts = doc_texts(docs).join(F.broadcast(chosen), "doc_id")  # at most 2 * bound ids
-    counted = stage(_count(texts.filter(~F.col("checks")).select("toxic", "text")), "pairs")
+    known = stage(labelled(labels, allowed), "known")
+    fit = stage(training_rows(labels, allowed, bound).filter("checks").select("doc_id", "toxic", "weight"), "fit")
+    fit = F.broadcast(fit)  # at most 2 * bound ids
+    texts = doc_texts(docs)
+    counts = known.join(fit, "doc_id", "left_anti")
+    counts = F.broadcast(counts) if known.count() <= IDS else counts
+    counted = stage(_count(texts.join(counts, "doc_id").select("toxic", "text")), "pairs")
 
     kinds = [F.sum((F.col(f"n{c}") > 0).cast("long")).alias(f"k{c}") for c in (0, 1)]
     follow, stems = np.zeros((2, SLOTS)), np.zeros((2, SLOTS))
     for name, into in (("word", follow), ("stem", stems)):
         at, *found = _arrays(counted.groupBy(name).agg(*kinds), [name, "k0", "k1"])
         into[:, at] = found
-    shared = (follow.sum(axis=0) + 0.5) / (follow.sum() + 0.5 * SLOTS)
+    everywhere = np.zeros(SLOTS)
+    at, n = _arrays(_followed(texts.select("text")), ["word", "n"])
+    everywhere[at] = n
+    shared = (everywhere + 0.5) / (everywhere.sum() + 0.5 * SLOTS)
     own, rest, stem = (np.empty((2, SLOTS)) for _ in range(3))
     for c in (0, 1):
         total = follow[c].sum() + 1
@@ -269,71 +305,102 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, bound: int = BOUN
         expected = stems.sum(axis=0) * (stems[c].sum() + 1) / (stems.sum() + 2)
         stem[c] = (stems[c] + STEM_PRIOR) / (expected + STEM_PRIOR)
 
-    seen = np.zeros((2, SLOTS))
-    at, *found = _arrays(counted.groupBy("ahead").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), ["ahead", "n0", "n1"])
-    seen[:, at] = found
-
-    both = F.col("n0") + F.col("n1")
-    kept = counted.filter(both > 1).orderBy(both.desc(), "pair").limit(PAIRS)
-    pair, ahead_, n0, n1 = _arrays(kept, ["pair", "ahead", "n0", "n1"])
-    order = np.argsort(pair)
-    pair, ahead_, of = pair[order].astype(np.int64), ahead_[order], np.stack([n0[order], n1[order]]).astype(np.float64)
     # one smoothing observation a context keeps words after rare ones close to the lower order
-    direct = np.stack([np.maximum(of[c] - DISCOUNT, 0) / (seen[c][ahead_] + 1) for c in (0, 1)])
+    seen = counted.groupBy("ahead").agg(*[F.sum(f"n{c}").alias(f"s{c}") for c in (0, 1)])  # a row a slot at most
+    # a pair seen once leaves its whole count to the lower order, so it has no row of its own
+    discount = F.when(F.col("n0") + F.col("n1") == 1, F.lit(1.0)).otherwise(F.lit(DISCOUNT))
+    direct = [(F.greatest(F.col(f"n{c}") - discount, F.lit(0.0)) / (F.col(f"s{c}") + 1)).cast("float").alias(f"d{c}") for c in (0, 1)]
+    table = stage(counted.join(F.broadcast(seen), "ahead").select("pair", "ahead", *direct).filter("d0 > 0 OR d1 > 0"), "direct")
     spent = np.zeros((2, SLOTS))
-    for c in (0, 1):
-        np.add.at(spent[c], ahead_, direct[c])
-    low, high = (x.astype(np.float32) for x in (np.maximum(1 - spent, 1e-3), direct))
-    model = Model(*(x.astype(np.float32) for x in (own, rest, stem)), low, pair, high)
+    at, *found = _arrays(table.groupBy("ahead").agg(F.sum("d0").alias("d0"), F.sum("d1").alias("d1")), ["ahead", "d0", "d1"])
+    spent[:, at] = found
+    low = np.maximum(1 - spent, 1e-3).astype(np.float32)
+    table, few = table.select("pair", "d0", "d1"), table.count() <= SENT
+    pair, *high = _arrays(table if few else table.limit(0), ["pair", "d0", "d1"])
+    order = np.argsort(pair)
+    by_pair = pair[order].astype(np.int64), np.stack(high)[:, order].astype(np.float32)
+    model = Model(*(x.astype(np.float32) for x in (own, rest, stem)), low, *by_pair, table=None if few else table)
 
-    sent = spark.sparkContext.broadcast(vars(model).copy())
+    kind = "toxic int, weight double, " + ", ".join(f"{x} double" for x in FEATURES)
 
-    def check(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, own = per_worker("word codes", Hasher), Model(**sent.value)
-        for b in batches(rows):
-            x = features(own, [hasher(t) for t in raw_texts(b.column(0))])
-            yield pa.RecordBatch.from_arrays(
-                [b.column(1), b.column(2), *(pa.array(x[:, k]) for k in range(len(FEATURES)))], names=["toxic", "weight", *FEATURES]
-            )
+    def check(b: pa.RecordBatch, x: np.ndarray, _) -> pa.RecordBatch:
+        values = [pa.array(x[:, k]) for k in range(len(FEATURES))]
+        return pa.RecordBatch.from_arrays([b.column(1), b.column(2), *values], names=["toxic", "weight", *FEATURES])
 
-    checks = texts.filter("checks").select("text", "toxic", "weight")
-    kind = "toxic int, weight double, " + ", ".join(f"{x} double" for x in FEATURES)
-    y, w, *x = _arrays(checks.mapInArrow(check, kind), ["toxic", "weight", *FEATURES])
+    checks = texts.join(fit, "doc_id").select("text", "toxic", "weight")
+    y, w, *x = _arrays(_with_features(checks, model, check, kind), ["toxic", "weight", *FEATURES])
     x = np.stack([v.astype(np.float64) for v in x], axis=1) if len(y) else np.zeros((0, len(FEATURES)))
     model.weights = fit_weights(x, y.astype(np.float64), w.astype(np.float64))
     return model
 
 
+def _text_hashes(raws: list[bytes]) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(x) for x in raws], np.uint64).view(np.int64)
+
+
+def _own_pairs(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """`rows` after two more columns: a hash of the text, and (pair, d0, d1) of its pairs that are in the table."""
+    place, names = rows.columns.index("text"), ["_hash", *rows.columns]
+    schema = T.StructType([T.StructField("_hash", T.LongType()), *rows.schema.fields])
+
+    def hashed(part: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches(part):
+            yield pa.RecordBatch.from_arrays([pa.array(_text_hashes(raw_texts(b.column(place)))), *b.columns], names=names)
+
+    def asked(part: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = per_worker("word codes", Hasher)
+        for b in batches(part):
+            raws = raw_texts(b.column(0))
+            sets = [np.unique(_pair_keys(w, np.zeros(min(1, len(w)), np.int64))[1]) for w in map(hasher, raws)]
+            hashes = np.repeat(_text_hashes(raws), [len(x) for x in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(np.concatenate(sets))], names=["_hash", "pair"])
+
+    wanted = rows.select("text").mapInArrow(asked, "_hash long, pair long").distinct()
+    found = wanted.join(table, "pair").groupBy("_hash").agg(F.collect_list(F.struct("pair", "d0", "d1")).alias("_pairs"))
+    return rows.mapInArrow(hashed, schema).join(found, "_hash", "left").select("_hash", "_pairs", *[F.col(f"`{c}`") for c in rows.columns])
+
+
+def _with_features(rows: DataFrame, model: Model, emit: Callable, schema: T.StructType | str) -> DataFrame:
+    """What `emit` makes of each batch of `rows`, the features of its column `text`, and the model."""
+    place, table = rows.columns.index("text"), model.table
+    sent = rows.sparkSession.sparkContext.broadcast({k: v for k, v in vars(model).items() if k != "table"})
+
+    def run(part: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, own = per_worker("word codes", Hasher), Model(**sent.value)
+        for b in batches(part):
+            if brings:
+                flat = b.column(1).flatten()
+                pair, first = np.unique(flat.field(0).to_numpy(zero_copy_only=False), return_index=True)
+                direct = np.stack([flat.field(k).to_numpy(zero_copy_only=False)[first] for k in (1, 2)])
+                own = replace(own, pairs=pair.astype(np.int64), direct=direct.astype(np.float32))
+                b = pa.RecordBatch.from_arrays(b.columns[2:], names=b.schema.names[2:])
+            yield emit(b, features(own, [hasher(t) for t in raw_texts(b.column(place))]), own)
+
+    brings = table is not None
+    return (_own_pairs(rows, table) if brings else rows).mapInArrow(run, schema)
+
+
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, score, predicted for each row of `docs`, from its whole text alone.
 
     A text without words, a null one too, gets what the fit gives for features of zero. An empty
     table gives no rows; repeated rows get the same score.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(vars(model).copy())
 
-    def scores(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, own = per_worker("word codes", Hasher), Model(**sent.value)
-        for b in batches(rows):
-            x = features(own, [hasher(t) for t in raw_texts(b.column(1))])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(probabilities(own.weights, x))], names=["doc_id", "score"])
+    def scores(b: pa.RecordBatch, x: np.ndarray, own: Model) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array(probabilities(own.weights, x))], names=["doc_id", "score"])
 
-    found = doc_texts(docs).mapInArrow(scores, "doc_id long, score double")
+    found = _with_features(doc_texts(docs), model, scores, "doc_id long, score double")
     return found.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of `docs`, all columns, whose text scores below the threshold; order and repeats stay."""
-    sent = docs.sparkSession.sparkContext.broadcast(vars(model).copy())
-    place = docs.columns.index("text")
 
-    def clean(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, own = per_worker("word codes", Hasher), Model(**sent.value)
-        for b in batches(rows):
-            x = features(own, [hasher(t) for t in raw_texts(b.column(place))])
-            yield b.filter(pa.array(probabilities(own.weights, x) < threshold))
+    def clean(b: pa.RecordBatch, x: np.ndarray, own: Model) -> pa.RecordBatch:
+        return b.filter(pa.array(probabilities(own.weights, x) < threshold))
 
-    return docs.mapInArrow(clean, docs.schema)
+    return _with_features(docs, model, clean, docs.schema)
 
 
 def held_out(doc_id: str = "doc_id", parts: int = 3, part: int = 1) -> Column:
