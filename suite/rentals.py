@@ -29,7 +29,7 @@ _KM = """12742.0 * ASIN(SQRT(POW(SIN(RADIANS({lat} + 22.9099) / 2), 2)
 _LOCATED = f"""
     SELECT *, {_KM.format(lat='lat', lon='lon')} AS km FROM (
       SELECT m.* EXCLUDE (lat, lon), IF(bad, c.lat, m.lat) AS lat, IF(bad, c.lon, m.lon) AS lon,
-        CASE WHEN bad THEN 1 ELSE 0 END AS geo_approx
+        CASE WHEN bad AND c.lat IS NOT NULL THEN 1 ELSE 0 END AS geo_approx
       FROM (SELECT *, lat IS NULL OR (lat = 0 AND lon = 0) AS bad FROM merged) m
       LEFT JOIN centroids c ON c.city_key = LOWER(m.city) AND c.state_key = LOWER(m.state))"""
 _RESOLVED = f"""
