@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, exact, language, licences, mixing, quotes, repeats, simhash, tokens, toxicity
-from ._common import table
+from . import alignment, decontaminate, exact, language, licences, mixing, periods, quotes, repeats, simhash, tokens, topk, toxicity
+from ._common import WHITE, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -99,3 +99,58 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op11_align_tokenizers")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query(
+    "op12_pivot_top_k",
+    """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, c.r AS other, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, other)::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 5""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """docs with a repetition written into one in ten texts, as the contract of op13 says.
+
+    With h = crc32(decimal doc_id) and g = h div 10, a text with h % 10 = 0 repeats from word
+    a = g % n on with the period 1 + (n - a) div (3 + g % 8).
+    """
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), WHITE), lambda w: w != "")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    # a lambda's argument is computed once; a column named in a lambda would be computed for every word
+    given = F.transform(F.array(F.struct(words.alias("w"), F.expr("crc32(cast(cast(doc_id AS string) AS binary)) div 10").alias("g"))), _repeated)
+    return docs.withColumn("text", F.coalesce(F.when(h % 10 == 0, F.element_at(given, 1)), F.col("text")))
+
+
+def _repeated(given: Column) -> Column:
+    """The words w with the repetition that g tells, joined by a blank; null without words."""
+    n = F.size(given["w"]).cast("long")
+    a = given["g"] % n
+    p = F.floor((n - a) / (3 + given["g"] % 8)) + 1
+    told = F.transform(F.array(F.struct(given["w"].alias("w"), a.alias("a"), p.alias("p"))), lambda s: F.array_join(
+        F.transform(F.sequence(F.lit(0).cast("long"), F.size(s["w"]).cast("long") - 1), lambda i: F.get(
+            s["w"], F.when(i < s["a"], i).otherwise(s["a"] + (i - s["a"]) % s["p"]).cast("int"))), " "))
+    return F.when(n > 0, F.element_at(told, 1))
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periods.periodic_runs(planted_runs(docs)).select(
+        "doc_id", "n_runs", "start", "length", "period", F.expr("1000 * length div period").alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256",
+    )
