@@ -111,8 +111,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     "op12_pivot_top_k",
     """
 WITH v AS (
-  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
-  WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)),
+  SELECT row_number() OVER () AS r, vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)),
 s AS (
   SELECT q.r, q.vec_id AS query_id, c.vec_id, c.r AS other, list_inner_product(q.v, c.v)::BIGINT AS score
   FROM v q JOIN v c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
