@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 from types import ModuleType
 
-DOMAINS = ("market", "explore", "history", "rentals", "text", "catalog", "feeds")
+DOMAINS = ("market", "explore", "history", "rentals", "text", "catalog", "feeds", "documents")
 
 
 def load() -> ModuleType:

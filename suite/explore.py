@@ -193,13 +193,17 @@ _CODES = " UNION ALL ".join(
         FROM b GROUP BY {c}""" for c in snapshot.POSTING_CODES)
 
 
-@query("snapshot_jobs", oracle("f2_postings", fresh=_FRESH, served=_SERVED, b=_DUCK_BASE, codes=_CODES, sql="""
+_SHOT = """
     SELECT CAST(b.position AS BIGINT) AS position, title, market AS city,
       CAST(COALESCE(published_date, first_seen_date) AS VARCHAR) AS pub, CAST(first_seen_date AS VARCHAR) AS seen,
       url, CAST(np AS BIGINT) AS np, 'a · b' AS sk, smin, CAST(NULL AS BIGINT) AS smax, """ + ", ".join(
     f"CAST((SELECT code FROM codes WHERE col = '{c}' AND value = b.{c}) AS INTEGER) AS {n}"
     for c, n in snapshot.POSTING_CODES.items()) + """
-    FROM b JOIN (SELECT dk, COUNT(DISTINCT source) AS np FROM b GROUP BY dk) p ON p.dk = b.dk"""))
+    FROM b JOIN (SELECT dk, COUNT(DISTINCT source) AS np FROM b GROUP BY dk) p ON p.dk = b.dk"""
+_BASE_TWINS = {"fresh": _FRESH, "served": _SERVED, "b": _DUCK_BASE, "codes": _CODES}
+
+
+@query("snapshot_jobs", oracle("f2_postings", **_BASE_TWINS, sql=_SHOT))
 def snapshot_jobs(spark, sf):
     return snapshot.snapshot_postings(_base(spark, sf), TODAY).rows
 

@@ -407,7 +407,10 @@ def dq_pii(spark, sf):
     return quality.dq_pii(rows, ["title", "company", "description"])
 
 
-@query("dq_no_description", """
-    SELECT 'no_description' AS "check", FALSE AS ok, CAST(1 AS BIGINT) AS n_bad""")
+@query("dq_no_description", oracle("f2_postings", sql="""
+    SELECT 'no_description' AS "check", n = 0 AS ok, CAST(n AS BIGINT) AS n_bad FROM (
+      SELECT COUNT(*) FILTER (WHERE doc_id % 53 = 0 AND description IS NOT NULL) AS n FROM f2_postings)"""))
 def dq_no_description(spark, sf):
-    return quality.dq_no_description(view(spark, sf, "f2_postings"))
+    kept = F.when(F.col("doc_id") % 53 == 0, F.col("description")).alias("description")  # to_json leaves NULLs out
+    body = F.to_json(F.struct("job_uid", "title", "company", kept)).alias("body")
+    return quality.dq_no_description(view(spark, sf, "f2_postings").select(body), "body")

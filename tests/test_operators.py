@@ -346,8 +346,9 @@ def test_basket_labels(spark):
 def test_quality_report(spark):
     rows = spark.createDataFrame([("(19) 3232-1010", "https://www.vivareal.com.br/imovel/id-12/", 10.0),
                                   ("Casa 123456789012", "https://x/", None), ("WhatsApp", None, 201.0)], "title string, url string, km double")
+    cards = rows.select(F.to_json(F.struct("*")).alias("body"))
     checks = quality.report([quality.dq_pii(rows, ["title"]), quality.dq_url_form(rows), quality.dq_geo(rows),
-                             quality.dq_no_description(rows), quality.dq_columns(rows, ("title", "uid"))])
+                             quality.dq_no_description(cards, "body"), quality.dq_columns(cards, "body", ("title", "km"))])
     assert {r.check: r.n_bad for r in checks.collect()} == {"pii": 2, "url_form": 2, "geo": 2, "no_description": 0, "columns": 1}
     with pytest.raises(ValueError, match="pii"):
         quality.require_ok(checks)
@@ -360,7 +361,8 @@ def test_empty_run_is_an_error(spark):
 
 def test_lookup_is_broadcast_only_within_its_limit(spark):
     table = spark.range(100).withColumnRenamed("id", "k")
-    small, large = lookup.measured(table, limit=100), lookup.measured(table, limit=99)
+    n_bytes = lookup.byte_size(table)
+    small, large = lookup.measured(table, limit=n_bytes), lookup.measured(table, limit=n_bytes - 1)
     hint = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
     assert hint(small) and not hint(large)
     rows = spark.range(300).selectExpr("id % 120 AS k")
@@ -371,7 +373,9 @@ def test_dq_lengths_has_no_cap(spark, monkeypatch):
     from suite import rentals
 
     monkeypatch.setattr(snapshot, "BYTES_PER_MB", 1)  # any table exceeds the export's cap
-    assert [tuple(r) for r in rentals.dq_lengths(spark, "/root/testdata/sf0.001").collect()] == [("lengths", True, 0)]
+    rows = rentals._shot(spark, "/root/testdata/sf0.001").rows.select("position", "uid", "km", "title")
+    whole = quality.dq_lengths(snapshot.columnar_parts(rows, 8), "document", ["uid", "km", "title"])
+    assert [tuple(r) for r in whole.collect()] == [("lengths", True, 0)]
     rows = spark.range(10).select(F.col("id").alias("position"), F.when(F.col("id") != 4, F.col("id")).alias("a"))
     parts = snapshot.columnar_parts(rows, 4).orderBy("part").collect()
     assert [r.document for r in parts] == ['{"a":[0,1,2,3]}', '{"a":[null,5,6,7]}', '{"a":[8,9]}']

@@ -30,9 +30,48 @@ def _verdict(rows: DataFrame, check: str, bad: Column) -> DataFrame:
     return counted.select(F.lit(check).alias("check"), (F.col("n_bad") == 0).alias("ok"), "n_bad")
 
 
-def dq_columns(rows: DataFrame, required: tuple[str, ...] = LISTING_COLUMNS) -> DataFrame:
-    missing = [c for c in required if c not in rows.columns]
-    return _verdict(rows, "columns", F.lit(len(missing)))
+def _keys(body: str | Column) -> Column:
+    """Keys of a JSON object; none for NULL and for what is no object."""
+    text = F.col(body) if isinstance(body, str) else body
+    return F.coalesce(F.json_object_keys(text), F.array().cast("array<string>"))
+
+
+def key_census(documents: DataFrame, body: str) -> DataFrame:
+    """(key, n_rows): in how many JSON documents each key occurs; a key repeated in one counts once."""
+    return documents.select(F.explode(F.array_distinct(_keys(body))).alias("key")).groupBy("key").agg(F.count("*").alias("n_rows"))
+
+
+def missing_keys(documents: DataFrame, body: str, required: tuple[str, ...]) -> DataFrame:
+    """(missing, n_rows): the required keys that some document lacks, and how many lack them.
+
+    A text that is no JSON object lacks them all.
+    """
+    absent = F.array_except(F.array(*[F.lit(k) for k in required]), _keys(body))
+    return documents.select(F.explode(absent).alias("missing")).groupBy("missing").agg(F.count("*").alias("n_rows"))
+
+
+def dq_columns(documents: DataFrame, body: str, required: tuple[str, ...] = LISTING_COLUMNS) -> DataFrame:
+    """Documents that lack a required key."""
+    present = F.array_intersect(F.array(*[F.lit(k) for k in required]), _keys(body))
+    return _verdict(documents, "columns", F.count_if(F.size(present) < len(set(required))))
+
+
+def dq_no_description(documents: DataFrame, body: str, banned: tuple[str, ...] = ("description",)) -> DataFrame:
+    """Documents with a key that must not be served."""
+    return _verdict(documents, "no_description", F.count_if(F.arrays_overlap(_keys(body), F.array(*[F.lit(k) for k in banned]))))
+
+
+def dq_manifest(manifest: DataFrame, count: int, columns: tuple[str, ...], entries: tuple[str, ...] = ()) -> DataFrame:
+    """A written document's arrays by its manifest: required ones that are absent, and columns not `count` long."""
+    required = [F.struct(F.lit(1).alias("section"), F.lit(n).alias("name")) for n in entries]
+    required += [F.struct(F.lit(2).alias("section"), F.lit(n).alias("name")) for n in columns]
+    listed = F.collect_set(F.when(F.col("name") != "", F.struct("section", "name")))
+    uneven = F.count_if((F.col("section") == 2) & (F.col("n_values") != count))
+    found = manifest.agg(F.size(F.array_except(F.array(*required), listed)).alias("absent"), uneven.alias("uneven"))
+    return found.select(F.inline(F.array(*[
+        F.struct(F.lit(check).alias("check"), (F.col(n) == 0).alias("ok"), F.col(n).cast("bigint").alias("n_bad"))
+        for check, n in (("document_arrays", "absent"), ("document_lengths", "uneven"))
+    ])))
 
 
 def dq_lengths(documents: DataFrame, document: str, columns: list[str]) -> DataFrame:
@@ -67,6 +106,13 @@ def dq_rule_agreement(
     return _verdict(rows, "rule_agreement", F.count_if(~F.col(flag).eqNullSafe(wanted)))
 
 
+def dq_rule_thresholds(headers: DataFrame, header: str, expected: dict[str, int]) -> DataFrame:
+    """Served headers whose match rule is not the one applied; a header without one counts too."""
+    rule = F.from_json(F.get_json_object(header, "$.match_rule"), "map<string,bigint>")
+    same = [F.coalesce(F.try_element_at(rule, F.lit(k)) == v, F.lit(False)) for k, v in expected.items()]
+    return _verdict(headers, "rule_thresholds", F.count_if(~reduce(lambda a, b: a & b, same, F.lit(True))))
+
+
 def dq_labels(
     dictionary: DataFrame, column: str = "distance_band", allowed: tuple[str, ...] = tuple(b for _, b in BANDS)
 ) -> DataFrame:
@@ -80,14 +126,6 @@ def missing_labels(present: DataFrame, value: str, declared: DataFrame) -> DataF
     return declared.select(value).distinct().join(present.select(value).distinct(), value, "left_anti")
 
 
-def missing_keys(rows: DataFrame, required: tuple[str, ...]) -> DataFrame:
-    """Required columns the rows lack, one per row."""
-    absent = F.array_except(
-        F.array(*[F.lit(c) for c in required]), F.array(*[F.lit(c) for c in rows.columns])
-    )
-    return rows.agg(absent.alias("a")).select(F.explode("a").alias("missing"))
-
-
 def dq_pii(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Values shaped like a phone number or holding the banned word."""
     shaped = [
@@ -97,10 +135,6 @@ def dq_pii(rows: DataFrame, columns: list[str]) -> DataFrame:
     return _verdict(rows, "pii", F.count_if(leaked))
 
 
-def dq_no_description(rows: DataFrame) -> DataFrame:
-    return _verdict(rows, "no_description", F.lit(int("description" in rows.columns)))
-
-
 def dq_url_form(rows: DataFrame, url: str = "url", form: str = URL_FORM) -> DataFrame:
     return _verdict(rows, "url_form", F.count_if(~F.coalesce(F.col(url).rlike(form), F.lit(False))))
 

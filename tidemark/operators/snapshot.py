@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import days_before
 from tidemark.operators import history, listings
-from tidemark.operators.lookup import sized
+from tidemark.operators.lookup import byte_size, sized
 from tidemark.operators.ordering import with_position
 from tidemark.session import settle
 
@@ -24,6 +24,7 @@ POSTING_CODES = {"source": "src", "company": "cmp", "area": "area", "seniority":
                  "work_model": "wm", "market": "mk", "country": "co"}
 LISTING_CODES = {"city": "city", "state": "st", "property_type": "pt", "advertiser": "adv",
                  "portals": "por", "distance_band": "band"}
+LISTING_ARRAYS = {"features": ("feat", "feature")}
 
 POSITION = "position"
 
@@ -45,61 +46,57 @@ def _numbered(first_seen: DataFrame) -> DataFrame:
     return settle(coded.select("column", codes, "value"))
 
 
-def _entry_counts(dictionary: DataFrame) -> dict[str, int]:
-    """Entries per dictionary column; as many rows as encoded columns."""
-    counts = dictionary.groupBy("column").agg(F.count("*").alias("n"))
-    return {r.column: r.n for r in counts.toLocalIterator()}
+def _elements(column: str, entry: str) -> Column:
+    placed = F.transform(F.col(column), lambda v, i: F.struct(F.lit(entry).alias("column"), v.alias("value"), i.alias("_i")))
+    none = F.array().cast("array<struct<column:string,value:string,_i:int>>")
+    return F.coalesce(F.filter(placed, lambda e: e["value"].isNotNull()), none)
 
 
-def dictionary_encode(df: DataFrame, order: str, codes: dict[str, str]) -> Snapshot:
+def _entries(df: DataFrame, order: str, codes: dict[str, str], arrays: dict[str, tuple[str, str]]) -> DataFrame:
+    """(order, column, value, _i): every value to encode, one row each; `_i` is its place in an array, else -1."""
+    scalars = F.array(*[
+        F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c), F.lit("")).alias("value"), F.lit(-1).alias("_i"))
+        for c in codes
+    ])
+    lists = [_elements(c, entry) for c, (_, entry) in arrays.items()]
+    return df.select(F.col(order), F.inline(F.concat(*([scalars] if codes else []), *lists)))
+
+
+def dictionary_encode(
+    df: DataFrame, order: str, codes: dict[str, str], arrays: dict[str, tuple[str, str]] | None = None
+) -> Snapshot:
     """Replaces columns by codes numbered by first appearance along `order`; NULL counts as ''.
 
-    Only distinct values are ordered. A column's dictionary is broadcast when its
-    counted entries allow it, else the join is shuffled and a hot value's partition
-    split.
+    `arrays` names array columns: {column: (name, dictionary entry)}; a row's codes keep the order
+    of its elements, NULL elements are left out. All values of all columns are rows of one table,
+    so the dictionary is one aggregate and one order of the distinct values, and encoding is one
+    join with it and one regroup by row, however many columns there are. The dictionary is
+    broadcast when its measured bytes allow it, else both sides are shuffled and a hot value's
+    partition is split. `order` must be unique.
     """
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c), F.lit("")).alias("value"))
-        for c in codes
-    ])
-    first = (
-        df.select(F.col(order).alias("_at"), F.inline(pairs))
-        .groupBy("column", "value").agg(F.min("_at").alias("_first"))
-    )
+    arrays = arrays or {}
+    entries = _entries(df, order, codes, arrays)
+    first = entries.groupBy("column", "value").agg(F.min(F.struct(F.col(order), F.col("_i"))).alias("_first"))
     dictionary = _numbered(first)
-    entry_counts = _entry_counts(dictionary)
-    rows = df
-    for column, name in codes.items():
-        entries = dictionary.where(F.col("column") == column).select(
-            F.col("value").alias("_value"), F.col("code").alias(f"_{name}")
-        )
-        entries = sized(entries, entry_counts.get(column, 0))
-        rows = rows.join(entries, F.coalesce(F.col(column), F.lit("")) == F.col("_value"), "left").drop("_value")
-    rows = rows.drop(*codes)
-    for name in codes.values():
-        rows = rows.withColumnRenamed(f"_{name}", name)
-    return Snapshot(rows, dictionary)
+    coded = entries.join(sized(dictionary, byte_size(dictionary)), ["column", "value"])
+    one = [F.max(F.when(F.col("column") == c, F.col("code"))).alias(f"_{name}") for c, name in codes.items()]
+    many = [
+        F.array_sort(F.collect_list(F.when(F.col("column") == entry, F.struct("_i", "code")))).alias(f"_{name}")
+        for name, entry in arrays.values()
+    ]
+    per_row = coded.groupBy(order).agg(*one, *many)
+    kept = [c for c in df.columns if c not in codes and c not in arrays]
+    empty = F.array().cast("array<int>")
+    lists = [F.coalesce(F.col(f"_{name}.code"), empty).alias(name) for name, _ in arrays.values()]
+    rows = df.select(*kept).join(per_row, order, "left")
+    return Snapshot(rows.select(*kept, *[F.col(f"_{name}").alias(name) for name in codes.values()], *lists), dictionary)
 
 
 def dictionary_encode_array(
     df: DataFrame, order: str, column: str, name: str, entry: str | None = None
 ) -> Snapshot:
-    """The same for the elements of an array column; a row's codes keep their order."""
-    entry = entry or column
-    elements = df.select(order, F.posexplode(column).alias("_i", "_value"))
-    first = elements.groupBy(F.lit(entry).alias("column"), F.col("_value").alias("value")).agg(
-        F.min(F.struct(F.col(order), F.col("_i"))).alias("_first")
-    )
-    dictionary = _numbered(first)
-    entries = sized(
-        dictionary.select(F.col("value").alias("_value"), "code"),
-        _entry_counts(dictionary).get(entry, 0),
-    )
-    coded = elements.join(entries, "_value")
-    arrays = coded.groupBy(order).agg(F.array_sort(F.collect_list(F.struct("_i", "code"))).alias("_c"))
-    empty = F.array().cast("array<int>")
-    rows = df.join(arrays, order, "left").withColumn(name, F.coalesce(F.col("_c.code"), empty))
-    return Snapshot(rows.drop("_c", *([column] if column != name else [])), dictionary)
+    """The same for the elements of one array column."""
+    return dictionary_encode(df, order, {}, {column: (name, entry or column)})
 
 
 # -- postings --------------------------------------------------------------------------------
@@ -181,9 +178,7 @@ def snapshot_listings(
         F.col("first_seen_date").cast("string").alias("seen"),
         F.col("n_ads").alias("nads"), "rent0", F.coalesce("geo_approx", F.lit(0)).alias("approx"),
     )
-    scalar = dictionary_encode(flat, POSITION, LISTING_CODES)
-    arrays = dictionary_encode_array(scalar.rows, POSITION, "features", "feat", "feature")
-    return Snapshot(arrays.rows, scalar.dictionary.unionByName(arrays.dictionary))
+    return dictionary_encode(flat, POSITION, LISTING_CODES, LISTING_ARRAYS)
 
 
 # -- size and document -----------------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators import history, snapshot
+from tidemark.operators import document, history, snapshot
 from tidemark.operators.postings import classify_job, to_base_rows, union_sources
 from tidemark.sources import jobs
 
@@ -51,3 +51,9 @@ def serve(base: DataFrame, today: str) -> snapshot.Snapshot:
     shot = snapshot.snapshot_postings(base, today, limit=snapshot.MAX_POSTINGS)
     snapshot.size_guard(shot.rows, snapshot.MAX_POSTINGS_MB)
     return shot
+
+
+def publish(base: DataFrame, today: str, path: str, max_mb: float | None = snapshot.MAX_POSTINGS_MB) -> DataFrame:
+    """Writes the served document under `path`, header and dictionaries included, and returns its manifest."""
+    served = document.posting_document(base, today, limit=snapshot.MAX_POSTINGS)
+    return document.write_document(served, path, max_mb)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import snippet
-from tidemark.operators import geo, history, listings, snapshot
+from tidemark.operators import document, geo, history, listings, snapshot
 from tidemark.session import settle
 from tidemark.sources import rentals
 
@@ -76,3 +76,10 @@ def serve(base: DataFrame, rents: DataFrame, today: str) -> snapshot.Snapshot:
     shot = snapshot.snapshot_listings(base, rents, today)
     snapshot.size_guard(shot.rows, snapshot.MAX_LISTINGS_MB)
     return shot
+
+
+def publish(
+    base: DataFrame, rents: DataFrame, today: str, path: str, max_mb: float | None = snapshot.MAX_LISTINGS_MB
+) -> DataFrame:
+    """Writes the served document under `path`, header and dictionaries included, and returns its manifest."""
+    return document.write_document(document.listing_document(base, rents, today), path, max_mb)
