@@ -146,3 +146,19 @@ def ingest_incremental(spark, sf):
         part.write.mode("append").parquet(landing)
         ingest.ingest(spark, landing, obs.schema, root, "uid", ["price"], "run_date", "seq")
     return ingest.current(spark, root, "uid", ["price"]).drop("_order")
+
+
+@query("ingest_versions", oracle("f4_observations", sql="""
+    SELECT uid, MIN(run_date) AS first_seen_date, MAX(run_date) AS last_seen_date, ARG_MAX(price, (run_date, seq)) AS price,
+      ARG_MIN(price, (run_date, seq)) AS opening FROM f4_observations GROUP BY uid"""))
+def ingest_versions(spark, sf):
+    """Three runs, the first ones compacted: the opening price stays, the price moves on."""
+    obs = view(spark, sf, "f4_observations").withColumn("opening", F.col("price"))
+    folder = scratch_path(spark, "versions")
+    landing, root = f"{folder}/landing", f"{folder}/state"
+    for run in (2, 0, 1):  # the oldest sightings do not come first
+        obs.where(F.col("seq") % 3 == run).write.mode("append").parquet(landing)
+        ingest.ingest(spark, landing, obs.schema, root, "uid", ["price"], "run_date", "seq", frozen=("opening",))
+        if run != 1:
+            ingest.compact(spark, root, "uid", ["price"], ("opening",))
+    return ingest.current(spark, root, "uid", ["price"], ("opening",)).drop("_order", "_opened")

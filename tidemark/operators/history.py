@@ -63,31 +63,33 @@ def upsert_keyed(
 
 
 def collapse_sightings(
-    batch: DataFrame, key: str, mutable: list[str], day: str, order: str
+    batch: DataFrame, key: str, mutable: list[str], day: str, order: str, frozen: tuple[str, ...] = ()
 ) -> DataFrame:
     """One state row per key of a batch that may span several run days.
 
-    First and last sighting, and the values of the newest (day, order); `_order`
-    keeps that order for later merges.
+    First and last sighting, the mutable values of the newest (day, order) and the frozen ones of
+    the oldest; `_order` and `_opened` keep those places for later merges.
     """
     at = F.struct(F.col(day), F.col(order))
+    picks = [F.max_by(F.struct(*mutable, F.col(order).alias("_order")), at).alias("_v")]
+    if frozen:
+        picks.append(F.min_by(F.struct(*frozen, F.col(order).alias("_opened")), at).alias("_f"))
     seen = batch.groupBy(key).agg(
-        F.min(day).alias("first_seen_date"),
-        F.max(day).alias("last_seen_date"),
-        F.max_by(F.struct(*mutable, F.col(order).alias("_order")), at).alias("_v"),
+        F.min(day).alias("first_seen_date"), F.max(day).alias("last_seen_date"), *picks
     )
-    return seen.select(key, *SEEN, "_v.*")
+    return seen.select(key, *SEEN, "_v.*", *(["_f.*"] if frozen else []))
 
 
-def merge_states(states: DataFrame, key: str, mutable: list[str]) -> DataFrame:
+def merge_states(states: DataFrame, key: str, mutable: list[str], frozen: tuple[str, ...] = ()) -> DataFrame:
     """State rows of any number of batches to one per key; order of the batches is irrelevant."""
     newest = F.struct("last_seen_date", "_order")
+    picks = [F.max_by(F.struct(*mutable, "_order"), newest).alias("_v")]
+    if frozen:
+        picks.append(F.min_by(F.struct(*frozen, "_opened"), F.struct("first_seen_date", "_opened")).alias("_f"))
     merged = states.groupBy(key).agg(
-        F.min("first_seen_date").alias("first_seen_date"),
-        F.max("last_seen_date").alias("last_seen_date"),
-        F.max_by(F.struct(*mutable, "_order"), newest).alias("_v"),
+        F.min("first_seen_date").alias("first_seen_date"), F.max("last_seen_date").alias("last_seen_date"), *picks
     )
-    return merged.select(key, *SEEN, "_v.*")
+    return merged.select(key, *SEEN, "_v.*", *(["_f.*"] if frozen else []))
 
 
 def new_keys(base: DataFrame, batch: DataFrame, key: str) -> DataFrame:
