@@ -17,7 +17,6 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from struct import pack
 from typing import NamedTuple
 
 import numpy as np
@@ -28,7 +27,8 @@ from pyspark.sql import functions as F
 from ._common import batches, per_worker, raw_texts, stage
 from ._texts import distinct_texts, to_documents
 
-CHUNKS = 200_000  # entries that a worker's cache may hold
+CHUNKS = 200_000  # entries after which a worker's cache starts anew; the ones before are kept beside it
+TOGETHER = 1 << 20  # bytes of texts whose new chunks are encoded in one go
 LONG = 64  # longer chunks are not kept in the cache
 FREQUENT = 1 << 18  # at most so many id pairs are sent to every task; links of the others are joined
 GATHER = 1 << 20  # id pairs that a task holds before it adds equal ones up
@@ -36,9 +36,11 @@ GATHER = 1 << 20  # id pairs that a task holds before it adds equal ones up
 _PLAIN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
 #: Byte-level vocabularies show each byte as a character: printable ones as themselves, the others from 256 on.
 _BYTE = {chr(b): b for b in _PLAIN} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(_PLAIN))}
+_SHOWN = {b: c for c, b in _BYTE.items()}
 _BLANK_INSIDE = re.compile("[^▁]▁")
 _RAW_BYTE = re.compile("<0x([0-9A-F]{2})>")
 _NOT_SINGLE = re.compile(r"\s |^ ")
+_MARKS = np.array([",", "|", ";", "\n"], object)  # between ids, sides, groups and chunks
 _CUT = re.compile(r"(?<=\S)(?= )")
 
 
@@ -86,71 +88,102 @@ class Aligner:
         names = self.a.get_vocab(with_added_tokens=False)
         self.a_bytes = {i: bytes(_BYTE[c] for c in name) if all(c in _BYTE for c in name) else name.encode() for name, i in names.items()}
         self.b_bytes = [self._piece_bytes(p) for p in pieces]
-        self.known: dict[str, Part | None] = {}
+        self.a_size = np.zeros(max(self.a_bytes) + 1, np.int64)
+        self.a_size[list(self.a_bytes)] = [len(x) for x in self.a_bytes.values()]
+        self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
+        self.decimal = np.array([str(i) for i in range(max(len(self.a_size), self.base))], object)
+        # what was met since the cache was last full, and what the time before
+        self.known: dict[str, Part] = {}
+        self.older: dict[str, Part] = {}
 
     @staticmethod
     def _piece_bytes(piece: str) -> bytes:
         raw = _RAW_BYTE.fullmatch(piece)
         return bytes([int(raw[1], 16)]) if raw else piece.replace("▁", " ").encode()
 
-    def _encode(self, chunk: str) -> tuple[list[int], list[int]]:
+    def _encode(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of blank + chunk by the first tokenizer, of chunk by the second, which adds the blank."""
-        a = self.a.encode(" " + chunk, add_special_tokens=False).ids
-        if chunk:
-            return a, self.b.encode(chunk, num_threads=1)
-        return a, self.b.encode("x ", num_threads=1)[len(self.b.encode("x", num_threads=1)) :]  # a blank that ends a text
-
-    def part(self, chunk: str) -> Part | None:
-        """The alignment of blank + chunk; None if its bytes do not come back."""
-        a, b = self._encode(chunk)
-        a_bytes, b_bytes = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        whole = (" " + chunk).encode()
-        if b"".join(a_bytes) != whole or b"".join(b_bytes) != whole:
-            return None
-        groups, links, left, right, i, j = [], [], [str(a[0])], [str(b[0])], 0, 0
-        a_end, b_end = len(a_bytes[0]), len(b_bytes[0])
-        while True:
-            links.append(a[i] * self.base + b[j])
-            on_a, on_b = a_end <= b_end, b_end <= a_end
-            if on_a and on_b:
-                groups.append(",".join(left) + "|" + ",".join(right))
-                if a_end == len(whole):
-                    break
-                left, right = [], []
-            if on_a:
-                i += 1
-                a_end += len(a_bytes[i])
-                left.append(str(a[i]))
-            if on_b:
-                j += 1
-                b_end += len(b_bytes[j])
-                right.append(str(b[j]))
-        return Part(len(a), len(b), len(groups), ";".join(groups).encode(), pack(f"<{len(links)}Q", *links))
-
-    def _known(self, chunk: str) -> Part | None:
-        found = self.part(chunk)
-        if len(chunk) <= LONG:
-            if len(self.known) >= CHUNKS:
-                self.known.clear()
-            self.known[chunk] = found
-        return found
-
-    def align(self, text: str) -> list[Part] | None:
-        """The parts of blank + text in order; None if the text has no tokens."""
-        if not text:
-            return None
+        # letters alone are one word to the byte-level pre-tokenizer, so its model is asked at once
+        word = self.a.model.tokenize if self.by_chunk else None
+        a = [
+            [x.id for x in word("".join([_SHOWN[x] for x in (" " + c).encode()]))] if word and c.isalpha()
+            else self.a.encode(" " + c, add_special_tokens=False).ids
+            for c in chunks
+        ]
+        b = self.b.encode(chunks, num_threads=1)
+        for k, chunk in enumerate(chunks):
+            if not chunk:  # a blank that ends a text
+                b[k] = self.b.encode("x ")[len(self.b.encode("x")) :]
+        return a, b
+
+    def parts(self, chunks: list[str]) -> list[Part | None]:
+        """The alignment of blank + chunk for each chunk; None if its bytes do not come back."""
+        a, b = self._encode(chunks)
+        out: list[Part | None] = [None] * len(chunks)
+        good = []
+        for k, chunk in enumerate(chunks):
+            whole = (" " + chunk).encode()
+            if b"".join([self.a_bytes[i] for i in a[k]]) == whole == b"".join([self.b_bytes[i] for i in b[k]]):
+                good.append(k)
+        if not good:
+            return out
+        n_a, n_b = np.array([len(a[k]) for k in good]), np.array([len(b[k]) for k in good])
+        a_ids, b_ids = np.array([i for k in good for i in a[k]]), np.array([i for k in good for i in b[k]])
+        # all chunks behind one another: both sides end together where a chunk ends
+        a_ends, b_ends = np.cumsum(self.a_size[a_ids]), np.cumsum(self.b_size[b_ids])
+        last = a_ends[np.cumsum(n_a) - 1]
+        # between two neighbouring ends of either side lies one token of each: a link
+        shared = b_ends[np.searchsorted(b_ends, a_ends)] == a_ends
+        cuts = a_ends[shared]
+        ends = np.sort(np.concatenate([a_ends[~shared], b_ends]), kind="stable")
+        links = (a_ids[np.searchsorted(a_ends, ends)] * self.base + b_ids[np.searchsorted(b_ends, ends)]).astype("<u8").tobytes()
+        link_cuts = [0, *((np.searchsorted(ends, last) + 1) * 8).tolist()]
+        n_groups = np.diff(np.searchsorted(cuts, last) + 1, prepend=0)
+        listed = self._listed(a_ids, b_ids, np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends), np.searchsorted(cuts, last))
+        rows = zip(good, n_a.tolist(), n_b.tolist(), n_groups.tolist(), listed, link_cuts[:-1], link_cuts[1:], strict=True)
+        for k, x, y, groups, text, start, stop in rows:
+            out[k] = Part(x, y, groups, text, links[start:stop])
+        return out
+
+    def _listed(self, a_ids, b_ids, a_group, b_group, last_groups) -> list[bytes]:
+        """The groups of each chunk as text: ids by comma, sides by bar, groups by semicolon."""
+        group = np.concatenate([a_group, b_group])
+        side = np.repeat([0, 1], [len(a_ids), len(b_ids)])
+        order = np.argsort(group * 2 + side, kind="stable")
+        place = (group * 2 + side)[order]
+        ends_side = np.append(place[1:] != place[:-1], True)
+        mark = np.where(ends_side, 1 + (place & 1), 0)
+        mark[np.searchsorted(place, last_groups * 2 + 1, side="right") - 1] = 3
+        words = np.empty(2 * len(order), object)
+        words[::2] = self.decimal[np.concatenate([a_ids, b_ids])[order]]
+        words[1::2] = _MARKS[mark]
+        return "".join(words.tolist()).encode().split(b"\n")[:-1]
+
+    def _chunks(self, text: str) -> list[str]:
         if not self.by_chunk:
-            chunks = [text]
-        elif _NOT_SINGLE.search(text):
-            chunks = [c[1:] for c in _CUT.split(" " + text)]
-        else:
-            chunks = text.split(" ")
-        known, out = self.known, []
-        for chunk in chunks:
-            part = known.get(chunk) or self._known(chunk)
-            if part is None:
-                return None
-            out.append(part)
+            return [text]
+        if _NOT_SINGLE.search(text):
+            return [c[1:] for c in _CUT.split(" " + text)]
+        return text.split(" ")
+
+    def align(self, texts: list[str]) -> list[list[Part] | None]:
+        """For each text the parts of blank + text in order; None if it has no tokens."""
+        cut = [self._chunks(t) if t else [] for t in texts]
+        wanted = set().union(*cut)
+        if len(self.known) > CHUNKS:
+            self.older, self.known = self.known, {}
+        known, older, unseen = self.known, self.older, []
+        for chunk in wanted.difference(known):
+            if chunk in older:
+                known[chunk] = older[chunk]
+            else:
+                unseen.append(chunk)
+        found = dict(zip(unseen, self.parts(unseen), strict=True)) if unseen else {}
+        known.update((c, p) for c, p in found.items() if p is not None and len(c) <= LONG)
+        out: list[list[Part] | None] = []
+        for chunks in cut:
+            parts = [known.get(c) or found[c] for c in chunks]
+            out.append(None if not parts or None in parts else parts)
         return out
 
 
@@ -160,16 +193,20 @@ _TEXTS = pa.schema([
 ])
 
 
+def _decoded(raw: bytes) -> str:
+    """The text; empty, so without tokens, if it is not UTF-8."""
+    try:
+        return raw.decode()
+    except UnicodeDecodeError:
+        return ""
+
+
 def _texts_aligned(a_path: str, b_path: str):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = per_worker(f"aligner {a_path} {b_path}", lambda: Aligner(a_path, b_path))
-        for batch in batches(rows):
+        for batch in batches(rows, TOGETHER):
             out = []
-            for raw in raw_texts(batch["text"]):
-                try:
-                    parts = tool.align(raw.decode())
-                except UnicodeDecodeError:
-                    parts = None
+            for parts in tool.align([_decoded(raw) for raw in raw_texts(batch["text"])]):
                 if parts is None:
                     out.append((0, 0, 0, 0, "", b"", b""))
                     continue
