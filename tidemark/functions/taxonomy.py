@@ -1,9 +1,10 @@
 """Keyword taxonomies as data, and the expressions that apply them.
 
-A taxonomy reaches Spark as one constant array of rules, so a plan stays small
-however many patterns there are. A pattern is split into its alternatives, each
-with the plain word it cannot match without: the word is a substring test, and
-only texts holding it run the regex.
+A pattern is split into its alternatives. All whole words (`\\bword\\b`) of a taxonomy
+are found in one pass over the text and looked up in a constant map. Plain
+alternatives, and the plain word that any other cannot match without, are substring
+tests; phrases that hold a shorter one are only looked for where that occurs. A
+regex runs only on texts that hold its word, and is a constant, compiled once.
 """
 
 from __future__ import annotations
@@ -138,9 +139,6 @@ PIXEL_SIGNATURES = {
     "Microsoft Clarity": r"clarity\.ms/tag/",
 }
 
-TEST = "struct<word: string, regex: string>"
-
-
 def _alternatives(pattern: str) -> list[str]:
     """Parts of a pattern between its top-level `|`; one part where quoting or a flag spans them."""
     if re.search(r"\\Q|\(\?[^:]", pattern):
@@ -191,23 +189,97 @@ def _folded(pattern: str) -> str:
     )
 
 
-def _rules(rows: Iterable[dict], fields: str) -> Column:
-    """A constant array of structs."""
-    return F.from_json(F.lit(json.dumps(list(rows))), f"array<struct<{fields}>>")
-
-
-def _occurs(text: Column, test: Column) -> Column:
-    exact = test["regex"].isNull() | F.rlike(text, test["regex"])
-    return F.contains(text, test["word"]) & exact
-
-
-def _any_occurs(text: Column, tests: Column) -> Column:
-    return F.exists(tests, lambda t: _occurs(text, t))
-
-
-def _first_label(text: Column, rules: Column) -> Column:
-    """Label of the first rule any of whose tests occurs, else NULL."""
-    return let(text, lambda t: F.get(F.filter(rules, lambda r: _any_occurs(t, r["tests"])), F.lit(0))["label"])
+def _tree(phrases: Iterable[str]) -> str:
+    """A regex for the longest of the phrases at a place: common starts are tried once."""
+    heads: dict[str, list[str]] = {}
+    for phrase in sorted(set(phrases)):
+        if phrase:
+            heads.setdefault(phrase[0], []).append(phrase[1:])
+    branches = []
+    for head, rests in heads.items():
+        tail = _tree(rests)
+        if tail and ("|" in tail or "" in rests):
+            tail = f"(?:{tail})" + ("?" if "" in rests else "")
+        branches.append(re.escape(head) + tail)
+    return "|".join(branches)
+
+
+class Index:
+    """The phrases and regexes of numbered patterns."""
+
+    def __init__(self, patterns: Iterable[str]):
+        self.plain: dict[str, set[int]] = {}
+        self.whole: dict[str, set[int]] = {}
+        self.asked: dict[str, set[int]] = {}  # phrase: places in `regexes`
+        self.regexes: list[tuple[int, str]] = []
+        self.always: list[tuple[int, str]] = []  # regexes that no word can be named for
+        for number, pattern in enumerate(patterns):
+            for alternative in _alternatives(pattern):
+                bounded = re.fullmatch(r"\\b([^\W_]+)\\b", alternative)
+                test = _test(alternative)
+                if bounded:
+                    self.whole.setdefault(bounded[1], set()).add(number)
+                elif not test["word"]:
+                    self.always.append((number, test["regex"] or ""))
+                elif test["regex"] is None:
+                    self.plain.setdefault(test["word"], set()).add(number)
+                else:
+                    self.asked.setdefault(test["word"], set()).add(len(self.regexes))
+                    self.regexes.append((number, test["regex"]))
+
+    def _phrases(self) -> list[dict]:
+        """The shortest phrases with what they tell, and under each the phrases that hold it.
+
+        A number from 0 on is a pattern that occurs, one below a regex that is asked for.
+        """
+        def marks(phrase: str) -> list[int]:
+            return sorted({*self.plain.get(phrase, ()), *(-1 - n for n in self.asked.get(phrase, ()))})
+
+        groups: dict[str, dict] = {}
+        for phrase in sorted({*self.plain, *self.asked}, key=lambda p: (len(p), p)):
+            root = next((r for r in groups if r in phrase), None)
+            if root is None:
+                groups[phrase] = {"word": phrase, "marks": marks(phrase), "longer": []}
+            else:
+                groups[root]["longer"].append({"word": phrase, "marks": marks(phrase)})
+        return list(groups.values())
+
+    def _phrases_in(self, text: Column) -> Column:
+        longer = "array<struct<word: string, marks: array<int>>>"
+        groups = F.from_json(F.lit(json.dumps(self._phrases())), f"array<struct<word: string, marks: array<int>, longer: {longer}>>")
+
+        def present(entries: Column) -> Column:
+            return F.filter(entries, lambda e: F.contains(text, e["word"]))
+
+        return F.flatten(F.transform(present(groups), lambda g: F.concat(
+            g["marks"], F.flatten(F.transform(present(g["longer"]), lambda e: e["marks"])))))
+
+    def _words_in(self, text: Column) -> Column:
+        table = F.from_json(F.lit(json.dumps({w: sorted(n) for w, n in self.whole.items()})), "map<string,array<int>>")
+        found = F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?U)\b({_tree(self.whole)})\b"), 1))
+        return F.flatten(F.transform(found, lambda word: F.try_element_at(table, word)))
+
+    def hits(self, text: Column) -> Column:
+        """Numbers of the patterns that occur in a text, each once."""
+        none = F.array().cast("array<int>")
+        parts = ([self._phrases_in(text)] if self.plain or self.asked else []) + ([self._words_in(text)] if self.whole else [])
+
+        def settled(marks: Column) -> Column:
+            ran = [
+                F.when(F.array_contains(marks, -1 - k), F.when(F.rlike(text, F.lit(regex)), number))
+                for k, (number, regex) in enumerate(self.regexes)
+            ] + [F.when(F.rlike(text, F.lit(regex)), number) for number, regex in self.always]
+            sure = F.filter(marks, lambda m: m >= 0)
+            return F.array_distinct(F.concat(sure, F.array_compact(F.array(*ran))) if ran else sure)
+
+        return let(F.coalesce(F.concat(*parts), none) if parts else none, settled)
+
+
+def _first_label(text: Column, patterns: Iterable[tuple[str, str]]) -> Column:
+    """Label of the first of (label, pattern) that occurs, else NULL."""
+    rules = list(patterns)
+    labels = F.array(*[F.lit(label) for label, _ in rules])
+    return let(text, lambda t: F.get(labels, F.array_min(Index(p for _, p in rules).hits(t))))
 
 
 def _lookup(labels: dict[str, str], key: Column) -> Column:
@@ -227,11 +299,7 @@ def _clean_hint(hint: Column) -> Column:
 def seniority(title: Column, levels: Column | None = None) -> Column:
     """Structured level first; else the patterns, most senior one first; else `n/a`."""
     padded = F.concat(F.lit(" "), F.lower(F.coalesce(title, F.lit(""))), F.lit(" "))
-    rules = _rules(
-        ({"label": name, "tests": _tests(p)} for name, p in reversed(SENIORITY_PATTERNS)),
-        f"label: string, tests: array<{TEST}>",
-    )
-    label = F.coalesce(_first_label(padded, rules), F.lit(NO_SENIORITY))
+    label = F.coalesce(_first_label(padded, reversed(SENIORITY_PATTERNS)), F.lit(NO_SENIORITY))
     if levels is None:
         return label
     return F.coalesce(_first_mapped(levels, LEVEL_LABELS, _clean_hint), label)
@@ -250,32 +318,29 @@ def area(
     A pattern counts once per text, however many of its alternatives occur. Of the description
     the first `description_length` characters count, or all of it.
     """
-    rules = _rules(
-        (
-            {"rank": -i, "area": name, "patterns": [_tests(_lowered(p)) for p in patterns]}
-            for i, (name, patterns) in enumerate(keywords.items())
-        ),
-        f"rank: int, area: string, patterns: array<array<{TEST}>>",
-    )
+    index = Index(_lowered(p) for patterns in keywords.values() for p in patterns)
     padded = F.concat(F.lit(" "), F.coalesce(title, F.lit("")), F.lit(" "))
-    texts = [F.lower(padded).alias("title")]
+    texts = [index.hits(F.lower(padded)).alias("title")]
     if description is not None:
         lead = start_of(F.coalesce(description, F.lit("")), description_length)
-        texts.append(F.lower(lead).alias("lead"))
-
-    def hits(text: Column, patterns: Column) -> Column:
-        return F.size(F.filter(patterns, lambda tests: _any_occurs(text, tests)))
+        texts.append(let(F.lower(lead), index.hits).alias("lead"))
 
-    def score(ad: Column, rule: Column) -> Column:
-        total = TITLE_WEIGHT * hits(ad["title"], rule["patterns"])
+    def score(found: Column, numbers: list[int]) -> Column:
+        own = F.array(*[F.lit(n) for n in numbers])
+        total = TITLE_WEIGHT * F.size(F.array_intersect(found["title"], own))
         if description is not None:
-            total = total + DESCRIPTION_WEIGHT * hits(ad["lead"], rule["patterns"])
-        return F.struct(total.alias("score"), rule["rank"].alias("rank"), rule["area"].alias("area"))
-
-    best = let(
-        F.struct(*texts), lambda ad: F.array_max(F.transform(rules, lambda rule: score(ad, rule)))
-    )
-    label = let(best, lambda b: F.when(b["score"] >= AREA_MIN_SCORE, b["area"]).otherwise(NO_AREA))
+            total = total + DESCRIPTION_WEIGHT * F.size(F.array_intersect(found["lead"], own))
+        return total
+
+    def best(found: Column) -> Column:
+        scores, at = [], 0
+        for rank, (name, patterns) in enumerate(keywords.items()):
+            numbers = list(range(at, at + len(patterns)))
+            at += len(patterns)
+            scores.append(F.struct(score(found, numbers).alias("score"), F.lit(-rank).alias("rank"), F.lit(name).alias("area")))
+        return F.array_max(F.array(*scores))
+
+    label = let(let(F.struct(*texts), best), lambda b: F.when(b["score"] >= AREA_MIN_SCORE, b["area"]).otherwise(NO_AREA))
     if categories is None:
         return label
     return F.coalesce(_first_mapped(categories, category_labels, _clean_hint), label)
@@ -283,48 +348,30 @@ def area(
 
 def property_type(title: Column, unit_type: Column) -> Column:
     """First title pattern that matches, else the portal's unit type, else the default."""
-    rules = _rules(
-        ({"label": name, "tests": _tests(_folded(p))} for name, p in PROPERTY_PATTERNS),
-        f"label: string, tests: array<{TEST}>",
-    )
+    patterns = [(name, _folded(p)) for name, p in PROPERTY_PATTERNS]
     by_unit = _lookup(UNIT_TYPE_LABELS, F.upper(F.coalesce(unit_type, F.lit(""))))
-    return F.coalesce(_first_label(fold_accents(title), rules), by_unit, F.lit(DEFAULT_PROPERTY_TYPE))
+    return F.coalesce(_first_label(fold_accents(title), patterns), by_unit, F.lit(DEFAULT_PROPERTY_TYPE))
 
 
 def features(title: Column, description: Column, amenities: Column, text_length: int | None = None) -> Column:
     """Amenity labels found in the portal's list or the text (its start, if cut), in display order."""
-    rules = _rules(
-        (
-            {
-                "label": label,
-                "codes": [code for code, name in AMENITY_LABELS.items() if name == label],
-                "tests": _tests(_folded(FEATURE_PATTERNS[label])) if label in FEATURE_PATTERNS else [],
-            }
-            for label in FEATURE_ORDER
-        ),
-        f"label: string, codes: array<string>, tests: array<{TEST}>",
-    )
+    by_text = [label for label in FEATURE_ORDER if label in FEATURE_PATTERNS]
+    index = Index(_folded(FEATURE_PATTERNS[label]) for label in by_text)
     text = F.concat(fold_accents(title), F.lit(" "), start_of(fold_accents(description), text_length))
     listed = F.transform(
         F.coalesce(amenities, F.array().cast("array<string>")),
         lambda a: F.upper(F.coalesce(a, F.lit(""))),
     )
-
-    def found(ad: Column) -> Column:
-        kept = F.filter(
-            rules,
-            lambda r: F.arrays_overlap(ad["listed"], r["codes"]) | _any_occurs(ad["text"], r["tests"]),
-        )
-        return F.transform(kept, lambda r: r["label"])
-
-    return let(F.struct(text.alias("text"), listed.alias("listed")), found)
+    labels = F.array(*[F.lit(label) for label in by_text])
+    told = F.transform(let(text, index.hits), lambda n: F.get(labels, n))
+    mapped = F.transform(listed, lambda a: _lookup(AMENITY_LABELS, a))
+    found = F.concat(told, mapped)
+    return F.array_intersect(F.array(*[F.lit(label) for label in FEATURE_ORDER]), found)
 
 
 def pixels(page: Column, signatures: dict[str, str] = PIXEL_SIGNATURES) -> Column:
     """Names of the trackers whose install signature occurs in the page."""
-    rules = _rules(
-        ({"label": name, "tests": _tests(p)} for name, p in signatures.items()),
-        f"label: string, tests: array<{TEST}>",
-    )
-    kept = F.filter(rules, lambda r: _any_occurs(page, r["tests"]))
-    return F.when(page.isNotNull(), F.transform(kept, lambda r: r["label"]))
+    index = Index(signatures.values())
+    names = F.array(*[F.lit(name) for name in signatures])
+    found = F.transform(F.array_sort(index.hits(page)), lambda n: F.get(names, n))
+    return F.when(page.isNotNull(), found)
