@@ -260,3 +260,17 @@ def test_area_keeps_the_case_of_escapes(spark):
     frame = spark.createDataFrame([("C++ daily",), ("c++x",)], "t string")
     found = frame.select("t", taxonomy.area(F.col("t"), keywords={"cpp": (r"C\+\+\W",)}, category_labels={}).alias("a")).collect()
     assert {r.t: r.a for r in found} == {"C++ daily": "cpp", "c++x": "other"}
+
+
+def test_every_reference_is_decoded_as_the_standard_says(spark):
+    from html.entities import html5
+
+    texts = [f"&{name}" for name in html5] + [f"a&{name}x &{name}; &{name}=1" for name in html5 if not name.endswith(";")]
+    numbers = [*range(0x200), 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0xFDCF, 0xFDD0, 0xFDEF, 0xFDF0, 0xFEFF, 0xFFFD, 0xFFFE, 0xFFFF, 0x10000,
+               0x1F600, 0x1FFFD, 0x1FFFE, 0x10FFFD, 0x10FFFE, 0x10FFFF, 0x110000, 10**9, 10**30, *range(0x300, 0x10FFFF, 9973)]
+    texts += [f"&#{n};" for n in numbers] + [f"&#x{n:x}z" for n in numbers] + [f"&#X000{n:X};" for n in numbers]
+    texts += ["&", "&&", "&#", "&#;", "&#x;", "&#xg", "&;", "& lt;", "&lt", "&ltx;", "&notit;", "&notin;", "&amp;lt;", "&amp;#65;", "&é;", "x&#65", "&\n",
+              "&" + "a" * 40 + ";", "&CounterClockwiseContourIntegral;", "&#0000000000065;", "&lt&gt&#65&bogus;&eacute;", "&AMP;&aMp;", None, ""]
+    check(spark, [(t, None if t is None else html.unescape(t)) for t in texts], "t string", text.unescape_entities(F.col("t")))
+    plan = spark.range(1).select(text.strip_html(F.lit("x").cast("string"))).select("*")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan

@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 import html
+import html.entities
 import json
 import sys
 import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Patterns, placeholders and length limits the cleaned text must agree with.
 # (?U) makes \s \d \b follow Unicode; word characters are spelled out as letters, numbers, `_`.
@@ -34,7 +33,7 @@ NON_ASCII = r"[^\x00-\x7F]"
 # Latin fractions and digraph letters, and everything past the Latin blocks
 LATIN_LONGER = r"[\xbc-\xbe\u0132-\u0133\u01c4-\u01cc\u01f1-\u01f3\u0250-\x{10ffff}]"
 
-# Entities decoded inside the JVM; a text holding any other kind goes to `_unescape`.
+# Entities that are plain replacements; a text holding any other kind goes to `_unescape`.
 SIMPLE_ENTITIES = {
     "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'", "&nbsp;": "\u00a0",
     "&middot;": "·", "&copy;": "©", "&reg;": "®", "&euro;": "€",
@@ -65,23 +64,82 @@ def trim_space(text: Column) -> Column:
     return F.regexp_replace(text, rf"(?U)\A{SPACE}+|{SPACE}+\z", "")
 
 
-@F.pandas_udf(T.StringType())
-def _unescape(text: pd.Series) -> pd.Series:
-    return text.map(html.unescape, na_action="ignore")
+REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+MAX_CODE_POINT = 0x10FFFF
+REPLACEMENT = "\ufffd"
+
+
+@lru_cache(maxsize=1)
+def _reference_tables() -> tuple[dict[str, str], dict[str, str], str]:
+    """Named references, numeric ones that do not stand for their own code point, and the names
+    that count without a semicolon too, longest first, as a regex."""
+    names = html.entities.html5
+    odd = {str(n): html.unescape(f"&#{n};") for n in range(0xA0) if html.unescape(f"&#{n};") != chr(n)}
+    bare = sorted((n for n in names if not n.endswith(";")), key=len, reverse=True)
+    return names, odd, "|".join(bare)
+
+
+def _code_point(number: Column) -> Column:
+    """The character of a code point, by its UTF-16 form."""
+    above = number - 0x10000
+    pair = F.concat(
+        F.lpad(F.hex(F.shiftright(above, 10) + 0xD800), 4, "0"), F.lpad(F.hex(above.bitwiseAND(F.lit(0x3FF)) + 0xDC00), 4, "0"))
+    units = F.when(number < 0x10000, F.lpad(F.hex(number), 4, "0")).otherwise(pair)
+    return F.decode(F.unhex(units), "UTF-16BE")
+
+
+def _numeric(digits: Column, base: int, longest: int) -> Column:
+    """The character that a numeric reference stands for; '' for non-characters."""
+    _, odd, _ = _reference_tables()
+    bare = F.regexp_replace(digits, r"\A0+(?=.)", "")
+    number = F.when(F.length(bare) <= longest, F.conv(bare, base, 10).cast("bigint"))
+
+    def char(n: Column) -> Column:
+        none = n.between(0xFDD0, 0xFDEF) | (n.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+        wrong = n.isNull() | (n > MAX_CODE_POINT) | n.between(0xD800, 0xDFFF)
+        special = F.try_element_at(constant_map(odd), n.cast("string"))
+        return F.when(wrong, REPLACEMENT).when(none, "").otherwise(F.coalesce(special, _code_point(n)))
+
+    return let(number, char)
+
+
+def _decoded(reference: Column) -> Column:
+    """What a reference (from its `&` on) stands for; itself if it is none."""
+    names, _, bare = _reference_tables()
+    table = constant_map(names)
+
+    def named(body: Column) -> Column:
+        start = F.regexp_extract(body, rf"\A({bare})", 1)
+        by_start = F.when(start != "", F.concat(F.try_element_at(table, start), F.substr(body, F.length(start) + 1)))
+        return F.coalesce(F.try_element_at(table, body), by_start, F.concat(F.lit("&"), body))
+
+    return (
+        F.when(reference.rlike(r"\A&#[xX]"), _numeric(F.regexp_extract(reference, "([0-9a-fA-F]+);?$", 1), 16, 6))
+        .when(reference.startswith("&#"), _numeric(F.regexp_extract(reference, "([0-9]+)", 1), 10, 7))
+        .otherwise(let(F.substr(reference, F.lit(2)), named))
+    )
+
+
+def _unescape(text: Column) -> Column:
+    """Every character reference of a text decoded; the text between them is kept."""
+    pieces = F.regexp_extract_all(text, F.lit(f"({REFERENCE}|[^&]+|&)"), 1)
+    return F.array_join(F.transform(pieces, lambda p: F.when(p.rlike(r"\A&."), _decoded(p)).otherwise(p)), "")
 
 
 def unescape_entities(text: Column) -> Column:
-    """HTML character references to characters, all names and numeric forms.
+    """HTML character references to characters, all names and numeric forms, as browsers read them.
 
-    The common names are plain replacements. Only texts with other references are
-    handed to the vectorised fallback; the rest pass NULL through it.
+    The common names are plain replacements; only texts with other references are taken apart.
     """
     names = "|".join(sorted(e[1:] for e in SIMPLE_ENTITIES))
-    unusual = text.rlike(rf"&(?!(?:{names}))[#a-zA-Z]")
-    plain = text
-    for entity, char in SIMPLE_ENTITIES.items():
-        plain = F.replace(plain, F.lit(entity), F.lit(char))
-    return F.coalesce(_unescape(F.when(unusual, text)), plain)
+
+    def decoded(t: Column) -> Column:
+        plain = t
+        for entity, char in SIMPLE_ENTITIES.items():
+            plain = F.replace(plain, F.lit(entity), F.lit(char))
+        return F.when(t.rlike(rf"&(?!(?:{names}))[#a-zA-Z]"), _unescape(t)).otherwise(plain)
+
+    return let(text, decoded)
 
 
 def scrub_contacts(text: Column) -> Column:
