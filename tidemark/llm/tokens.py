@@ -48,9 +48,9 @@ def _visible(text: str) -> str:
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library; special strings in a text are ordinary text.
+    """Ids of whole texts by the tokenizers library, which reads special strings in a text as such.
 
-    A byte-level tokenizer that cuts by its own pattern never joins across a blank that follows
+    Texts that hold one are encoded whole. A byte-level tokenizer that cuts by its own pattern never joins across a blank that follows
     another character, so a text without double blanks is cut there and each piece is encoded
     once a worker; other texts and other tokenizers are encoded whole.
     """
@@ -59,7 +59,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tool = Tokenizer.from_file(path)
-        self.tool.encode_special_tokens = True
+        self.special = [t.content for t in self.tool.get_added_tokens_decoder().values()]
         with open(path) as f:
             config = json.load(f)
         cut = config.get("pre_tokenizer") or {}
@@ -108,7 +108,7 @@ class Encoder:
         """Little-endian unsigned 32-bit ids."""
         if not text:
             return b""
-        if not self.by_piece or "  " in text:
+        if not self.by_piece or "  " in text or any(x in text for x in self.special):
             return self._ids(text)
         head, *rest = text.split(" ")
         known = self.pieces
