@@ -293,8 +293,10 @@ def _rental_landing(spark, sf) -> DataFrame:
         F.array(F.lit("POOL")).alias("mergedAmenities"),
         F.when(n % 4 == 0, F.array(F.lit("ZAP"))).otherwise(F.array(F.lit("ZAP"), F.lit("VIVAREAL"))).alias("portals"),
         F.lit("2024-03-04T05:06:07Z").alias("createdAt"))
-    medias = F.transform(F.sequence(F.lit(0), F.lit(10)), lambda i: F.struct(
-        F.when(i == 2, "bad-id").otherwise(F.concat(F.lit("p"), i)).alias("id"), F.when(i == 4, "VIDEO").alias("type")))
+    # a listing has up to eleven media; an id is damaged and a video stands among them where the key says so
+    medias = F.transform(F.sequence(F.lit(0), n.cast("int") % 11), lambda i: F.struct(
+        F.when((i + n) % 9 == 2, "bad-id").otherwise(F.concat(F.lit("p"), n, F.lit("x"), i)).alias("id"),
+        F.when((i + n) % 7 == 4, "VIDEO").when(i % 2 == 0, "IMAGE").alias("type")))
     row = F.struct(listing.alias("listing"), _named(F.concat(F.lit(" "), F.col("c_name"))).alias("account"), medias.alias("medias"))
     body = F.to_json(F.struct(F.array(row).alias("listings")))
     return table(spark, sf, "customer").select(
@@ -306,6 +308,10 @@ _RENTALS = """
 _KEPT = "c_custkey % 8 <> 0 AND c_custkey % 6 <> 0 AND c_custkey % 10 <> 0 AND c_custkey % 23 <> 0"
 
 
+_PHOTOS = """COALESCE((SELECT STRING_AGG('p' || c_custkey || 'x' || i, '|' ORDER BY i) FROM RANGE(11) AS g(i)
+      WHERE i <= c_custkey % 11 AND (i + c_custkey) % 9 <> 2 AND (i + c_custkey) % 7 <> 4), '')"""
+
+
 @query("norm_listing", oracle(r=_RENTALS, sql=f"""
     SELECT CAST((c_custkey + 1) // 2 AS VARCHAR) AS native_id, 'Sítio ' || c_custkey AS title,
       CASE WHEN c_custkey % 4 = 0 THEN 'https://www.zapimoveis.com.br' ELSE 'https://www.vivareal.com.br' END
@@ -314,7 +320,7 @@ _KEPT = "c_custkey % 8 <> 0 AND c_custkey % 6 <> 0 AND c_custkey % 10 <> 0 AND c
       CAST(-22.5 AS DOUBLE) AS lat, CASE WHEN c_custkey % 5 <> 0 THEN CAST(-47.25 AS DOUBLE) END AS lon,
       CAST(2000 + c_custkey * 131 % 16000 AS BIGINT) AS rent, CASE WHEN c_custkey % 2 = 0 THEN CAST(1250 AS BIGINT) END AS condo_fee,
       CAST(CASE WHEN c_custkey % 3 = 0 THEN 300 ELSE 3600 END AS BIGINT) AS iptu, CAST(50 + c_custkey * 977 % 30000 AS BIGINT) AS total_area,
-      CAST(NULL AS BIGINT) AS usable_area, CAST(NULLIF(c_custkey % 6, 0) AS BIGINT) AS bedrooms, 'p0|p1|p3|p5|p6|p7|p8|p9|p10' AS photos,
+      CAST(NULL AS BIGINT) AS usable_area, CAST(NULLIF(c_custkey % 6, 0) AS BIGINT) AS bedrooms, {_PHOTOS} AS photos,
       c_name AS advertiser, DATE '2024-03-04' AS published_date,
       CASE WHEN c_custkey % 4 = 0 THEN 'ZAP' ELSE 'ZAP|VIVAREAL' END AS portals, 'FARM' AS unit_type_raw
     FROM r WHERE {_KEPT}"""))
@@ -341,7 +347,7 @@ def rental_price(spark, sf):
     return _entries(spark, sf).select(page, price.alias("p")).select("page", "p.*")
 
 
-@query("photo_ids", "SELECT c_custkey AS page, 'p0|p1|p3|p5|p6|p7|p8|p9|p10' AS photos FROM customer")
+@query("photo_ids", f"SELECT c_custkey AS page, {_PHOTOS} AS photos FROM customer")
 def photo_ids(spark, sf):
     ids = rentals.photo_ids(F.col("r.medias"))
     page = F.floor(F.col("ord") / feeds.RECORDS_PER_PAGE).alias("page")

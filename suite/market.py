@@ -462,3 +462,40 @@ def export_series_json(spark, sf):
     points = back.select("ticker", doc.alias("d")).select("ticker", F.explode(zipped).alias("p"))
     return points.select("ticker", F.col("p.dates").alias("date"),
                          *[F.col(f"p.{c}").alias(c) for c in ("close", "vol_21d", "ma50", "ma200")])
+
+
+@query("export_csv_tables", oracle(*_MET, "f1_joint", "f1_corr", v=_LATEST, sql=f"""
+    SELECT 'correlation' AS name, 'A/R' AS key, date, {half_up('corr_63d', 6)} AS value FROM f1_corr
+    UNION ALL SELECT 'kpi_snapshot', ticker, date, {half_up('close', 2)} FROM v"""))
+def export_csv_tables(spark, sf):
+    """The two smaller files, read back by their own schemas."""
+    run, folder = _market(spark, sf), scratch_path(spark, "csv")
+    out = {"correlation": run.correlation, "kpi_snapshot": run.kpis(_instruments(spark))}
+    tables.export_csv(out, folder)
+    back = {n: spark.read.schema(df.schema).option("header", True).csv(f"{folder}/{n}") for n, df in out.items()}
+    corr = back["correlation"].select(F.lit("correlation").alias("name"), F.col("pair").alias("key"), "date", F.round("corr_63d", 6).alias("value"))
+    kpis = back["kpi_snapshot"].select(
+        F.lit("kpi_snapshot").alias("name"), F.col("ticker").alias("key"), F.col("last_date").alias("date"), F.col("last_close").alias("value"))
+    return corr.unionByName(kpis)
+
+
+@query("frontier_document", oracle(*_STATS, mv=_MV, points=_POINTS, sql=f"""
+    SELECT {half_up('rho', 3)} AS corr, {half_up('mean_a * 100', 2)} AS ret_a, {half_up('risk_a * 100', 2)} AS risk_a,
+      {half_up('mean_b * 100', 2)} AS ret_b, {half_up('risk_b * 100', 2)} AS risk_b, mv.w AS w_min, mv.ret AS ret_min, mv.risk AS risk_min,
+      points.w, points.ret, points.risk, {WARN} :: DOUBLE AS vol_warn, {BREACH} :: DOUBLE AS vol_breach, 'Flag A' AS name_a
+    FROM f1_stats, mv, points"""))
+def frontier_document(spark, sf):
+    """The written frontier and header, read back and spread by point."""
+    run, folder = _market(spark, sf), scratch_path(spark, "dashboard")
+    market.export_dashboard(run, _instruments(spark), folder)
+    pair = "struct<ret: double, risk: double>"
+    schema = f"corr double, assets map<string, {pair}>, points array<struct<w: int, ret: double, risk: double>>, min_var struct<w: double, ret: double, risk: double>"
+    doc = spark.read.schema(schema).json(f"{folder}/frontier").withColumn("k", F.lit(1))
+    head = spark.read.schema("vol_warn double, vol_breach double, commodities map<string, string>").json(f"{folder}/header").withColumn("k", F.lit(1))
+    spread = doc.join(head, "k").select("*", F.explode("points").alias("p"))
+    return spread.select(
+        "corr", F.col("assets")[A]["ret"].alias("ret_a"), F.col("assets")[A]["risk"].alias("risk_a"),
+        F.col("assets")[R]["ret"].alias("ret_b"), F.col("assets")[R]["risk"].alias("risk_b"),
+        F.col("min_var.w").alias("w_min"), F.col("min_var.ret").alias("ret_min"), F.col("min_var.risk").alias("risk_min"),
+        F.col("p.w").alias("w"), F.col("p.ret").alias("ret"), F.col("p.risk").alias("risk"),
+        "vol_warn", "vol_breach", F.col("commodities")[A].alias("name_a"))

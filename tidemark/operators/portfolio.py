@@ -75,6 +75,19 @@ def min_variance_mix(stats: DataFrame) -> DataFrame:
     )
 
 
+def frontier_document(stats: DataFrame, first: str, second: str, step: int = WEIGHT_STEP) -> DataFrame:
+    """One row: correlation, both assets alone, the curve and its least-risk mix, display-rounded."""
+    share = min_variance_weight()
+    assets = F.create_map(*[
+        value for name, s in ((first, "a"), (second, "b")) for value in (
+            F.lit(name), F.struct(F.round(F.col(f"mean_{s}") * 100, 2).alias("ret"), F.round(F.col(f"risk_{s}") * 100, 2).alias("risk")))
+    ])
+    points = F.transform(F.sequence(F.lit(0), F.lit(100), F.lit(step)), lambda w: F.struct(
+        w.alias("w"), mix_return(w / 100).alias("ret"), mix_risk(w / 100).alias("risk")))
+    least = F.struct(F.round(share * 100, 1).alias("w"), mix_return(share).alias("ret"), mix_risk(share).alias("risk"))
+    return stats.select(F.round("rho", 3).alias("corr"), assets.alias("assets"), points.alias("points"), least.alias("min_var"))
+
+
 def efficient_branch(stats: DataFrame, step: int = WEIGHT_STEP) -> DataFrame:
     """The points that return more than the least-risk mix, compared after rounding."""
     floor = stats.withColumn("floor", mix_return(min_variance_weight()))

@@ -11,6 +11,7 @@ from tidemark.functions import scores
 from tidemark.functions.dates import month_key, month_of_year, year_key
 from tidemark.functions.numbers import percent
 from tidemark.operators import portfolio, risk
+from tidemark.sources import tables
 
 PRICE_COLUMNS = ("date", "ticker", "commodity", "open", "high", "low", "close", "volume")
 METRIC_COLUMNS = ("date", "ticker", "ret_pct", "vol_21d", "drawdown", "pct_from_high",
@@ -86,12 +87,12 @@ def latest_global(df: DataFrame, order: str) -> DataFrame:
 
 
 def latest_risk(market: MarketRun) -> DataFrame:
-    """Risk summary at each ticker's latest bar."""
-    columns = [c for c in ("ticker", "commodity", "date", "close") if c in market.prices.columns]
-    joined = join_metrics_prices(market).select(*columns, "vol_21d", "drawdown", "risk_flag")
-    rest = [c for c in joined.columns if c != "ticker"]
-    newest = joined.groupBy("ticker").agg(F.max_by(F.struct(*rest), "date").alias("r"))
-    return newest.select("ticker", "r.*").select(*joined.columns)
+    """Risk summary at each ticker's latest bar; the metrics carry their bar, so bars are read once."""
+    columns = [c for c in ("ticker", "commodity", "date", "close") if c in market.metrics.columns]
+    days = market.metrics.select(*columns, "vol_21d", "drawdown", "risk_flag")
+    rest = [c for c in days.columns if c != "ticker"]
+    newest = days.groupBy("ticker").agg(F.max_by(F.struct(*rest), "date").alias("r"))
+    return newest.select("ticker", "r.*").select(*days.columns)
 
 
 def q1_latest_risk(latest: DataFrame) -> DataFrame:
@@ -107,7 +108,7 @@ def q1_latest_risk(latest: DataFrame) -> DataFrame:
 
 def q2_top_drops(market: MarketRun, ticker: str, n: int = 10) -> DataFrame:
     """A ticker's `n` worst days with the close."""
-    days = join_metrics_prices(market).where(F.col("ticker") == ticker)
+    days = market.metrics.where(F.col("ticker") == ticker)
     worst = days.orderBy(F.col("ret_pct").asc_nulls_first(), "date").limit(n)
     return worst.select(
         "date", F.round("close", 2).alias("close"), F.round("ret_pct", 2).alias("change_pct")
@@ -184,3 +185,18 @@ def q10_moving_average(prices: DataFrame, ticker: str, span: int = 20, n: int =
         F.round(F.avg("close").over(frame), 2).alias("moving_avg_20d"),
     )
     return smooth.orderBy(F.col("date").desc()).limit(n)
+
+
+def dashboard_header(market: MarketRun, names: DataFrame) -> DataFrame:
+    """One row: the thresholds the flags were made with, and the instruments by ticker."""
+    entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("ticker", "name"))))
+    return names.agg(entries.alias("commodities")).select(
+        F.lit(market.warn).alias("vol_warn"), F.lit(market.breach).alias("vol_breach"), "commodities")
+
+
+def export_dashboard(market: MarketRun, instruments: DataFrame, folder: str) -> None:
+    """The series, key figures, whole frontier and correlation, with the thresholds, as JSON lines."""
+    frontier = portfolio.frontier_document(market.stats, *market.pair)
+    tables.export_series_json(
+        market.metrics, market.kpis(instruments), frontier, market.correlation, folder,
+        dashboard_header(market, instruments.select("ticker", "name")))

@@ -60,8 +60,11 @@ def export_series_json(
     frontier: DataFrame,
     correlation: DataFrame,
     folder: str,
+    header: DataFrame | None = None,
 ) -> None:
-    """Series, key figures, frontier and correlation (3 decimals) as JSON lines."""
+    """Series, key figures, frontier and correlation (3 decimals), and a header if given, as JSON lines."""
+    if header is not None:
+        header.write.mode("overwrite").json(f"{folder}/header")
     series_documents(metrics).write.mode("overwrite").json(f"{folder}/series")
     kpis.write.mode("overwrite").json(f"{folder}/kpis")
     frontier.write.mode("overwrite").json(f"{folder}/frontier")
