@@ -358,3 +358,34 @@ def photo_ids(spark, sf):
 def usage_filter(spark, sf):
     page = F.floor(F.col("ord") / feeds.RECORDS_PER_PAGE).alias("page")
     return _entries(spark, sf).where(rentals.usage_allowed(F.col("r.listing.usageTypes"))).select(page)
+
+
+def _mixed_pages(spark, sf):
+    """Pages of four records each; one is no object, and one has fields of the wrong type, where the key says so."""
+    n = F.col("c_custkey")
+    good = F.concat(F.lit('{"id":"a'), n, F.lit('","name":"Dev","isRemoteWork":true,"skills":["x"]}'))
+    broken = F.when(n % 3 == 0, F.lit('"oops"')).when(n % 3 == 1, F.lit("17")).otherwise(F.lit('{"id":"b","name":"Ops"}'))
+    odd = F.when(n % 4 == 0, F.concat(F.lit('{"id":"c","name":"QA '), n, F.lit('","isRemoteWork":"maybe","skills":5}'))).otherwise(
+        F.lit('{"id":"c","name":"QA","isRemoteWork":false}'))
+    body = F.concat(F.lit('{"data":['), good, F.lit(","), broken, F.lit(","), odd, F.lit(',{"id":"d"}]}'))
+    return table(spark, sf, "customer").select(
+        F.lit("gupy").alias("feed"), F.lit(None).cast("string").alias("company_slug"), n.alias("page"), body.alias("body"))
+
+
+@query("quarantine", """
+    SELECT c_custkey AS page, 1 AS place, 'not a record' AS reason, '' AS fields FROM customer WHERE c_custkey % 3 <> 2
+    UNION ALL SELECT c_custkey, 2, 'unreadable fields', 'isRemoteWork,skills' FROM customer WHERE c_custkey % 4 = 0""")
+def quarantine(spark, sf):
+    found = feeds.quarantine(_mixed_pages(spark, sf), "gupy")
+    return found.select("page", "place", "reason", F.array_join("fields", ",").alias("fields"))
+
+
+@query("unpack_mixed_pages", """
+    SELECT c_custkey AS page, CAST(4 - CAST(c_custkey % 3 <> 2 AS INTEGER) AS BIGINT) AS n_records,
+      CASE WHEN c_custkey % 4 = 0 THEN 'QA ' || c_custkey ELSE 'QA' END AS third FROM customer""")
+def unpack_mixed_pages(spark, sf):
+    """A page keeps its other records, and a record its other fields."""
+    rows = feeds.unpack(_mixed_pages(spark, sf), "gupy")
+    page = F.floor(F.col("ord") / feeds.RECORDS_PER_PAGE).alias("page")
+    third = F.max(F.when(F.col("r.id") == "c", F.col("r.name"))).alias("third")
+    return rows.groupBy(page).agg(F.count("*").alias("n_records"), third)

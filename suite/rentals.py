@@ -59,12 +59,12 @@ def _merged(spark, sf):
 
 
 def _located(spark, sf):
-    merged = _merged(spark, sf)
+    merged = settle(_merged(spark, sf))  # the centroids and the rows both read it
     return geo.locate(merged, geo.city_centroids(merged))
 
 
 def _resolved(spark, sf):
-    rows = geo.resolve(_merged(spark, sf))
+    rows = geo.resolve(settle(_merged(spark, sf)))
     return listings.with_identity(rows).withColumns({
         "is_match": scores.is_match(F.col("rent"), F.col("total_area")),
         "price_per_m2": scores.price_per_m2(F.col("rent"), F.col("total_area")),

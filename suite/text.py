@@ -185,12 +185,8 @@ def company_from_slug(spark, sf):
     return table(spark, sf, "documents").select("doc_id", labels.company_from_slug(slug).alias("company"))
 
 
-_STOP = (r"(pleno|s[eê]nior|j[uú]nior|jr|sr|senior|junior|especialista|analista|estagi\w*|trainee|remoto|remote"
-         r"|home\s*office|\d+)")
-
-
 def _duck_key(expr: str) -> str:
-    bounded = _quoted(r"\b" + _STOP + r"\b")
+    bounded = _quoted(keys.STOP_WORDS.removeprefix("(?i)"))
     return (f"TRIM(REGEXP_REPLACE(REGEXP_REPLACE({_duck_fold(expr)}, {bounded}, ' ', 'g'), '[^a-z0-9]+', ' ', 'g'))")
 
 

@@ -83,9 +83,10 @@ VIEWS = {
         SELECT p_partkey AS product_id, p_name AS name, p_type AS category,
           CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_retailprice END AS price FROM part""",
     "f7_variants": """
-        SELECT p_partkey AS product_id, k AS variant,
-          CASE WHEN (p_partkey + k) % 5 = 0 THEN NULL ELSE p_retailprice + k * 10 END AS variant_price
-        FROM part CROSS JOIN (VALUES (1), (2), (3)) AS v(k) WHERE k <= p_partkey % 4""",
+        SELECT product_id, variant, CASE WHEN (product_id + variant) % 5 = 0 THEN NULL ELSE price + variant * 10 END AS variant_price
+        FROM (SELECT p_partkey AS product_id, 1 AS variant, p_retailprice AS price FROM part WHERE p_partkey % 4 >= 1
+          UNION ALL SELECT p_partkey, 2, p_retailprice FROM part WHERE p_partkey % 4 >= 2
+          UNION ALL SELECT p_partkey, 3, p_retailprice FROM part WHERE p_partkey % 4 >= 3)""",
     "f7_cart": """
         SELECT l_orderkey AS basket, l_partkey AS product_id,
           CAST(l_linenumber % 4 AS INT) AS variant, l_quantity AS qty FROM lineitem""",

@@ -203,3 +203,19 @@ def test_landing_files_round_trip(spark):
     assert feeds.read_landing(spark, path).select(F.max("page")).first()[0] == 0
     plan = feeds.unpack(feeds.read_landing(spark, path), "rentals")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(feed" in plan  # other feeds' folders are not read
+
+
+def test_a_bad_record_leaves_its_page_alone(spark):
+    bodies = [
+        '{"data":[{"id":"1","name":"a","isRemoteWork":true},"oops",{"id":"2","isRemoteWork":"maybe","skills":7},null,[],{"id":"3"}]}',
+        '{"data":[{"id":"4"},{"id":5,"skills":["x"]}]}', '{"data":[]}', '{"data":"x"}', "{broken", None, '{"other":[1]}',
+    ]
+    landing = spark.createDataFrame([("gupy", None, n, b) for n, b in enumerate(bodies)], feeds.LANDING_SCHEMA)
+    rows = feeds.unpack(landing, "gupy").orderBy("ord").collect()
+    assert [(r.ord % feeds.RECORDS_PER_PAGE, r.r.id, r.r.isRemoteWork) for r in rows] == [
+        (0, "1", True), (2, "2", None), (5, "3", None), (0, "4", None), (1, "5", None)]
+    bad = feeds.quarantine(landing, "gupy").orderBy("page", "place").collect()
+    assert [(r.page, r.place, r.reason, r.fields) for r in bad] == [
+        (0, 1, "not a record", []), (0, 2, "unreadable fields", ["isRemoteWork", "skills"]), (0, 3, "not a record", []), (0, 4, "not a record", [])]
+    assert feeds.quarantine(landing, "lever").count() == 0
+    assert feeds.quarantine(landing.withColumn("feed", F.lit("weworkremotely")), "weworkremotely").count() == 0

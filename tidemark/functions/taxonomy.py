@@ -75,6 +75,7 @@ CATEGORY_LABELS = {
 TITLE_WEIGHT, DESCRIPTION_WEIGHT, AREA_MIN_SCORE = 3, 1, 3
 NO_AREA = "other"
 
+# Property types by the portal's unit type, and the title patterns that come first.
 UNIT_TYPE_LABELS = {
     "FARM": "Chácara", "COUNTRY_HOUSE": "Chácara", "ALLOTMENT_LAND": "Terreno",
     "HOME": "Casa com terreno", "RESIDENTIAL_ALLOTMENT_LAND": "Terreno",
@@ -88,6 +89,7 @@ PROPERTY_PATTERNS = (
     ("Terreno", r"\b(terreno|[aá]rea|lote|gleba)\b"),
 )
 
+# Feature labels by the portal's amenity code, by pattern, and their display order.
 AMENITY_LABELS = {
     "POOL": "Piscina", "PRIVATE_POOL": "Piscina", "SWIMMING_POOL": "Piscina",
     "BARBECUE_GRILL": "Área gourmet", "PIZZA_OVEN": "Área gourmet",

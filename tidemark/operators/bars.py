@@ -45,10 +45,11 @@ def missing_tickers(bars: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def require_complete(bars: DataFrame, expected: DataFrame) -> DataFrame:
-    """The bars, or an error naming the expected tickers that are absent."""
-    absent = [r.ticker for r in missing_tickers(bars, expected).orderBy("ticker").take(20)]
-    if absent:
-        raise ValueError(f"no price rows for {absent}")
+    """The bars, or an error with the number of expected tickers that are absent and the first of them."""
+    absent = missing_tickers(bars, expected).orderBy("ticker")
+    first = [r.ticker for r in absent.take(20)]
+    if first:
+        raise ValueError(f"no price rows for {absent.count()} tickers, first {first}")
     return bars
 
 

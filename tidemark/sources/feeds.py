@@ -12,6 +12,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions.text import let
 
 LANDING_SCHEMA = "feed string, company_slug string, page bigint, body string"
 RECORDS_PER_PAGE = 1 << 20  # `ord` is page * this + place in the page
@@ -93,15 +96,31 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LANDING_SCHEMA).json(path)
 
 
+def _record_texts(feed: str) -> Column:
+    """The page's records as JSON texts, whatever they are; NULL where the list itself cannot be read."""
+    spec = FEEDS[feed]
+    if spec.envelope:
+        return F.from_json("body", f"{spec.envelope} array<string>")[spec.envelope]
+    return F.from_json("body", "array<string>")
+
+
+def _record(feed: str, raw: Column) -> Column:
+    """One record; NULL if it is no object. A field that cannot be read is NULL and leaves the others be."""
+    return F.when(F.get_json_object(raw, "$").startswith("{"), F.from_json(raw, f"struct<{FEEDS[feed].fields}>"))
+
+
 def _records(feed: str) -> Column:
-    """The page's records; NULL where it does not parse or lacks the feed's envelope."""
+    """The page's records; NULL where it does not parse or lacks the feed's envelope.
+
+    A page is read whole; only where that fails, or a record in it does, each record is read on its own.
+    """
     spec = FEEDS[feed]
     listed = f"array<struct<{spec.fields}>>"
     if spec.xml:
         return F.from_xml("body", f"{spec.envelope} struct<item {listed}>")[spec.envelope]["item"]
-    if spec.envelope:
-        return F.from_json("body", f"{spec.envelope} {listed}")[spec.envelope]
-    return F.from_json("body", listed)
+    whole = F.from_json("body", f"{spec.envelope} {listed}")[spec.envelope] if spec.envelope else F.from_json("body", listed)
+    return let(whole, lambda w: F.when(w.isNotNull() & ~F.exists(w, lambda r: r.isNull()), w).otherwise(
+        F.transform(_record_texts(feed), lambda raw: _record(feed, raw))))
 
 
 def _judged(landing: DataFrame, feed: str) -> DataFrame:
@@ -145,10 +164,33 @@ def unpack(landing: DataFrame, feed: str) -> DataFrame:
     """Records of one feed as company_slug, ord (arrival order) and the fields under `r`.
 
     A page that does not parse yields no records, so a broken one never stops a run; `lost_pages`
-    lists it.
+    lists it. A record that is no object is left out and the others of its page are kept;
+    `quarantine` lists it.
     """
     pages = landing.where(F.col("feed") == feed)
     rows = pages.select("company_slug", "page", F.posexplode(_records(feed)).alias("_i", "r"))
-    return rows.select(
+    return rows.where(F.col("r").isNotNull()).select(
         "company_slug", (F.col("page") * RECORDS_PER_PAGE + F.col("_i")).alias("ord"), "r"
     )
+
+
+def quarantine(landing: DataFrame, feed: str) -> DataFrame:
+    """company_slug, page, place, reason, fields and raw text of the records that are not read in full.
+
+    `not a record`: no JSON object, so left out by `unpack`. `unreadable fields`: kept, with NULL for
+    each field of `fields`, whose value is there but not of the declared type. Records of an XML feed
+    have text fields only and are not judged.
+    """
+    declared = [f.name for f in T.StructType.fromDDL(FEEDS[feed].fields).fields]
+    pages = landing.where((F.col("feed") == feed) & F.lit(not FEEDS[feed].xml))
+    texts = F.lit(None).cast("array<string>") if FEEDS[feed].xml else _record_texts(feed)
+    rows = pages.select("company_slug", "page", F.posexplode(texts).alias("place", "raw"))
+    rows = rows.withColumn("r", F.from_json("raw", f"struct<{FEEDS[feed].fields}>"))
+    lost = F.array_compact(F.array(*[
+        F.when(F.get_json_object("raw", f"$.{name}").isNotNull() & F.col("r")[name].isNull(), name) for name in declared]))
+    whole = F.coalesce(F.get_json_object("raw", "$").startswith("{"), F.lit(False))
+    judged = rows.select(
+        "company_slug", "page", "place", F.when(whole, lost).otherwise(F.array().cast("array<string>")).alias("fields"),
+        F.when(~whole, "not a record").alias("reason"), "raw")
+    reason = F.coalesce("reason", F.when(F.size("fields") > 0, "unreadable fields"))
+    return judged.withColumn("reason", reason).where(F.col("reason").isNotNull())
