@@ -239,18 +239,18 @@ def _count(docs: DataFrame) -> DataFrame:
             before, keys = _pair_keys(flat, starts[sizes > 0])
             found, first, at, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
             toxic = np.bincount(at, np.repeat(kinds, sizes), minlength=len(found)).astype(np.int64)
+            parts = _slots(before[first]).astype(np.int64) << 40 | _slots(flat[first]).astype(np.int64) << 20 | _stems(flat[first])
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(found), pa.array(_slots(before[first])), pa.array(_slots(flat[first])),
-                    pa.array(_stems(flat[first])), pa.array(n - toxic), pa.array(toxic),
-                ],
-                names=["pair", "ahead", "word", "stem", "n0", "n1"],
-            )
-
-    rows = docs.mapInArrow(pairs, "pair long, ahead int, word int, stem int, n0 long, n1 long")
-    # a pair's words follow from its hash
-    parts = [F.first(c).alias(c) for c in ("ahead", "word", "stem")]
-    return rows.groupBy("pair").agg(*parts, F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+                [pa.array(found), pa.array(parts), pa.array(n - toxic), pa.array(toxic)], names=["pair", "parts", "n0", "n1"]
+            )
+
+    rows = docs.mapInArrow(pairs, "pair long, parts long, n0 long, n1 long")
+    # a pair's words follow from its hash, so they are a part of its key at no cost
+    counted = rows.groupBy("pair", "parts").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    slot = F.lit(SLOTS - 1).cast("long")
+    ahead, word = (F.shiftright("parts", n).bitwiseAND(slot).cast("int") for n in (40, 20))
+    stem = F.col("parts").bitwiseAND(slot).cast("int")
+    return counted.select("pair", ahead.alias("ahead"), word.alias("word"), stem.alias("stem"), "n0", "n1")
 
 
 def _followed(docs: DataFrame) -> DataFrame:
