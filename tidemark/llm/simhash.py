@@ -213,7 +213,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of `docs`, all columns, with one row of each group: that of the smallest doc_id.
 
-    Of rows that repeat this doc_id in the group one stays, as of a group without any id.
+    Of rows that repeat this doc_id in the group one stays, as of a group without any id. An empty
+    table gives an empty one.
     """
     place = docs.columns.index("text")
     mark = "fp"
