@@ -490,9 +490,10 @@ def frontier_document(spark, sf):
     market.export_dashboard(run, _instruments(spark), folder)
     pair = "struct<ret: double, risk: double>"
     schema = f"corr double, assets map<string, {pair}>, points array<struct<w: int, ret: double, risk: double>>, min_var struct<w: double, ret: double, risk: double>"
-    doc = spark.read.schema(schema).json(f"{folder}/frontier").withColumn("k", F.lit(1))
-    head = spark.read.schema("vol_warn double, vol_breach double, commodities map<string, string>").json(f"{folder}/header").withColumn("k", F.lit(1))
-    spread = doc.join(head, "k").select("*", F.explode("points").alias("p"))
+    doc = spark.read.schema(schema).json(f"{folder}/frontier")
+    head = spark.read.schema("vol_warn double, vol_breach double, commodities map<string, string>").json(f"{folder}/header")
+    both = doc.unionByName(head, allowMissingColumns=True)  # one row each
+    spread = both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns]).select("*", F.explode("points").alias("p"))
     return spread.select(
         "corr", F.col("assets")[A]["ret"].alias("ret_a"), F.col("assets")[A]["risk"].alias("risk_a"),
         F.col("assets")[R]["ret"].alias("ret_b"), F.col("assets")[R]["risk"].alias("risk_b"),
