@@ -160,6 +160,31 @@ def test_segments_of_long_texts_agree(monkeypatch):
     assert all(a[1] == b[0] for a, b in zip(covered, covered[1:], strict=False)) and whole
 
 
+@pytest.mark.parametrize("alphabet", [1, 2, 4])
+def test_factor_arrays(alphabet):
+    pick = np.random.default_rng(alphabet)
+    for n in (200, 201, 320, 700):
+        block = pick.integers(0, alphabet, 230, np.uint8)
+        raw = np.concatenate([pick.integers(0, alphabet, n, np.uint8), block, pick.integers(0, alphabet, 40, np.uint8), block])
+        starts = np.flatnonzero(pick.random(len(raw) - 199) < 0.8)
+        order, shared = repeats.suffix_order(raw, starts)
+        text = raw.tobytes()
+        cut = [text[a : a + 200] for a in starts]
+        want = sorted(range(len(starts)), key=lambda k: (cut[k], k))
+        assert order.tolist() == want
+
+        def common(a, b):
+            return next((k for k in range(200) if a[k] != b[k]), 200)
+
+        assert shared[1:].tolist() == [common(cut[a], cut[b]) for a, b in zip(want, want[1:], strict=False)]
+        for later in (False, True):
+            some = range(0, len(starts), 7)
+            longest = [max((common(cut[k], x) for x in (cut[k + 1 :] if later else cut[:k])), default=0) for k in some]
+            assert repeats.factors(order, shared, later)[::7].tolist() == longest
+            cheap = repeats.factors(order, shared, later, least=200) >= 200
+            assert cheap[::7].tolist() == [x == 200 for x in longest]
+
+
 # SimHash
 
 

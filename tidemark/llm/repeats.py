@@ -1,17 +1,19 @@
 """Repeated passages by longest-previous-factor arrays.
 
-A byte belongs to a repeat if a string of `LENGTH` bytes around it starts elsewhere too. For each
-start the factors before and after it in the corpus count: in the order of all suffixes by their
-first `LENGTH` bytes, equal strings stand side by side in order of position, so the previous
-smaller position of a start is its predecessor there and the next one its successor. A start whose
-predecessor shares `LENGTH` bytes has an earlier copy; keeping the first copy removes just those,
-and removing all copies also takes the starts whose successor does.
+A byte belongs to a repeat if a string of `LENGTH` bytes around it starts elsewhere too: if the
+longest previous factor of that start (the most bytes that also start further ahead in the corpus)
+has `LENGTH` bytes, or its longest following factor. In suffix order, equal strings in order of
+position, a start shares its longest previous factor with the previous or the next smaller
+position (`factors`). Keeping the first copy removes only the starts with a previous factor.
 
 Sorting every suffix of a corpus would shuffle it many times over. Strings of `LENGTH` bytes are
 first grouped by an anchor: the `GRAM` bytes in them with the least hash. Equal strings have equal
-anchors, and neighbouring starts share theirs, so a run of starts is one row. Runs whose bytes are
-all equal are settled together by their hash; only runs that share an anchor but not all bytes
-have their suffixes ordered one by one.
+anchors, and neighbouring starts share theirs, so a run of starts is one row and an anchor's runs
+hold all that can equal each other. Runs whose bytes are all equal are settled together by two
+64-bit hashes (of the anchor, and of the run); of those that share an anchor but not all bytes the
+suffixes are put in order, byte by byte, and their factors computed. Anchors with more than `HOT`
+different runs are cut into slices that the cluster groups, by two 64-bit hashes a string. Two
+different strings are taken for equal with a chance of about pairs / 2^128.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from ._common import batches, bit_filter, raw_texts, stage
 
 LENGTH = 200
 GRAM = 32
-SEGMENT = 1 << 20  # starts looked at together
+SEGMENT = 1 << 18  # starts looked at together
 HOT = 512  # different runs of one anchor, beyond which they are cut into slices
 SLICE = 8  # starts
 FILTER_BITS = 27  # a filter of 16 MB at any size of input
@@ -124,19 +126,74 @@ def document_runs(raw: bytes) -> list[np.ndarray]:
     return [np.concatenate(x) for x in zip(*out, strict=True)] if len(out) > 1 else out[0]
 
 
-def neighbours(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each start has an earlier, and whether it has a later one with the same first bytes.
+def suffix_order(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes at `starts` in order of their first LENGTH bytes, equal ones by place.
 
-    `one` and `two` are hashes of the LENGTH bytes at starts given in order of position. Suffixes
-    are ordered by those bytes, equal ones by position, so the previous and the next smaller
-    position that share them are the neighbours in that order.
+    `starts` ascend and have LENGTH bytes behind them. Returned are the numbers of the starts in
+    that order, and how many bytes (at most LENGTH) each shares with the one before it. Ranks of
+    the first 8 bytes come from the bytes themselves, ranks of twice as many from pairs of ranks,
+    so what is found equal is equal byte by byte.
     """
-    order = np.argsort(one, kind="stable")
-    same = (one[order[1:]] == one[order[:-1]]) & (two[order[1:]] == two[order[:-1]])
-    before, after = np.zeros(len(one), bool), np.zeros(len(one), bool)
-    before[order[1:]] = same
-    after[order[:-1]] = same
-    return before, after
+    n = len(raw)
+    padded = np.concatenate([raw, np.zeros(2 * LENGTH, np.uint8)])
+    key = np.zeros(n, np.uint64)
+    for k in range(8):
+        key = key << np.uint64(8) | padded[k : k + n]
+    levels: dict[int, np.ndarray] = {}
+    width = 8
+    while True:
+        rank = np.zeros(n + LENGTH, np.uint32)  # what lies behind the end is never decisive
+        rank[:n] = np.unique(key, return_inverse=True)[1]
+        levels[width] = rank
+        if 2 * width > LENGTH:
+            break
+        key = rank[:n].astype(np.uint64) << np.uint64(32) | rank[width : width + n]
+        width *= 2
+    whole = rank[starts].astype(np.uint64) << np.uint64(32) | rank[starts + LENGTH - width]
+    order = np.argsort(whole, kind="stable")
+    shared = np.zeros(len(starts), np.int64)
+    if len(starts) < 2:
+        return order, shared
+    one, two = starts[order[:-1]], starts[order[1:]]
+    length = np.zeros(len(one), np.int64)
+    for width in sorted(levels, reverse=True):
+        length += width * (levels[width][one + length] == levels[width][two + length])
+    for _ in range(7):
+        length += padded[one + length] == padded[two + length]
+    shared[1:] = np.where(whole[order[:-1]] == whole[order[1:]], LENGTH, length)
+    return order, shared
+
+
+def _smaller(place: np.ndarray, shared: np.ndarray, least: int) -> np.ndarray:
+    """Bytes shared with the nearest suffix ahead, in suffix order, that has a smaller place.
+
+    Each suffix points one ahead and jumps along the pointers until the place there is smaller;
+    all that is jumped over has greater places. Below `least` shared bytes it stops: no more
+    will be shared further ahead.
+    """
+    at, got = np.arange(len(place)) - 1, shared.copy()
+    got[:1] = 0
+    going = np.flatnonzero(got >= max(least, 1))
+    while len(going := going[place[at[going]] > place[going]]):
+        via = at[going]
+        at[going], got[going] = at[via], np.minimum(got[going], got[via])
+        going = going[(at[going] >= 0) & (got[going] >= max(least, 1))]
+    return got
+
+
+def factors(order: np.ndarray, shared: np.ndarray, later: bool = False, least: int = 0) -> np.ndarray:
+    """Longest previous factor of each start: bytes, at most LENGTH, that also start further ahead.
+
+    They are shared with the previous or with the next smaller position in suffix order. With
+    `later` the longest following factor: smaller positions counted from the end. Lengths below
+    `least` may be given as any number below it.
+    """
+    place = -order if later else order
+    behind = np.append(shared[1:], 0)[::-1]
+    longest = np.maximum(_smaller(place, shared, least), _smaller(place[::-1], behind, least)[::-1])
+    out = np.zeros(len(order), np.int64)
+    out[order] = longest
+    return out
 
 
 def _flagged(bodies: list[bytes], first_copy: bool) -> list[tuple[int, int, int]]:
@@ -146,9 +203,10 @@ def _flagged(bodies: list[bytes], first_copy: bool) -> list[tuple[int, int, int]
     ends = np.cumsum(sizes)
     starts = ends - sizes
     inside = np.concatenate([np.arange(a, z - LENGTH + 1) for a, z in zip(starts.tolist(), ends.tolist(), strict=True)])
-    one, two = (Prefixes(flat, k).all(LENGTH)[inside] for k in (0, 1))
-    before, after = neighbours(one, two)
-    hit = before if first_copy else before | after
+    order, shared = suffix_order(flat, inside)
+    hit = factors(order, shared, least=LENGTH) >= LENGTH
+    if not first_copy:
+        hit |= factors(order, shared, later=True, least=LENGTH) >= LENGTH
     owner = np.repeat(np.arange(len(bodies)), sizes - LENGTH + 1)
     at = np.flatnonzero(hit)
     if not len(at):
