@@ -6,9 +6,11 @@ epochs come first; the order decides only the last, fractional one.
 
 A source may hold any share of the rows, so its running total is never one task's work: keys are
 counted in 4096 cells a source, the cell in which the budget ends is cut into 4096 again, and only
-the documents of that small cell are summed one by one. What comes back is one cut a source. The
-gap up to the budget, always shorter than the document at the cut, is closed by the documents whose
-lengths fit it best.
+the documents of that small cell are summed one by one. What comes back is one cut a source. A
+document that does not fit into what is left of the budget is passed by, and the search goes on
+behind it in key order, among those that do, until none is left: then the gap is smaller than any
+document not drawn. The smallest of these goes in too where that lands nearer, so a source ends
+at most half of it away from its target.
 """
 
 from __future__ import annotations
@@ -22,7 +24,6 @@ from ._common import WORD, stage
 CELLS = 4096
 SEED = 42
 MOST_EPOCHS = 3
-FITS = 2  # documents that may close the gap a source's last document leaves
 WEIGHTS = (5, 2, 1)
 #: Quality weights by label; documents without one get the last.
 QUALITY = {1: 2.0, 0: 0.5, None: 1.0}
@@ -93,6 +94,40 @@ def _cuts(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     return total.filter(F.col("total") > F.col("budget")).groupBy("source").agg(F.min(F.struct("pos", "id")).alias("cut"))
 
 
+def _open() -> Column:
+    """Whether a step may draw a row: it fits, and comes behind `past`, where there is one."""
+    fits = (F.col("budget") > 0) & (F.col("whole") <= F.col("budget"))
+    return fits & (F.col("past").isNull() | (F.struct("pos", "id") > F.col("past")))
+
+
+def _taken() -> Column:
+    """Whether a step draws a row: it may, and the row comes ahead of `cut`, where there is one."""
+    return _open() & (F.col("cut").isNull() | (F.struct("pos", "id") < F.col("cut")))
+
+
+def _draw(rows: DataFrame, budgets: DataFrame) -> list[DataFrame]:
+    """Steps of (source, budget, past, cut): a step draws the rows of `_taken`, up to the first that has no room.
+
+    The next step has what is left of the budget and looks behind that row, at those alone that fit
+    by themselves. A source is done when a step finds room for all; every step passes one document
+    a source, and leaves out all that are longer than the rest of the budget.
+    """
+    place = rows.schema["pos"].dataType.simpleString()
+    none = F.lit(None).cast(f"struct<pos:{place},id:bigint>")
+    now, steps = budgets.select("source", "budget", none.alias("past")), []
+    while True:
+        now = stage(now, "budget")
+        fit = _same_source(rows, now).filter(_open())
+        if fit.isEmpty():
+            return steps
+        cut = _cuts(fit.select("source", "pos", "id", "size"), now.select("source", "budget"))
+        step = stage(_same_source(now, cut, "left"), "step")
+        steps.append(step)
+        got = _same_source(rows, step).filter(_taken()).groupBy("source").agg(F.sum("size").alias("got"))
+        left = _same_source(step.filter("cut IS NOT NULL"), got, "left")
+        now = left.select("source", (F.col("budget") - F.coalesce("got", F.lit(0))).alias("budget"), F.col("cut").alias("past"))
+
+
 def mix(
     docs: DataFrame,
     quality: DataFrame | None = None,
@@ -118,24 +153,27 @@ def mix(
     u = (F.shiftrightunsigned(F.xxhash64(id_, F.lit(seed)), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
     # 1 - exp(-key) has the keys' order and lies between 0 and 1
     rows = stage(base.select("doc_id", "source", "size", id_.alias("id"), (1 - F.pow(u, 1 / weight)).alias("pos")), "keys")
+    # rows that repeat an id are drawn together, so they have to fit together
+    again = rows.groupBy(F.col("source").alias("of"), F.col("id").alias("same")).agg(F.sum("size").alias("sum"), F.count(F.lit(1)).alias("n"))
+    again = stage(again.filter("n > 1").drop("n"), "again")
+    rows = rows.join(again, F.col("source").eqNullSafe(F.col("of")) & (F.col("id") == F.col("same")), "left")
+    rows = stage(rows.select("doc_id", "source", "size", "id", "pos", F.coalesce("sum", "size").alias("whole")), "units")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     plan = stage(targets(sizes, weights, most).withColumn("epochs", full.cast("long")), "targets")
     budgets = plan.select("source", F.floor(F.col("target") - F.col("epochs") * F.col("source_size")).alias("budget"))
 
-    cut = _cuts(rows, budgets)
-    known = _same_source(_same_source(rows, plan), stage(_same_source(budgets, cut, "left"), "cut"))
-    taken = (F.col("budget") > 0) & (F.col("cut").isNull() | (F.struct("pos", "id") < F.col("cut")))
-    known = known.withColumn("drawn", taken).drop("cut")
-    for k in range(FITS):
-        got = known.groupBy("source", "budget").agg(F.sum(F.when(F.col("drawn"), F.col("size")).otherwise(F.lit(0))).alias("got"))
-        gaps = stage(got.select("source", (F.col("budget") - F.col("got")).alias("gap")), "gaps")
-        rest = _same_source(known.filter(~F.col("drawn")), gaps.filter("gap > 0"))
-        whole = rest.groupBy("source", "gap", "id", "pos").agg(F.sum("size").alias("size"))
-        off = F.abs(F.col("size") - F.col("gap"))
-        best = whole.filter(off < F.col("gap")).groupBy("source").agg(F.min(F.struct(off.alias("off"), "pos", "id")).alias("best"))
-        best = stage(best.select("source", F.col("best.id").alias("chosen")), "best")
-        known = _same_source(known, best, "left").withColumn("drawn", F.col("drawn") | F.coalesce(F.col("id") == F.col("chosen"), F.lit(False))).drop("chosen")
+    steps = _draw(rows, budgets)
+    known = _same_source(rows, plan).withColumn("drawn", F.lit(False))
+    for step in steps:
+        known = _same_source(known, step, "left").withColumn("drawn", F.col("drawn") | F.coalesce(_taken(), F.lit(False))).drop("budget", "past", "cut")
+    got = known.groupBy("source").agg(F.sum(F.when(F.col("drawn"), F.col("size")).otherwise(F.lit(0))).alias("got"))
+    gaps = stage(_same_source(budgets, got).select("source", (F.col("budget") - F.col("got")).alias("gap")), "gaps")
+    off = F.col("whole") - F.col("gap")
+    rest = _same_source(known.filter(~F.col("drawn")), gaps.filter("gap > 0")).filter(off < F.col("gap"))
+    best = rest.groupBy("source").agg(F.min(F.struct("whole", "pos", "id")).alias("best"))
+    best = stage(best.select("source", F.col("best.id").alias("chosen")), "best")
+    known = _same_source(known, best, "left").withColumn("drawn", F.col("drawn") | F.coalesce(F.col("id") == F.col("chosen"), F.lit(False)))
     copies = F.col("epochs") + F.when(F.col("drawn"), 1).otherwise(0)
     return known.select(
         "doc_id", "source", "size", "source_size", "target", "epochs", copies.alias("copies"), (copies * F.col("size")).alias("taken")
