@@ -300,6 +300,26 @@ def test_targets_fill_like_water(spark):
     assert found == pytest.approx(want)
 
 
+def lands_near(found):
+    """No source is further off than half its smallest document outside the sample; rows of one id count together."""
+    units = {}
+    for r in found:
+        unit = units.setdefault((r.source, r.doc_id), [0, r.copies > r.epochs])
+        unit[0] += r["size"]
+        assert unit[1] == (r.copies > r.epochs)
+    for source in {r.source for r in found}:
+        [target] = {r.target for r in found if r.source == source}
+        taken = sum(r.taken for r in found if r.source == source)
+        out = [size for (s, _), (size, drawn) in units.items() if s == source and not drawn]
+        assert not out or abs(int(target) - taken) <= min(out) / 2, (source, target, taken, min(out))
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
+def test_mix_of_the_tables(spark, folder):
+    read = lambda name: spark.read.parquet(f"/root/testdata/{folder}/{name}.parquet")
+    lands_near(mixing.mix(read("documents"), read("labels")).collect())
+
+
 def test_mix(spark):
     rows = [(k, prose(k, 5 + k % 50), "abc"[k % 3]) for k in range(600)] + [(None, None, None), (1, prose(1, 6), "b"), (700, prose(9, 4000), "c")]
     labels = spark.createDataFrame([(1, 0, 0), (2, 1, 0), (2, 1, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
@@ -310,6 +330,7 @@ def test_mix(spark):
     for r in found:
         by.setdefault(r.source, [r.target, 0])[1] += r.taken
     assert all(abs(a - b) <= 50 for s, (a, b) in by.items() if s != "c")
+    lands_near(found)
     assert sorted(map(str, out.collect())) == sorted(map(str, found))
     whole = mixing.mixed_rows(docs(spark, rows), labels)
     assert whole.columns == docs(spark, []).columns and whole.count() == sum(r.copies for r in found)
@@ -480,6 +501,64 @@ def test_spdx_tags(spark, text, want):
     assert row.licences == want
 
 
+@pytest.mark.parametrize(
+    ("tag", "want"),
+    [
+        ("MIT-0", "MIT-0"),
+        ("BSD-3-Clause-Clear", "BSD-3-Clause-Clear"),
+        ("Apache-2.0 OR MIT", "Apache-2.0,MIT"),
+        ("(MIT AND (apache-2.0 or isc)) -- see LICENSE", "MIT,Apache-2.0,ISC"),
+        ("GPL-2.0-or-later WITH Classpath-exception-2.0", "GPL-2.0 WITH Classpath-exception-2.0"),
+        ("GPL-2.0+ OR MPL-2.0.", "GPL-2.0,MPL-2.0"),
+        ("LGPL-2.1-only", "LGPL-2.1"),
+        ("LicenseRef-Own-1", "LicenseRef-Own-1"),
+        ("MITX", ""),
+        ("", ""),
+    ],
+)
+def test_spdx_expressions(spark, tag, want):
+    [row] = licences.licence_scan(docs(spark, [(1, f"// SPDX-License-Identifier: {tag}\nint x;")])).collect()
+    assert row.licences == want and row.n_unknown == (not want)
+    assert row.expressions == tag.split(" --")[0].rstrip(".")
+
+
+#: Pieces of text and the licences they grant.
+GRANTS = [
+    ("Released under the MIT License.", ["MIT"]),
+    ("This is not licensed under the MIT license.", []),
+    ("It is no longer released under the Apache License, Version 2.0 but under the Eclipse Public License v2.0.", ["EPL-2.0"]),
+    ("It is not only licensed under the MIT License.", ["MIT"]),
+    ("Distributed under the Boost Software License, Version 1.0.", ["BSL-1.0"]),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0.", ["MPL-2.0"]),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1989, 1991 Free Software "
+     "Foundation, Inc.\n Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.", ["GPL-2.0"]),
+    ("GNU LESSER GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007", ["LGPL-3.0"]),
+    ("GNU AFFERO GENERAL PUBLIC LICENSE\n  Version 3, 19 November 2007", ["AGPL-3.0"]),
+    ("                                 Apache License\n                           Version 2.0, January 2004", ["Apache-2.0"]),
+    ("Eclipse Public License - v 2.0", ["EPL-2.0"]),
+    ("MIT No Attribution", ["MIT-0"]),
+    ("This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be held liable. "
+     "Permission is granted to anyone to use this software for any purpose,\nincluding commercial applications.", ["Zlib"]),
+    ("# SPDX-License-Identifier: ISC OR Zlib", ["ISC", "Zlib"]),
+    ("A word on the weather.", []),
+]
+
+
+def test_licences_of_random_texts(spark):
+    rows, want = [], {}
+    for k in range(120):
+        pick = random.Random(k)
+        chosen = [GRANTS[k]] if k < len(GRANTS) else [pick.choice(GRANTS) for _ in range(pick.randint(1, 6))]
+        rows.append((k, "\n\n".join(f"{prose(k + 7, pick.randint(1, 30))}\n\n{piece}" for piece, _ in chosen)))
+        want[k] = {x for _, names in chosen for x in names}
+    rows += [(500, prose(1, 100_000) + "\n\n" + GRANTS[0][0] + "\n\n" + prose(2, 100_000)), (501, GRANTS[0][0]), (501, GRANTS[0][0]), (None, None)]
+    want |= {500: {"MIT"}, 501: {"MIT"}, None: set()}
+    found = licences.licence_scan(docs(spark, rows)).collect()
+    assert sorted(str(r.doc_id) for r in found) == sorted(str(k) for k, _ in rows)
+    for r in found:
+        assert set(r.licences.split(",")) - {""} == want[r.doc_id], r
+
+
 # benchmark leaks
 
 
