@@ -583,6 +583,38 @@ def test_blocks_of_items_find_the_same(spark, monkeypatch):
     assert sorted((r.doc_id, r.item_id) for r in found) == [(k, k) for k in range(10)]
 
 
+def test_the_space_is_of_all_documents(spark):
+    """More documents than the SVD lets weigh; each passage is in it at unit length, none is left out."""
+    count = decontaminate.CORPUS + 300
+    vocabulary = {f"word{k}": k + 1 for k in range(count)}
+    rows = [(k, f"word{k} none none") for k in range(count)] + [(None, None), (count, "")]
+    numbers = decontaminate.numbered(decontaminate.doc_texts(docs(spark, rows)), vocabulary)
+    frequency, total = decontaminate.document_frequencies(numbers, vocabulary)
+    assert total == count + 2 and (frequency[1:] == 1).all()
+    sketch = decontaminate.corpus_sketch(numbers, vocabulary, np.ones(count + 1))
+    assert sketch.shape == (decontaminate.ROWS, count + 1) and np.allclose((sketch**2).sum(axis=0)[1:], 1)
+    assert not sketch[:, 0].any()
+
+
+def test_passages_are_two_neighbouring_blocks_of_a_text():
+    n = decontaminate.BLOCK
+    idf, pick = np.arange(8) / 4.0, random.Random(3)
+    for size in (0, 1, n, n + 1, 2 * n, 2 * n + 1, 5 * n - 3):
+        first, second = (np.array([pick.randrange(8) for _ in range(k)], np.int32) for k in (size, 3 * n))
+        both, alone = np.zeros((2, 1 << 16, 8))
+        decontaminate.sketch_of([5, 6], [first, second], idf, both)
+        decontaminate.sketch_of([6], [second], idf, alone)
+        want = []
+        for k in range(max(1, -(-size // n) - 1)):
+            v = np.zeros(8)
+            for half in (first[k * n : (k + 1) * n], first[(k + 1) * n : (k + 2) * n]):
+                v[np.unique(half)] += idf[np.unique(half)]
+            v[0] = 0
+            want += [v / np.linalg.norm(v)] if v.any() else []
+        found = (both - alone)[np.abs(both - alone).sum(axis=1) > 1e-12]
+        assert np.allclose(sorted(np.abs(found).tolist()), sorted(map(list, want))), size
+
+
 def test_common_subsequence():
     pick = random.Random(4)
     for _ in range(50):
