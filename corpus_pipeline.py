@@ -23,7 +23,9 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates, that with the smallest doc_id.
 
-    Near duplicates agree in 0.8 or more of their five-word shingles.
+    Near duplicates agree in 0.8 or more of their five-word shingles. Pairs come from SimHash with
+    pigeonring filtering and, since many are beyond its three bits, from banded minimum hashes; all are
+    checked on whole shingle sets.
     """
     return copies.keep_one(docs)
 

@@ -13,6 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import corpus_pipeline
 from tidemark.llm import copies, decontaminate, exact, language, licences, mixing, queries, quotes, repeats, simhash, tokens, toxicity
 
 SMALL = "/root/testdata/sf0.001"
@@ -283,6 +284,21 @@ def test_stage_drops_copies_from_similarity_0_8(spark, monkeypatch):
     assert sorted(r.doc_id for r in copies.keep_one(docs(spark, rows)).collect()) == sorted([*want, 1000, 2000, 2002])
 
 
+def test_the_pipeline_takes_pairs_from_fingerprints(spark, monkeypatch):
+    """Without any candidate of the minimum hashes, near texts of fingerprints within three bits are still found."""
+    rows, want = [], []
+    for k in range(30):
+        words = prose(3000 + k, 200).split()
+        rows += [(k, " ".join(words)), (1000 + k, " ".join([*words[:100], "changed", *words[101:]]))]
+        one, two = (simhash.fingerprint(t.encode(), copies.SHINGLE) for _, t in rows[-2:])
+        want += [k] if (one ^ two).bit_count() <= simhash.MAX_BITS else [k, 1000 + k]
+    assert 30 < len(want) < 60
+    rows += [(5000, None), (5001, ""), (5001, " ")]
+    monkeypatch.setattr(copies, "near_links", lambda members, *_: members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
+    kept = corpus_pipeline.near_copies_out(spark, docs(spark, rows), "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted([*want, 5000])
+
+
 def test_targets_fill_like_water(spark):
     sizes = [("a", 10), ("b", 1000), ("c", 2000), (None, 5), ("d", 0)]
     frame = spark.createDataFrame(sizes, "source string, source_size long")

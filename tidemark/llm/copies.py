@@ -1,7 +1,9 @@
-"""Near copies by the exact similarity of their word shingles, candidates by banded minimum hashes.
+"""Near copies by the exact similarity of their word shingles, candidates by SimHash and banded minimum hashes.
 
 Two texts are near copies if the Jaccard similarity of their sets of five-word shingles is 0.8 or
-more. Texts that agree in the minima of all hashes of one band are candidates: with 32 bands of
+more. Texts whose SimHash fingerprints of these shingles differ in at most 3 of 64 bits are
+candidates: pigeonring filtering finds links that connect them all (`simhash.links`). At 0.8 about 10
+bits differ, so texts that agree in the minima of all hashes of one band are candidates too: with 32 bands of
 5, a pair of similarity s is none with a chance of (1 - s^5)^32, 3e-6 at 0.8 and 5e-13 at 0.9.
 Every candidate pair is confirmed by the whole sets of 64-bit shingle hashes, so no pair below the
 bound is linked.
@@ -24,7 +26,7 @@ from pyspark.sql import types as T
 
 from ._common import batches, mix64, raw_texts, stage
 from ._graph import components
-from .simhash import _LOWER, one_a_group, shingle_hashes
+from .simhash import _LOWER, MAX_BITS, links, one_a_group, print_of, shingle_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -166,6 +168,15 @@ def near_links(members: DataFrame, sets: DataFrame, similarity: float = SIMILARI
     return found
 
 
+def print_pairs(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(node, fp) to pairs (a, b) of nodes that connect all whose fingerprints differ in at most `max_bits`."""
+    heads = stage(prints.groupBy("fp").agg(F.min("node").alias("head")), "heads")
+    same = prints.join(heads, "fp").filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    near = links(heads, max_bits).join(heads.select(F.col("fp").alias("a"), F.col("head").alias("one")), "a")
+    near = near.join(heads.select(F.col("fp").alias("b"), F.col("head").alias("two")), "b")
+    return same.union(near.select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b"))).distinct()
+
+
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE) -> DataFrame:
     """The rows of `docs`, all columns, with one row of each group: that of the smallest doc_id.
 
@@ -174,10 +185,12 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHI
     without any id. An empty table gives an empty one.
     """
     place = docs.columns.index("text")
-    mark, bands = "node", "bands"
-    while mark in docs.columns or bands in docs.columns:
-        mark, bands = mark + "_", bands + "_"
-    schema = T.StructType([*docs.schema.fields, T.StructField(mark, T.LongType()), T.StructField(bands, T.ArrayType(T.LongType()))])
+    mark, bands, fp = "node", "bands", "fp"
+    while {mark, bands, fp} & set(docs.columns):
+        mark, bands, fp = mark + "_", bands + "_", fp + "_"
+    schema = T.StructType([
+        *docs.schema.fields, T.StructField(mark, T.LongType()), T.StructField(bands, T.ArrayType(T.LongType())), T.StructField(fp, T.LongType())
+    ])
 
     def marked(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(rows):
@@ -185,15 +198,18 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHI
             nodes = np.array([words_hash(x) for x in raws], np.uint64).view(np.int64)
             hashes = [shingle_hashes(x, shingle) for x in raws]
             keys = [band_keys(h) if len(h) else np.zeros(0, np.int64) for h in hashes]
+            prints = np.array([print_of(h) for h in hashes], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(nodes), pa.array(keys, pa.list_(pa.int64()))], names=[*b.schema.names, mark, bands]
+                [*b.columns, pa.array(nodes), pa.array(keys, pa.list_(pa.int64())), pa.array(prints)], names=[*b.schema.names, mark, bands, fp]
             )
 
     rows = stage(docs.mapInArrow(marked, schema), "marked")
     listed = rows.select(F.col(mark).alias("node"), F.explode(bands).alias("key"))
     shared = listed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("key")
     members = stage(listed.join(shared, "key").select("key", "node").distinct(), "members")
-    asked = members.select(F.col("node").alias(mark)).distinct()
+    pairs = stage(print_pairs(rows.select(F.col(mark).alias("node"), F.col(fp).alias("fp"))), "pairs")
+    nodes = members.select("node").union(pairs.select("a")).union(pairs.select("b"))
+    asked = nodes.select(F.col("node").alias(mark)).distinct()
     texts = rows.select(mark, "text").join(asked, mark, "left_semi").dropDuplicates([mark])
 
     def hashed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,4 +218,5 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHI
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], names=["node", "hashes"])
 
     sets = stage(texts.mapInArrow(hashed, "node long, hashes binary"), "sets")
-    return one_a_group(rows, mark, docs.columns, near_links(members, sets, similarity))
+    near = near_links(members, sets, similarity).union(stage(confirmed(pairs, sets, similarity), "near-prints"))
+    return one_a_group(rows, mark, docs.columns, near)

@@ -51,7 +51,11 @@ def shingle_hashes(raw: bytes, shingle: int = SHINGLE) -> np.ndarray:
 
 def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
     """SimHash of the lower-cased words' shingles, repeats included; zero without words."""
-    hashes = shingle_hashes(raw, shingle)
+    return print_of(shingle_hashes(raw, shingle))
+
+
+def print_of(hashes: np.ndarray) -> int:
+    """The bits that are set in more than half of the hashes; zero without any."""
     if not len(hashes):
         return 0
     counts = np.zeros(64, np.int64)
