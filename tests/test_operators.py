@@ -412,3 +412,21 @@ def test_dq_lengths_has_no_cap(spark, monkeypatch):
     rows = spark.range(10).select(F.col("id").alias("position"), F.when(F.col("id") != 4, F.col("id")).alias("a"))
     parts = snapshot.columnar_parts(rows, 4).orderBy("part").collect()
     assert [r.document for r in parts] == ['{"a":[0,1,2,3]}', '{"a":[null,5,6,7]}', '{"a":[8,9]}']
+
+
+def test_first_rows_are_not_sorted_whole(spark):
+    """Keys and orders may repeat or be null; only rows that share a key's first order are sorted."""
+    rows = [("a", 2, "x"), ("a", 1, "y"), ("b", 5, "z"), ("b", 5, "z"), (None, 3, "n"), (None, 4, "m"),
+            ("c", None, "lost"), ("d", None, "lost"), ("d", 7, "kept"), ("e", 1, None), ("a", 9, "x")]
+    df = spark.createDataFrame(rows, "k string, o long, v string")
+    got = ordering.first_per_key(df, ["k"], "o")
+    assert got.columns == df.columns
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [
+        ("a", 1, "y"), ("b", 5, "z"), (None, 3, "n"), ("c", None, None), ("d", 7, "kept"), ("e", 1, None)]))
+    two = ordering.first_per_key(df, ["v", "k"], "o")
+    assert two.columns == df.columns and two.count() == 9
+    tied, untied = (ordering.first_per_key(df.where(c), ["k"], "o").collect() for c in ("k = 'b'", "false"))
+    assert len(tied) == 1 and untied == []
+    # before the join, whole rows meet no sort and no aggregate
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plan and plan.count("min_by(struct") == 2

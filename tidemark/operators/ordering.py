@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,11 +15,22 @@ _LOCAL_BITS = 33  # low bits of monotonically_increasing_id count rows inside a
 def first_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The row with the smallest `order` per key.
 
-    An aggregate, so each map task sends one row per key however hot the key is.
+    Keys and orders alone are aggregated, one row per key and order from each map task however hot
+    the key is. Whole rows then pass a hash join with the first orders and are never sorted; only
+    where rows share a key's first order is one of them picked by an aggregate over whole rows.
     """
+    counted = df.groupBy(*keys, order).agg(F.count(F.lit(1)).alias("_n"))
+    first = counted.groupBy(*keys).agg(F.min(order).alias("_first"), F.min_by("_n", order).alias("_n"))
+    first = first.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_first", "_n").hint("shuffle_hash")
+    same = reduce(Column.__and__, [F.col(f"_k{i}").eqNullSafe(F.col(k)) for i, k in enumerate(keys)])
+    # a key without any order keeps its row, with nothing else in it
+    met = first.join(df, same & (F.col("_first") == F.col(order)), "left")
+    row = [F.col(f"_k{keys.index(c)}").alias(c) if c in keys else F.col(c) for c in df.columns]
+    once = met.where(F.coalesce("_n", F.lit(1)) == 1).select(*row)
     rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col(order)).alias("_row"))
-    return picked.select(*keys, "_row.*").select(*df.columns)
+    tied = met.where(F.col("_n") > 1).select(*row)
+    tied = tied.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col(order)).alias("_row"))
+    return once.unionByName(tied.select(*keys, "_row.*").select(*df.columns))
 
 
 def last_per_key(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
