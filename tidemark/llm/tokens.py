@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from struct import pack
 
 import numpy as np
@@ -47,6 +47,18 @@ def _visible(text: str) -> str:
     return text if text.isascii() else text.encode().decode("latin-1").translate(_SHOWN)
 
 
+class _Kept(dict):
+    """What `make` returns for a key, made when the key is first asked for."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        found = self[key] = self.make(key)
+        return found
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, which reads special strings in a text as such.
 
@@ -67,22 +79,19 @@ class Encoder:
             cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space", True)
             and config.get("normalizer") is None and config.get("truncation") is None and config.get("padding") is None
         )
-        self.pieces: dict[str, bytes] = {}  # what stands between two blanks
-        self.words: dict[str, bytes] = {}  # what the pre-tokenizer cuts
+        self.pieces = _Kept(self._piece)  # what stands between two blanks
+        self.words = _Kept(self._word)  # what the pre-tokenizer cuts
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tool.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            found = [x.id for x in self.tool.model.tokenize(word)]
-            ids = self.words[word] = pack(f"<{len(found)}I", *found)
-        return ids
+        found = [x.id for x in self.tool.model.tokenize(word)]
+        return pack(f"<{len(found)}I", *found)
 
     def _cut(self, text: str) -> bytes:
         """Ids by the library's own two steps: its pre-tokenizer, then its model."""
-        return b"".join([self._word(word) for word, _ in self.tool.pre_tokenizer.pre_tokenize_str(text)])
+        return b"".join([self.words[word] for word, _ in self.tool.pre_tokenizer.pre_tokenize_str(text)])
 
     def _piece(self, text: str) -> bytes:
         """Ids of a blank and what follows it up to the next one.
@@ -90,16 +99,19 @@ class Encoder:
         Letters alone are one word, and a single mark behind them is another: for these, and for
         lines of them, the pre-tokenizer need not be asked.
         """
+        words = self.words
+        if text.isalpha():
+            return words[_BLANK + _visible(text)]
         out, ahead = [], _BLANK
         for k, line in enumerate(text.split("\n")):
             if k:
-                out.append(self._word(_BREAK))
+                out.append(words[_BREAK])
                 ahead = ""
             if line.isalpha():
-                out.append(self._word(ahead + _visible(line)))
+                out.append(words[ahead + _visible(line)])
             elif line[:-1].isalpha() and line[-1] in ".,;:!?":
-                out.append(self._word(ahead + _visible(line[:-1])))
-                out.append(self._word(line[-1]))
+                out.append(words[ahead + _visible(line[:-1])])
+                out.append(words[line[-1]])
             else:
                 return self._cut(" " + text)
         return b"".join(out)
@@ -111,17 +123,11 @@ class Encoder:
         if not self.by_piece or "  " in text or any(x in text for x in self.special):
             return self._ids(text)
         head, *rest = text.split(" ")
-        known = self.pieces
-        try:
-            body = b"".join(map(known.__getitem__, rest))
-        except KeyError:
-            if len(known) > PIECES:
-                known.clear()
-            if len(self.words) > WORDS:
-                self.words.clear()
-            for x in set(rest).difference(known):
-                known[x] = self._piece(x)
-            body = b"".join(map(known.__getitem__, rest))
+        if len(self.pieces) > PIECES:
+            self.pieces.clear()
+        if len(self.words) > WORDS:
+            self.words.clear()
+        body = b"".join(map(self.pieces.__getitem__, rest))
         return (self._cut(head) if head else b"") + body
 
 
