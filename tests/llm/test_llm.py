@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import corpus_pipeline
+from tidemark.llm._common import bit_filter
 from tidemark.llm import copies, decontaminate, exact, language, licences, mixing, queries, quotes, repeats, simhash, tokens, toxicity
 
 SMALL = "/root/testdata/sf0.001"
@@ -575,6 +576,28 @@ def test_licences_of_random_texts(spark):
         assert set(r.licences.split(",")) - {""} == want[r.doc_id], r
 
 
+def test_pairs_outside_the_table_are_not_asked_for(spark):
+    hasher, texts = toxicity.Hasher(), [(k, prose(4000 + k, 80)) for k in range(6)] + [(9, None), (9, "")]
+    keys = [np.unique(toxicity._pair_keys(w, np.zeros(min(1, len(w)), np.int64))[1]) for w in (hasher((t or "").encode()) for _, t in texts)]
+    kept = keys[0][::2].tolist() + keys[3][::3].tolist()
+    table = spark.createDataFrame([(k, 0.5, 0.25) for k in set(kept)], "pair long, d0 float, d1 float")
+    slots = table.select(F.col("pair").bitwiseAND(F.lit((1 << 26) - 1)).alias("slot"))
+    known = bit_filter(slots, 26)
+    for own in keys:
+        passed = toxicity._listed(own[::-1], known, (1 << 26) - 1).tolist()
+        assert set(kept) & set(own.tolist()) <= set(passed) <= set(own.tolist()) and passed == sorted(passed)
+        assert len(passed) <= len(set(kept) & set(own.tolist())) + 2
+    found = {r.doc_id: r._pairs for r in toxicity._own_pairs(docs(spark, texts), table).collect()}
+    for k, own in enumerate(keys[:6]):
+        assert sorted(x.pair for x in found[k] or []) == sorted(set(kept) & set(own.tolist()))
+
+
+def test_kept_pieces_are_made_once():
+    asked = []
+    kept = tokens._Kept(lambda x: asked.append(x) or x.encode())
+    assert b"".join(map(kept.__getitem__, ["a", "b", "a"])) == b"aba" and asked == ["a", "b"]
+
+
 # benchmark leaks
 
 

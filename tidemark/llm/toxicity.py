@@ -30,13 +30,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import batches, doc_texts, mix64, per_worker, pieces, raw_texts, stage
+from ._common import batches, bit_filter, doc_texts, mix64, per_worker, pieces, raw_texts, stage
 
 BOUND = 6144
 SLOTS = 1 << 20
 STEM = 4
 STEM_PRIOR = 8.0
 SENT = 1 << 22  # pairs that a broadcast may hold, 16 bytes each
+FILTER_BITS = 26  # 8 MB that keep pairs which are not in a joined table from being shuffled
 IDS = 500_000  # labelled ids that a broadcast may hold
 DISCOUNT = 0.75
 RARE = 2.0  # different words before it, up to which a word says what the shared counts say
@@ -338,8 +339,19 @@ def _text_hashes(raws: list[bytes]) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(x) for x in raws], np.uint64).view(np.int64)
 
 
+def _listed(keys: np.ndarray, known: bytes, mask: int) -> np.ndarray:
+    """The different keys whose low bits are set in the filter, in order."""
+    low = keys & mask
+    return np.unique(keys[np.frombuffer(known, np.uint8)[low >> 3] >> (low & 7) & 1 == 1])
+
+
 def _own_pairs(rows: DataFrame, table: DataFrame) -> DataFrame:
-    """`rows` after two more columns: a hash of the text, and (pair, d0, d1) of its pairs that are in the table."""
+    """`rows` after two more columns: a hash of the text, and (pair, d0, d1) of its pairs that are in the table.
+
+    A filter of a bit for some low bits of each pair in the table keeps most others out of the shuffle.
+    """
+    mask = (1 << FILTER_BITS) - 1
+    known = rows.sparkSession.sparkContext.broadcast(bit_filter(table.select(F.col("pair").bitwiseAND(F.lit(mask)).alias("slot")), FILTER_BITS))
     place, names = rows.columns.index("text"), ["_hash", *rows.columns]
     schema = T.StructType([T.StructField("_hash", T.LongType()), *rows.schema.fields])
 
@@ -351,7 +363,7 @@ def _own_pairs(rows: DataFrame, table: DataFrame) -> DataFrame:
         hasher = per_worker("word codes", Hasher)
         for b in batches(part):
             raws = raw_texts(b.column(0))
-            sets = [np.unique(_pair_keys(w, np.zeros(min(1, len(w)), np.int64))[1]) for w in map(hasher, raws)]
+            sets = [_listed(_pair_keys(w, np.zeros(min(1, len(w)), np.int64))[1], known.value, mask) for w in map(hasher, raws)]
             hashes = np.repeat(_text_hashes(raws), [len(x) for x in sets])
             yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(np.concatenate(sets))], names=["_hash", "pair"])
 
