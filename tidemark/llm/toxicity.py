@@ -266,7 +266,8 @@ def _followed(docs: DataFrame) -> DataFrame:
             keys |= _slots(flat).astype(np.uint64) << np.uint64(44)
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(keys).view(np.int64))], names=["pair"])
 
-    once = docs.mapInArrow(pairs, "pair long").distinct()
+    # a batch holds a pair once, and its task few again: what is equal is dropped behind the shuffle alone
+    once = docs.mapInArrow(pairs, "pair long").repartition("pair").distinct()
     return once.groupBy(F.shiftrightunsigned("pair", 44).cast("int").alias("word")).agg(F.count(F.lit(1)).alias("n"))
 
 
