@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import corpus_pipeline
-from tidemark.llm._common import bit_filter
+from tidemark.llm._common import bit_filter, per_worker
 from tidemark.llm import copies, decontaminate, exact, language, licences, mixing, queries, quotes, repeats, simhash, tokens, toxicity
 
 SMALL = "/root/testdata/sf0.001"
@@ -592,6 +593,46 @@ def test_pairs_outside_the_table_are_not_asked_for(spark):
         assert sorted(x.pair for x in found[k] or []) == sorted(set(kept) & set(own.tolist()))
 
 
+def test_pairs_are_counted_once_in_packed_buckets(spark, monkeypatch):
+    hasher = toxicity.Hasher()
+    texts = [f"{prose(k % 37, 60)} once{k} {'vile ' * (k % 5)}" for k in range(150)] + ["", "vile", None]
+    kinds = [(0, 1, None)[k % 3] for k in range(len(texts))]
+    words = [hasher((t or "").encode()) for t in texts]
+    pairs = [toxicity._pair_keys(w, np.zeros(min(1, len(w)), np.int64)) for w in words]
+    want = {}  # pair: slots of its words, counts by class
+    for w, (before, keys), kind in zip(words, pairs, kinds, strict=True):
+        slots = zip(toxicity._slots(before).tolist(), toxicity._slots(w).tolist(), toxicity._stems(w).tolist(), strict=True)
+        for key, at in zip(keys.tolist(), slots, strict=True):
+            n = want.setdefault(key, (at, [0, 0]))[1]
+            if kind is not None:
+                n[kind] += 1
+    blobs = list(toxicity._packed(list(words), [2 if k is None else k for k in kinds], 3))
+    assert sum(len(x) for _, x in blobs) < 24 * len(want)  # a row of its own took 16 bytes, and 8 for the shared counts
+    found = [np.concatenate(x) for x in zip(*(toxicity._unpacked(x) for _, x in blobs), strict=True)]
+    got = Counter(zip(toxicity._pair_hash(found[0], found[1]).view(np.int64).tolist(), found[2].tolist(), strict=True))
+    assert max(got.values()) == 1 and {k for k, _ in got} == set(want)
+    monkeypatch.setattr(toxicity, "GATHERED", 900)  # several packages a task
+    rows = toxicity._count(spark.createDataFrame(list(zip(kinds, texts, strict=True)), "toxic int, text string")).collect()
+    assert {r.key: [r.n0, r.n1] for r in rows if r.kind == toxicity.PAIR} == {k: n for k, (_, n) in want.items() if sum(n) > 1}
+    assert all(r.ahead == want[r.key][0][0] for r in rows if r.kind == toxicity.PAIR)
+    for kind, place in ((toxicity.WORD, 1), (toxicity.STEM_OF, 2), (toxicity.AHEAD, 0)):
+        sums, due = {}, {}
+        for r in rows:
+            if r.kind == kind:
+                sums[r.key] = [a + b for a, b in zip(sums.get(r.key, [0, 0, 0]), (r.n0, r.n1, r.n), strict=True)]
+        for at, (a, b) in want.values():
+            more = (a, b, 0) if kind == toxicity.AHEAD else (a > 0, b > 0, kind == toxicity.WORD)
+            due[at[place]] = [x + y for x, y in zip(due.get(at[place], [0, 0, 0]), more, strict=True)]
+        assert sums == {k: n for k, n in due.items() if any(n)}
+
+
+def test_a_worker_keeps_one_cache():
+    made = per_worker("first", list)
+    assert per_worker("first", list) is made
+    per_worker("second", list)  # what an earlier stage kept is let go
+    assert per_worker("first", list) is not made
+
+
 def test_kept_pieces_are_made_once():
     asked = []
     kept = tokens._Kept(lambda x: asked.append(x) or x.encode())

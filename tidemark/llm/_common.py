@@ -95,9 +95,12 @@ def bit_filter(slots: DataFrame, bits: int) -> bytes:
 def per_worker(name: str, make: Callable):
     """What `make` returns, once for each Python worker: a cache that its later tasks find filled.
 
+    A worker keeps one such thing: it lives on with later stages, which have memory of their own to fill.
     Functions reach a task as copies of their own, so the place must be one that outlives them.
     """
     kept = vars(sys.modules.setdefault("_tidemark_worker", ModuleType("_tidemark_worker")))
     if name not in kept:
+        for other in [x for x in kept if not x.startswith("__")]:
+            del kept[other]
         kept[name] = make()
     return kept[name]

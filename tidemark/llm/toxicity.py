@@ -9,9 +9,10 @@ and over its most toxic stretch of words, and by how many words speak strongly f
 logistic fit on documents that the counts leave out turns this into a probability.
 
 All admitted labelled texts are counted, and the shared counts go over all documents, labelled or
-not. Pairs are a table that grows with the texts; a pair seen once counts for its context and its
-word, and is discounted whole. The table is sent to the workers only if
-its counted rows are at most `SENT`, and joined by the pairs of each text otherwise. Only the
+not, in the same pass: each task packs the distinct pairs of its texts into buckets that list their
+words once, and buckets are added up behind the shuffle. Pairs are a table that grows with the texts;
+a pair seen once counts for its context and its word, and is discounted whole. The table is sent to
+the workers only if its counted rows are at most `SENT`, and joined by the pairs of each text otherwise. Only the
 logistic fit is bounded: to a quarter of at most `bound` labelled documents a class, by a hash of
 the id, which the counts leave out. Words are hashed into a fixed number of slots. Every document is
 scored on its whole text.
@@ -19,6 +20,8 @@ scored on its whole text.
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
@@ -36,7 +39,10 @@ BOUND = 6144
 SLOTS = 1 << 20
 STEM = 4
 STEM_PRIOR = 8.0
-SENT = 1 << 22  # pairs that a broadcast may hold, 16 bytes each
+SENT = (64 << 20) // 12  # pairs that a broadcast may hold: 64 MB, 12 bytes each at most
+GATHERED = 1 << 21  # words of texts whose pairs a task packs at once
+MOST_ROWS = 64  # of buckets
+PAIR, WORD, STEM_OF, AHEAD = range(4)  # kinds of counts
 FILTER_BITS = 26  # 8 MB that keep pairs which are not in a joined table from being shuffled
 IDS = 500_000  # labelled ids that a broadcast may hold
 DISCOUNT = 0.75
@@ -78,11 +84,15 @@ class Hasher:
             return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
+def _pair_hash(before: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return mix64(before * np.uint64(0x9E3779B97F4A7C15) + words)
+
+
 def _pair_keys(words: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each word the one before it (0 at the start of a text) and a hash of both."""
     before = np.concatenate([np.zeros(1, np.uint64), words[:-1]]) if len(words) else words
     before[firsts] = 0
-    return before, mix64(before * np.uint64(0x9E3779B97F4A7C15) + words).view(np.int64)
+    return before, _pair_hash(before, words).view(np.int64)
 
 
 def _slots(words: np.ndarray) -> np.ndarray:
@@ -105,7 +115,10 @@ class Model:
     stem: np.ndarray  # (2, SLOTS) how much more of the rest a stem has in the class
     backoff: np.ndarray  # (2, SLOTS) weight that a preceding word leaves to the lower order
     pairs: np.ndarray
-    direct: np.ndarray  # (2, pairs) probability by the pair itself
+    kind: np.ndarray  # (pairs) where in `kinds` a pair's counts are
+    kinds: np.ndarray  # (2, different counts) what the discount leaves of them
+    seen: np.ndarray  # (2, SLOTS) pairs that a word is the first of
+    direct: np.ndarray | None = None  # (2, pairs) probability by the pair itself, where a text brings its own
     weights: np.ndarray | None = None  # intercept and one weight a feature
     table: DataFrame | None = None
 
@@ -126,7 +139,10 @@ def ratios(model: Model, words: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     for c in (0, 1):
         p = model.backoff[c][ahead] * (model.own[c][at] + model.rest[c][at] * model.stem[c][stem])
         if known.any():
-            p[known] += model.direct[c][place[known]]
+            if model.direct is None:
+                p[known] += (model.kinds[c][model.kind[place[known]]] / (model.seen[c][ahead[known]] + 1.0)).astype(np.float32)
+            else:
+                p[known] += model.direct[c][place[known]]
         out.append(np.log(p))
     return out[1] - out[0]
 
@@ -228,47 +244,122 @@ def training_rows(labels: DataFrame, allowed: Column, bound: int = BOUND) -> Dat
     )
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """The lowest bytes of all numbers, then the next ones: small numbers leave planes of zeros."""
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _steps(x: np.ndarray) -> bytes:
+    """Numbers in ascending order, by their differences."""
+    return _planes(np.diff(x.astype(np.uint64), prepend=np.uint64(0)))
+
+
+def _packed(texts: list[np.ndarray], kinds: list[int], side: int) -> Iterator[tuple[int, bytes]]:
+    """(bucket, pairs) of some texts: each distinct pair and kind of text once, with its count.
+
+    Words fall into `side` rows by their hash and a pair into the bucket of its two rows, so no word
+    has one bucket to itself. A bucket lists its words once, and its pairs as steps in their numbers.
+    """
+    flat, sizes, starts = _flatten(texts)
+    texts.clear()  # what is done with is let go: a worker has little memory
+    if not len(flat):
+        return
+    words, at = np.unique(flat, return_inverse=True)
+    del flat
+    words = np.concatenate([np.zeros(1, np.uint64), words])  # 0 stands before a text
+    row, total = (words >> np.uint64(44)).astype(np.int64) % side, len(words)
+    at = (at + 1).astype(np.int32)
+    ahead = np.concatenate([np.zeros(1, np.int32), at[:-1]])
+    ahead[starts[sizes > 0]] = 0
+    keys = row[ahead]
+    for factor, more in ((side, row[at]), (total, ahead), (total, at), (3, np.repeat(np.array(kinds, np.int8), sizes))):
+        keys *= factor
+        keys += more
+    del at, ahead, more
+    keys.sort()
+    first = np.flatnonzero(np.concatenate([np.ones(1, bool), keys[1:] != keys[:-1]]))
+    n = np.diff(first, append=len(keys))
+    keys = keys[first]
+    kind = (keys % 3).astype(np.int8)
+    n[kind == 2] = 0  # of other texts it is known that they have the pair
+    keys //= 3
+    word = (keys % total).astype(np.int32)
+    keys //= total
+    ahead = (keys % total).astype(np.int32)
+    bucket = (keys // total).astype(np.int32)
+    cuts = np.flatnonzero(np.diff(bucket)) + 1
+    for lo, hi in zip([0, *cuts], [*cuts, len(bucket)], strict=True):
+        (a, i), (w, j) = (np.unique(x[lo:hi], return_inverse=True) for x in (ahead, word))
+        parts = np.array([len(a), len(w), hi - lo], "<i8").tobytes(), _steps(words[a]), _steps(words[w])
+        yield int(bucket[lo]), zlib.compress(b"".join([*parts, _steps((i * len(w) + j) * 3 + kind[lo:hi]), _planes(n[lo:hi])]), 1)
+
+
+def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The word before, the word, the kind of text and the count of each pair of a bucket."""
+    raw = zlib.decompress(blob)
+    sizes = np.frombuffer(raw, "<i8", 3).tolist()
+    ends = np.cumsum([24, *(8 * x for x in [*sizes, sizes[2]])]).tolist()
+    planes = (np.frombuffer(raw[lo:hi], np.uint8).reshape(8, -1).T for lo, hi in zip(ends, ends[1:], strict=False))
+    ahead, word, keys, n = (np.ascontiguousarray(x).view("<u8").ravel() for x in planes)
+    ahead, word, keys = (np.cumsum(x, dtype=np.uint64) for x in (ahead, word, keys))
+    keys, kind = np.divmod(keys.astype(np.int64), 3)
+    i, j = np.divmod(keys, sizes[1])
+    return ahead[i], word[j], kind, n.astype(np.int64)
+
+
+def _tally(kind: int, slots: np.ndarray, *columns: np.ndarray) -> list[np.ndarray]:
+    """The columns n0, n1 and n of the counts' table, added up by slot; slots where all are 0 are left out."""
+    found, at = np.unique(slots, return_inverse=True)
+    sums = [np.bincount(at, x, minlength=len(found)).astype(np.int64) for x in columns]
+    some = np.any(sums, axis=0)
+    return [np.full(some.sum(), kind), found[some], np.zeros(some.sum()), *(x[some] for x in sums)]
+
+
 def _count(docs: DataFrame) -> DataFrame:
-    """(toxic, text) to one row a distinct pair: pair, ahead, word, stem, and its counts n0 and n1 by class."""
+    """(toxic, text), toxic null where a text is not counted for a class, to (kind, key, ahead, n0, n1, n).
 
-    def pairs(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
-        for b in batches(rows):
-            kinds = np.array(b.column(0).to_pylist(), np.int64)
-            texts = [hasher(x) for x in raw_texts(b.column(1))]
-            flat, sizes, starts = _flatten(texts)
-            before, keys = _pair_keys(flat, starts[sizes > 0])
-            found, first, at, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-            toxic = np.bincount(at, np.repeat(kinds, sizes), minlength=len(found)).astype(np.int64)
-            parts = _slots(before[first]).astype(np.int64) << 40 | _slots(flat[first]).astype(np.int64) << 20 | _stems(flat[first])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found), pa.array(parts), pa.array(n - toxic), pa.array(toxic)], names=["pair", "parts", "n0", "n1"]
-            )
-
-    rows = docs.mapInArrow(pairs, "pair long, parts long, n0 long, n1 long")
-    # a pair's words follow from its hash, so they are a part of its key at no cost
-    counted = rows.groupBy("pair", "parts").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    slot = F.lit(SLOTS - 1).cast("long")
-    ahead, word = (F.shiftright("parts", n).bitwiseAND(slot).cast("int") for n in (40, 20))
-    stem = F.col("parts").bitwiseAND(slot).cast("int")
-    return counted.select("pair", ahead.alias("ahead"), word.alias("word"), stem.alias("stem"), "n0", "n1")
-
-
-def _followed(docs: DataFrame) -> DataFrame:
-    """(text) to (word, n): the number of different words before each word, over all texts."""
+    Kind PAIR: a pair that is there more than once in counted texts, the slot of its first word, and its
+    counts by class. WORD: a word's slot, and how many different words it follows by class and in all
+    texts. STEM: the same of a stem, by class. AHEAD: how often a word is the first of a pair, by class.
+    The last three are sums over one bucket and are to be added up.
+    """
+    # a bucket for each partition of a shuffle
+    side = min(MOST_ROWS, math.isqrt(max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1) - 1) + 1)
 
     def pairs(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = per_worker("word codes", Hasher)
-        for b in batches(rows):
-            flat, sizes, starts = _flatten([hasher(x) for x in raw_texts(b.column(0))])
-            keys = _pair_keys(flat, starts[sizes > 0])[1].view(np.uint64) >> np.uint64(20)
-            # the word's 20 bits go before 44 of the pair: one number to shuffle
-            keys |= _slots(flat).astype(np.uint64) << np.uint64(44)
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(keys).view(np.int64))], names=["pair"])
+        texts, kinds, n = [], [], 0
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            if found := list(_packed(texts, kinds, side)):
+                yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in found], pa.int32()), pa.array([x for _, x in found], pa.binary())], names=["bucket", "blob"])
 
-    # a batch holds a pair once, and its task few again: what is equal is dropped behind the shuffle alone
-    once = docs.mapInArrow(pairs, "pair long").repartition("pair").distinct()
-    return once.groupBy(F.shiftrightunsigned("pair", 44).cast("int").alias("word")).agg(F.count(F.lit(1)).alias("n"))
+        for b in batches(rows):
+            for kind, raw in zip(b.column(0).to_pylist(), raw_texts(b.column(1)), strict=True):
+                texts.append(hasher(raw))
+                kinds.append(2 if kind is None else kind)
+                n += len(texts[-1])
+                if n > GATHERED:
+                    yield from packed()
+                    kinds, n = [], 0
+        yield from packed()
+
+    def added(bucket: pa.Table) -> pa.Table:
+        ahead, word, kind, n = (np.concatenate(x) for x in zip(*map(_unpacked, bucket.column("blob").to_pylist()), strict=True))
+        pair, first, at = np.unique(_pair_hash(ahead, word), return_index=True, return_inverse=True)
+        ahead, word = ahead[first], word[first]
+        n0, n1 = (np.bincount(at, n * (kind == c), minlength=len(pair)).astype(np.int64) for c in (0, 1))
+        twice, none = n0 + n1 > 1, np.zeros(len(pair), np.int64)
+        rows = [
+            [np.full(twice.sum(), PAIR), pair[twice].view(np.int64), _slots(ahead[twice]), n0[twice], n1[twice], none[twice]],
+            _tally(WORD, _slots(word), n0 > 0, n1 > 0, none + 1),
+            _tally(STEM_OF, _stems(word), n0 > 0, n1 > 0, none),
+            _tally(AHEAD, _slots(ahead), n0, n1, none),
+        ]
+        return pa.table([np.concatenate(x).astype(t) for x, t in zip(zip(*rows, strict=True), "i4 i8 i4 i8 i8 i8".split(), strict=True)], names=["kind", "key", "ahead", "n0", "n1", "n"])
+
+    blobs = docs.select("toxic", "text").mapInArrow(pairs, "bucket int, blob binary")
+    return blobs.groupBy("bucket").applyInArrow(added, "kind int, key long, ahead int, n0 long, n1 long, n long")
 
 
 def _arrays(df: DataFrame, columns: list[str]) -> list[np.ndarray]:
@@ -276,6 +367,19 @@ def _arrays(df: DataFrame, columns: list[str]) -> list[np.ndarray]:
     return [found.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in columns]
 
 
+def _listed_pairs(pairs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs in order, of each the place of its counts, and all different counts, discounted."""
+    counts = pairs.select(*[F.col(c).cast("int").alias(c) for c in ("n0", "n1")])
+    n0, n1 = _arrays(counts.distinct(), ["n0", "n1"])
+    codes = np.sort(n0.astype(np.int64) << 32 | n1)
+    pair, n0, n1 = _arrays(pairs.select("key", *[F.col(c).cast("int").alias(c) for c in ("n0", "n1")]), ["key", "n0", "n1"])
+    order, kind = np.argsort(pair), np.empty(len(pair), np.min_scalar_type(len(codes)))
+    for k in range(0, len(pair), 1 << 18):
+        at = order[k : k + (1 << 18)]
+        kind[k : k + len(at)] = np.searchsorted(codes, n0[at].astype(np.int64) << 32 | n1[at])
+    return pair[order], kind, np.maximum(np.stack([codes >> 32, codes & 0xFFFFFFFF]) - DISCOUNT, 0.0)
+
+
 def train(docs: DataFrame, labels: DataFrame, allowed: Column, bound: int = BOUND) -> Model:
     """A model from the labelled documents that `allowed`, a condition on labels.doc_id, admits.
 
@@ -288,16 +392,19 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, bound: int = BOUN
     texts = doc_texts(docs)
     counts = known.join(fit, "doc_id", "left_anti")
     counts = F.broadcast(counts) if known.count() <= IDS else counts
-    counted = stage(_count(texts.join(counts, "doc_id").select("toxic", "text")), "pairs")
+    counted = stage(_count(texts.join(counts, "doc_id", "left").select("toxic", "text")), "pairs")
 
-    kinds = [F.sum((F.col(f"n{c}") > 0).cast("long")).alias(f"k{c}") for c in (0, 1)]
-    follow, stems = np.zeros((2, SLOTS)), np.zeros((2, SLOTS))
-    for name, into in (("word", follow), ("stem", stems)):
-        at, *found = _arrays(counted.groupBy(name).agg(*kinds), [name, "k0", "k1"])
-        into[:, at] = found
+    def summed(kind: int) -> list[np.ndarray]:
+        sums = counted.filter(F.col("kind") == kind).groupBy("key").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "n")])
+        return _arrays(sums, ["key", "n0", "n1", "n"])
+
+    follow, stems, seen = np.zeros((2, SLOTS)), np.zeros((2, SLOTS)), np.zeros((2, SLOTS), np.int64)
     everywhere = np.zeros(SLOTS)
-    at, n = _arrays(_followed(texts.select("text")), ["word", "n"])
-    everywhere[at] = n
+    at, *found, n = summed(WORD)
+    follow[:, at], everywhere[at] = found, n
+    for kind, into in ((STEM_OF, stems), (AHEAD, seen)):
+        at, *found, _ = summed(kind)
+        into[:, at] = found
     shared = (everywhere + 0.5) / (everywhere.sum() + 0.5 * SLOTS)
     own, rest, stem = (np.empty((2, SLOTS)) for _ in range(3))
     for c in (0, 1):
@@ -308,20 +415,22 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, bound: int = BOUN
         stem[c] = (stems[c] + STEM_PRIOR) / (expected + STEM_PRIOR)
 
     # one smoothing observation a context keeps words after rare ones close to the lower order
-    seen = counted.groupBy("ahead").agg(*[F.sum(f"n{c}").alias(f"s{c}") for c in (0, 1)])  # a row a slot at most
+    aheads = counted.filter(F.col("kind") == AHEAD).groupBy(F.col("key").cast("int").alias("ahead"))  # a row a slot at most
+    aheads = aheads.agg(*[F.sum(f"n{c}").alias(f"s{c}") for c in (0, 1)])
     # a pair seen once leaves its whole count to the lower order, so it has no row of its own
-    discount = F.when(F.col("n0") + F.col("n1") == 1, F.lit(1.0)).otherwise(F.lit(DISCOUNT))
-    direct = [(F.greatest(F.col(f"n{c}") - discount, F.lit(0.0)) / (F.col(f"s{c}") + 1)).cast("float").alias(f"d{c}") for c in (0, 1)]
-    table = stage(counted.join(F.broadcast(seen), "ahead").select("pair", "ahead", *direct).filter("d0 > 0 OR d1 > 0"), "direct")
+    high = [F.greatest(F.col(f"n{c}") - DISCOUNT, F.lit(0.0)) / (F.col(f"s{c}") + 1) for c in (0, 1)]
+    high = [high[c].cast("float").alias(f"d{c}") for c in (0, 1)]
+    pairs = counted.filter(F.col("kind") == PAIR)
+    few = pairs.count() <= SENT
+    table = pairs.join(F.broadcast(aheads), "ahead").select(F.col("key").alias("pair"), "ahead", *high)
+    table = table if few else stage(table, "direct")
     spent = np.zeros((2, SLOTS))
     at, *found = _arrays(table.groupBy("ahead").agg(F.sum("d0").alias("d0"), F.sum("d1").alias("d1")), ["ahead", "d0", "d1"])
     spent[:, at] = found
     low = np.maximum(1 - spent, 1e-3).astype(np.float32)
-    table, few = table.select("pair", "d0", "d1"), table.count() <= SENT
-    pair, *high = _arrays(table if few else table.limit(0), ["pair", "d0", "d1"])
-    order = np.argsort(pair)
-    by_pair = pair[order].astype(np.int64), np.stack(high)[:, order].astype(np.float32)
-    model = Model(*(x.astype(np.float32) for x in (own, rest, stem)), low, *by_pair, table=None if few else table)
+    by_pair = _listed_pairs(pairs if few else pairs.limit(0))
+    seen = seen.astype(np.min_scalar_type(seen.max()))
+    model = Model(*(x.astype(np.float32) for x in (own, rest, stem)), low, *by_pair, seen, table=None if few else table.select("pair", "d0", "d1"))
 
     kind = "toxic int, weight double, " + ", ".join(f"{x} double" for x in FEATURES)
 
