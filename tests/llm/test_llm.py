@@ -626,6 +626,20 @@ def test_pairs_are_counted_once_in_packed_buckets(spark, monkeypatch):
         assert sums == {k: n for k, n in due.items() if any(n)}
 
 
+def test_the_driver_takes_pairs_in_by_ranges(spark, monkeypatch):
+    draw = random.Random(3)
+    rows = {draw.randrange(-(1 << 63), 1 << 63): (draw.randrange(4), draw.choice([2, 3, 70_000])) for _ in range(300)}
+    rows |= {-(1 << 63): (5, 0), (1 << 63) - 1: (0, 5), 0: (1, 1)}
+    table = spark.createDataFrame([(k, a, b) for k, (a, b) in rows.items()], "key long, n0 long, n1 long")
+    taken, arrays = [], toxicity._arrays
+    monkeypatch.setattr(toxicity, "AT_ONCE", 50)
+    monkeypatch.setattr(toxicity, "_arrays", lambda df, names: (x := arrays(df, names), taken.append(len(x[0])))[0])
+    listed, kind, kinds = toxicity._listed_pairs(table, len(rows))
+    assert listed.tolist() == sorted(rows) and max(taken) < 100
+    assert kinds[:, kind].T.tolist() == [[max(n - toxicity.DISCOUNT, 0) for n in rows[k]] for k in sorted(rows)]
+    assert len(toxicity._listed_pairs(table.limit(0), 0)[0]) == 0
+
+
 def test_a_worker_keeps_one_cache():
     made = per_worker("first", list)
     assert per_worker("first", list) is made

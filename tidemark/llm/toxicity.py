@@ -40,6 +40,7 @@ SLOTS = 1 << 20
 STEM = 4
 STEM_PRIOR = 8.0
 SENT = (64 << 20) // 12  # pairs that a broadcast may hold: 64 MB, 12 bytes each at most
+AT_ONCE = 1 << 19  # pairs that the driver takes in at once
 GATHERED = 1 << 21  # words of texts whose pairs a task packs at once
 MOST_ROWS = 64  # of buckets
 PAIR, WORD, STEM_OF, AHEAD = range(4)  # kinds of counts
@@ -367,17 +368,24 @@ def _arrays(df: DataFrame, columns: list[str]) -> list[np.ndarray]:
     return [found.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in columns]
 
 
-def _listed_pairs(pairs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The pairs in order, of each the place of its counts, and all different counts, discounted."""
-    counts = pairs.select(*[F.col(c).cast("int").alias(c) for c in ("n0", "n1")])
-    n0, n1 = _arrays(counts.distinct(), ["n0", "n1"])
+def _listed_pairs(pairs: DataFrame, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs in order, of each the place of its counts, and all different counts, discounted.
+
+    They come to the driver range by range, so that it holds little but what it keeps.
+    """
+    pairs = pairs.select("key", *[F.col(c).cast("int").alias(c) for c in ("n0", "n1")])
+    n0, n1 = _arrays(pairs.select("n0", "n1").distinct(), ["n0", "n1"])
     codes = np.sort(n0.astype(np.int64) << 32 | n1)
-    pair, n0, n1 = _arrays(pairs.select("key", *[F.col(c).cast("int").alias(c) for c in ("n0", "n1")]), ["key", "n0", "n1"])
-    order, kind = np.argsort(pair), np.empty(len(pair), np.min_scalar_type(len(codes)))
-    for k in range(0, len(pair), 1 << 18):
-        at = order[k : k + (1 << 18)]
-        kind[k : k + len(at)] = np.searchsorted(codes, n0[at].astype(np.int64) << 32 | n1[at])
-    return pair[order], kind, np.maximum(np.stack([codes >> 32, codes & 0xFFFFFFFF]) - DISCOUNT, 0.0)
+    listed, kind, at = np.empty(count, np.int64), np.empty(count, np.min_scalar_type(len(codes))), 0
+    ranges = -(-count // AT_ONCE)
+    ends = [(k << 64) // max(ranges, 1) - (1 << 63) for k in range(ranges + 1)]
+    for lo, hi in zip(ends, ends[1:], strict=False):
+        key, n0, n1 = _arrays(pairs.filter(F.col("key").between(lo, hi - 1)), ["key", "n0", "n1"])
+        order = np.argsort(key)
+        listed[at : at + len(key)] = key[order]
+        kind[at : at + len(key)] = np.searchsorted(codes, (n0.astype(np.int64) << 32 | n1)[order])
+        at += len(key)
+    return listed, kind, np.maximum(np.stack([codes >> 32, codes & 0xFFFFFFFF]) - DISCOUNT, 0.0)
 
 
 def train(docs: DataFrame, labels: DataFrame, allowed: Column, bound: int = BOUND) -> Model:
@@ -406,13 +414,14 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, bound: int = BOUN
         at, *found, _ = summed(kind)
         into[:, at] = found
     shared = (everywhere + 0.5) / (everywhere.sum() + 0.5 * SLOTS)
-    own, rest, stem = (np.empty((2, SLOTS)) for _ in range(3))
+    own, rest, stem = (np.empty((2, SLOTS), np.float32) for _ in range(3))
     for c in (0, 1):
         total = follow[c].sum() + 1
         own[c] = np.maximum(follow[c] - RARE, 0) / total
         rest[c] = (np.minimum(follow[c], RARE).sum() + 1) / total * shared
         expected = stems.sum(axis=0) * (stems[c].sum() + 1) / (stems.sum() + 2)
         stem[c] = (stems[c] + STEM_PRIOR) / (expected + STEM_PRIOR)
+    del follow, stems, everywhere, shared, expected, at, found, n, into  # the driver has little memory, too
 
     # one smoothing observation a context keeps words after rare ones close to the lower order
     aheads = counted.filter(F.col("kind") == AHEAD).groupBy(F.col("key").cast("int").alias("ahead"))  # a row a slot at most
@@ -421,16 +430,18 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, bound: int = BOUN
     high = [F.greatest(F.col(f"n{c}") - DISCOUNT, F.lit(0.0)) / (F.col(f"s{c}") + 1) for c in (0, 1)]
     high = [high[c].cast("float").alias(f"d{c}") for c in (0, 1)]
     pairs = counted.filter(F.col("kind") == PAIR)
-    few = pairs.count() <= SENT
+    count = pairs.count()
+    few = count <= SENT
     table = pairs.join(F.broadcast(aheads), "ahead").select(F.col("key").alias("pair"), "ahead", *high)
     table = table if few else stage(table, "direct")
     spent = np.zeros((2, SLOTS))
     at, *found = _arrays(table.groupBy("ahead").agg(F.sum("d0").alias("d0"), F.sum("d1").alias("d1")), ["ahead", "d0", "d1"])
     spent[:, at] = found
     low = np.maximum(1 - spent, 1e-3).astype(np.float32)
-    by_pair = _listed_pairs(pairs if few else pairs.limit(0))
+    del spent, at, found
+    by_pair = _listed_pairs(*(pairs, count) if few else (pairs.limit(0), 0))
     seen = seen.astype(np.min_scalar_type(seen.max()))
-    model = Model(*(x.astype(np.float32) for x in (own, rest, stem)), low, *by_pair, seen, table=None if few else table.select("pair", "d0", "d1"))
+    model = Model(own, rest, stem, low, *by_pair, seen, table=None if few else table.select("pair", "d0", "d1"))
 
     kind = "toxic int, weight double, " + ", ".join(f"{x} double" for x in FEATURES)
 
