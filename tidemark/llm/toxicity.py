@@ -41,6 +41,7 @@ STEM = 4
 STEM_PRIOR = 8.0
 SENT = (64 << 20) // 12  # pairs that a broadcast may hold: 64 MB, 12 bytes each at most
 AT_ONCE = 1 << 19  # pairs that the driver takes in at once
+TOGETHER = 2 << 20  # bytes of texts that a task has in hand, beside the model or the gathered words
 GATHERED = 1 << 21  # words of texts whose pairs a task packs at once
 MOST_ROWS = 64  # of buckets
 PAIR, WORD, STEM_OF, AHEAD = range(4)  # kinds of counts
@@ -265,14 +266,15 @@ def _packed(texts: list[np.ndarray], kinds: list[int], side: int) -> Iterator[tu
     texts.clear()  # what is done with is let go: a worker has little memory
     if not len(flat):
         return
-    words, at = np.unique(flat, return_inverse=True)
+    words = np.concatenate([np.zeros(1, np.uint64), np.unique(flat)])  # 0 stands before a text
+    row, total = ((words >> np.uint64(44)) % np.uint64(side)).astype(np.int8), len(words)
+    at = np.empty(len(flat), np.int32)
+    for k in range(0, len(flat), 1 << 17):
+        at[k : k + (1 << 17)] = np.searchsorted(words[1:], flat[k : k + (1 << 17)]) + 1
     del flat
-    words = np.concatenate([np.zeros(1, np.uint64), words])  # 0 stands before a text
-    row, total = (words >> np.uint64(44)).astype(np.int64) % side, len(words)
-    at = (at + 1).astype(np.int32)
     ahead = np.concatenate([np.zeros(1, np.int32), at[:-1]])
     ahead[starts[sizes > 0]] = 0
-    keys = row[ahead]
+    keys = row[ahead].astype(np.int64)
     for factor, more in ((side, row[at]), (total, ahead), (total, at), (3, np.repeat(np.array(kinds, np.int8), sizes))):
         keys *= factor
         keys += more
@@ -335,7 +337,7 @@ def _count(docs: DataFrame) -> DataFrame:
             if found := list(_packed(texts, kinds, side)):
                 yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in found], pa.int32()), pa.array([x for _, x in found], pa.binary())], names=["bucket", "blob"])
 
-        for b in batches(rows):
+        for b in batches(rows, TOGETHER):
             for kind, raw in zip(b.column(0).to_pylist(), raw_texts(b.column(1)), strict=True):
                 texts.append(hasher(raw))
                 kinds.append(2 if kind is None else kind)
@@ -500,7 +502,7 @@ def _with_features(rows: DataFrame, model: Model, emit: Callable, schema: T.Stru
 
     def run(part: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, own = per_worker("word codes", Hasher), Model(**sent.value)
-        for b in batches(part):
+        for b in batches(part, TOGETHER):
             if brings:
                 flat = b.column(1).flatten()
                 pair, first = np.unique(flat.field(0).to_numpy(zero_copy_only=False), return_index=True)
