@@ -354,6 +354,22 @@ def test_mix(spark):
     assert whole.columns == docs(spark, []).columns and whole.count() == sum(r.copies for r in found)
 
 
+def test_a_plan_of_the_mix_does_not_grow_with_its_steps(spark, monkeypatch):
+    joins, steps, write = [], [], mixing.stage
+
+    def counted(df, name):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        steps.append(name)
+        return write(df, name)
+
+    monkeypatch.setattr(mixing, "stage", counted)
+    rows = [(k, prose(k, 5 + k % 50), "abc"[k % 3]) for k in range(600)] + [(700, prose(9, 4000), "c"), (701, prose(8, 900), "a")]
+    found = mixing.mix(docs(spark, rows))
+    joins.append(found._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+    assert steps.count("step") > 1 and max(joins) <= 2  # before, one more for each step in the last plan, and five in the plan of a step
+    lands_near(found.collect())
+
+
 def test_sampling_prefers_quality(spark):
     rows = [(k, "one two three four", "ab"[k % 2]) for k in range(4000)]
     labels = spark.createDataFrame([(k, k // 2 % 2, 0) for k in range(4000)], "doc_id long, quality int, toxic int")

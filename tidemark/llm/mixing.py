@@ -63,69 +63,75 @@ def _same_source(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
     return a.join(right, F.col("source").eqNullSafe(F.col("source_")), how).drop("source_")
 
 
-def _cuts(rows: DataFrame, budgets: DataFrame) -> DataFrame:
-    """(source, cut): the first (pos, id) of each source that its budget has no room for, if any."""
-
-    def edge(cells: DataFrame) -> DataFrame:
-        upto = W.partitionBy("source").orderBy("cell")
-        sums = cells.groupBy("source", "cell", "budget", "passed", "low").agg(F.sum("size").alias("s"))
-        total = sums.withColumn("total", F.col("passed") + F.sum("s").over(upto))
-        over = total.filter(F.col("total") > F.col("budget"))
-        first = over.groupBy("source").agg(F.min_by(F.struct("cell", "total", "s", "low"), "cell").alias("e"))
-        return first.select(
-            "source", F.col("e.cell").alias("edge"), (F.col("e.total") - F.col("e.s")).alias("edge_passed"), F.col("e.low").alias("edge_low")
-        )
-
-    open_ = _same_source(rows, budgets.filter("budget > 0"))
-    now = open_.withColumn("passed", F.lit(0).cast("long")).withColumn("low", F.lit(0.0).cast("double"))
-    width = 1.0
-    for _ in range(2):
-        width /= CELLS
-        cell = F.least(F.floor((F.col("pos") - F.col("low")) / F.lit(width)), F.lit(CELLS - 1)).cast("int")
-        cells = now.withColumn("cell", cell)
-        found = stage(edge(cells), "edge")
-        now = (
-            _same_source(cells, found)
-            .filter("cell = edge")
-            .select("source", "pos", "id", "size", "budget", F.col("edge_passed").alias("passed"), (F.col("edge_low") + F.col("edge") * F.lit(width)).alias("low"))
-        )
-    order = W.partitionBy("source").orderBy("pos", "id")  # rows that repeat an id stand together
-    total = now.withColumn("total", F.col("passed") + F.sum("size").over(order.rangeBetween(W.unboundedPreceding, W.currentRow)))
-    return total.filter(F.col("total") > F.col("budget")).groupBy("source").agg(F.min(F.struct("pos", "id")).alias("cut"))
-
-
-def _open() -> Column:
+def _open(step: Column) -> Column:
     """Whether a step may draw a row: it fits, and comes behind `past`, where there is one."""
-    fits = (F.col("budget") > 0) & (F.col("whole") <= F.col("budget"))
-    return fits & (F.col("past").isNull() | (F.struct("pos", "id") > F.col("past")))
+    fits = (step["budget"] > 0) & (F.col("whole") <= step["budget"])
+    return fits & (step["past"].isNull() | (F.struct("pos", "id") > step["past"]))
 
 
-def _taken() -> Column:
+def _taken(step: Column) -> Column:
     """Whether a step draws a row: it may, and the row comes ahead of `cut`, where there is one."""
-    return _open() & (F.col("cut").isNull() | (F.struct("pos", "id") < F.col("cut")))
+    return _open(step) & (step["cut"].isNull() | (F.struct("pos", "id") < step["cut"]))
+
+
+def _inside(rows: DataFrame, at: DataFrame, width: float) -> DataFrame:
+    """The rows that a step may draw, of the cell of its source that begins at `low`; the last one has its end, too."""
+    end = F.col("low") + F.lit(width)
+    within = (F.col("pos") >= F.col("low")) & ((F.col("pos") < end) | (end >= 1))
+    return _same_source(rows, at).filter(_open(F.struct("budget", "past")) & within)
+
 
+def _edges(rows: DataFrame, width: float) -> DataFrame:
+    """Of each source the cell of `width` in which its budget ends, `low` its start, `passed` what lies before it.
 
-def _draw(rows: DataFrame, budgets: DataFrame) -> list[DataFrame]:
-    """Steps of (source, budget, past, cut): a step draws the rows of `_taken`, up to the first that has no room.
+    Where there is room for all, both are null, and `got` is the sum of all.
+    """
+    cell = F.least(F.floor((F.col("pos") - F.col("low")) / F.lit(width)), F.lit(CELLS - 1)).cast("int")
+    step = ["source", "budget", "past", "passed", "low"]
+    sums = rows.groupBy(*step, cell.alias("cell")).agg(F.sum("size").alias("s"))
+    total = sums.withColumn("total", F.col("passed") + F.sum("s").over(W.partitionBy("source").orderBy("cell")))
+    over = F.when(F.col("total") > F.col("budget"), F.struct("cell", (F.col("total") - F.col("s")).alias("passed")))
+    found = total.groupBy(*step).agg(F.min(over).alias("edge"), F.max("total").alias("got"))
+    low = F.col("low") + F.col("edge.cell") * F.lit(width)
+    return found.select("source", "budget", "past", F.col("edge.passed").alias("passed"), low.alias("low"), "got")
+
+
+def _cuts(rows: DataFrame, at: DataFrame) -> DataFrame:
+    """(source, budget, past, cut, got): the first (pos, id) that the budget has no room for, and what lies before it."""
+    order = W.partitionBy("source").orderBy("pos", "id")  # rows that repeat an id stand together
+    sums = F.sum("size").over(order.rangeBetween(W.unboundedPreceding, W.currentRow))
+    total = _inside(rows, at, 1 / CELLS**2).withColumn("total", F.col("passed") + sums)
+    room = F.col("total") <= F.col("budget")
+    return total.groupBy("source", "budget", "past").agg(
+        F.min(F.when(~room, F.struct("pos", "id"))).alias("cut"), F.coalesce(F.max(F.when(room, F.col("total"))), F.max("passed")).alias("got")
+    )
 
-    The next step has what is left of the budget and looks behind that row, at those alone that fit
-    by themselves. A source is done when a step finds room for all; every step passes one document
-    a source, and leaves out all that are longer than the rest of the budget.
+
+def _draw(rows: DataFrame, budgets: DataFrame) -> DataFrame:
+    """(source, steps, got): the steps (budget, past, cut) of each source that draws, and the words they draw.
+
+    A step draws the rows of `_taken`, up to the first that has no room. The next step has what is
+    left of the budget and looks behind that row, at those alone that fit by themselves. A source is
+    done when a step finds room for all; every step passes one document a source, and leaves out all
+    that are longer than the rest of the budget. Each pass over the rows joins one small table, since
+    every table that is sent takes memory of the driver.
     """
     place = rows.schema["pos"].dataType.simpleString()
-    none = F.lit(None).cast(f"struct<pos:{place},id:bigint>")
-    now, steps = budgets.select("source", "budget", none.alias("past")), []
+    row = f"struct<pos:{place},id:bigint>"
+    none = F.lit(None).cast(row)
+    steps = rows.sparkSession.createDataFrame([], f"source string, budget long, past {row}, cut {row}, got long")
+    now = budgets.select("source", "budget", none.alias("past"))
     while True:
-        now = stage(now, "budget")
-        fit = _same_source(rows, now).filter(_open())
-        if fit.isEmpty():
-            return steps
-        cut = _cuts(fit.select("source", "pos", "id", "size"), now.select("source", "budget"))
-        step = stage(_same_source(now, cut, "left"), "step")
-        steps.append(step)
-        got = _same_source(rows, step).filter(_taken()).groupBy("source").agg(F.sum("size").alias("got"))
-        left = _same_source(step.filter("cut IS NOT NULL"), got, "left")
-        now = left.select("source", (F.col("budget") - F.coalesce("got", F.lit(0))).alias("budget"), F.col("cut").alias("past"))
+        now = now.withColumns({"passed": F.lit(0).cast("long"), "low": F.lit(0.0).cast("double")})
+        first = stage(_edges(_inside(rows, now, 1.0), 1 / CELLS), "edge")
+        if first.isEmpty():
+            drawn = F.collect_list(F.struct("budget", "past", "cut"))
+            return steps.groupBy("source").agg(drawn.alias("steps"), F.sum("got").alias("got"))
+        second = stage(_edges(_inside(rows, first.filter("low IS NOT NULL").drop("got"), 1 / CELLS), 1 / CELLS**2), "edge")
+        rest = first.filter("low IS NULL").select("source", "budget", "past", none.alias("cut"), "got")
+        step = stage(_cuts(rows, second.drop("got")).unionByName(rest), "step")
+        steps = steps.unionByName(step)
+        now = step.filter("cut IS NOT NULL").select("source", (F.col("budget") - F.col("got")).alias("budget"), F.col("cut").alias("past"))
 
 
 def mix(
@@ -160,17 +166,14 @@ def mix(
     rows = stage(rows.select("doc_id", "source", "size", "id", "pos", F.coalesce("sum", "size").alias("whole")), "units")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
-    plan = stage(targets(sizes, weights, most).withColumn("epochs", full.cast("long")), "targets")
-    budgets = plan.select("source", F.floor(F.col("target") - F.col("epochs") * F.col("source_size")).alias("budget"))
-
-    steps = _draw(rows, budgets)
-    known = _same_source(rows, plan).withColumn("drawn", F.lit(False))
-    for step in steps:
-        known = _same_source(known, step, "left").withColumn("drawn", F.col("drawn") | F.coalesce(_taken(), F.lit(False))).drop("budget", "past", "cut")
-    got = known.groupBy("source").agg(F.sum(F.when(F.col("drawn"), F.col("size")).otherwise(F.lit(0))).alias("got"))
-    gaps = stage(_same_source(budgets, got).select("source", (F.col("budget") - F.col("got")).alias("gap")), "gaps")
+    plan = targets(sizes, weights, most).withColumn("epochs", full.cast("long"))
+    plan = stage(plan.withColumn("budget", F.floor(F.col("target") - F.col("epochs") * F.col("source_size"))), "targets")
+
+    gap = F.col("budget") - F.coalesce("got", F.lit(0))
+    plan = stage(_same_source(plan, _draw(rows, plan), "left").withColumn("gap", gap).drop("budget", "got"), "steps")
+    known = _same_source(rows, plan).withColumn("drawn", F.coalesce(F.exists("steps", _taken), F.lit(False)))
     off = F.col("whole") - F.col("gap")
-    rest = _same_source(known.filter(~F.col("drawn")), gaps.filter("gap > 0")).filter(off < F.col("gap"))
+    rest = known.filter(~F.col("drawn") & (F.col("gap") > 0)).filter(off < F.col("gap"))
     best = rest.groupBy("source").agg(F.min(F.struct("whole", "pos", "id")).alias("best"))
     best = stage(best.select("source", F.col("best.id").alias("chosen")), "best")
     known = _same_source(known, best, "left").withColumn("drawn", F.col("drawn") | F.coalesce(F.col("id") == F.col("chosen"), F.lit(False)))
