@@ -44,7 +44,7 @@ def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files in the shared folder, and one row for each text read back from them."""
     path = scratch_path(spark, "token-files")
     tokens.write_token_files(docs, path)
-    return tokens.read_token_files(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32", "file", "segment")
+    return tokens.read_token_files(spark, path, ids=False).select("doc_id", "start", "n_tokens", "ids_crc32", "file", "segment")
 
 
 STAGES = [

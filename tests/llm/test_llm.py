@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import random
 import re
+import weakref
 import zlib
 from collections import Counter
 
@@ -417,6 +419,32 @@ def test_pieces_equal_the_library(text):
     assert np.frombuffer(tool.encode(text), "<u4").tolist() == tool.tool.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", ["x ab$$$", "x AB!!\nÄb,%%% c", "x a'", "x a's b't", "x a''s", "x ab.\n\nc", "x a²!", "x a\n", "x !\n?", "äb c", "x a_-b", "x (a)\nb)"])
+def test_letters_with_marks_equal_the_library(text):
+    tool = tokens.Encoder(tokens.default_tokenizer())
+    assert np.frombuffer(tool.encode(text), "<u4").tolist() == tool.tool.encode(text, add_special_tokens=False).ids
+
+
+def test_the_encoder_keeps_what_it_is_asked_for_again(monkeypatch):
+    monkeypatch.setattr(tokens, "PIECES", 40)
+    monkeypatch.setattr(tokens, "WORDS", 10)
+    tool, made = tokens.Encoder(tokens.default_tokenizer()), []
+    make = tool.pieces.make
+    tool.pieces.make = lambda text: made.append(text) or make(text)
+    for k in range(60):
+        text = f"x often {prose(k, 12)} again, one\ntwo{k}. three!\n"
+        assert np.frombuffer(tool.encode(text), "<u4").tolist() == tool.tool.encode(text, add_special_tokens=False).ids
+        assert len(tool.pieces) <= 40 + 40 and len(tool.pieces.older) <= 40 + 40
+    assert made.count("often") == made.count("again,") == 1
+
+
+def test_the_reader_can_leave_the_ids_in_the_workers(spark, tmp_path):
+    path = f"file://{tmp_path}/tokens"
+    tokens.write_token_files(docs(spark, mixed_rows()), path)
+    whole = tokens.read_token_files(spark, path)
+    assert sorted(map(str, tokens.read_token_files(spark, path, ids=False).collect())) == sorted(map(str, whole.drop("ids").collect()))
+
+
 # models
 
 
@@ -663,6 +691,21 @@ def test_a_worker_keeps_one_cache():
     assert per_worker("first", list) is not made
 
 
+def test_a_cache_that_is_kept_costs_no_collection():
+    class Cache(dict):
+        pass
+
+    def make():
+        found = Cache()
+        found["itself"] = found
+        return found
+
+    gone = weakref.ref(per_worker("third", make))
+    assert not any(x is gone() for x in gc.get_objects())
+    per_worker("fourth", list)
+    assert gone() is None
+
+
 def test_kept_pieces_are_made_once():
     asked = []
     kept = tokens._Kept(lambda x: asked.append(x) or x.encode())

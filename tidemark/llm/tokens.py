@@ -27,7 +27,7 @@ from ._common import batches, doc_texts, per_worker
 BLOCK = 256
 PERCENTILE = 90
 SEGMENT_IDS = 1 << 16
-PIECES, WORDS = 800_000, 400_000  # entries that a worker's two caches may hold
+PIECES, WORDS = 700_000, 100_000  # entries of a worker's two caches, after which they are emptied into their older part
 
 
 def default_tokenizer() -> str:
@@ -41,23 +41,40 @@ _OTHERS = [b for b in range(256) if b not in set(_PLAIN)]
 #: Byte-level tokenizers show each byte as a character: printable ones as themselves, the others from 256 on.
 _SHOWN = {b: chr(b) for b in _PLAIN} | {b: chr(256 + k) for k, b in enumerate(_OTHERS)}
 _BLANK, _BREAK = _SHOWN[32], _SHOWN[10]
+_MARKS = "".join(chr(b) for b in range(33, 127) if not chr(b).isalnum())
 
 
 def _visible(text: str) -> str:
     return text if text.isascii() else text.encode().decode("latin-1").translate(_SHOWN)
 
 
+_FORMATS = [f"<{n}I" for n in range(64)]
+
+
 class _Kept(dict):
-    """What `make` returns for a key, made when the key is first asked for."""
+    """What `make` returns for a key, made when the key is first asked for.
 
-    def __init__(self, make: Callable[[str], bytes]):
+    Beyond `most` keys all go to an older part, in place of those that were there; what is asked for
+    again comes back from it. So keys that are often asked for stay, and at most twice `most` are held.
+    """
+
+    def __init__(self, make: Callable[[str], bytes], most: int = PIECES):
         super().__init__()
-        self.make = make
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, key: str) -> bytes:
-        found = self[key] = self.make(key)
+        found = self.older.get(key)
+        if found is None:
+            found = self.make(key)
+        self[key] = found
         return found
 
+    def turn(self) -> None:
+        if len(self) > self.most:
+            self.older = {}
+            self.older = dict(self)
+            self.clear()
+
 
 class Encoder:
     """Ids of whole texts by the tokenizers library, which reads special strings in a text as such.
@@ -79,15 +96,16 @@ class Encoder:
             cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space", True)
             and config.get("normalizer") is None and config.get("truncation") is None and config.get("padding") is None
         )
-        self.pieces = _Kept(self._piece)  # what stands between two blanks
-        self.words = _Kept(self._word)  # what the pre-tokenizer cuts
+        self.model = self.tool.model
+        self.pieces = _Kept(self._piece, PIECES)  # what stands between two blanks
+        self.words = _Kept(self._word, WORDS)  # what the pre-tokenizer cuts, but for letters behind a blank
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tool.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        found = [x.id for x in self.tool.model.tokenize(word)]
-        return pack(f"<{len(found)}I", *found)
+        found = [x.id for x in self.model.tokenize(word)]
+        return pack(_FORMATS[len(found)], *found) if len(found) < len(_FORMATS) else np.array(found, "<u4").tobytes()
 
     def _cut(self, text: str) -> bytes:
         """Ids by the library's own two steps: its pre-tokenizer, then its model."""
@@ -96,24 +114,24 @@ class Encoder:
     def _piece(self, text: str) -> bytes:
         """Ids of a blank and what follows it up to the next one.
 
-        Letters alone are one word, and a single mark behind them is another: for these, and for
+        Letters alone are one word, and marks behind them are another: for these, and for
         lines of them, the pre-tokenizer need not be asked.
         """
-        words = self.words
         if text.isalpha():
-            return words[_BLANK + _visible(text)]
-        out, ahead = [], _BLANK
+            return self._word(_BLANK + (text if text.isascii() else _visible(text)))
+        if (head := text.rstrip(_MARKS)).isalpha():
+            return self.pieces[head] + self.words[text[len(head) :]]
+        if "\n" not in text:
+            return self._cut(" " + text)
+        words, out = self.words, []
         for k, line in enumerate(text.split("\n")):
             if k:
                 out.append(words[_BREAK])
-                ahead = ""
-            if line.isalpha():
-                out.append(words[ahead + _visible(line)])
-            elif line[:-1].isalpha() and line[-1] in ".,;:!?":
-                out.append(words[ahead + _visible(line[:-1])])
-                out.append(words[line[-1]])
-            else:
+            if not (head := line.rstrip(_MARKS)).isalpha():
                 return self._cut(" " + text)
+            out.append(words[_visible(head)] if k else self.pieces[head])
+            if len(head) < len(line):
+                out.append(words[line[len(head) :]])
         return b"".join(out)
 
     def encode(self, text: str) -> bytes:
@@ -123,12 +141,10 @@ class Encoder:
         if not self.by_piece or "  " in text or any(x in text for x in self.special):
             return self._ids(text)
         head, *rest = text.split(" ")
-        if len(self.pieces) > PIECES:
-            self.pieces.clear()
-        if len(self.words) > WORDS:
-            self.words.clear()
+        self.pieces.turn()
+        self.words.turn()
         body = b"".join(map(self.pieces.__getitem__, rest))
-        return (self._cut(head) if head else b"") + body
+        return (self.words[_visible(head)] if head.isalpha() else self._cut(head) if head else b"") + body
 
 
 def pack_block(ids: np.ndarray, percentile: int = PERCENTILE) -> bytes:
@@ -175,11 +191,14 @@ def pack_segment(ids: np.ndarray) -> bytes:
             narrow = part.astype("<u2" if width <= 16 else "<u4").view(np.uint8).reshape(len(which), BLOCK, -1)
             bits = np.unpackbits(narrow, axis=2, bitorder="little")[:, :, :width].reshape(len(which), BLOCK * width)
             packed = np.packbits(bits, axis=1, bitorder="little")
-            for row, at in enumerate(which.tolist()):
-                odd = np.flatnonzero(wide[row])
-                head = np.array([BLOCK, low[at], width, len(odd)], "<u4").tobytes()
-                tail = odd.astype("<u4").tobytes() + wide[row][odd].astype("<u4").tobytes() if len(odd) else b""
-                blocks[at] = head + packed[row].tobytes() + tail
+            row, place = np.nonzero(wide)
+            count = np.bincount(row, minlength=len(which))
+            heads = np.stack([np.full(len(which), BLOCK), low[which], np.full(len(which), width), count], axis=1).astype("<u4").tobytes()
+            body, size = packed.tobytes(), packed.shape[1]
+            places, high = place.astype("<u4").tobytes(), wide[row, place].astype("<u4").tobytes()
+            ends = np.cumsum(4 * count).tolist()
+            for k, (at, lo, hi) in enumerate(zip(which.tolist(), [0, *ends], ends, strict=False)):
+                blocks[at] = heads[16 * k : 16 * k + 16] + body[size * k : size * k + size] + places[lo:hi] + high[lo:hi]
     if n % BLOCK:
         blocks[-1] = pack_block(ids[full * BLOCK :])
     starts = np.concatenate([[0], np.cumsum([len(b) for b in blocks])]).astype("<u8")
@@ -280,10 +299,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
     dealt.mapInArrow(encode, SEGMENTS).write.parquet(path)
 
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
+def read_token_files(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
     """One row a document: doc_id, start (ids of all documents before it), n_tokens, ids_crc32, ids, file, segment.
 
-    `ids` are little-endian unsigned 32-bit integers, and ids_crc32 is their unsigned crc32.
+    `ids` are little-endian unsigned 32-bit integers, and ids_crc32 is their unsigned crc32. Without
+    `ids` they are decoded and summed up as well, but stay in the workers.
     """
 
     def decode(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,7 +318,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                         pa.array([file] * count, pa.int32()), pa.array([segment] * count, pa.int32()),
                         pa.array([e - n for e, n in zip(ends, lengths, strict=True)], pa.int64()),
                         pa.array(docs, pa.int64()), pa.array(lengths, pa.int64()),
-                        pa.array([zlib.crc32(x) for x in raw], pa.int64()), pa.array(raw, pa.binary()),
+                        pa.array([zlib.crc32(x) for x in raw], pa.int64()), pa.array(raw if ids else [None] * count, pa.binary()),
                     ],
                     names=["file", "segment", "within", "doc_id", "n_tokens", "ids_crc32", "ids"],
                 )
@@ -307,7 +327,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     segments = spark.read.schema(SEGMENTS).parquet(path)
     documents = segments.mapInArrow(decode, kind)
     return documents.join(segment_starts(spark, path), ["file", "segment"]).select(
-        "doc_id", (F.col("base") + F.col("within")).alias("start"), "n_tokens", "ids_crc32", "ids", "file", "segment"
+        "doc_id", (F.col("base") + F.col("within")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * ids, "file", "segment"
     )
 
 
