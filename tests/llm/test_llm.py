@@ -496,6 +496,15 @@ def test_toxicity(spark):
     assert clean.columns == table.columns and clean.count() == sum(1 - r.predicted for r in found.values())
 
 
+def test_the_model_is_sent_once(spark, monkeypatch):
+    sent, send = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(1) or send(self, value))
+    table = docs(spark, [(k, f"{prose(k, 20)} {'vile' if k % 4 == 0 else 'fine'}") for k in range(80)])
+    model = toxicity.train(table, spark.createDataFrame([(k, 1, int(k % 4 == 0)) for k in range(80)], "doc_id long, quality int, toxic int"), F.lit(True))
+    assert toxicity.score(table, model).count() == 80 >= toxicity.keep_clean(table, model).count()
+    assert len(sent) == 1  # before, one for the fit and one for each use
+
+
 def test_toxicity_counts_all_texts(spark, monkeypatch):
     rows = [(k, f"{prose(k, 30)} {'vile scoundrel' if k % 4 == 0 else 'fine fellow'}") for k in range(400)]
     table = docs(spark, [*rows, (500, None), (501, "vile " * 3000), (502, "unlabelled vile scoundrel"), (502, "unlabelled vile scoundrel")])
@@ -700,7 +709,7 @@ def test_a_cache_that_is_kept_costs_no_collection():
         found["itself"] = found
         return found
 
-    gone = weakref.ref(per_worker("third", make))
+    gone = weakref.ref(per_worker("third", make, large=True))
     assert not any(x is gone() for x in gc.get_objects())
     per_worker("fourth", list)
     assert gone() is None

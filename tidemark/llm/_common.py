@@ -93,20 +93,22 @@ def bit_filter(slots: DataFrame, bits: int) -> bytes:
     return bytes(out)
 
 
-def per_worker(name: str, make: Callable):
+def per_worker(name: str, make: Callable, large: bool = False):
     """What `make` returns, once for each Python worker: a cache that its later tasks find filled.
 
     A worker keeps one such thing: it lives on with later stages, which have memory of their own to fill.
     Functions reach a task as copies of their own, so the place must be one that outlives them. Python's
-    garbage collection, which Spark asks for after each task, leaves out what is kept: it would go
-    through all of a large cache.
+    garbage collection, which Spark asks for after each task, leaves out what is kept if that is `large`:
+    it would go through all of it.
     """
     kept = vars(sys.modules.setdefault("_tidemark_worker", ModuleType("_tidemark_worker")))
     if name not in kept:
-        for other in [x for x in kept if not x.startswith("__")]:
-            del kept[other]
-        gc.unfreeze()
-        gc.collect()  # what is let go may refer to itself
+        if others := [x for x in kept if not x.startswith("__")]:
+            for other in others:
+                del kept[other]
+            gc.unfreeze()
+            gc.collect()  # what is let go may refer to itself
         kept[name] = make()
-        gc.freeze()
+        if large:
+            gc.freeze()
     return kept[name]

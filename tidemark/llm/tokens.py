@@ -267,7 +267,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
     def encode(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tool, end = per_worker(f"encoder {where}", lambda: Encoder(where)), np.array([end_id], "<u4").tobytes()
+        tool, end = per_worker(f"encoder {where}", lambda: Encoder(where), large=True), np.array([end_id], "<u4").tobytes()
         file, segment = TaskContext.get().partitionId(), 0
         ids, lengths, parts, held = [], [], [], 0
         names = ["file", "segment", "n_ids", "doc_ids", "lengths", "payload"]

@@ -28,6 +28,7 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -495,13 +496,20 @@ def _own_pairs(rows: DataFrame, table: DataFrame) -> DataFrame:
     return rows.mapInArrow(hashed, schema).join(found, "_hash", "left").select("_hash", "_pairs", *[F.col(f"`{c}`") for c in rows.columns])
 
 
+def _sent(rows: DataFrame, model: Model) -> Broadcast:
+    """The model's arrays, sent once: for the fit and for all texts. The weights come later and are small."""
+    if not hasattr(model, "sent"):
+        model.sent = rows.sparkSession.sparkContext.broadcast({k: v for k, v in vars(model).items() if k not in ("table", "weights")})
+    return model.sent
+
+
 def _with_features(rows: DataFrame, model: Model, emit: Callable, schema: T.StructType | str) -> DataFrame:
     """What `emit` makes of each batch of `rows`, the features of its column `text`, and the model."""
     place, table = rows.columns.index("text"), model.table
-    sent = rows.sparkSession.sparkContext.broadcast({k: v for k, v in vars(model).items() if k != "table"})
+    sent, weights = _sent(rows, model), model.weights
 
     def run(part: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, own = per_worker("word codes", Hasher), Model(**sent.value)
+        hasher, own = per_worker("word codes", Hasher), Model(**sent.value, weights=weights)
         for b in batches(part, TOGETHER):
             if brings:
                 flat = b.column(1).flatten()
