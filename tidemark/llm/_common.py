@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import sys
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from types import ModuleType
 
 import numpy as np
@@ -18,6 +19,9 @@ from ..session import scratch_path
 WHITE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bytes of rows that `short_batches` lets a Python step have at once.
+ARROW_BYTES = 4 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -30,6 +34,37 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def short_batches(spark: SparkSession) -> Iterator[None]:
+    """Python steps that are run inside get Arrow batches of about `ARROW_BYTES`, and all rows as before.
+
+    Spark counts rows alone unless told otherwise: 10 000 texts, or pairs of shingle sets, are tens of MB,
+    which a task holds several times in the JVM, outside its heap, and again in Python. What the
+    session itself has set stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is not None:
+        yield
+        return
+    spark.conf.set(name, ARROW_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Shuffle files of plans that are done and let go are removed: else they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def swept(df: DataFrame, name: str) -> DataFrame:
+    """`stage`, without what stages before it have shuffled."""
+    sweep(df.sparkSession)
+    return stage(df, name)
+
+
 def doc_texts(docs: DataFrame) -> DataFrame:
     """doc_id and whole text; a null text is empty."""
     return docs.select(
@@ -93,21 +128,31 @@ def bit_filter(slots: DataFrame, bits: int) -> bytes:
     return bytes(out)
 
 
+def _kept() -> dict:
+    """What this Python worker keeps: functions reach a task as copies of their own, so the place must be one that outlives them."""
+    return vars(sys.modules.setdefault("_tidemark_worker", ModuleType("_tidemark_worker")))
+
+
+def let_go() -> None:
+    """Drop what an earlier stage's `per_worker` keeps."""
+    kept = _kept()
+    if others := [x for x in kept if not x.startswith("__")]:
+        for other in others:
+            del kept[other]
+        gc.unfreeze()
+        gc.collect()  # what is let go may refer to itself
+
+
 def per_worker(name: str, make: Callable, large: bool = False):
     """What `make` returns, once for each Python worker: a cache that its later tasks find filled.
 
     A worker keeps one such thing: it lives on with later stages, which have memory of their own to fill.
-    Functions reach a task as copies of their own, so the place must be one that outlives them. Python's
-    garbage collection, which Spark asks for after each task, leaves out what is kept if that is `large`:
-    it would go through all of it.
+    Python's garbage collection, which Spark asks for after each task, leaves out what is kept if that is
+    `large`: it would go through all of it.
     """
-    kept = vars(sys.modules.setdefault("_tidemark_worker", ModuleType("_tidemark_worker")))
+    kept = _kept()
     if name not in kept:
-        if others := [x for x in kept if not x.startswith("__")]:
-            for other in others:
-                del kept[other]
-            gc.unfreeze()
-            gc.collect()  # what is let go may refer to itself
+        let_go()
         kept[name] = make()
         if large:
             gc.freeze()

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import batches, mix64, raw_texts, stage
+from ._common import batches, let_go, mix64, raw_texts, short_batches, stage
 from ._graph import components
 from .simhash import _LOWER, MAX_BITS, links, one_a_group, print_of, shingle_hashes
 
@@ -193,6 +193,7 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHI
     ])
 
     def marked(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()  # of a model's caches, say
         for b in batches(rows):
             raws = raw_texts(b.column(place))
             nodes = np.array([words_hash(x) for x in raws], np.uint64).view(np.int64)
@@ -203,20 +204,20 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHI
                 [*b.columns, pa.array(nodes), pa.array(keys, pa.list_(pa.int64())), pa.array(prints)], names=[*b.schema.names, mark, bands, fp]
             )
 
-    rows = stage(docs.mapInArrow(marked, schema), "marked")
-    listed = rows.select(F.col(mark).alias("node"), F.explode(bands).alias("key"))
-    shared = listed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("key")
-    members = stage(listed.join(shared, "key").select("key", "node").distinct(), "members")
-    pairs = stage(print_pairs(rows.select(F.col(mark).alias("node"), F.col(fp).alias("fp"))), "pairs")
-    nodes = members.select("node").union(pairs.select("a")).union(pairs.select("b"))
-    asked = nodes.select(F.col("node").alias(mark)).distinct()
-    texts = rows.select(mark, "text").join(asked, mark, "left_semi").dropDuplicates([mark])
-
     def hashed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(rows):
             found = [np.unique(shingle_hashes(x, shingle)).tobytes() for x in raw_texts(b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], names=["node", "hashes"])
 
-    sets = stage(texts.mapInArrow(hashed, "node long, hashes binary"), "sets")
-    near = near_links(members, sets, similarity).union(stage(confirmed(pairs, sets, similarity), "near-prints"))
+    with short_batches(docs.sparkSession):
+        rows = stage(docs.mapInArrow(marked, schema), "marked")
+        listed = rows.select(F.col(mark).alias("node"), F.explode(bands).alias("key"))
+        shared = listed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("key")
+        members = stage(listed.join(shared, "key").select("key", "node").distinct(), "members")
+        pairs = stage(print_pairs(rows.select(F.col(mark).alias("node"), F.col(fp).alias("fp"))), "pairs")
+        nodes = members.select("node").union(pairs.select("a")).union(pairs.select("b"))
+        asked = nodes.select(F.col("node").alias(mark)).distinct()
+        texts = rows.select(mark, "text").join(asked, mark, "left_semi").dropDuplicates([mark])
+        sets = stage(texts.mapInArrow(hashed, "node long, hashes binary"), "sets")
+        near = near_links(members, sets, similarity).union(stage(confirmed(pairs, sets, similarity), "near-prints"))
     return one_a_group(rows, mark, docs.columns, near)
