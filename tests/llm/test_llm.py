@@ -11,6 +11,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 
 import corpus_pipeline
 from tidemark.llm._common import bit_filter, per_worker
-from tidemark.llm import copies, decontaminate, exact, language, licences, mixing, queries, quotes, repeats, simhash, tokens, toxicity
+from tidemark.llm import _common, copies, decontaminate, exact, language, licences, mixing, queries, quotes, repeats, simhash, tokens, toxicity
 
 SMALL = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size int, kept string, fp string"
@@ -861,3 +862,57 @@ def test_fit_settles_on_separable_classes():
     weights = toxicity.fit_weights(x, y, np.where(y == 1, 1.0, 3.0))
     p = toxicity.probabilities(weights, x)
     assert ((p > 0.7) == (y == 1)).all()
+
+
+def test_python_steps_of_texts_get_short_batches(spark, monkeypatch):
+    """op2 and the stage of near duplicates let no task hold thousands of texts at once, whatever they are."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    rows = [(k, prose(4000 + k // 2, 200)) for k in range(400)]
+    texts = docs(spark, rows).repartition(1)
+
+    def sizes(parts):
+        for b in parts:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    monkeypatch.setattr(_common, "ARROW_BYTES", 1 << 16)
+    with _common.short_batches(spark):
+        found = [r.n for r in texts.select("text").mapInArrow(sizes, "n long").collect()]
+    assert len(found) > 5 and max(found) < 1 << 17
+    seen = []
+    for module, step in ((repeats, "swept"), (copies, "stage")):
+        monkeypatch.setattr(module, step, lambda df, kind, own=getattr(module, step): seen.append(spark.conf.get(name, None)) or own(df, kind))
+    result = repeats.remove_repeats(docs(spark, rows))
+    assert {r.n_removed == r.n_bytes for r in result.collect()} == {True}
+    # of the filter and the cut of whole texts one Python step is made, beside the filter and the cut of the others
+    assert result._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 3
+    assert sorted(r.doc_id for r in copies.keep_one(docs(spark, rows)).collect()) == list(range(0, 400, 2))
+    assert set(seen) == {str(1 << 16)} and spark.conf.get(name, None) is None
+    spark.conf.set(name, "1m")  # the session's own stays
+    with _common.short_batches(spark):
+        assert spark.conf.get(name) == "1m"
+    assert spark.conf.get(name) == "1m"
+    spark.conf.unset(name)
+
+
+def test_an_earlier_stage_s_cache_is_let_go():
+    _common.per_worker("some cache", lambda: {})["a"] = 1
+    assert _common.per_worker("some cache", lambda: {}) == {"a": 1}
+    _common.let_go()
+    assert _common.per_worker("some cache", lambda: {}) == {}
+    _common.let_go()
+
+
+def test_swept_stages_leave_no_shuffle_behind(spark):
+    """op2's shuffle files do not wait for the driver to collect its garbage."""
+    import time
+
+    kept = lambda: spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString(" ").count(".data")
+    _common.sweep(spark)  # of earlier tests
+    assert _common.swept(spark.range(1000).select((F.col("id") % 10).alias("k")).groupBy("k").count(), "some").collect()
+    before = kept()
+    _common.sweep(spark)
+    for _ in range(50):
+        if kept() < before:
+            break
+        time.sleep(0.1)
+    assert kept() < before

@@ -19,14 +19,15 @@ different strings are taken for equal with a chance of about pairs / 2^128.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import batches, bit_filter, raw_texts, stage
+from ._common import batches, bit_filter, raw_texts, short_batches, sweep, swept
 
 LENGTH = 200
 GRAM = 32
@@ -307,17 +308,25 @@ def _extract(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)], names=names)
 
     asked = wanted.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "n", "anchor", "hot")).alias("asked"))
-    joined = _only(texts, asked).join(asked, ["doc_id", "tag"]).select("doc_id", "tag", "text", "asked")
-    return stage(joined.mapInArrow(bytes_of, _OPEN), "open-runs")
+    joined = _only(texts, _doc_bits(asked)).join(asked, ["doc_id", "tag"]).select("doc_id", "tag", "text", "asked")
+    return swept(joined.mapInArrow(bytes_of, _OPEN), "open-runs")
 
 
 def _doc_slot():
     return F.pmod(F.xxhash64("doc_id", "tag"), F.lit(1 << DOC_BITS))
 
 
-def _only(texts: DataFrame, rows: DataFrame, inside: bool = True) -> DataFrame:
-    """Texts that may have (or surely have no) row in `rows`, so that the others are not shuffled."""
-    bits = texts.sparkSession.sparkContext.broadcast(bit_filter(rows.select(_doc_slot().alias("slot")), DOC_BITS))
+def _doc_bits(rows: DataFrame) -> Broadcast:
+    """A filter of the texts that have a row in `rows`."""
+    return rows.sparkSession.sparkContext.broadcast(bit_filter(rows.select(_doc_slot().alias("slot")), DOC_BITS))
+
+
+def _slotted(texts: DataFrame) -> DataFrame:
+    return texts.select("doc_id", "tag", "text", _doc_slot().alias("slot"))
+
+
+def _keep(bits: Broadcast, inside: bool = True) -> Callable:
+    """Of batches of `_slotted`, the texts that may have (or surely have no) row behind the filter."""
 
     def keep(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have = np.frombuffer(bits.value, np.uint8)
@@ -326,8 +335,12 @@ def _only(texts: DataFrame, rows: DataFrame, inside: bool = True) -> DataFrame:
             hit = (have[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
             yield b.filter(pa.array(hit == inside)).select([0, 1, 2])
 
-    chosen = texts.select("doc_id", "tag", "text", _doc_slot().alias("slot"))
-    return chosen.mapInArrow(keep, "doc_id long, tag int, text string")
+    return keep
+
+
+def _only(texts: DataFrame, bits: Broadcast) -> DataFrame:
+    """Texts that may have a row behind the filter, so that the others are not shuffled."""
+    return _slotted(texts).mapInArrow(_keep(bits), "doc_id long, tag int, text string")
 
 
 def repeated_starts(texts: DataFrame, first_copy: bool = False) -> DataFrame:
@@ -335,10 +348,10 @@ def repeated_starts(texts: DataFrame, first_copy: bool = False) -> DataFrame:
 
     With `first_copy` only those that also start earlier (by doc_id, tag and place).
     """
-    shared = stage(_shared_runs(texts), "runs")
+    shared = swept(_shared_runs(texts), "runs")
     where = F.struct("doc_id", "tag", "start")
     bodies = shared.groupBy("anchor", "body").agg(F.count(F.lit(1)).alias("copies"), F.min(where).alias("w"), F.first("n").alias("n"))
-    bodies = stage(bodies, "bodies")
+    bodies = swept(bodies, "bodies")
     # runs that agree in all bytes settle each other
     equal = shared.join(bodies.filter("copies > 1").select("anchor", "body", "w"), ["anchor", "body"])
     if first_copy:
@@ -347,7 +360,7 @@ def repeated_starts(texts: DataFrame, first_copy: bool = False) -> DataFrame:
     # of the others one run stands for each body, and anchors with one body need no more
     several = bodies.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
     open_ = bodies.join(several, "anchor").select("w.doc_id", "w.tag", "w.start", "n", "anchor", (F.col("kinds") > HOT).alias("hot"))
-    extracted = _extract(texts, stage(open_, "open"))
+    extracted = _extract(texts, swept(open_, "open"))
 
     def order(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Runs in order of (anchor, position); the last anchor of a batch waits for the next one."""
@@ -387,7 +400,7 @@ def repeated_starts(texts: DataFrame, first_copy: bool = False) -> DataFrame:
     # a hot anchor's runs are settled slice by slice, and only what is left of them start by start
     slices = extracted.filter("hot").select("anchor", "body", "doc_id", "tag", "start", "hashes")
     found = slices.groupBy("anchor", "body").agg(F.count(F.lit(1)).alias("copies"), F.min(where).alias("w"), F.first("hashes").alias("hashes"))
-    found = stage(found, "slices")
+    found = swept(found, "slices")
     twins = slices.join(found.filter("copies > 1").select("anchor", "body", "w"), ["anchor", "body"])
     cores = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("anchor")
     left = found.join(cores, "anchor", "left_semi").select("w.*", "hashes", F.explode(F.sequence(F.lit(0), (F.size("hashes") / 2).cast("int") - 1)).alias("k"))
@@ -417,9 +430,11 @@ def remove_repeats(docs: DataFrame, first_copy: bool = False) -> DataFrame:
     null doc_id is an id of its own; an empty table gives no rows.
     """
     texts = _keyed(docs)
-    found = repeated_starts(texts, first_copy)
-    spans = found.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("first", "last")).alias("found"))
-    spans = stage(spans, "spans")  # as many as a text has runs
+    with short_batches(docs.sparkSession):
+        found = repeated_starts(texts, first_copy)
+        spans = found.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("first", "last")).alias("found"))
+        spans = swept(spans, "spans")  # as many as a text has runs
+    bits = _doc_bits(spans)
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_bytes", "spans", "n_removed", "n_spans", "kept", "kept_sha256"]
@@ -441,9 +456,15 @@ def remove_repeats(docs: DataFrame, first_copy: bool = False) -> DataFrame:
                 out.append((doc, len(raw), [{"start": a, "end": z} for a, z in runs], len(raw) - len(kept), len(runs), kept, hashlib.sha256(kept).hexdigest()))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
+    def uncut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """In one step with the filter, so that a task has one Python worker."""
+        kept = _keep(bits, inside=False)(rows)
+        return cut(pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.nulls(b.num_rows)], names=["doc_id", "text", "found"]) for b in kept)
+
     kind = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, n_removed long, n_spans long, kept binary, kept_sha256 string"
-    none = F.lit(None).cast("array<struct<first:long,last:long>>")
-    whole = _only(texts, spans, inside=False).select("doc_id", "text", none.alias("found"))
-    touched = _only(texts, spans).join(spans, ["doc_id", "tag"], "left").select("doc_id", "text", "found")
-    result = whole.mapInArrow(cut, kind).union(touched.mapInArrow(cut, kind))
+    whole = _slotted(texts).mapInArrow(uncut, kind)
+    touched = _only(texts, bits).join(spans, ["doc_id", "tag"], "left").select("doc_id", "text", "found")
+    result = whole.union(touched.mapInArrow(cut, kind))
+    del found
+    sweep(docs.sparkSession)
     return result.withColumn("doc_id", F.nullif("doc_id", F.lit(-(1 << 63))))
